@@ -1,99 +1,99 @@
-"""Classes, wordings and display forms of a session's values."""
+"""Classes, wordings and display forms of a session's values.
+
+Arguments are SQL expressions over the rows.
+"""
+
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from curfew.functions import fixed_values as V
-from curfew.functions.rules import is_curfew_hour
 
 
-def _below(value: Column, classes, otherwise: str) -> Column:
-    name = F.lit(otherwise)
-    for bound, label in reversed(classes):
-        name = F.when(value < bound, label).otherwise(name)
-    return name
+def _text(value) -> str:
+    return "NULL" if value is None else f"'{value}'"
+
 
+def _case(branches: Iterable[tuple[str, str]], otherwise: str) -> Column:
+    listed = " ".join(f"WHEN {condition} THEN {value}" for condition, value in branches)
+    return F.expr(f"CASE {listed} ELSE {otherwise} END")
 
-def _up_to(value: Column, classes, otherwise) -> Column:
-    name = F.lit(otherwise)
-    for bound, label in reversed(classes):
-        name = F.when(value <= bound, label).otherwise(name)
-    return name
 
+def _classes(value: str, compare: str, bounds, otherwise: str) -> Column:
+    return _case([(f"{value} {compare} {bound}", _text(name)) for bound, name in bounds], _text(otherwise))
 
-def record_class(seconds: Column) -> Column:
+
+def record_class(seconds: str) -> Column:
     """Five classes closed above, for record counts."""
-    return _up_to(seconds, V.RECORD_CLASSES, V.RECORD_CLASS_ELSE)
+    return _classes(seconds, "<=", V.RECORD_CLASSES, V.RECORD_CLASS_ELSE)
 
 
-def dashboard_class(minutes: Column) -> Column:
+def dashboard_class(minutes: str) -> Column:
     """Six classes open above."""
-    return _below(minutes, V.DASHBOARD_CLASSES, V.DASHBOARD_CLASS_ELSE)
+    return _classes(minutes, "<", V.DASHBOARD_CLASSES, V.DASHBOARD_CLASS_ELSE)
 
 
-def minor_class(minutes: Column) -> Column:
+def minor_class(minutes: str) -> Column:
     """Seven lettered classes open above."""
-    return _below(minutes, V.MINOR_CLASSES, V.MINOR_CLASS_ELSE)
+    return _classes(minutes, "<", V.MINOR_CLASSES, V.MINOR_CLASS_ELSE)
 
 
-def histogram_class(minutes: Column) -> Column:
+def histogram_class(minutes: str) -> Column:
     """Smallest listed bound that holds the value; NULL above the last."""
-    bounds = [(bound, bound) for bound in V.HISTOGRAM_BOUNDS]
-    return _up_to(minutes, bounds, None).cast("int")
+    return _case([(f"{minutes} <= {bound}", str(bound)) for bound in V.HISTOGRAM_BOUNDS], "NULL")
 
 
-def recharge_class(amount: Column) -> Column:
-    paid = _up_to(amount, V.RECHARGE_CLASSES, V.RECHARGE_CLASS_ELSE)
-    return F.when(amount == 0, V.RECHARGE_ZERO).otherwise(paid)
+def recharge_class(amount: str) -> Column:
+    paid = [(f"{amount} <= {bound}", _text(name)) for bound, name in V.RECHARGE_CLASSES]
+    return _case([(f"{amount} = 0", _text(V.RECHARGE_ZERO)), *paid], _text(V.RECHARGE_CLASS_ELSE))
 
 
-def risk_text(label: Column, vocabulary: str) -> Column:
+def risk_text(label: str, vocabulary: str) -> Column:
     """Wording of a label; labels outside the vocabulary give its default."""
-    text = F.lit(V.RISK_WORDING_ELSE.get(vocabulary)).cast("string")
-    for value, wording in V.RISK_WORDING[vocabulary].items():
-        text = F.when(label == value, wording).otherwise(text)
-    return text
+    words = [(f"{label} = {value}", _text(word)) for value, word in V.RISK_WORDING[vocabulary].items()]
+    return _case(words, _text(V.RISK_WORDING_ELSE.get(vocabulary)))
 
 
-def yes_no(value: Column) -> Column:
-    return F.when(value == 1, V.YES).otherwise(V.NO)
+def yes_no(condition: str) -> Column:
+    return _case([(condition, _text(V.YES))], _text(V.NO))
 
 
-def night_flag(hour: Column) -> Column:
-    return F.when(is_curfew_hour(hour), V.NIGHT).otherwise(V.NOT_NIGHT)
+def night_flag(hour: str) -> Column:
+    curfew = f"{hour} >= {V.NIGHT_FROM_HOUR} OR {hour} < {V.NIGHT_UNTIL_HOUR}"
+    return _case([(curfew, _text(V.NIGHT))], _text(V.NOT_NIGHT))
 
 
-def duration_text(minutes: Column) -> Column:
-    return F.concat(
-        F.floor(minutes / 60).cast("int").cast("string"), F.lit(V.HOURS_UNIT),
-        F.floor(minutes % 60).cast("int").cast("string"), F.lit(V.MINUTES_UNIT),
+def duration_text(minutes: str) -> Column:
+    return F.expr(
+        f"concat(cast(floor({minutes} / 60) as int), '{V.HOURS_UNIT}', "
+        f"cast(floor({minutes} % 60) as int), '{V.MINUTES_UNIT}')"
     )
 
 
-def intervention_tier(days: Column) -> Column:
-    tier = F.lit(V.TIER_ELSE)
-    for bound, label in reversed(V.TIERS):
-        tier = F.when(days >= bound, label).otherwise(tier)
-    return tier
+def intervention_tier(days: str) -> Column:
+    return _classes(days, ">=", V.TIERS, V.TIER_ELSE)
+
+
+def clock_text(time: str) -> Column:
+    return F.expr(f"coalesce(date_format({time}, 'HH:mm'), '{V.MISSING}')")
 
 
-def clock_text(time: Column) -> Column:
-    return F.coalesce(F.date_format(time, "HH:mm"), F.lit(V.MISSING))
+def hour_axis(hour: str) -> Column:
+    return F.expr(f"concat(lpad({hour}, 2, '0'), ':00')")
 
 
-def hour_axis(hour: Column) -> Column:
-    return F.concat(F.lpad(hour.cast("string"), 2, "0"), F.lit(":00"))
+def risk_badge(label: str) -> Column:
+    word = f"CASE {label} WHEN 3 THEN '{V.RISK_BADGE[3]}' WHEN 2 THEN '{V.RISK_BADGE[2]}' ELSE '{V.RISK_BADGE[1]}' END"
+    return F.expr(f"coalesce(concat('Lv', {label}, ' ', {word}), '{V.MISSING}')")
 
 
-def risk_badge(label: Column) -> Column:
-    word = (
-        F.when(label == V.SEVERE, V.RISK_BADGE[3])
-        .when(label == V.CURFEW, V.RISK_BADGE[2])
-        .otherwise(V.RISK_BADGE[1])
+def amount_text(amount: str) -> Column:
+    return F.expr(
+        f"coalesce(concat('{V.CURRENCY}', cast(round({amount}, 0) as decimal(20,0))), '{V.MISSING}')"
     )
-    return F.coalesce(F.concat(F.lit("Lv"), label.cast("string"), F.lit(" "), word), F.lit(V.MISSING))
 
 
-def amount_text(amount: Column) -> Column:
-    whole = F.round(amount, 0).cast("decimal(20,0)").cast("string")
-    return F.coalesce(F.concat(F.lit(V.CURRENCY), whole), F.lit(V.MISSING))
+def custom_order(column: str, values: list[str]) -> Column:
+    """Sort key by position in a list; values not listed come first."""
+    return F.expr(f"array_position(array({', '.join(map(_text, values))}), {column})")

@@ -16,26 +16,20 @@ def _words(start: date, end: date) -> range:
     return range((end - start).days // DAYS_PER_WORD + 1)
 
 
-def day_bits(day: Column, start: date, end: date, name: str, where: Column | None = None) -> list[Column]:
+def day_bits(day: str, start: date, end: date, name: str, where: str = "true") -> list[Column]:
     """Aggregates holding the set of days within start..end, one per word."""
-    offset = F.datediff(day, F.lit(start))
     found = []
     for word in _words(start, end):
-        first = word * DAYS_PER_WORD
-        inside = (offset >= first) & (offset < first + DAYS_PER_WORD)
-        if where is not None:
-            inside = inside & where
-        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), offset - first)
-        found.append(F.bit_or(F.when(inside, bit).otherwise(F.lit(0).cast("bigint"))).alias(f"{name}__{word}"))
+        place = f"datediff({day}, DATE '{start:%Y-%m-%d}') - {word * DAYS_PER_WORD}"
+        inside = f"{place} BETWEEN 0 AND {DAYS_PER_WORD - 1} AND ({where})"
+        found.append(F.expr(f"bit_or(if({inside}, shiftleft(1L, {place}), 0L)) AS {name}__{word}"))
     return found
 
 
 def merged_day_bits(start: date, end: date, name: str) -> list[Column]:
-    return [F.bit_or(f"{name}__{word}").alias(f"{name}__{word}") for word in _words(start, end)]
+    return [F.expr(f"bit_or({name}__{word}) AS {name}__{word}") for word in _words(start, end)]
 
 
 def day_count(start: date, end: date, name: str) -> Column:
-    count = F.lit(0)
-    for word in _words(start, end):
-        count = count + F.bit_count(f"{name}__{word}")
-    return count.cast("bigint")
+    counts = " + ".join(f"bit_count({name}__{word})" for word in _words(start, end))
+    return F.expr(f"cast({counts} as bigint)")

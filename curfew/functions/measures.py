@@ -4,6 +4,7 @@ Several conditional distinct counts of one column make Catalyst copy each row
 once per count. Here rows are first folded to one per group and player
 (combined before the shuffle, so a player holding a third of all rows is one
 row per task), then folded to one per group. Nothing is copied or collected.
+Values and conditions are SQL expressions over the rows.
 """
 
 from collections.abc import Callable
@@ -13,57 +14,53 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curfew.functions.numbers import ratio
-from curfew.functions.rules import flag
 
 PLAYER = "player_id"
 
 
 class Measure(NamedTuple):
-    per_player: dict[str, Column]
-    overall: Callable[[dict[str, Column]], Column]
+    """Aggregates per player by suffix, and how their names combine to the result."""
 
+    per_player: dict[str, str]
+    overall: Callable[..., Column]
 
-def players(where: Column | None = None) -> Measure:
-    """Distinct players with at least one row that meets the condition."""
-    met = F.lit(1) if where is None else flag(where)
-
-    def overall(part):
-        known = F.when(F.col(PLAYER).isNotNull(), part["met"]).otherwise(0)
-        return F.coalesce(F.sum(known), F.lit(0)).cast("bigint")
 
-    return Measure({"met": F.max(met)}, overall)
+def players(where: str = "true") -> Measure:
+    """Distinct players with at least one row that meets the condition."""
+    return Measure(
+        {"met": f"max(if({where}, 1, 0))"},
+        lambda met: F.expr(f"cast(coalesce(sum(if({PLAYER} is not null, {met}, 0)), 0) as bigint)"),
+    )
 
 
-def rows(where: Column | None = None) -> Measure:
-    met = F.count(F.lit(1)) if where is None else F.count_if(where)
-    return Measure({"n": met}, lambda part: F.coalesce(F.sum(part["n"]), F.lit(0)).cast("bigint"))
+def rows(where: str = "true") -> Measure:
+    return Measure({"n": f"count_if({where})"}, lambda n: F.expr(f"cast(coalesce(sum({n}), 0) as bigint)"))
 
 
-def total(value: Column) -> Measure:
-    return Measure({"sum": F.sum(value)}, lambda part: F.sum(part["sum"]))
+def total(value: str) -> Measure:
+    return Measure({"sum": f"sum({value})"}, lambda part: F.sum(part))
 
 
-def mean(value: Column, digits: int) -> Measure:
-    parts = {"sum": F.sum(value), "n": F.count(value)}
-    return Measure(parts, lambda part: ratio(F.sum(part["sum"]), F.sum(part["n"]), digits))
+def mean(value: str, digits: int) -> Measure:
+    return Measure(
+        {"sum": f"sum({value})", "n": f"count({value})"},
+        lambda part, n: ratio(f"sum({part})", f"sum({n})", digits),
+    )
 
 
-def lowest(value: Column) -> Measure:
-    return Measure({"low": F.min(value)}, lambda part: F.min(part["low"]))
+def lowest(value: str) -> Measure:
+    return Measure({"low": f"min({value})"}, lambda part: F.min(part))
 
 
-def highest(value: Column) -> Measure:
-    return Measure({"high": F.max(value)}, lambda part: F.max(part["high"]))
+def highest(value: str) -> Measure:
+    return Measure({"high": f"max({value})"}, lambda part: F.max(part))
 
 
 def rollup_players(df: DataFrame, keys: list[str], **measures: Measure) -> DataFrame:
     """One row per group with the named measures; one row in all without keys."""
     partial, overall = [], []
     for name, measure in measures.items():
-        columns = {}
-        for part, column in measure.per_player.items():
-            stored = f"{name}__{part}"
-            partial.append(column.alias(stored))
-            columns[part] = F.col(stored)
-        overall.append(measure.overall(columns).alias(name))
+        stored = [f"{name}__{suffix}" for suffix in measure.per_player]
+        partial += [F.expr(f"{sql} AS {column}") for column, sql in zip(stored, measure.per_player.values())]
+        overall.append(measure.overall(*stored).alias(name))
     return df.groupBy(*keys, PLAYER).agg(*partial).groupBy(*keys).agg(*overall)

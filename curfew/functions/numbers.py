@@ -1,20 +1,24 @@
 """Ratios in exact decimals, rounded half up, so that no result depends on the
-order in which a shuffle delivers its rows."""
+order in which a shuffle delivers its rows. Arguments are SQL expressions."""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _share(part: Column, whole: Column) -> Column:
-    divisor = F.nullif(whole.cast("decimal(18,0)"), F.lit(0).cast("decimal(18,0)"))
-    return (part / divisor).cast("decimal(18,6)")
+def _share(part: str, whole: str, digits: int) -> Column:
+    quotient = f"{part} / nullif(cast({whole} as decimal(18,0)), 0)"
+    return F.expr(f"round(cast({quotient} as decimal(18,6)), {digits})")
 
 
-def ratio(total: Column, count: Column, digits: int) -> Column:
+def ratio(total: str, count: str, digits: int) -> Column:
     """total / count, NULL when count is zero."""
-    return F.round(_share(total.cast("decimal(28,2)"), count), digits)
+    return _share(f"cast({total} as decimal(28,2))", count, digits)
 
 
-def percent(part: Column, whole: Column, digits: int) -> Column:
+def percent(part: str, whole: str, digits: int) -> Column:
     """part of whole in percent, NULL when whole is zero."""
-    return F.round(_share(part.cast("decimal(18,0)") * 100, whole), digits)
+    return _share(f"cast({part} as decimal(18,0)) * 100", whole, digits)
+
+
+def hours(minutes: str) -> Column:
+    return F.expr(f"round(cast({minutes} / 60 as decimal(18,6)), 1)")

@@ -2,49 +2,49 @@
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from curfew.functions import classes
 from curfew.functions import fixed_values as V
+from curfew.functions.conditions import AT_RISK, CURFEW_BREACH, MINOR, PAYING, label_is
 from curfew.functions.days import day_bits, day_count, merged_day_bits
 from curfew.functions.measures import highest, mean, players, rollup_players, rows, total
-from curfew.functions.numbers import percent, ratio
+from curfew.functions.numbers import hours, percent, ratio
 from curfew.operators.daily import players_per_label
-from curfew.operators.dashboard import MINUTES, at_risk, label_is, minor, severity_order, share_of_total, top
+from curfew.operators.dashboard import MINUTES, severity_order, share_of_total, top
 from curfew.sources.warehouse import in_range, on_day
 
 
 def daily_risk(fact: DataFrame, first: date, last: date) -> DataFrame:
     grouped = rollup_players(
         in_range(fact, first, last), ["dt"],
-        active_players=players(), at_risk_players=players(at_risk()), **players_per_label("label_"),
+        active_players=players(), at_risk_players=players(AT_RISK), **players_per_label("label_"),
     )
-    active = F.col("active_players")
     return grouped.withColumns({
-        "at_risk_pct": percent(F.col("at_risk_players"), active, 2),
-        "severe_pct": percent(F.col("label_3"), active, 2),
+        "at_risk_pct": percent("at_risk_players", "active_players", 2),
+        "severe_pct": percent("label_3", "active_players", 2),
     }).orderBy("dt")
 
 
 def daily_minor_risk(fact: DataFrame, first: date, last: date) -> DataFrame:
     grouped = rollup_players(
-        in_range(fact, first, last).filter(minor()), ["dt"],
+        in_range(fact, first, last).filter(MINOR), ["dt"],
         active_minors=players(), **players_per_label("label_"),
-        avg_online_min=mean(F.col(MINUTES), 0),
-        max_online_min=highest(F.col(MINUTES)),
-        paying=players(F.col("is_paying_player") == 1),
-        total_recharge=total(F.col("recharge_amount")),
+        avg_online_min=mean(MINUTES, 0),
+        max_online_min=highest(MINUTES),
+        paying=players(PAYING),
+        total_recharge=total("recharge_amount"),
     )
     return grouped.withColumns({
         "max_online_min": F.round("max_online_min", 0),
-        "paying_pct": percent(F.col("paying"), F.col("active_minors"), 2),
+        "paying_pct": percent("paying", "active_minors", 2),
     }).drop("paying").orderBy("dt")
 
 
 def minor_duration_dist(fact: DataFrame, day: date) -> DataFrame:
-    classed = on_day(fact, day).filter(minor()).withColumn(
-        "duration_range", classes.minor_class(F.col(MINUTES))
+    classed = on_day(fact, day).filter(MINOR).withColumn(
+        "duration_range", classes.minor_class(MINUTES)
     )
     grouped = rollup_players(
         classed, ["duration_range"],
@@ -55,7 +55,7 @@ def minor_duration_dist(fact: DataFrame, day: date) -> DataFrame:
 
 def curfew_breaches(fact: DataFrame, first: date, last: date) -> DataFrame:
     """Sessions of minors labelled 2 or 3 in a closed range of days."""
-    return in_range(fact, first, last).filter(minor() & F.col("risk_label").isin(V.CURFEW, V.SEVERE))
+    return in_range(fact, first, last).filter(CURFEW_BREACH)
 
 
 def night_totals(fact: DataFrame, first: date, last: date) -> DataFrame:
@@ -71,8 +71,8 @@ def night_totals(fact: DataFrame, first: date, last: date) -> DataFrame:
         F.max(MINUTES).alias("longest"),
         F.sum("recharge_amount").alias("recharge"),
         F.max("dt").alias("latest"),
-        *day_bits(F.col("dt"), first, last, "days"),
-        *day_bits(F.col("dt"), first, last, "severe", label_is(V.SEVERE)),
+        *day_bits("dt", first, last, "days"),
+        *day_bits("dt", first, last, "severe", label_is(V.SEVERE)),
     )
     by_player = parts.groupBy("player_id").agg(
         F.sum("logins").alias("night_logins"),
@@ -89,8 +89,8 @@ def night_totals(fact: DataFrame, first: date, last: date) -> DataFrame:
         "player_id",
         day_count(first, last, "days").alias("violation_days"),
         "night_logins",
-        ratio(F.col("minutes"), F.col("timed_rows"), 0).alias("avg_online_min"),
-        F.round((F.col("minutes") / 60).cast("decimal(18,6)"), 1).alias("total_hours"),
+        ratio("minutes", "timed_rows", 0).alias("avg_online_min"),
+        hours("minutes").alias("total_hours"),
         "total_recharge",
         day_count(first, last, "severe").alias("severe_days"),
         "game_count", "latest_violation", "usual_device",
@@ -106,56 +106,50 @@ def night_topn(fact: DataFrame, first: date, last: date, n: int = 100) -> DataFr
 
 
 def night_export(fact: DataFrame, first: date, last: date, n: int = 500) -> DataFrame:
-    label = F.col("risk_label")
     return top(curfew_breaches(fact, first, last), severity_order(), n).select(
         "dt", "player_id", "game_id", "login_time", "logout_time", MINUTES,
-        classes.duration_text(F.col(MINUTES)).alias("duration_text"),
+        classes.duration_text(MINUTES).alias("duration_text"),
         "login_ip", "device_type", "game_region", "match_count", "recharge_amount",
-        classes.risk_text(label, "night_export").alias("risk_type"),
-        F.when(label == V.SEVERE, V.YES).otherwise(V.NO).alias("is_severe"),
-        classes.yes_no(F.col("is_paying_player")).alias("is_paying"),
+        classes.risk_text("risk_label", "night_export").alias("risk_type"),
+        classes.yes_no(label_is(V.SEVERE)).alias("is_severe"),
+        classes.yes_no(PAYING).alias("is_paying"),
     )
 
 
-def custom_order(column: Column, values: list[str]) -> Column:
-    """Sort key by position in a list; values not listed come first."""
-    return F.array_position(F.array(*map(F.lit, values)), column)
-
-
 def cross_analysis(fact: DataFrame, day: date) -> DataFrame:
     keys = ["account_type", "login_period", "risk_label", "device_type"]
     grouped = rollup_players(
         on_day(fact, day), keys,
         player_count=players(), record_count=rows(),
-        avg_online_min=mean(F.col(MINUTES), 0),
-        avg_match_count=mean(F.col("match_count"), 1),
-        avg_recharge=mean(F.col("recharge_amount"), 2),
-        total_recharge=total(F.col("recharge_amount")),
-        paying=total(F.col("is_paying_player")),
+        avg_online_min=mean(MINUTES, 0),
+        avg_match_count=mean("match_count", 1),
+        avg_recharge=mean("recharge_amount", 2),
+        total_recharge=total("recharge_amount"),
+        paying=total("is_paying_player"),
     )
     periods = [V.DAYTIME, V.EVENING, V.NIGHT]
     return grouped.withColumns({
-        "risk_level": classes.risk_text(F.col("risk_label"), "cross"),
-        "paying_pct": percent(F.col("paying"), F.col("record_count"), 2),
+        "risk_level": classes.risk_text("risk_label", "cross"),
+        "paying_pct": percent("paying", "record_count", 2),
     }).orderBy(
-        "account_type", custom_order(F.col("login_period"), periods), "risk_label", "device_type"
+        "account_type", classes.custom_order("login_period", periods), "risk_label", "device_type"
     ).drop("paying", "risk_label")
 
 
 def today_snapshot(fact: DataFrame, now: datetime) -> DataFrame:
     """Figures of the day of ``now``, with players that logged in half an hour ago or later."""
-    recent = F.col("login_time") >= F.lit(now - timedelta(minutes=30))
+    recent = f"login_time >= TIMESTAMP '{now - timedelta(minutes=30):%Y-%m-%d %H:%M:%S.%f}'"
     found = rollup_players(
         on_day(fact, now.date()), [],
-        total_active=players(), minor_active=players(minor()), at_risk_count=players(at_risk()),
+        total_active=players(), minor_active=players(MINOR), at_risk_count=players(AT_RISK),
         severe_count=players(label_is(V.SEVERE)),
-        avg_online_min=mean(F.col(MINUTES), 0),
-        total_recharge=total(F.col("recharge_amount")),
+        avg_online_min=mean(MINUTES, 0),
+        total_recharge=total("recharge_amount"),
         active_last_30m=players(recent),
         overtime_count=players(label_is(V.OVERTIME)),
         curfew_count=players(label_is(V.CURFEW)),
     )
-    rate = percent(F.col("severe_count"), F.col("minor_active"), 2)
+    rate = percent("severe_count", "minor_active", 2)
     return found.withColumn("minor_severe_pct", rate)
 
 
@@ -184,7 +178,7 @@ def streak_islands(days: DataFrame) -> DataFrame:
 
 
 def severe_sessions(fact: DataFrame, first: date) -> DataFrame:
-    return fact.filter((F.col("dt") >= F.lit(first)) & minor() & label_is(V.SEVERE))
+    return fact.filter(F.col("dt") >= F.lit(first)).filter(f"{MINOR} AND {label_is(V.SEVERE)}")
 
 
 def severe_islands(fact: DataFrame, first: date, min_days: int = 3) -> DataFrame:
@@ -199,7 +193,7 @@ def streak_join(streaks: DataFrame, fact: DataFrame) -> DataFrame:
     the size of the streaks decides at run time whether they are broadcast, and
     adaptive execution splits the partition of a player with very many rows.
     """
-    sessions = fact.filter(minor() & label_is(V.SEVERE)).alias("d")
+    sessions = fact.filter(f"{MINOR} AND {label_is(V.SEVERE)}").alias("d")
     within = (F.col("s.player_id") == F.col("d.player_id")) & F.col("d.dt").between(
         F.col("s.streak_start"), F.col("s.streak_end")
     )
@@ -233,9 +227,9 @@ def severe_streak_totals(fact: DataFrame, first: date, min_days: int = 3) -> Dat
     days = (F.datediff("streak_end", "streak_start") + 1).cast("bigint")
     return found.withColumn("consecutive_days", days).filter(F.col("consecutive_days") >= min_days).select(
         "player_id", "consecutive_days", "streak_start", "streak_end",
-        ratio(F.col("minutes"), F.col("timed_rows"), 0).alias("avg_online_min"),
+        ratio("minutes", "timed_rows", 0).alias("avg_online_min"),
         "total_recharge", "game_count",
-        classes.intervention_tier(F.col("consecutive_days")).alias("tier"),
+        classes.intervention_tier("consecutive_days").alias("tier"),
     )
 
 

@@ -110,7 +110,7 @@ def clean_funnel(raw: DataFrame) -> DataFrame:
         "rows_kept",
         (left - F.col("rows_kept")).alias("removed_copies"),
         removed.alias("rows_removed"),
-        percent(removed, F.col("rows_before"), 2).alias("removed_pct"),
+        percent("rows_before - rows_kept", "rows_before", 2).alias("removed_pct"),
     )
 
 

@@ -8,23 +8,13 @@ from pyspark.sql import functions as F
 from curfew import schema
 from curfew.functions import classes, rules
 from curfew.functions import fixed_values as V
+from curfew.functions.conditions import AT_RISK, LABELS, MINOR, OTHER_LABEL, PAYING, label_is
 from curfew.functions.measures import mean, players, rollup_players, rows, total
 from curfew.functions.numbers import percent, ratio
-from curfew.operators.dashboard import MINUTES, at_risk, label_is, minor, share_of_total
+from curfew.operators.dashboard import MINUTES, share_of_total
 from curfew.sources.raw import day_key
 from curfew.sources.warehouse import on_day
 
-LABELS = [V.NORMAL, V.OVERTIME, V.CURFEW, V.SEVERE]
-
-
-def _money():
-    return F.col("recharge_amount")
-
-
-def _paying():
-    return F.col("is_paying_player") == 1
-
-
 def players_per_label(prefix: str) -> dict:
     return {f"{prefix}{label}": players(label_is(label)) for label in LABELS}
 
@@ -35,15 +25,15 @@ def daily_stats(fact: DataFrame, day: date) -> DataFrame:
         on_day(fact, day), ["dt"],
         dau=players(),
         total_records=rows(),
-        paying_players=players(_paying()),
+        paying_players=players(PAYING),
         total_players=players(),
-        total_recharge=total(_money()),
-        minor_players=players(minor()),
+        total_recharge=total("recharge_amount"),
+        minor_players=players(MINOR),
         **players_per_label("risk_label_"),
-        seconds=total(F.col("online_duration")),
-        timed_rows=rows(F.col("online_duration").isNotNull()),
+        seconds=total("online_duration"),
+        timed_rows=rows("online_duration IS NOT NULL"),
     )
-    average = ratio(F.col("seconds"), F.col("timed_rows") * 60, 1)
+    average = ratio("seconds", "timed_rows * 60", 1)
     kinds = dict(schema.DAILY_STATS_DDL)
     stats = grouped.withColumns({
         "avg_online_min": average,
@@ -55,7 +45,7 @@ def daily_stats(fact: DataFrame, day: date) -> DataFrame:
 
 def duration_records(fact: DataFrame, day: date) -> DataFrame:
     classed = on_day(fact, day).groupBy(
-        classes.record_class(F.col("online_duration")).alias("duration_range")
+        classes.record_class("online_duration").alias("duration_range")
     ).agg(F.count(F.lit(1)).alias("record_count"))
     return share_of_total(classed, "record_count", 1).orderBy("duration_range")
 
@@ -63,13 +53,13 @@ def duration_records(fact: DataFrame, day: date) -> DataFrame:
 def paying_stats(fact: DataFrame, day: date) -> DataFrame:
     found = rollup_players(
         on_day(fact, day), [],
-        paying_players=players(_paying()), total_players=players(), total_recharge=total(_money()),
+        paying_players=players(PAYING), total_players=players(), total_recharge=total("recharge_amount"),
     )
     return found.select(
         "paying_players", "total_players",
-        percent(F.col("paying_players"), F.col("total_players"), 1).alias("paying_rate_pct"),
+        percent("paying_players", "total_players", 1).alias("paying_rate_pct"),
         "total_recharge",
-        ratio(F.col("total_recharge"), F.col("paying_players"), 2).alias("arppu"),
+        ratio("total_recharge", "paying_players", 2).alias("arppu"),
     )
 
 
@@ -87,16 +77,12 @@ def _label_rows(one_row: DataFrame, whole: str, keep: list[str]) -> DataFrame:
         one_row.withColumn("entry", F.explode(F.array(*per_label, other)))
         .select("entry.*", whole, *keep)
         .filter(F.col("player_count") > 0)
-        .withColumn("risk_text", classes.risk_text(F.col("risk_label"), "job"))
-        .withColumn("pct", percent(F.col("player_count"), F.col(whole), 1))
+        .withColumn("risk_text", classes.risk_text("risk_label", "job"))
+        .withColumn("pct", percent("player_count", whole, 1))
         .orderBy(F.asc_nulls_last("risk_label"))
     )
 
 
-def _other_label() -> Column:
-    return F.col("risk_label").isNull() | ~F.col("risk_label").isin(LABELS)
-
-
 def label_players(fact: DataFrame, day: date) -> DataFrame:
     """Players per label and their share of all players.
 
@@ -104,33 +90,33 @@ def label_players(fact: DataFrame, day: date) -> DataFrame:
     """
     found = rollup_players(
         on_day(fact, day), [],
-        total_players=players(), label_other=players(_other_label()), **players_per_label("label_"),
+        total_players=players(), label_other=players(OTHER_LABEL), **players_per_label("label_"),
     )
     return _label_rows(found, "total_players", [])
 
 
 def label_records(fact: DataFrame, day: date) -> DataFrame:
     counted = on_day(fact, day).groupBy("risk_label").agg(F.count(F.lit(1)).alias("record_count"))
-    texts = counted.withColumn("risk_text", classes.risk_text(F.col("risk_label"), "job"))
+    texts = counted.withColumn("risk_text", classes.risk_text("risk_label", "job"))
     return share_of_total(texts, "record_count", 1).orderBy("risk_label")
 
 
 def minor_records_at_risk(fact: DataFrame, day: date) -> DataFrame:
-    found = on_day(fact, day).filter(minor()).agg(
-        F.count(F.lit(1)).alias("minor_records"), F.count_if(at_risk()).alias("risk_records")
+    found = on_day(fact, day).filter(MINOR).agg(
+        F.count(F.lit(1)).alias("minor_records"), F.expr(f"count_if({AT_RISK}) AS risk_records")
     )
-    return found.withColumn("risk_pct", percent(F.col("risk_records"), F.col("minor_records"), 1))
+    return found.withColumn("risk_pct", percent("risk_records", "minor_records", 1))
 
 
 def minor_profile(fact: DataFrame, day: date) -> DataFrame:
     """Labels of minors with their share, next to the minors' number and mean."""
     found = rollup_players(
-        on_day(fact, day).filter(minor()), [],
-        minor_players=players(), label_other=players(_other_label()), **players_per_label("label_"),
-        seconds=total(F.col("online_duration")),
-        timed_rows=rows(F.col("online_duration").isNotNull()),
+        on_day(fact, day).filter(MINOR), [],
+        minor_players=players(), label_other=players(OTHER_LABEL), **players_per_label("label_"),
+        seconds=total("online_duration"),
+        timed_rows=rows("online_duration IS NOT NULL"),
     )
-    average = ratio(F.col("seconds"), F.col("timed_rows") * 60, 1)
+    average = ratio("seconds", "timed_rows * 60", 1)
     return _label_rows(found.withColumn("avg_online_min", average), "minor_players", ["avg_online_min"])
 
 
@@ -155,21 +141,20 @@ def dwd_quality_pct(fact: DataFrame, day: date) -> DataFrame:
         F.count(MINUTES).alias("timed_rows"),
         F.sum("recharge_amount").alias("total_recharge"),
     )
-    count = F.col("record_count")
     return sums.select(
         "dt", "record_count",
-        percent(F.col("minors"), count, 1).alias("minor_pct"),
-        percent(F.col("nights"), count, 1).alias("night_pct"),
-        percent(F.col("minor_nights"), F.col("minors"), 1).alias("minor_night_pct"),
-        percent(F.col("heavy"), count, 1).alias("heavy_pct"),
-        ratio(F.col("minutes"), F.col("timed_rows"), 1).alias("avg_online_min"),
-        percent(F.col("paying"), count, 1).alias("paying_pct"),
+        percent("minors", "record_count", 1).alias("minor_pct"),
+        percent("nights", "record_count", 1).alias("night_pct"),
+        percent("minor_nights", "minors", 1).alias("minor_night_pct"),
+        percent("heavy", "record_count", 1).alias("heavy_pct"),
+        ratio("minutes", "timed_rows", 1).alias("avg_online_min"),
+        percent("paying", "record_count", 1).alias("paying_pct"),
         "total_recharge",
     )
 
 
 def _average(name: str, digits: int) -> Column:
-    return ratio(F.sum(name), F.count(name), digits)
+    return ratio(f"sum({name})", f"count({name})", digits)
 
 
 def slice_overview(fact: DataFrame, day: date) -> DataFrame:
@@ -184,8 +169,8 @@ def slice_overview(fact: DataFrame, day: date) -> DataFrame:
 def sync_check(fact: DataFrame, day: date) -> DataFrame:
     found = rollup_players(
         on_day(fact, day), [],
-        synced_rows=rows(), synced_players=players(), minor_count=total(F.col("is_minor")),
-        at_risk_count=rows(at_risk()),
+        synced_rows=rows(), synced_players=players(), minor_count=total("is_minor"),
+        at_risk_count=rows(AT_RISK),
     )
     return found.withColumn("sync_date", F.lit(day_key(day)))
 
@@ -193,25 +178,25 @@ def sync_check(fact: DataFrame, day: date) -> DataFrame:
 def risk_summary(fact: DataFrame, day: date) -> DataFrame:
     found = rollup_players(
         on_day(fact, day), ["risk_label"],
-        record_count=rows(), player_count=players(), avg_online_min=mean(F.col(MINUTES), 0),
-        total_recharge=total(_money()),
+        record_count=rows(), player_count=players(), avg_online_min=mean(MINUTES, 0),
+        total_recharge=total("recharge_amount"),
     )
     return found.withColumn(
-        "risk_desc", classes.risk_text(F.col("risk_label"), "summary")
+        "risk_desc", classes.risk_text("risk_label", "summary")
     ).orderBy("risk_label")
 
 
 def daily_overview(fact: DataFrame) -> DataFrame:
     return rollup_players(
         fact, ["dt"],
-        total_rows=rows(), players=players(), minors=players(minor()), at_risk=players(at_risk()),
+        total_rows=rows(), players=players(), minors=players(MINOR), at_risk=players(AT_RISK),
     ).orderBy("dt")
 
 
 def label_distribution(fact: DataFrame) -> DataFrame:
     counted = fact.groupBy("risk_label").agg(F.count(F.lit(1)).alias("cnt"))
     return counted.withColumn(
-        "label", classes.risk_text(F.col("risk_label"), "distribution")
+        "label", classes.risk_text("risk_label", "distribution")
     ).orderBy("risk_label")
 
 
@@ -224,30 +209,30 @@ def recent_volume(fact: DataFrame, today: date, days: int = 7) -> DataFrame:
 def daily_report(fact: DataFrame, day: date) -> DataFrame:
     return rollup_players(
         on_day(fact, day), [],
-        record_count=rows(), active_players=players(), minor_players=players(minor()),
-        at_risk_players=players(at_risk()), severe_players=players(label_is(V.SEVERE)),
-        total_recharge=total(_money()), avg_online_min=mean(F.col(MINUTES), 0),
+        record_count=rows(), active_players=players(), minor_players=players(MINOR),
+        at_risk_players=players(AT_RISK), severe_players=players(label_is(V.SEVERE)),
+        total_recharge=total("recharge_amount"), avg_online_min=mean(MINUTES, 0),
     )
 
 
 def load_summary(fact: DataFrame, day: date) -> DataFrame:
     """Counters of one load: accounts, labels, length histogram, payments."""
-    bucket = classes.histogram_class(F.col(MINUTES))
+    bucket = classes.histogram_class(MINUTES)
     is_minor = rules.is_minor(F.col("account_type"))
+    paid = F.col("recharge_amount") > 0
     found = on_day(fact, day).agg(
         F.count(F.lit(1)).alias("total_records"),
         F.count_if(is_minor == 1).alias("minor_records"),
         F.count_if(is_minor == 0).alias("adult_records"),
-        *[F.count_if(label_is(label)).alias(f"risk_{label}") for label in LABELS],
+        *[F.expr(f"count_if({label_is(label)}) AS risk_{label}") for label in LABELS],
         *[F.count_if(bucket == bound).alias(f"upto_{bound}_min") for bound in V.HISTOGRAM_BOUNDS],
-        F.count_if(_money() > 0).alias("paying_records"),
-        F.coalesce(F.sum(F.when(_money() > 0, _money())), F.lit(0)).alias("total_recharge"),
+        F.count_if(paid).alias("paying_records"),
+        F.coalesce(F.sum(F.when(paid, F.col("recharge_amount"))), F.lit(0)).alias("total_recharge"),
     )
-    count = F.col("total_records")
     return found.withColumns({
-        "minor_pct": percent(F.col("minor_records"), count, 1),
-        "adult_pct": percent(F.col("adult_records"), count, 1),
-        "paying_pct": percent(F.col("paying_records"), count, 1),
+        "minor_pct": percent("minor_records", "total_records", 1),
+        "adult_pct": percent("adult_records", "total_records", 1),
+        "paying_pct": percent("paying_records", "total_records", 1),
     })
 
 
@@ -262,12 +247,11 @@ def raw_log_summary(raw: DataFrame) -> DataFrame:
         F.count_if(is_night).alias("night_rows"),
         F.count_if(is_minor & is_night).alias("minor_night_rows"),
     )
-    count = F.col("total_rows")
     return found.withColumns({
-        "adult_pct": percent(F.col("adult_rows"), count, 1),
-        "minor_pct": percent(F.col("minor_rows"), count, 1),
-        "night_pct": percent(F.col("night_rows"), count, 1),
-        "minor_night_pct": percent(F.col("minor_night_rows"), F.col("minor_rows"), 1),
+        "adult_pct": percent("adult_rows", "total_rows", 1),
+        "minor_pct": percent("minor_rows", "total_rows", 1),
+        "night_pct": percent("night_rows", "total_rows", 1),
+        "minor_night_pct": percent("minor_night_rows", "minor_rows", 1),
     })
 
 

@@ -7,45 +7,33 @@ from pyspark.sql import functions as F
 
 from curfew.functions import classes
 from curfew.functions import fixed_values as V
+from curfew.functions.conditions import AT_RISK, CURFEW_BREACH, MINOR, label_is
 from curfew.functions.days import day_bits, day_count, merged_day_bits
 from curfew.functions.measures import lowest, mean, players, rollup_players, rows, total
-from curfew.functions.numbers import percent, ratio
+from curfew.functions.numbers import hours, percent, ratio
 from curfew.sources.warehouse import last_days, of_player, on_day
 
 MINUTES = "online_duration_min"
 
 
-def label_is(value: int):
-    return F.col("risk_label") == value
-
-
-def at_risk():
-    return F.col("risk_label") > 0
-
-
-def minor():
-    return F.col("is_minor") == 1
-
-
 def share_of_total(grouped: DataFrame, value: str, digits: int, name: str = "pct") -> DataFrame:
     """Share of each row in the sum over all rows.
 
     For grouped results of a fixed number of classes: the window has one
     partition, which holds those few rows.
     """
-    whole = F.sum(value).over(Window.partitionBy())
-    return grouped.withColumn(name, percent(F.col(value), whole, digits))
+    return grouped.withColumn(name, percent(value, f"sum({value}) OVER ()", digits))
 
 
 def kpi_today(fact: DataFrame, day: date) -> DataFrame:
     return rollup_players(
         on_day(fact, day), [],
         total_active=players(),
-        minor_active=players(minor()),
-        at_risk_count=players(at_risk()),
+        minor_active=players(MINOR),
+        at_risk_count=players(AT_RISK),
         severe_count=players(label_is(V.SEVERE)),
-        total_recharge=total(F.col("recharge_amount")),
-        avg_online_min=mean(F.col(MINUTES), 0),
+        total_recharge=total("recharge_amount"),
+        avg_online_min=mean(MINUTES, 0),
     )
 
 
@@ -55,10 +43,10 @@ def duration_dist(fact: DataFrame, day: date) -> DataFrame:
 
 def duration_dist_with_order(fact: DataFrame, day: date) -> DataFrame:
     """With the shortest session of each class, by which the classes are ordered."""
-    classed = on_day(fact, day).withColumn("duration_range", classes.dashboard_class(F.col(MINUTES)))
+    classed = on_day(fact, day).withColumn("duration_range", classes.dashboard_class(MINUTES))
     grouped = rollup_players(
         classed, ["duration_range"],
-        player_count=players(), record_count=rows(), shortest=lowest(F.col(MINUTES)),
+        player_count=players(), record_count=rows(), shortest=lowest(MINUTES),
     )
     return share_of_total(grouped, "player_count", 1)
 
@@ -70,14 +58,14 @@ def risk_trend(fact: DataFrame, day: date, days: int = 7) -> DataFrame:
         level1_count=players(label_is(V.OVERTIME)),
         level2_count=players(label_is(V.CURFEW)),
         level3_count=players(label_is(V.SEVERE)),
-        risky=players(at_risk()),
-        minors=players(minor()),
-        risky_minors=players(at_risk() & minor()),
+        risky=players(AT_RISK),
+        minors=players(MINOR),
+        risky_minors=players(f"{AT_RISK} AND {MINOR}"),
     )
     return grouped.select(
         F.col("dt").alias("stat_date"), "dau", "level1_count", "level2_count", "level3_count",
-        percent(F.col("risky"), F.col("dau"), 1).alias("risk_rate_pct"),
-        percent(F.col("risky_minors"), F.col("minors"), 1).alias("minor_risk_rate_pct"),
+        percent("risky", "dau", 1).alias("risk_rate_pct"),
+        percent("risky_minors", "minors", 1).alias("minor_risk_rate_pct"),
     ).orderBy("stat_date")
 
 
@@ -86,7 +74,7 @@ def payment_analysis(fact: DataFrame, day: date) -> DataFrame:
 
 
 def payment_analysis_with_order(fact: DataFrame, day: date) -> DataFrame:
-    amount = F.col("recharge_amount")
+    amount = "recharge_amount"
     classed = on_day(fact, day).withColumn("recharge_range", classes.recharge_class(amount))
     return rollup_players(
         classed, ["account_type", "recharge_range"],
@@ -98,13 +86,13 @@ def payment_analysis_with_order(fact: DataFrame, day: date) -> DataFrame:
 def period_stats(fact: DataFrame, day: date) -> DataFrame:
     grouped = rollup_players(
         on_day(fact, day), ["login_hour"],
-        adult_active=players(F.col("account_type") == V.ADULT),
-        minor_active=players(F.col("account_type") == V.MINOR),
+        adult_active=players(f"account_type = '{V.ADULT}'"),
+        minor_active=players(f"account_type = '{V.MINOR}'"),
         total_active=players(),
     )
     return grouped.select(
         F.col("login_hour").alias("hour_of_day"), "adult_active", "minor_active", "total_active",
-        classes.night_flag(F.col("login_hour")).alias("night_flag"),
+        classes.night_flag("login_hour").alias("night_flag"),
     ).orderBy("hour_of_day")
 
 
@@ -115,13 +103,13 @@ def player_risk_totals(fact: DataFrame, day: date, days: int = 7) -> DataFrame:
     days as bits, so neither count needs a distinct.
     """
     start = date.fromordinal(day.toordinal() - days + 1)
-    risky = last_days(fact, day, days).filter(minor() & at_risk())
+    risky = last_days(fact, day, days).filter(f"{MINOR} AND {AT_RISK}")
     by_game = risky.groupBy("player_id", "game_id").agg(
         F.sum(MINUTES).alias("minutes"),
         F.count(MINUTES).alias("timed_rows"),
         F.sum("recharge_amount").alias("recharge"),
         F.max("risk_label").alias("label"),
-        *day_bits(F.col("dt"), start, day, "days"),
+        *day_bits("dt", start, day, "days"),
     )
     by_player = by_game.groupBy("player_id").agg(
         F.sum("minutes").alias("minutes"),
@@ -134,8 +122,8 @@ def player_risk_totals(fact: DataFrame, day: date, days: int = 7) -> DataFrame:
     return by_player.select(
         "player_id",
         day_count(start, day, "days").alias("active_days"),
-        F.round((F.col("minutes") / 60).cast("decimal(18,6)"), 1).alias("total_hours"),
-        ratio(F.col("minutes"), F.col("timed_rows"), 0).alias("avg_daily_min"),
+        hours("minutes").alias("total_hours"),
+        ratio("minutes", "timed_rows", 0).alias("avg_daily_min"),
         "total_recharge", "max_risk_level", "game_count",
     )
 
@@ -170,8 +158,8 @@ def ranking_table(fact: DataFrame, day: date, days: int = 7, n: int = 10) -> Dat
     """The ranking as displayed: position, badge, whole amounts."""
     return rank_index(player_risk_totals(fact, day, days), ranking_order(), n).select(
         "rank_index", "player_id", "active_days", "total_hours", "avg_daily_min",
-        classes.amount_text(F.col("total_recharge")).alias("recharge_text"),
-        classes.risk_badge(F.col("max_risk_level")).alias("risk_badge"),
+        classes.amount_text("total_recharge").alias("recharge_text"),
+        classes.risk_badge("max_risk_level").alias("risk_badge"),
     )
 
 
@@ -180,7 +168,7 @@ def _online_min():
 
 
 def violation_rows(fact: DataFrame, day: date, days: int = 2) -> DataFrame:
-    return last_days(fact, day, days).filter(at_risk())
+    return last_days(fact, day, days).filter(AT_RISK)
 
 
 def severity_order() -> list:
@@ -192,7 +180,7 @@ def violation_columns(rows: DataFrame, *others: str) -> DataFrame:
         *others,
         F.col("dt").alias("stat_date"), "player_id", "game_id", "login_time", "logout_time",
         _online_min(), "login_ip", "device_type", "game_region",
-        classes.risk_text(F.col("risk_label"), "violation").alias("risk_type"),
+        classes.risk_text("risk_label", "violation").alias("risk_type"),
         "recharge_amount", "match_count",
     )
 
@@ -209,7 +197,7 @@ def _session_columns(vocabulary: str):
     return [
         "dt", "player_id", "login_time", "logout_time", _online_min(), "login_hour", "device_type",
         "game_region", "game_id", "recharge_amount",
-        classes.risk_text(F.col("risk_label"), vocabulary).alias("risk_desc"),
+        classes.risk_text("risk_label", vocabulary).alias("risk_desc"),
     ]
 
 
@@ -218,8 +206,7 @@ def _newest_longest():
 
 
 def minor_night_detail(fact: DataFrame, day: date, days: int = 7) -> DataFrame:
-    curfew = minor() & F.col("risk_label").isin(V.CURFEW, V.SEVERE)
-    return last_days(fact, day, days).filter(curfew).orderBy(*_newest_longest()).select(
+    return last_days(fact, day, days).filter(CURFEW_BREACH).orderBy(*_newest_longest()).select(
         *_session_columns("minor_night")
     )
 

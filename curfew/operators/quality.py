@@ -5,6 +5,7 @@ and the check for repeated sessions are passes of their own, made only when
 asked for.
 """
 
+import re
 from collections.abc import Iterable
 from datetime import date
 from functools import reduce
@@ -14,9 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curfew.functions import fixed_values as V
-from curfew.functions import rules
+from curfew.functions.conditions import AT_RISK, MINOR
 from curfew.functions.measures import Measure, players, rollup_players, rows, total
-from curfew.operators.dashboard import MINUTES, at_risk, label_is, minor
 from curfew.sources.warehouse import on_day
 
 PASS, WARN, FAIL, INFO = "PASS", "WARN", "FAIL", "INFO"
@@ -31,41 +31,46 @@ class Check(NamedTuple):
     found: dict[str, str]
 
 
-def _measures() -> dict[str, Measure]:
-    """What the checks of a day are made of, by name."""
-    label, seconds = F.col("risk_label"), F.col("online_duration")
-    amount, hour, account = F.col("recharge_amount"), F.col("login_hour"), F.col("account_type")
-    player = F.col("player_id")
-    return {
-        "all_rows": rows(),
-        "players": players(),
-        "no_player": rows(player.isNull() | (player == "")),
-        "bad_label": rows(~label.isin(0, 1, 2, 3)),
-        "labelled": rows(label.isin(0, 1, 2, 3)),
-        "bad_account": rows(~account.isin(V.MINOR, V.ADULT)),
-        "negative_seconds": rows(seconds < 0),
-        "negative_amount": rows(amount < 0),
-        "zero_seconds": rows(seconds == 0),
-        "no_seconds": rows(seconds <= 0),
-        "longest": rows(seconds == V.MAX_SESSION_SECONDS),
-        "hour_0": rows(hour == 0),
-        "hour_23": rows(hour == 23),
-        "small_amount": rows((amount > 0) & (amount <= SMALL_AMOUNT)),
-        "over_limit": rows(seconds > V.MAX_SESSION_SECONDS),
-        "minor_mismatch": rows(
-            ((account == V.MINOR) & (F.col("is_minor") == 0)) | ((account == V.ADULT) & (F.col("is_minor") == 1))
-        ),
-        "night_mismatch": rows(minor() & label_is(V.CURFEW) & ~rules.is_curfew_hour(hour)),
-        "reserved_ip": rows(F.col("login_ip").rlike(V.RESERVED_IP_IN_FACT)),
-        "amount_sum": total(amount),
-        "no_label": rows(label.isNull()),
-        "no_minor_flag": rows(F.col("is_minor").isNull()),
-        "no_minutes": rows(F.col(MINUTES).isNull()),
-        "huge_amount": rows(amount > HUGE_AMOUNT),
-        "risk_players": players(at_risk()),
-        "minor_players": players(minor()),
-        **{f"device_{name}": rows(F.col("device_type") == name) for name in EXPECTED_DEVICES},
-    }
+# Rows that meet a condition, by the name the checks use.
+ROW_CONDITIONS = {
+    "all_rows": "true",
+    "no_player": "player_id IS NULL OR player_id = ''",
+    "bad_label": "risk_label NOT IN (0, 1, 2, 3)",
+    "labelled": "risk_label IN (0, 1, 2, 3)",
+    "bad_account": f"account_type NOT IN ('{V.MINOR}', '{V.ADULT}')",
+    "negative_seconds": "online_duration < 0",
+    "negative_amount": "recharge_amount < 0",
+    "zero_seconds": "online_duration = 0",
+    "no_seconds": "online_duration <= 0",
+    "longest": f"online_duration = {V.MAX_SESSION_SECONDS}",
+    "hour_0": "login_hour = 0",
+    "hour_23": "login_hour = 23",
+    "small_amount": f"recharge_amount > 0 AND recharge_amount <= {SMALL_AMOUNT}",
+    "over_limit": f"online_duration > {V.MAX_SESSION_SECONDS}",
+    "minor_mismatch":
+        f"(account_type = '{V.MINOR}' AND is_minor = 0) OR (account_type = '{V.ADULT}' AND is_minor = 1)",
+    "night_mismatch":
+        f"is_minor = 1 AND risk_label = {V.CURFEW} "
+        f"AND NOT (login_hour >= {V.NIGHT_FROM_HOUR} OR login_hour < {V.NIGHT_UNTIL_HOUR})",
+    "reserved_ip": f"login_ip RLIKE r'{V.RESERVED_IP_IN_FACT}'",
+    "no_label": "risk_label IS NULL",
+    "no_minor_flag": "is_minor IS NULL",
+    "no_minutes": "online_duration_min IS NULL",
+    "huge_amount": f"recharge_amount > {HUGE_AMOUNT}",
+    **{f"device_{name}": f"device_type = '{name}'" for name in EXPECTED_DEVICES},
+}
+# Players with a row that meets a condition.
+PLAYER_CONDITIONS = {"players": "true", "risk_players": AT_RISK, "minor_players": MINOR}
+
+
+def _measures(checks: list["Check"]) -> dict[str, Measure]:
+    """The counts that the given checks name, and no others."""
+    named = set(re.findall(r"\w+", " ".join(text for check in checks for text in check.found.values())))
+    measures = {name: rows(text) for name, text in ROW_CONDITIONS.items() if name in named}
+    measures.update({name: players(text) for name, text in PLAYER_CONDITIONS.items() if name in named})
+    if "amount_sum" in named:
+        measures["amount_sum"] = total("recharge_amount")
+    return measures
 
 
 def _none_of(device: str) -> str:
@@ -154,7 +159,7 @@ def dq_report(fact: DataFrame, day: date, today: date, wanted: Iterable[str] | N
     parts = []
     of_day = {name: check for name, check in DAY_CHECKS.items() if name in wanted}
     if of_day:
-        one_row = rollup_players(on_day(fact, day), [], **_measures())
+        one_row = rollup_players(on_day(fact, day), [], **_measures(list(of_day.values())))
         parts.append(_as_rows(one_row, list(of_day.values())))
     of_table = [name for name in ["future_dt", "min_volume"] if name in wanted]
     if of_table:

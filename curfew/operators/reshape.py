@@ -163,8 +163,8 @@ def display_fields(fact: DataFrame) -> DataFrame:
     """Display forms of a session: clock, axis label, badge, whole amount."""
     return fact.select(
         "player_id", "login_time",
-        classes.clock_text(F.col("login_time")).alias("clock"),
-        classes.hour_axis(F.col("login_hour")).alias("hour_label"),
-        classes.risk_badge(F.col("risk_label")).alias("badge"),
-        classes.amount_text(F.col("recharge_amount")).alias("amount"),
+        classes.clock_text("login_time").alias("clock"),
+        classes.hour_axis("login_hour").alias("hour_label"),
+        classes.risk_badge("risk_label").alias("badge"),
+        classes.amount_text("recharge_amount").alias("amount"),
     )

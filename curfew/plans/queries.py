@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from curfew import schema
 from curfew.functions import classes, rules, sql_functions
 from curfew.functions import fixed_values as V
+from curfew.functions.conditions import AT_RISK, MINOR, PAYING
 from curfew.operators import analysis, cleaning, daily, dashboard, quality, reshape, standardize
 from curfew.plans import daily_job
 from curfew.session import shared_folder
@@ -229,7 +230,7 @@ def publish_serving_bulk(spark, folder):
 def replace_day(spark, folder):
     """All days written, then the newest replaced by the sessions of its minors."""
     root, day = fact_folder(spark, folder), report_day(spark, folder)
-    minors = warehouse.on_day(fact(spark, folder), day).filter(dashboard.minor())
+    minors = warehouse.on_day(fact(spark, folder), day).filter(MINOR)
     tables.replace_day(minors, root, day)
     return fact_columns(warehouse.scan(spark, root))
 
@@ -286,7 +287,7 @@ QUERIES["clean_all"] = of_raw(cleaning.clean)
 QUERIES["clean_funnel"] = of_raw(cleaning.clean_funnel)
 QUERIES["clean_sql_path"] = of_raw(cleaning.clean_sql_path)
 QUERIES["minor_risk_filter"] = of_fact(
-    lambda f: f.filter(dashboard.minor() & dashboard.at_risk()).select(
+    lambda f: f.filter(f"{MINOR} AND {AT_RISK}").select(
         *session_key("risk_label"), F.col("risk_label").isin(V.CURFEW, V.SEVERE).alias("is_curfew")
     )
 )
@@ -345,29 +346,29 @@ QUERIES["login_period"] = of_fact(lambda f: f.select(
 ))
 QUERIES["risk_text"] = of_fact(lambda f: f.select(
     *session_key("risk_label"),
-    *[classes.risk_text(F.col("risk_label"), name).alias(f"{name}_text") for name in V.RISK_WORDING],
+    *[classes.risk_text("risk_label", name).alias(f"{name}_text") for name in V.RISK_WORDING],
 ))
 QUERIES["yes_no"] = of_fact(lambda f: f.select(
     *session_key(),
-    classes.yes_no(F.col("is_paying_player")).alias("is_paying"),
-    classes.yes_no(F.col("is_minor")).alias("is_minor"),
+    classes.yes_no(PAYING).alias("is_paying"),
+    classes.yes_no(MINOR).alias("is_minor"),
 ))
 QUERIES["duration_text"] = of_fact(lambda f: f.select(
-    *session_key("online_duration_min"), classes.duration_text(F.col("online_duration_min")).alias("duration_text")))
+    *session_key("online_duration_min"), classes.duration_text("online_duration_min").alias("duration_text")))
 QUERIES["bucket_5"] = of_fact(lambda f: f.select(
-    *session_key("online_duration"), classes.record_class(F.col("online_duration")).alias("bucket")))
+    *session_key("online_duration"), classes.record_class("online_duration").alias("bucket")))
 QUERIES["bucket_6"] = of_fact(lambda f: f.select(
-    *session_key("online_duration_min"), classes.dashboard_class(F.col("online_duration_min")).alias("bucket")))
+    *session_key("online_duration_min"), classes.dashboard_class("online_duration_min").alias("bucket")))
 QUERIES["bucket_7"] = of_fact(lambda f: f.select(
-    *session_key("online_duration_min"), classes.minor_class(F.col("online_duration_min")).alias("bucket")))
+    *session_key("online_duration_min"), classes.minor_class("online_duration_min").alias("bucket")))
 QUERIES["bucket_hist"] = of_fact(lambda f: f.select(
-    *session_key("online_duration_min"), classes.histogram_class(F.col("online_duration_min")).alias("bucket")))
+    *session_key("online_duration_min"), classes.histogram_class("online_duration_min").alias("bucket")))
 QUERIES["recharge_bucket"] = of_fact(lambda f: f.select(
-    *session_key("recharge_amount"), classes.recharge_class(F.col("recharge_amount")).alias("bucket")))
+    *session_key("recharge_amount"), classes.recharge_class("recharge_amount").alias("bucket")))
 QUERIES["night_flag"] = of_fact(lambda f: f.select(
-    *session_key("login_hour"), classes.night_flag(F.col("login_hour")).alias("night_flag")))
+    *session_key("login_hour"), classes.night_flag("login_hour").alias("night_flag")))
 QUERIES["intervention_tier"] = of_range(lambda f, a, b: analysis.severe_islands(f, a, 1).withColumn(
-    "tier", classes.intervention_tier(F.col("consecutive_days"))))
+    "tier", classes.intervention_tier("consecutive_days")))
 QUERIES["display_fields"] = of_fact(reshape.display_fields)
 
 
@@ -389,7 +390,7 @@ def compute_risk_label(spark, folder):
 QUERIES["streak_join"] = of_range(
     lambda f, a, b: analysis.streak_join(analysis.severe_islands(f, a), f))
 QUERIES["hour_fill"] = of_day(lambda f, d: reshape.hour_fill(
-    dashboard.period_stats(f.filter(dashboard.at_risk()), d)))
+    dashboard.period_stats(f.filter(AT_RISK), d)))
 QUERIES["payment_grid"] = of_day(
     lambda f, d: reshape.payment_grid(f.sparkSession, dashboard.payment_analysis(f, d)))
 QUERIES["missing_dates"] = of_day(lambda f, d: reshape.missing_dates(f, d + timedelta(days=5)))
@@ -482,7 +483,7 @@ QUERIES["order_by_bucket_min"] = of_day(lambda f, d: dashboard.rank_index(
     dashboard.duration_dist_with_order(f, d), [F.col("shortest")], 6))
 QUERIES["custom_order"] = of_day(lambda f, d: dashboard.rank_index(
     warehouse.on_day(f, d).groupBy("login_period").agg(F.count(F.lit(1)).alias("record_count")),
-    [analysis.custom_order(F.col("login_period"), [V.DAYTIME, V.EVENING, V.NIGHT])], 3))
+    [classes.custom_order("login_period", [V.DAYTIME, V.EVENING, V.NIGHT])], 3))
 QUERIES["order_by_ordinal"] = of_day(lambda f, d: dashboard.rank_index(
     analysis.minor_duration_dist(f, d), [F.col("duration_range")], 7))
 

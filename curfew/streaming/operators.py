@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 from curfew import schema
 from curfew.functions import fixed_values as V
 from curfew.functions import rules
+from curfew.functions.conditions import AT_RISK, LABELS, label_is
 from curfew.operators import cleaning, standardize
-from curfew.operators.daily import LABELS
-from curfew.operators.dashboard import at_risk, label_is
 
 
 def stream_facts(raw: DataFrame) -> DataFrame:
@@ -63,10 +62,10 @@ def stream_active_30m(
 def stream_daily_risk(facts: DataFrame, lateness: str = "1 day") -> DataFrame:
     """Distinct players per day and label, exact; emitted when the lateness has passed."""
     def seen(condition, name):
-        return F.max(rules.flag(condition)).alias(name)
+        return F.expr(f"max(if({condition}, 1, 0)) AS {name}")
 
     flags = [seen(label_is(label), f"label_{label}") for label in LABELS]
-    per_player = _windows(facts, "1 day", "1 day", lateness, *flags, seen(at_risk(), "at_risk"))
+    per_player = _windows(facts, "1 day", "1 day", lateness, *flags, seen(AT_RISK, "at_risk"))
     known = F.col("player_id").isNotNull()
 
     def count(name, alias):
