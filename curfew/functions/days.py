@@ -20,8 +20,10 @@ def day_bits(day: str, start: date, end: date, name: str, where: str = "true") -
     """Aggregates holding the set of days within start..end, one per word."""
     found = []
     for word in _words(start, end):
-        place = f"datediff({day}, DATE '{start:%Y-%m-%d}') - {word * DAYS_PER_WORD}"
-        inside = f"{place} BETWEEN 0 AND {DAYS_PER_WORD - 1} AND ({where})"
+        first = word * DAYS_PER_WORD
+        last = min(DAYS_PER_WORD - 1, (end - start).days - first)
+        place = f"datediff({day}, DATE '{start:%Y-%m-%d}') - {first}"
+        inside = f"{place} BETWEEN 0 AND {last} AND ({where})"
         found.append(F.expr(f"bit_or(if({inside}, shiftleft(1L, {place}), 0L)) AS {name}__{word}"))
     return found
 

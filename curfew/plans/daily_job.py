@@ -43,18 +43,18 @@ def day_facts(spark: SparkSession, layers: Layers, day: date, lateness_days: int
         scanned = raw_source.ods_scan_day(spark, layers.raw, day)
     else:
         scanned = raw_source.ods_scan_days(spark, layers.raw, day, day + timedelta(days=lateness_days))
-        scanned = scanned.filter(F.to_date(F.substring("login_time", 1, 10).try_cast("date")) == F.lit(day))
+        scanned = scanned.filter(F.substring("login_time", 1, 10).try_cast("date") == F.lit(day))
     stamped = raw_source.with_provenance(scanned).drop("dt")
     return standardize.to_facts(cleaning.clean(stamped), None if lateness_days is not None else day)
 
 
 def run(spark: SparkSession, layers: Layers, day: date, lateness_days: int | None = None) -> bool:
-    """False, and nothing written, when there is no raw row for the day."""
-    if raw_source.ods_scan_day(spark, layers.raw, day).isEmpty():
+    """False, and nothing written, when there is no raw row to read."""
+    if raw_source.ods_scan_days(spark, layers.raw, day, day + timedelta(days=lateness_days or 0)).isEmpty():
         return False
-    tables.write_dwd(day_facts(spark, layers, day, lateness_days), layers.facts)
-    written = warehouse.scan(spark, layers.facts)
-    tables.write_daily_stats(daily.daily_stats(written, day), layers.stats)
+    tables.write_dwd(day_facts(spark, layers, day, lateness_days), layers.facts, day)
+    written = warehouse.scan_day(spark, layers.facts, day)
+    tables.write_daily_stats(daily.daily_stats(written, day), layers.stats, day)
     return True
 
 

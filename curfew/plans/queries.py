@@ -190,7 +190,8 @@ def provenance(spark, folder):
 @query
 def write_dwd(spark, folder):
     root = fact_folder(spark, folder)
-    tables.write_dwd(warehouse.on_day(fact(spark, folder), report_day(spark, folder)), root)
+    day = report_day(spark, folder)
+    tables.write_dwd(warehouse.on_day(fact(spark, folder), day), root, day)
     return fact_columns(warehouse.scan(spark, root))
 
 
@@ -198,7 +199,7 @@ def write_dwd(spark, folder):
 def write_daily_stats(spark, folder):
     root, last = f"{shared_folder(spark)}/stats", report_day(spark, folder)
     for day in [last - timedelta(days=1), last, last]:
-        tables.write_daily_stats(daily.daily_stats(fact(spark, folder), day), root)
+        tables.write_daily_stats(daily.daily_stats(fact(spark, folder), day), root, day)
     layout = schema.ddl([*schema.DAILY_STATS_DDL, ("dt", "date")])
     return plain(spark.read.schema(layout).orc(root).drop("etl_time"))
 

@@ -3,7 +3,7 @@
 from collections.abc import Iterable
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from curfew import schema
@@ -18,33 +18,54 @@ def compact_output(fact: DataFrame) -> DataFrame:
     return fact.hint("rebalance", "dt")
 
 
+def _orc(rows: DataFrame) -> DataFrameWriter:
+    writer = rows.write.mode("overwrite").format("orc")
+    if "player_id" in rows.columns:
+        writer = writer.option("orc.bloom.filter.columns", BLOOM_COLUMNS)
+    return writer
+
+
 def write_days(rows: DataFrame, root: str, compact: bool = True) -> None:
-    """Replace exactly the days that occur in ``rows``."""
+    """Replace exactly the days that occur in ``rows``.
+
+    New files are put in place when the job commits, so a task that is lost or
+    run twice leaves nothing behind. Rows that come out of a shuffle by size
+    already can do without ``compact``.
+    """
     if compact:
         rows = compact_output(rows)
-    if "player_id" in rows.columns and "login_time" in rows.columns:
+    if "player_id" in rows.columns:
         rows = rows.sortWithinPartitions("dt", "player_id", "login_time")
-    writer = rows.write.mode("overwrite").partitionBy("dt").option("partitionOverwriteMode", "dynamic")
-    writer.option("orc.bloom.filter.columns", BLOOM_COLUMNS).orc(root)
+    _orc(rows).partitionBy("dt").option("partitionOverwriteMode", "dynamic").save(root)
+
+
+def write_day(rows: DataFrame, root: str, day: date, compact: bool = False) -> None:
+    """Replace one day by ``rows``, also by none; rows of other days are refused."""
+    other = F.concat(F.lit("row outside of the replaced day: "), F.col("dt").cast("string"))
+    refused = F.raise_error(other).cast("date")
+    checked = rows.withColumn("dt", F.when(F.col("dt") == F.lit(day), F.col("dt")).otherwise(refused))
+    written = Observation()
+    write_days(checked.observe(written, F.count(F.lit(1)).alias("n")), root, compact)
+    if written.get["n"] == 0:
+        _orc(rows.limit(0).drop("dt")).save(f"{root}/dt={day:%Y-%m-%d}")
 
 
-def write_dwd(fact: DataFrame, root: str, compact: bool = True) -> None:
-    write_days(fact, root, compact)
+def write_dwd(fact: DataFrame, root: str, day: date | None = None) -> None:
+    """One day of the fact, or all days that occur in it."""
+    if day is None:
+        write_days(fact, root)
+    else:
+        write_day(fact, root, day)
 
 
-def write_daily_stats(stats: DataFrame, root: str) -> None:
+def write_daily_stats(stats: DataFrame, root: str, day: date) -> None:
     stamped = stats.withColumn("etl_time", F.current_timestamp())
-    stamped.select(*schema.DAILY_STATS_COLUMNS, "dt").write.mode("overwrite").partitionBy("dt").option(
-        "partitionOverwriteMode", "dynamic"
-    ).orc(root)
+    write_day(stamped.select(*schema.DAILY_STATS_COLUMNS, "dt"), root, day)
 
 
 def replace_day(rows: DataFrame, root: str, day: date) -> None:
-    """The day's rows become ``rows``; rows of other days are refused."""
-    checked = rows.withColumn("dt", F.when(F.col("dt") == F.lit(day), F.col("dt")).otherwise(
-        F.raise_error(F.concat(F.lit("row outside of the replaced day: "), F.col("dt").cast("string"))).cast("date")
-    ))
-    write_days(checked, root)
+    """What a deletion of the day's rows followed by a load comes to, in one step."""
+    write_day(rows, root, day, compact=True)
 
 
 def to_serving(fact: DataFrame) -> DataFrame:
@@ -55,7 +76,7 @@ def to_serving(fact: DataFrame) -> DataFrame:
 
 
 def publish_serving(fact: DataFrame, root: str, day: date) -> None:
-    write_days(to_serving(on_day(fact, day)), root)
+    write_day(to_serving(on_day(fact, day)), root, day)
 
 
 def publish_serving_bulk(fact: DataFrame, root: str, days: Iterable[date]) -> None:

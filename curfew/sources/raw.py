@@ -1,7 +1,8 @@
 """Raw session logs: bar-separated text in one directory per day."""
 
-from datetime import date
+from datetime import date, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,18 +19,30 @@ def day_key(day: date) -> str:
     return day.strftime("%Y%m%d")
 
 
-def ods_scan(spark: SparkSession, root: str) -> DataFrame:
-    """All days under ``root``; a filter on ``dt`` prunes directories."""
-    layout = T.StructType([*schema.RAW.fields, T.StructField("dt", T.StringType())])
-    return spark.read.schema(layout).options(**TEXT_OPTIONS).csv(root)
+def _layout() -> T.StructType:
+    return T.StructType([*schema.RAW.fields, T.StructField("dt", T.StringType())])
 
 
-def ods_scan_day(spark: SparkSession, root: str, day: date) -> DataFrame:
-    return ods_scan(spark, root).filter(F.col("dt") == day_key(day))
+def ods_scan(spark: SparkSession, root: str, days: str = "*") -> DataFrame:
+    """Days under ``root`` whose key matches a glob; only their files are listed."""
+    reader = spark.read.schema(_layout()).options(**TEXT_OPTIONS).option("basePath", root)
+    return reader.csv(f"{root}/dt={days}")
 
 
 def ods_scan_days(spark: SparkSession, root: str, first: date, last: date) -> DataFrame:
-    return ods_scan(spark, root).filter(F.col("dt").between(day_key(first), day_key(last)))
+    """A closed range of days; days without a directory have no rows."""
+    span = range((last - first).days + 1)
+    keys = [day_key(first + timedelta(days=back)) for back in span]
+    try:
+        return ods_scan(spark, root, f"{{{','.join(keys)}}}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _layout())
+
+
+def ods_scan_day(spark: SparkSession, root: str, day: date) -> DataFrame:
+    return ods_scan_days(spark, root, day, day)
 
 
 def with_provenance(scanned: DataFrame) -> DataFrame:
@@ -79,7 +92,8 @@ def read_marked(spark: SparkSession, path: str) -> DataFrame:
     )
     lines = (
         spark.read.schema(layout).options(**TEXT_OPTIONS)
-        .option("columnNameOfCorruptRecord", REJECTED).csv(path)
+        # a line of the wrong width shows only when all of its fields are parsed
+        .option("columnPruning", "false").option("columnNameOfCorruptRecord", REJECTED).csv(path)
     )
     return lines.withColumn("rejected", rejected_row())
 

@@ -6,7 +6,6 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from curfew import schema
 
@@ -17,6 +16,13 @@ def scan(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(schema.ddl(columns)).orc(root)
 
 
+def scan_day(spark: SparkSession, root: str, day: date) -> DataFrame:
+    """One day of the directory, listing that day's files only."""
+    columns = [*schema.FACT_DDL, *schema.PROVENANCE_DDL, ("dt", "date")]
+    reader = spark.read.schema(schema.ddl(columns)).option("basePath", root)
+    return reader.orc(f"{root}/dt={day:%Y-%m-%d}")
+
+
 def catalog_scan(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
@@ -61,7 +67,3 @@ def newest_partition(spark: SparkSession, table: str) -> date | None:
     """The same from the catalog, without touching a file."""
     names = spark.sql(f"SHOW PARTITIONS {table}").agg(F.max("partition")).first()[0]
     return datetime.strptime(names.split("dt=")[1], "%Y-%m-%d").date() if names else None
-
-
-def declared_fact_schema() -> T.StructType:
-    return T.StructType.fromDDL(schema.ddl([*schema.FACT_DDL, ("dt", "date")]))
