@@ -41,9 +41,8 @@ def ordered(rows, names):
     return sorted((tuple(normal(row[i]) for i in places) for row in rows), key=repr)
 
 
-def compare(spark, connection, query, sql, folder) -> str | None:
-    """What differs between a query and its SQL, None if nothing does."""
-    left = query(spark, folder)
+def compare(left, connection, sql) -> str | None:
+    """What differs between a query's result and its SQL, None if nothing does."""
     right = connection.execute(sql)
     left_types = {name: FAMILY.get(kind, kind) for name, kind in left.dtypes}
     right_types = {column[0]: FAMILY.get(str(column[1]), str(column[1])) for column in right.description}
@@ -87,7 +86,7 @@ def main() -> int:
             continue
         start = time.time()
         try:
-            problem = compare(spark, connection, query, oracles[name], folder)
+            problem = compare(query(spark, folder), connection, oracles[name])
         except Exception as error:
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         bad += problem is not None
