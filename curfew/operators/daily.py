@@ -260,9 +260,26 @@ def short_long_split(fact: DataFrame, day: date, minutes: int = 60) -> DataFrame
     return on_day(fact, day).groupBy(split.alias("split")).agg(F.count(F.lit(1)).alias("record_count"))
 
 
-def player_roster(fact: DataFrame, day: date, idle_days: int = 14) -> DataFrame:
-    """First and last day of every player still active in the last days."""
-    seen = fact.filter(F.col("dt") <= F.lit(day)).groupBy("player_id").agg(
-        F.min("dt").alias("first_seen"), F.max("dt").alias("last_active")
+def _roster(seen: DataFrame, day: date, idle_days: int) -> DataFrame:
+    folded = seen.groupBy("player_id").agg(
+        F.min("first_seen").alias("first_seen"), F.max("last_active").alias("last_active")
     )
-    return seen.filter(F.col("last_active") >= F.date_sub(F.lit(day), idle_days))
+    return folded.filter(F.col("last_active") >= F.date_sub(F.lit(day), idle_days))
+
+
+def _sightings(fact: DataFrame) -> DataFrame:
+    return fact.select("player_id", F.col("dt").alias("first_seen"), F.col("dt").alias("last_active"))
+
+
+def player_roster(fact: DataFrame, day: date, idle_days: int = 14) -> DataFrame:
+    """First and last day of every player still active in the last days, from all history."""
+    return _roster(_sightings(fact.filter(F.col("dt") <= F.lit(day))), day, idle_days)
+
+
+def roster_after_day(roster: DataFrame, fact: DataFrame, day: date, idle_days: int = 14) -> DataFrame:
+    """The roster of the day before brought up to ``day``; reads that day's rows only.
+
+    A player dropped as idle who comes back counts as first seen on return.
+    """
+    today = _sightings(on_day(fact, day))
+    return _roster(roster.select(*today.columns).unionByName(today), day, idle_days)

@@ -52,6 +52,7 @@ def payment_grid(spark: SparkSession, payments: DataFrame) -> DataFrame:
 def missing_dates(fact: DataFrame, today: date, interior: bool = False) -> DataFrame:
     """Days without rows strictly between the newest loaded day and today.
 
+    Takes anything with a ``dt``: the fact, or the list of its partitions.
     ``interior`` also reports the gaps between the oldest and the newest day.
     """
     loaded = fact.select("dt").distinct()

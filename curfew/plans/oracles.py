@@ -706,3 +706,10 @@ SELECT dt, {cd()} AS active_players, {cd(RISK)} AS at_risk_players, {per_label('
 WHERE dt + 1 <= (SELECT max(login_time) FROM beh) - INTERVAL 1 DAY GROUP BY dt"""
 ORACLES["daily_job_facts"] = f"WITH {CLEAN}\nSELECT {FACT_LIST} FROM beh WHERE {since(2)}"
 ORACLES["daily_job_stats"] = f"WITH {CLEAN}\nSELECT {STATS_LIST} FROM beh WHERE {since(2)} GROUP BY dt"
+ORACLES["daily_cycle_sync"] = f"""WITH {CLEAN}
+SELECT dt, count(*) AS rows_a, count(*) AS rows_b, CAST(0 AS BIGINT) AS row_diff FROM beh
+WHERE {since(3)} GROUP BY dt"""
+on_fact("roster_after_day", """SELECT player_id, min(dt) AS first_seen, max(dt) AS last_active
+FROM (SELECT * FROM beh, newest WHERE dt = d OR player_id IN
+  (SELECT player_id FROM beh, newest WHERE dt < d GROUP BY player_id, d HAVING max(dt) >= d - 15))
+GROUP BY player_id HAVING max(dt) >= (SELECT d FROM newest) - 14""")

@@ -12,7 +12,7 @@ from curfew.functions import classes, rules, sql_functions
 from curfew.functions import fixed_values as V
 from curfew.functions.conditions import AT_RISK, MINOR, PAYING
 from curfew.operators import analysis, cleaning, daily, dashboard, quality, reshape, standardize
-from curfew.plans import daily_job
+from curfew.plans import daily_cycle, daily_job
 from curfew.session import shared_folder
 from curfew.sinks import ledger, tables
 from curfew.sources import raw as raw_source
@@ -621,3 +621,19 @@ def daily_job_stats(spark, folder):
     layout = schema.ddl([*schema.DAILY_STATS_DDL, ("dt", "date")])
     stats = spark.read.schema(layout).orc(_job(spark, folder, 2).stats)
     return plain(stats.drop("etl_time"))
+
+
+@query
+def daily_cycle_sync(spark, folder):
+    """A cycle three days back, then one that catches up; rows of both layers per loaded day."""
+    root, last = shared_folder(spark), report_day(spark, folder)
+    layers = daily_job.Layers.under(raw_folder(spark, folder), root)
+    daily_cycle.run_cycle(spark, layers, f"{root}/serving", last - timedelta(days=3))
+    return daily_cycle.run_cycle(spark, layers, f"{root}/serving", last).sync
+
+
+@query
+def roster_after_day(spark, folder):
+    day, rows = report_day(spark, folder), fact(spark, folder)
+    before = daily.player_roster(rows, day - timedelta(days=1))
+    return daily.roster_after_day(before, rows, day)

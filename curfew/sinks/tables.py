@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from curfew import schema
-from curfew.sources.warehouse import on_day, on_days
+from curfew.sources.warehouse import on_day, on_days, partition_days
 
 # Lookups by player and game skip stripes by bloom filter.
 BLOOM_COLUMNS = "player_id,game_id"
@@ -131,10 +131,8 @@ def retention(spark: SparkSession, table: str, day: date, keep_days: int) -> lis
     Works on the catalog's list of days; no data is read.
     """
     limit = day - timedelta(days=keep_days)
-    listed = spark.sql(f"SHOW PARTITIONS {table}").select(
-        F.regexp_extract("partition", "dt=([0-9-]+)", 1).cast("date").alias("dt")
-    )
-    old = sorted(row["dt"] for row in listed.filter(F.col("dt") < F.lit(limit)).collect())
+    listed = partition_days(spark, table).filter(F.col("dt") < F.lit(limit))
+    old = sorted(row["dt"] for row in listed.collect())
     if old:
         specs = ", ".join(f"PARTITION (dt = DATE '{dt:%Y-%m-%d}')" for dt in old)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")

@@ -2,7 +2,7 @@
 every scan lists only the day directories it needs."""
 
 from collections.abc import Iterable
-from datetime import date, datetime
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +16,12 @@ def scan(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(schema.ddl(columns)).orc(root)
 
 
+def scan_serving(spark: SparkSession, root: str) -> DataFrame:
+    """The serving copy, in its narrower types."""
+    columns = [(name, schema.SERVING_TYPES.get(name, kind)) for name, kind in schema.FACT_DDL]
+    return spark.read.schema(schema.ddl([*columns, *schema.PROVENANCE_DDL, ("dt", "date")])).orc(root)
+
+
 def scan_day(spark: SparkSession, root: str, day: date) -> DataFrame:
     """One day of the directory, listing that day's files only."""
     columns = [*schema.FACT_DDL, *schema.PROVENANCE_DDL, ("dt", "date")]
@@ -63,7 +69,11 @@ def newest_day(fact: DataFrame) -> date | None:
     return latest_day(fact).first()["latest_dt"]
 
 
+def partition_days(spark: SparkSession, table: str) -> DataFrame:
+    """Days of a table by its catalog; no file is touched."""
+    day = F.regexp_extract("partition", "dt=([0-9-]+)", 1).cast("date")
+    return spark.sql(f"SHOW PARTITIONS {table}").select(day.alias("dt"))
+
+
 def newest_partition(spark: SparkSession, table: str) -> date | None:
-    """The same from the catalog, without touching a file."""
-    names = spark.sql(f"SHOW PARTITIONS {table}").agg(F.max("partition")).first()[0]
-    return datetime.strptime(names.split("dt=")[1], "%Y-%m-%d").date() if names else None
+    return newest_day(partition_days(spark, table))

@@ -153,6 +153,14 @@ def test_roster_drops_idle_players(fact):
     assert set(values(daily.player_roster(fact, DAY + timedelta(days=15)), "player_id")) == set()
 
 
+def test_roster_day_by_day_equals_roster_of_history(fact):
+    first, last = date(2024, 1, 3), DAY + timedelta(days=2)
+    roster = daily.player_roster(fact, first)
+    for ahead in range(1, (last - first).days + 1):
+        roster = daily.roster_after_day(roster, fact, first + timedelta(days=ahead))
+    assert sorted(rows(roster)) == sorted(rows(daily.player_roster(fact, last)))
+
+
 def test_missing_dates(fact):
     assert [d.day for d in values(reshape.missing_dates(fact, date(2024, 1, 14)), "dt")] == [11, 12, 13]
     assert rows(reshape.missing_dates(fact, date(2024, 1, 11))) == []

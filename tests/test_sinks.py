@@ -3,8 +3,8 @@ from datetime import date, timedelta
 import pytest
 from conftest import DAY, line, rows, values
 from curfew import schema
-from curfew.operators import daily
-from curfew.plans import daily_job
+from curfew.operators import daily, reshape
+from curfew.plans import daily_cycle, daily_job
 from curfew.sinks import ledger, tables
 from curfew.sources import raw as raw_source
 from curfew.sources import warehouse
@@ -218,3 +218,26 @@ def test_raw_table_discovers_days(spark, folder, table):
     assert sorted(values(spark.sql(f"SHOW PARTITIONS {name}"), "partition")) == ["dt=20240109", "dt=20240110"]
     assert spark.table(name).count() == 6
     assert line()["player_id"] == "P1"
+
+
+def test_cycle_catches_up_publishes_and_checks(spark, folder):
+    layers, serving = layers_of(folder), f"{folder}/serving"
+    first = daily_cycle.run_cycle(spark, layers, serving, BEFORE)
+    assert first.loaded == [BEFORE]
+    write_log(f"{folder}/raw", "20240112", [text(login_time="2024-01-12 10:00:00", logout_time="2024-01-12 11:00:00")])
+    found = daily_cycle.run_cycle(spark, layers, serving, date(2024, 1, 12))
+    assert found.loaded == [DAY, date(2024, 1, 12)]
+    assert rows(found.sync) == [(DAY, 3, 3, 0), (date(2024, 1, 12), 1, 1, 0)]
+    assert found.report.first()["record_count"] == 1
+    assert [row["row_count"] for row in found.volume.collect()] == [1, 3, 1]
+    checks = {row["check_name"]: row["status"] for row in found.checks.collect()}
+    assert checks["partition_nonempty"] == "PASS" and checks["min_volume"] == "FAIL"
+    again = daily_cycle.run_cycle(spark, layers, serving, date(2024, 1, 12))
+    assert again.loaded == [date(2024, 1, 12)] and spark.read.orc(serving).count() == 5
+
+
+def test_missing_dates_from_partitions(spark, fact, table):
+    tables.create_fact_table(spark, table, buckets=0)
+    tables.write_table_day(fact, table, BEFORE)
+    days = warehouse.partition_days(spark, table)
+    assert values(reshape.missing_dates(days, DAY + timedelta(days=1)), "dt") == [DAY]
