@@ -12,7 +12,7 @@ from curfew.functions.days import day_bits, day_count, merged_day_bits
 from curfew.functions.measures import highest, mean, players, rollup_players, rows, total
 from curfew.functions.numbers import hours, percent, ratio
 from curfew.operators.daily import players_per_label
-from curfew.operators.dashboard import MINUTES, severity_order, share_of_total, top
+from curfew.operators.dashboard import MINUTES, few, severity_order, share_of_total, top
 from curfew.sources.warehouse import in_range, on_day
 
 
@@ -21,7 +21,7 @@ def daily_risk(fact: DataFrame, first: date, last: date) -> DataFrame:
         in_range(fact, first, last), ["dt"],
         active_players=players(), at_risk_players=players(AT_RISK), **players_per_label("label_"),
     )
-    return grouped.withColumns({
+    return few(grouped).withColumns({
         "at_risk_pct": percent("at_risk_players", "active_players", 2),
         "severe_pct": percent("label_3", "active_players", 2),
     }).orderBy("dt")
@@ -36,7 +36,7 @@ def daily_minor_risk(fact: DataFrame, first: date, last: date) -> DataFrame:
         paying=players(PAYING),
         total_recharge=total("recharge_amount"),
     )
-    return grouped.withColumns({
+    return few(grouped).withColumns({
         "max_online_min": F.round("max_online_min", 0),
         "paying_pct": percent("paying", "active_minors", 2),
     }).drop("paying").orderBy("dt")

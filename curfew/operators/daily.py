@@ -11,7 +11,7 @@ from curfew.functions import fixed_values as V
 from curfew.functions.conditions import AT_RISK, LABELS, MINOR, OTHER_LABEL, PAYING, label_is
 from curfew.functions.measures import mean, players, rollup_players, rows, total
 from curfew.functions.numbers import percent, ratio
-from curfew.operators.dashboard import MINUTES, share_of_total
+from curfew.operators.dashboard import MINUTES, few, share_of_total
 from curfew.sources.raw import day_key
 from curfew.sources.warehouse import on_day
 
@@ -181,21 +181,21 @@ def risk_summary(fact: DataFrame, day: date) -> DataFrame:
         record_count=rows(), player_count=players(), avg_online_min=mean(MINUTES, 0),
         total_recharge=total("recharge_amount"),
     )
-    return found.withColumn(
+    return few(found).withColumn(
         "risk_desc", classes.risk_text("risk_label", "summary")
     ).orderBy("risk_label")
 
 
 def daily_overview(fact: DataFrame) -> DataFrame:
-    return rollup_players(
+    return few(rollup_players(
         fact, ["dt"],
         total_rows=rows(), players=players(), minors=players(MINOR), at_risk=players(AT_RISK),
-    ).orderBy("dt")
+    )).orderBy("dt")
 
 
 def label_distribution(fact: DataFrame) -> DataFrame:
     counted = fact.groupBy("risk_label").agg(F.count(F.lit(1)).alias("cnt"))
-    return counted.withColumn(
+    return few(counted).withColumn(
         "label", classes.risk_text("risk_label", "distribution")
     ).orderBy("risk_label")
 
@@ -203,7 +203,7 @@ def label_distribution(fact: DataFrame) -> DataFrame:
 def recent_volume(fact: DataFrame, today: date, days: int = 7) -> DataFrame:
     """From ``days`` days ago on, newest first."""
     recent = fact.filter(F.col("dt") >= F.date_sub(F.lit(today), days))
-    return rollup_players(recent, ["dt"], row_count=rows(), players=players()).orderBy(F.desc("dt"))
+    return few(rollup_players(recent, ["dt"], row_count=rows(), players=players())).orderBy(F.desc("dt"))
 
 
 def daily_report(fact: DataFrame, day: date) -> DataFrame:

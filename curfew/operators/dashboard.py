@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from curfew.functions import classes
 from curfew.functions import fixed_values as V
 from curfew.functions.conditions import AT_RISK, CURFEW_BREACH, MINOR, label_is
-from curfew.functions.days import day_bits, day_count, merged_day_bits
+from curfew.functions.days import day_bits, day_count
 from curfew.functions.measures import lowest, mean, players, rollup_players, rows, total
 from curfew.functions.numbers import hours, percent, ratio
 from curfew.sources.warehouse import last_days, of_player, on_day
@@ -16,13 +16,20 @@ from curfew.sources.warehouse import last_days, of_player, on_day
 MINUTES = "online_duration_min"
 
 
+def few(grouped: DataFrame) -> DataFrame:
+    """A grouped result of few rows in one partition, for a fixed set of keys such
+    as classes, labels, hours or days. Ordering it or summing over it then takes
+    neither a sample nor a shuffle. Rows were folded in every task before."""
+    return grouped.coalesce(1)
+
+
 def share_of_total(grouped: DataFrame, value: str, digits: int, name: str = "pct") -> DataFrame:
     """Share of each row in the sum over all rows.
 
     For grouped results of a fixed number of classes: the window has one
     partition, which holds those few rows.
     """
-    return grouped.withColumn(name, percent(value, f"sum({value}) OVER ()", digits))
+    return few(grouped).withColumn(name, percent(value, f"sum({value}) OVER ()", digits))
 
 
 def kpi_today(fact: DataFrame, day: date) -> DataFrame:
@@ -62,7 +69,7 @@ def risk_trend(fact: DataFrame, day: date, days: int = 7) -> DataFrame:
         minors=players(MINOR),
         risky_minors=players(f"{AT_RISK} AND {MINOR}"),
     )
-    return grouped.select(
+    return few(grouped).select(
         F.col("dt").alias("stat_date"), "dau", "level1_count", "level2_count", "level3_count",
         percent("risky", "dau", 1).alias("risk_rate_pct"),
         percent("risky_minors", "minors", 1).alias("minor_risk_rate_pct"),
@@ -90,7 +97,7 @@ def period_stats(fact: DataFrame, day: date) -> DataFrame:
         minor_active=players(f"account_type = '{V.MINOR}'"),
         total_active=players(),
     )
-    return grouped.select(
+    return few(grouped).select(
         F.col("login_hour").alias("hour_of_day"), "adult_active", "minor_active", "total_active",
         classes.night_flag("login_hour").alias("night_flag"),
     ).orderBy("hour_of_day")
@@ -99,26 +106,19 @@ def period_stats(fact: DataFrame, day: date) -> DataFrame:
 def player_risk_totals(fact: DataFrame, day: date, days: int = 7) -> DataFrame:
     """Totals of every minor at risk over the last days, one row per player.
 
-    Folded by player and game, then by player: games are counted as rows and
-    days as bits, so neither count needs a distinct.
+    Days are counted as bits, which leaves games as the only distinct count:
+    rows fold by player and game, then by player, and none is copied.
     """
     start = date.fromordinal(day.toordinal() - days + 1)
     risky = last_days(fact, day, days).filter(f"{MINOR} AND {AT_RISK}")
-    by_game = risky.groupBy("player_id", "game_id").agg(
+    by_player = risky.groupBy("player_id").agg(
         F.sum(MINUTES).alias("minutes"),
         F.count(MINUTES).alias("timed_rows"),
-        F.sum("recharge_amount").alias("recharge"),
-        F.max("risk_label").alias("label"),
+        F.sum("recharge_amount").alias("total_recharge"),
+        F.max("risk_label").alias("max_risk_level"),
+        F.count_distinct("game_id").alias("game_count"),
         *day_bits("dt", start, day, "days"),
     )
-    by_player = by_game.groupBy("player_id").agg(
-        F.sum("minutes").alias("minutes"),
-        F.sum("timed_rows").alias("timed_rows"),
-        F.sum("recharge").alias("total_recharge"),
-        F.max("label").alias("max_risk_level"),
-        F.count("game_id").alias("game_count"),
-        *merged_day_bits(start, day, "days"),
-    )
     return by_player.select(
         "player_id",
         day_count(start, day, "days").alias("active_days"),
