@@ -189,16 +189,17 @@ def severe_islands(fact: DataFrame, first: date, min_days: int = 3) -> DataFrame
 def streak_join(streaks: DataFrame, fact: DataFrame) -> DataFrame:
     """Severe sessions that lie within a streak of their player.
 
-    An equi-join on the player with the range of days as a further condition;
-    the size of the streaks decides at run time whether they are broadcast, and
-    adaptive execution splits the partition of a player with very many rows.
+    Streaks are spelled out by day, so the range becomes a key: a player's rows
+    spread over the days, both sides are shuffled for the join alone, and
+    adaptive execution can split what is still large. Streaks known to be small
+    at run time are broadcast.
     """
-    sessions = fact.filter(f"{MINOR} AND {label_is(V.SEVERE)}").alias("d")
-    within = (F.col("s.player_id") == F.col("d.player_id")) & F.col("d.dt").between(
-        F.col("s.streak_start"), F.col("s.streak_end")
+    days = streaks.withColumn("dt", F.explode(F.sequence("streak_start", "streak_end")))
+    sessions = fact.filter(f"{MINOR} AND {label_is(V.SEVERE)}").select(
+        "player_id", "dt", "login_time", "game_id", MINUTES, "recharge_amount"
     )
-    return streaks.alias("s").join(sessions, within).select(
-        "s.*", "d.dt", "d.login_time", "d.game_id", f"d.{MINUTES}", "d.recharge_amount"
+    return days.join(sessions, ["player_id", "dt"]).select(
+        *streaks.columns, "dt", "login_time", "game_id", MINUTES, "recharge_amount"
     )
 
 

@@ -268,7 +268,8 @@ def _roster(seen: DataFrame, day: date, idle_days: int) -> DataFrame:
 
 
 def _sightings(fact: DataFrame) -> DataFrame:
-    return fact.select("player_id", F.col("dt").alias("first_seen"), F.col("dt").alias("last_active"))
+    known = fact.filter(F.col("player_id").isNotNull())
+    return known.select("player_id", F.col("dt").alias("first_seen"), F.col("dt").alias("last_active"))
 
 
 def player_roster(fact: DataFrame, day: date, idle_days: int = 14) -> DataFrame:

@@ -172,7 +172,7 @@ def violation_rows(fact: DataFrame, day: date, days: int = 2) -> DataFrame:
 
 
 def severity_order() -> list:
-    return [F.desc("risk_label"), F.desc(MINUTES), F.col("player_id"), F.col("login_time")]
+    return [F.desc("risk_label"), F.desc(MINUTES), *map(F.col, ["player_id", "login_time", "game_id"])]
 
 
 def violation_columns(rows: DataFrame, *others: str) -> DataFrame:
@@ -202,7 +202,7 @@ def _session_columns(vocabulary: str):
 
 
 def _newest_longest():
-    return [F.desc("dt"), F.desc(MINUTES), F.col("player_id"), F.col("login_time")]
+    return [F.desc("dt"), F.desc(MINUTES), *map(F.col, ["player_id", "login_time", "game_id"])]
 
 
 def minor_night_detail(fact: DataFrame, day: date, days: int = 7) -> DataFrame:
@@ -220,9 +220,9 @@ def player_detail(fact: DataFrame, player_id: str, day: date, days: int = 7) ->
 def drilldown(fact: DataFrame, ranking: DataFrame, day: date, days: int = 7) -> DataFrame:
     """Sessions of all ranked players at once.
 
-    The ranking is broadcast: it holds as many rows as its limit says.
+    A ranking with a limit is known to be small and gets broadcast; one without
+    is joined by its size at run time.
     """
-    listed = F.broadcast(ranking.select("player_id"))
-    return last_days(fact, day, days).join(listed, "player_id", "left_semi").orderBy(
+    return last_days(fact, day, days).join(ranking.select("player_id"), "player_id", "left_semi").orderBy(
         *_newest_longest()
     ).select(*_session_columns("player"))

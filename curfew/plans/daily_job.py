@@ -1,6 +1,6 @@
 """The daily job: raw text to graded facts, then the day's aggregate row.
 
-    spark-submit -m curfew.plans.daily_job 20240130 --raw <folder> --warehouse <folder>
+    spark-submit run_daily.py 20240130 --raw <folder> --warehouse <folder>
 
 Two writes and two small checks. Both writes replace the day, so the job can be
 run again at any time. Nothing is cached: the aggregate reads the written day

@@ -14,6 +14,8 @@ class Dashboard:
     def __init__(self, fact: DataFrame, day: date | None = None):
         self.fact = fact
         self.day = day or newest_day(fact)
+        if self.day is None:
+            raise ValueError("no day is loaded")
 
     def kpi(self) -> DataFrame:
         return reshape.kpi_payload(self.fact, self.day)

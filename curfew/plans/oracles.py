@@ -473,7 +473,7 @@ night AS (
   FROM breaches GROUP BY player_id)"""
 NIGHT_PLACE = "row_number() OVER (ORDER BY night_logins DESC, total_hours DESC, player_id)"
 on_fact("night_topn", f"SELECT * FROM night QUALIFY {NIGHT_PLACE} <= 100", NIGHT_TOTALS)
-SEVERITY = "risk_label DESC, online_duration_min DESC, player_id, login_time"
+SEVERITY = "risk_label DESC, online_duration_min DESC, player_id, login_time, game_id"
 on_fact("night_export", f"""SELECT dt, player_id, game_id, login_time, logout_time,
   {money('b.online_duration_min')} AS online_duration_min, {DURATION_TEXT} AS duration_text, login_ip, device_type,
   game_region, match_count, {money('b.recharge_amount')} AS recharge_amount, {wording('night_export')} AS risk_type,
@@ -544,7 +544,7 @@ on_raw("raw_log_summary", f"""SELECT count(*) AS total_rows, {cnt(f'NOT {RAW_MIN
 on_fact("short_long_split", f"""SELECT CASE WHEN online_duration_min < 60 THEN 'short' ELSE 'long' END AS split,
   count(*) AS record_count FROM beh WHERE {ON_DAY} GROUP BY ALL""")
 on_fact("player_roster", """SELECT player_id, min(dt) AS first_seen, max(dt) AS last_active FROM beh
-GROUP BY player_id HAVING max(dt) >= (SELECT d FROM newest) - 14""")
+WHERE player_id IS NOT NULL GROUP BY player_id HAVING max(dt) >= (SELECT d FROM newest) - 14""")
 VIOLATION_LIST = f"""dt AS stat_date, player_id, game_id, login_time, logout_time, {ONLINE_MIN}, login_ip, device_type,
   game_region, {wording('violation')} AS risk_type, {AMOUNT}, match_count"""
 VIOLATIONS = f"""
@@ -712,4 +712,4 @@ WHERE {since(3)} GROUP BY dt"""
 on_fact("roster_after_day", """SELECT player_id, min(dt) AS first_seen, max(dt) AS last_active
 FROM (SELECT * FROM beh, newest WHERE dt = d OR player_id IN
   (SELECT player_id FROM beh, newest WHERE dt < d GROUP BY player_id, d HAVING max(dt) >= d - 15))
-GROUP BY player_id HAVING max(dt) >= (SELECT d FROM newest) - 14""")
+WHERE player_id IS NOT NULL GROUP BY player_id HAVING max(dt) >= (SELECT d FROM newest) - 14""")

@@ -4,7 +4,6 @@ from datetime import date, datetime
 
 import pytest
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
@@ -80,5 +79,3 @@ def values(df, column):
 
 DAY = date(2024, 1, 10)
 NOW = datetime(2024, 1, 10, 12, 20)
-
-__all__ = ["DAY", "F", "NOW", "SMALL", "line", "rows", "values"]

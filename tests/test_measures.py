@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 def sessions(spark):
     """A third of all rows belongs to one player, some rows to none."""
     return spark.range(3000).select(
-        F.expr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 = 1 THEN NULL ELSE concat('P', id % 97) END").alias("player_id"),
+        F.expr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 = 1 THEN NULL ELSE concat('P', id % 97) END")
+        .alias("player_id"),
         F.expr("cast(id % 7 AS int)").alias("k"),
         F.expr("cast(id % 4 AS int)").alias("risk_label"),
         F.expr("if(id % 11 = 0, NULL, cast(id % 101 AS decimal(10,1)))").alias("m"),

@@ -41,6 +41,6 @@ def test_the_longest_session_is_chosen_before_the_shuffle(spark):
     assert text.rindex("WindowGroupLimit") > text.rindex("Exchange")
 
 
-def test_streak_join_keys_on_the_player(spark):
+def test_streak_join_keys_on_player_and_day(spark):
     text = plan(queries.QUERIES["streak_join"](spark, SMALL))
-    assert re.search(r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin) \[player_id", text)
+    assert re.search(r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin) \[player_id#\d+, dt#\d+\]", text)
