@@ -25,7 +25,7 @@ from pyspark.sql import SparkSession
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-WARM_UPS, RUNS = 4, 5
+WARM_UPS, RUNS = 3, 5
 
 
 def session() -> SparkSession:

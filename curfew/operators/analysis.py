@@ -187,7 +187,8 @@ def severe_islands(fact: DataFrame, first: date, min_days: int = 3) -> DataFrame
 
 
 def streak_join(streaks: DataFrame, fact: DataFrame) -> DataFrame:
-    """Severe sessions that lie within a streak of their player.
+    """Severe sessions that lie within a streak of their player. Give the fact of
+    the days in question, not of all days.
 
     Streaks are spelled out by day, so the range becomes a key: a player's rows
     spread over the days, both sides are shuffled for the join alone, and

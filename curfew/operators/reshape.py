@@ -70,7 +70,7 @@ def layer_reconcile(first: DataFrame, second: DataFrame) -> DataFrame:
     left = first.groupBy("dt").agg(F.count(F.lit(1)).alias("rows_a"))
     right = second.groupBy("dt").agg(F.count(F.lit(1)).alias("rows_b"))
     rows_a, rows_b = F.coalesce("rows_a", F.lit(0)), F.coalesce("rows_b", F.lit(0))
-    return left.join(right, "dt", "full_outer").select(
+    return dashboard.few(left.join(right, "dt", "full_outer")).select(
         "dt", rows_a.alias("rows_a"), rows_b.alias("rows_b"), (rows_b - rows_a).alias("row_diff")
     ).orderBy("dt")
 

@@ -31,21 +31,32 @@ class Layers(NamedTuple):
         return cls(raw, f"{root}/facts", f"{root}/daily_stats")
 
 
+class Tables(NamedTuple):
+    raw: str
+    facts: str
+    stats: str
+
+
+def clean_facts(raw: DataFrame, batch_day: date | None) -> DataFrame:
+    """Scanned raw rows as clean facts, of the batch's day or each of its login's."""
+    stamped = raw_source.with_provenance(raw).drop("dt")
+    return standardize.to_facts(cleaning.clean(stamped), batch_day)
+
+
 def day_facts(spark: SparkSession, layers: Layers, day: date, lateness_days: int | None = None) -> DataFrame:
     """Clean facts of a day.
 
     By default the day of the raw directory is the day of its rows. With
     ``lateness_days`` it is the day of login: directories up to so many days
     later are read too, since a log may arrive late, and only this day's logins
-    are kept. Either way a rerun sees the same rows.
+    are kept; the job then reads so many days more. Either way a rerun sees the
+    same rows.
     """
     if lateness_days is None:
-        scanned = raw_source.ods_scan_day(spark, layers.raw, day)
-    else:
-        scanned = raw_source.ods_scan_days(spark, layers.raw, day, day + timedelta(days=lateness_days))
-        scanned = scanned.filter(F.substring("login_time", 1, 10).try_cast("date") == F.lit(day))
-    stamped = raw_source.with_provenance(scanned).drop("dt")
-    return standardize.to_facts(cleaning.clean(stamped), None if lateness_days is not None else day)
+        return clean_facts(raw_source.ods_scan_day(spark, layers.raw, day), day)
+    scanned = raw_source.ods_scan_days(spark, layers.raw, day, day + timedelta(days=lateness_days))
+    of_day = scanned.filter(F.substring("login_time", 1, 10).try_cast("date") == F.lit(day))
+    return clean_facts(of_day, None)
 
 
 def run(spark: SparkSession, layers: Layers, day: date, lateness_days: int | None = None) -> bool:
@@ -58,6 +69,22 @@ def run(spark: SparkSession, layers: Layers, day: date, lateness_days: int | Non
     return True
 
 
+def raw_table_day(spark: SparkSession, table: str, day: date) -> DataFrame:
+    return spark.table(table).filter(F.col("dt") == raw_source.day_key(day))
+
+
+def run_tables(spark: SparkSession, names: Tables, day: date) -> bool:
+    """The same between catalog tables, by batch day. New raw days are registered first."""
+    raw_source.add_day(spark, names.raw, day)
+    raw = raw_table_day(spark, names.raw, day)
+    if raw.isEmpty():
+        return False
+    tables.write_table_day(clean_facts(raw, day), names.facts, day)
+    stats = daily.daily_stats(spark.table(names.facts), day)
+    tables.write_table_day(tables.stamped(stats), names.stats, day)
+    return True
+
+
 def parse_day(text: str) -> date:
     return datetime.strptime(text, "%Y%m%d").date()
 
@@ -65,17 +92,30 @@ def parse_day(text: str) -> date:
 def main(arguments: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="curfew-daily", description="Clean, grade and aggregate one day.")
     parser.add_argument("day", type=parse_day, help="yyyyMMdd")
-    parser.add_argument("--raw", required=True, help="folder of raw logs, dt=yyyyMMdd below")
-    parser.add_argument("--warehouse", required=True, help="folder of the written layers")
+    parser.add_argument("--raw", help="folder of raw logs, dt=yyyyMMdd below")
+    parser.add_argument("--warehouse", help="folder of the written layers")
     parser.add_argument("--by-login-day", type=int, metavar="DAYS", dest="lateness_days",
                         help="take rows by login day from directories up to DAYS later")
+    parser.add_argument("--tables", nargs=3, metavar=("RAW", "FACTS", "STATS"),
+                        help="work between tables of a Hive metastore instead of folders")
+    parser.add_argument("--funnel", action="store_true",
+                        help="also show how many rows each rule dropped, in another pass over the raw rows")
     options = parser.parse_args(arguments)
-    spark = build_session(f"curfew-daily-{options.day:%Y%m%d}")
-    layers = Layers.under(options.raw, options.warehouse)
-    if not run(spark, layers, options.day, options.lateness_days):
+    if not options.tables and not (options.raw and options.warehouse):
+        parser.error("give --raw and --warehouse, or --tables")
+    spark = build_session(f"curfew-daily-{options.day:%Y%m%d}", hive=bool(options.tables))
+    if options.tables:
+        done = run_tables(spark, Tables(*options.tables), options.day)
+    else:
+        layers = Layers.under(options.raw, options.warehouse)
+        done = run(spark, layers, options.day, options.lateness_days)
+    if not done:
         print(f"no raw rows for {options.day}")
         return 1
-    cleaning.clean_funnel(raw_source.ods_scan_day(spark, layers.raw, options.day)).show(truncate=False)
+    if options.funnel:
+        raw = raw_table_day(spark, options.tables[0], options.day) if options.tables else raw_source.ods_scan_day(
+            spark, layers.raw, options.day)
+        cleaning.clean_funnel(raw).show(truncate=False)
     return 0
 
 

@@ -713,3 +713,4 @@ on_fact("roster_after_day", """SELECT player_id, min(dt) AS first_seen, max(dt)
 FROM (SELECT * FROM beh, newest WHERE dt = d OR player_id IN
   (SELECT player_id FROM beh, newest WHERE dt < d GROUP BY player_id, d HAVING max(dt) >= d - 15))
 WHERE player_id IS NOT NULL GROUP BY player_id HAVING max(dt) >= (SELECT d FROM newest) - 14""")
+ORACLES["daily_job_tables"] = f"WITH {CLEAN}\nSELECT {STATS_LIST} FROM beh WHERE {ON_DAY} GROUP BY dt"

@@ -153,7 +153,7 @@ def fact_table(spark: SparkSession, folder: str, buckets: int = 0, days: int | N
     else:
         last = report_day(spark, folder)
         for back in range(days):
-            tables.write_table_day(fact(spark, folder), table, last - timedelta(days=back))
+            tables.write_table_day(fact(spark, folder), table, last - timedelta(days=back), bucketed=buckets > 0)
     return table
 
 
@@ -252,7 +252,7 @@ def labelled_load(spark, folder):
 def table_layout(spark, folder):
     """A bucketed table of the newest day, written twice."""
     table = fact_table(spark, folder, buckets=4, days=1)
-    tables.write_table_day(fact(spark, folder), table, report_day(spark, folder))
+    tables.write_table_day(fact(spark, folder), table, report_day(spark, folder), bucketed=True)
     return fact_columns(spark.table(table))
 
 
@@ -389,7 +389,7 @@ def compute_risk_label(spark, folder):
 # --- joins ---------------------------------------------------------------------
 
 QUERIES["streak_join"] = of_range(
-    lambda f, a, b: analysis.streak_join(analysis.severe_islands(f, a), f))
+    lambda f, a, b: analysis.streak_join(analysis.severe_islands(f, a), warehouse.in_range(f, a, b)))
 QUERIES["hour_fill"] = of_day(lambda f, d: reshape.hour_fill(
     dashboard.period_stats(f.filter(AT_RISK), d)))
 QUERIES["payment_grid"] = of_day(
@@ -637,3 +637,17 @@ def roster_after_day(spark, folder):
     day, rows = report_day(spark, folder), fact(spark, folder)
     before = daily.player_roster(rows, day - timedelta(days=1))
     return daily.roster_after_day(before, rows, day)
+
+
+@query
+def daily_job_tables(spark, folder):
+    """The job between catalog tables, the newest day run twice."""
+    raw_table, root = new_table(spark, "raw")
+    names = daily_job.Tables(raw_table, raw_table.replace(".raw", ".facts"), raw_table.replace(".raw", ".stats"))
+    raw_source.create_raw_table(spark, names.raw, raw_folder(spark, folder))
+    tables.create_fact_table(spark, names.facts, f"{root}_facts", buckets=0)
+    tables.create_stats_table(spark, names.stats, f"{root}_stats")
+    day = report_day(spark, folder)
+    for _ in range(2):
+        daily_job.run_tables(spark, names, day)
+    return plain(spark.table(names.stats).drop("etl_time"))

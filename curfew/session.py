@@ -21,8 +21,11 @@ SETTINGS = {
 }
 
 
-def build_session(app_name: str = "curfew", **extra: str) -> SparkSession:
+def build_session(app_name: str = "curfew", hive: bool = False, **extra: str) -> SparkSession:
+    """A session with these settings; ``hive`` keeps tables in a Hive metastore."""
     builder = SparkSession.builder.appName(app_name)
+    if hive:
+        builder = builder.enableHiveSupport()
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -58,9 +58,13 @@ def write_dwd(fact: DataFrame, root: str, day: date | None = None) -> None:
         write_day(fact, root, day)
 
 
+def stamped(stats: DataFrame) -> DataFrame:
+    """Daily statistics with their processing time, columns in declared order."""
+    return stats.withColumn("etl_time", F.current_timestamp()).select(*schema.DAILY_STATS_COLUMNS, "dt")
+
+
 def write_daily_stats(stats: DataFrame, root: str, day: date) -> None:
-    stamped = stats.withColumn("etl_time", F.current_timestamp())
-    write_day(stamped.select(*schema.DAILY_STATS_COLUMNS, "dt"), root, day)
+    write_day(stamped(stats), root, day)
 
 
 def replace_day(rows: DataFrame, root: str, day: date) -> None:
@@ -91,6 +95,14 @@ def export_delimited(fact: DataFrame, path: str, day: date) -> None:
     on_day(fact, day).withColumns(texts).drop("dt").write.mode("overwrite").option("sep", "\t").csv(path)
 
 
+def _create(spark: SparkSession, table: str, columns, root: str | None, clustered: str, options: str) -> None:
+    location = f"LOCATION '{root}'" if root else ""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({schema.ddl(columns)}, dt date) USING orc "
+        f"PARTITIONED BY (dt) {clustered} {location} OPTIONS ('compression' = 'snappy'{options})"
+    )
+
+
 def create_fact_table(spark: SparkSession, table: str, root: str | None = None, buckets: int = 32,
                       with_label: bool = True) -> None:
     """Day partitions, buckets by player sorted by login, bloom filters.
@@ -99,23 +111,32 @@ def create_fact_table(spark: SparkSession, table: str, root: str | None = None,
     256 MB. With 0 the table has no buckets, which suits days with a player of
     very many rows, as splitting then follows size instead of the player.
     """
-    columns = [c for c in schema.FACT_DDL if with_label or c[0] != "risk_label"]
+    columns = [c for c in [*schema.FACT_DDL, *schema.PROVENANCE_DDL] if with_label or c[0] != "risk_label"]
     clustered = f"CLUSTERED BY (player_id) SORTED BY (login_time) INTO {buckets} BUCKETS" if buckets else ""
-    location = f"LOCATION '{root}'" if root else ""
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({schema.ddl(columns)}, dt date) USING orc "
-        f"PARTITIONED BY (dt) {clustered} {location} "
-        f"OPTIONS ('orc.bloom.filter.columns' = '{BLOOM_COLUMNS}', 'compression' = 'snappy')"
-    )
+    _create(spark, table, columns, root, clustered, f", 'orc.bloom.filter.columns' = '{BLOOM_COLUMNS}'")
 
 
-def write_table_day(fact: DataFrame, table: str, day: date) -> None:
-    """Replace one day of a catalog table, also by nothing; columns go by name."""
-    spark = fact.sparkSession
-    names = [name for name in spark.table(table).columns if name != "dt"]
+def create_stats_table(spark: SparkSession, table: str, root: str | None = None) -> None:
+    _create(spark, table, schema.DAILY_STATS_DDL, root, "", "")
+
+
+def write_table_day(rows: DataFrame, table: str, day: date, bucketed: bool = False) -> None:
+    """Replace one day of a catalog table, also by nothing.
+
+    Columns go by name; those of the table that the rows lack become NULL. For a
+    bucketed table rows are first brought together by player, so that a task
+    writes to few buckets; a player of very many rows is split over tasks.
+    """
+    spark = rows.sparkSession
+    columns = [
+        name if name in rows.columns else f"CAST(NULL AS {kind}) AS {name}"
+        for name, kind in spark.table(table).dtypes if name != "dt"
+    ]
+    hint = "/*+ REBALANCE(player_id) */" if bucketed else ""
     spark.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION (dt = DATE '{day:%Y-%m-%d}') SELECT {', '.join(names)} FROM {{rows}}",
-        rows=on_day(fact, day),
+        f"INSERT OVERWRITE TABLE {table} PARTITION (dt = DATE '{day:%Y-%m-%d}') "
+        f"SELECT {hint} {', '.join(columns)} FROM {{rows}}",
+        rows=on_day(rows, day),
     )
 
 

@@ -103,7 +103,7 @@ def table(spark, folder):
 def test_bucketed_table_day_by_day(spark, fact, table, folder):
     tables.create_fact_table(spark, table, f"{folder}/t", buckets=3)
     for day in [DAY, BEFORE, DAY]:
-        tables.write_table_day(fact, table, day)
+        tables.write_table_day(fact, table, day, bucketed=True)
     assert spark.table(table).count() == 40
     assert warehouse.newest_partition(spark, table) == DAY
     described = dict((row[0], row[1]) for row in spark.sql(f"DESCRIBE EXTENDED {table}").collect())
@@ -202,12 +202,28 @@ def test_job_command(spark, folder, capsys):
     layers_of(folder)
     arguments = ["--raw", f"{folder}/raw", "--warehouse", f"{folder}/warehouse"]
     assert daily_job.main(["20240110", *arguments]) == 0
+    assert "rows_before" not in capsys.readouterr().out
+    assert daily_job.main(["20240110", *arguments, "--funnel"]) == 0
     assert "rows_before" in capsys.readouterr().out
     assert daily_job.main(["20240120", *arguments]) == 1
     with pytest.raises(SystemExit):
         daily_job.main(["2024-01-10", *arguments])
 
 
+def test_job_between_tables(spark, folder, table):
+    layers = layers_of(folder)
+    names = daily_job.Tables(table.replace(".facts", ".raw"), table, table.replace(".facts", ".stats"))
+    raw_source.create_raw_table(spark, names.raw, layers.raw)
+    tables.create_fact_table(spark, names.facts, buckets=2)
+    tables.create_stats_table(spark, names.stats)
+    for _ in range(2):
+        assert daily_job.run_tables(spark, names, DAY)
+    assert not daily_job.run_tables(spark, names, DAY + timedelta(days=9))
+    assert sorted(values(spark.table(names.facts), "player_id")) == ["P1", "P2", "late"]
+    assert spark.table(names.facts).filter("source_file LIKE '%dt=20240110/game.log' AND etl_time IS NOT NULL").count() == 3
+    assert values(spark.table(names.stats), "total_records") == [3]
+
+
 def test_raw_table_discovers_days(spark, folder, table):
     layers = layers_of(folder)
     name = table.replace(".facts", ".raw")
