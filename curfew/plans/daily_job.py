@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curfew.operators import cleaning, daily, standardize
-from curfew.session import build_session
+from curfew.session import build_session, size_shuffles
 from curfew.sinks import tables
 from curfew.sources import raw as raw_source
 from curfew.sources import warehouse
@@ -43,6 +43,10 @@ def clean_facts(raw: DataFrame, batch_day: date | None) -> DataFrame:
     return standardize.to_facts(cleaning.clean(stamped), batch_day)
 
 
+def raw_days(spark: SparkSession, layers: Layers, day: date, lateness_days: int | None) -> DataFrame:
+    return raw_source.ods_scan_days(spark, layers.raw, day, day + timedelta(days=lateness_days or 0))
+
+
 def day_facts(spark: SparkSession, layers: Layers, day: date, lateness_days: int | None = None) -> DataFrame:
     """Clean facts of a day.
 
@@ -52,16 +56,16 @@ def day_facts(spark: SparkSession, layers: Layers, day: date, lateness_days: int
     are kept; the job then reads so many days more. Either way a rerun sees the
     same rows.
     """
+    scanned = raw_days(spark, layers, day, lateness_days)
     if lateness_days is None:
-        return clean_facts(raw_source.ods_scan_day(spark, layers.raw, day), day)
-    scanned = raw_source.ods_scan_days(spark, layers.raw, day, day + timedelta(days=lateness_days))
+        return clean_facts(scanned, day)
     of_day = scanned.filter(F.substring("login_time", 1, 10).try_cast("date") == F.lit(day))
     return clean_facts(of_day, None)
 
 
 def run(spark: SparkSession, layers: Layers, day: date, lateness_days: int | None = None) -> bool:
     """False, and nothing written, when there is no raw row to read."""
-    if raw_source.ods_scan_days(spark, layers.raw, day, day + timedelta(days=lateness_days or 0)).isEmpty():
+    if raw_days(spark, layers, day, lateness_days).isEmpty():
         return False
     tables.write_dwd(day_facts(spark, layers, day, lateness_days), layers.facts, day)
     written = warehouse.scan_day(spark, layers.facts, day)
@@ -105,16 +109,21 @@ def main(arguments: list[str] | None = None) -> int:
         parser.error("give --raw and --warehouse, or --tables")
     spark = build_session(f"curfew-daily-{options.day:%Y%m%d}", hive=bool(options.tables))
     if options.tables:
-        done = run_tables(spark, Tables(*options.tables), options.day)
+        names = Tables(*options.tables)
+        raw_source.add_day(spark, names.raw, options.day)
+        raw = raw_table_day(spark, names.raw, options.day)
     else:
         layers = Layers.under(options.raw, options.warehouse)
+        raw = raw_days(spark, layers, options.day, options.lateness_days)
+    size_shuffles(spark, raw)
+    if options.tables:
+        done = run_tables(spark, names, options.day)
+    else:
         done = run(spark, layers, options.day, options.lateness_days)
     if not done:
         print(f"no raw rows for {options.day}")
         return 1
     if options.funnel:
-        raw = raw_table_day(spark, options.tables[0], options.day) if options.tables else raw_source.ods_scan_day(
-            spark, layers.raw, options.day)
         cleaning.clean_funnel(raw).show(truncate=False)
     return 0
 

@@ -13,7 +13,7 @@ from curfew.functions import fixed_values as V
 from curfew.functions.conditions import AT_RISK, MINOR, PAYING
 from curfew.operators import analysis, cleaning, daily, dashboard, quality, reshape, standardize
 from curfew.plans import daily_cycle, daily_job
-from curfew.session import shared_folder
+from curfew.session import shared_folder, stream_session
 from curfew.sinks import ledger, tables
 from curfew.sources import raw as raw_source
 from curfew.sources import sessions, warehouse
@@ -511,7 +511,7 @@ for _name in quality.check_names():
 
 def _through_stream(spark: SparkSession, folder: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Raw log files read as a stream, changed by ``build``, written and read back."""
-    stream = build(stream_sources.stream_source(spark, raw_folder(spark, folder)))
+    stream = build(stream_sources.stream_source(stream_session(spark), raw_folder(spark, folder)))
     root = shared_folder(spark)
     stream_sinks.append_files(stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{root}/out")

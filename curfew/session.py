@@ -3,10 +3,11 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PARTITION_BYTES = 128 * 1024 * 1024
 
-# Start from many small reduce tasks and let adaptive execution merge them: the
-# right number differs by orders of magnitude between a day and a year.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -16,8 +17,7 @@ SETTINGS = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
 }
 
 
@@ -28,7 +28,39 @@ def build_session(app_name: str = "curfew", hive: bool = False, **extra: str) ->
         builder = builder.enableHiveSupport()
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if "spark.sql.shuffle.partitions" not in extra:
+        size_shuffles(spark)
+    return spark
+
+
+def size_shuffles(spark: SparkSession, scanned: DataFrame | None = None) -> int:
+    """Set the number of reduce tasks: three per core, or one per 128 MB scanned if
+    that is more. Adaptive execution merges what turns out small, but splits a
+    shuffle no further, so the number must suit the largest one."""
+    count = 3 * spark.sparkContext.defaultParallelism
+    if scanned is not None:
+        size = int(scanned._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        count = max(count, -(-size // PARTITION_BYTES))
+    spark.conf.set("spark.sql.shuffle.partitions", str(count))
+    return count
+
+
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session for stateful streams beside a batch session.
+
+    A stream keeps one state store per shuffle partition, and their number is
+    fixed with its checkpoint, unlike a batch's, which merges as it runs. One
+    per core unless given.
+    """
+    own = spark.newSession()
+    for key, value in {
+        "spark.sql.shuffle.partitions": str(state_partitions or spark.sparkContext.defaultParallelism),
+        "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
+        "spark.sql.session.timeZone": spark.conf.get("spark.sql.session.timeZone"),
+    }.items():
+        own.conf.set(key, value)
+    return own
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -2,7 +2,7 @@ from datetime import date, timedelta
 
 import pytest
 from conftest import DAY, line, rows, values
-from curfew import schema
+from curfew import schema, session
 from curfew.operators import daily, reshape
 from curfew.plans import daily_cycle, daily_job
 from curfew.sinks import ledger, tables
@@ -198,7 +198,28 @@ def test_job_clears_a_day_whose_rows_all_fail_now(spark, folder):
     assert spark.read.schema(layout).orc(layers.stats).count() == 0
 
 
-def test_job_command(spark, folder, capsys):
+def test_reduce_tasks_follow_cores_and_bytes(spark, folder, monkeypatch):
+    layers = layers_of(folder)
+    raw = raw_source.ods_scan(spark, layers.raw)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert session.size_shuffles(spark, raw) == session.size_shuffles(spark) == 24
+        monkeypatch.setattr(session, "PARTITION_BYTES", 10)
+        assert session.size_shuffles(spark, raw) > 50
+        one_day = raw_source.ods_scan_day(spark, layers.raw, BEFORE)
+        assert session.size_shuffles(spark, one_day) < session.size_shuffles(spark, raw)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.fixture
+def same_shuffles(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_job_command(spark, folder, capsys, same_shuffles):
     layers_of(folder)
     arguments = ["--raw", f"{folder}/raw", "--warehouse", f"{folder}/warehouse"]
     assert daily_job.main(["20240110", *arguments]) == 0
