@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PARTITION_BYTES = 128 * 1024 * 1024
+MAX_REDUCE_TASKS = 50_000
+UNKNOWN_BYTES = 2**60
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -41,7 +43,8 @@ def size_shuffles(spark: SparkSession, scanned: DataFrame | None = None) -> int:
     count = 3 * spark.sparkContext.defaultParallelism
     if scanned is not None:
         size = int(scanned._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-        count = max(count, -(-size // PARTITION_BYTES))
+        if size < UNKNOWN_BYTES:
+            count = max(count, min(MAX_REDUCE_TASKS, -(-size // PARTITION_BYTES)))
     spark.conf.set("spark.sql.shuffle.partitions", str(count))
     return count
 

@@ -208,6 +208,8 @@ def test_reduce_tasks_follow_cores_and_bytes(spark, folder, monkeypatch):
         assert session.size_shuffles(spark, raw) > 50
         one_day = raw_source.ods_scan_day(spark, layers.raw, BEFORE)
         assert session.size_shuffles(spark, one_day) < session.size_shuffles(spark, raw)
+        nothing = raw_source.ods_scan_day(spark, layers.raw, DAY + timedelta(days=50))
+        assert session.size_shuffles(spark, nothing) == 24
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
