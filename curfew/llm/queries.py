@@ -1,6 +1,7 @@
 """Queries of the operators on text: each takes a session and the folder of the tables."""
 
-from curfew.llm import decontamination
+import public_tokenizers
+from curfew.llm import decontamination, token_output
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -13,6 +14,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("spans")
 
 
+def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.documents_report(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op4_decontamination": op4_decontamination,
+    "op7_token_output": op7_token_output,
 }
