@@ -1,7 +1,7 @@
 """Queries of the operators on text: each takes a session and the folder of the tables."""
 
 import public_tokenizers
-from curfew.llm import decontamination, token_output
+from curfew.llm import decontamination, html_text, token_output
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -18,7 +18,12 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.documents_report(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op7_token_output": op7_token_output,
+    "op10_html_extraction": op10_html_extraction,
 }
