@@ -62,40 +62,28 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return rows.groupBy("w.pattern", "w.size").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
 
 
-class Scanner:
-    """An automaton built in the worker on first use, kept for later tasks there."""
-
-    kept: dict = {}
-
-    def __init__(self, shared):
-        self.shared = shared
-
-    def automaton(self):
-        key = self.shared.id if hasattr(self.shared, "id") else id(self.shared)
-        if key not in Scanner.kept:
-            Scanner.kept.clear()
-            machine = ahocorasick.Automaton()
-            for pattern, size, items in self.shared.value:
-                machine.add_word(pattern.decode("latin-1"), (size, items))
-            machine.make_automaton()
-            Scanner.kept[key] = machine
-        return Scanner.kept[key]
-
-    def scan(self, text: bytes) -> tuple[int, list[tuple[int, int]], set[int]]:
-        """Number of words, ranges of hit words, and items found."""
-        found = normal_words(text)
-        machine = self.automaton()
-        if not found or not len(machine):
-            return len(found), [], set()
-        line = b" " + b" ".join(found) + b" "
-        spans, items, blanks = [], set(), None
-        for end, (size, ids) in machine.iter(line.decode("latin-1")):
-            if blanks is None:
-                blanks = np.flatnonzero(np.frombuffer(line, np.uint8) == 0x20)
-            last = int(np.searchsorted(blanks, end)) - 1
-            spans.append((last - size + 1, last))
-            items.update(ids)
-        return len(found), merged(spans), items
+def automaton(patterns: list[tuple[bytes, int, list[int]]]) -> ahocorasick.Automaton:
+    machine = ahocorasick.Automaton()
+    for pattern, size, items in patterns:
+        machine.add_word(pattern.decode("latin-1"), (size, items))
+    machine.make_automaton()
+    return machine
+
+
+def scan_text(machine: ahocorasick.Automaton, text: bytes) -> tuple[int, list[tuple[int, int]], set[int]]:
+    """Number of words, ranges of hit words, and items found."""
+    found = normal_words(text)
+    if not found or not len(machine):
+        return len(found), [], set()
+    line = b" " + b" ".join(found) + b" "
+    spans, items, blanks = [], set(), None
+    for end, (size, ids) in machine.iter(line.decode("latin-1")):
+        if blanks is None:
+            blanks = np.flatnonzero(np.frombuffer(line, np.uint8) == 0x20)
+        last = int(np.searchsorted(blanks, end)) - 1
+        spans.append((last - size + 1, last))
+        items.update(ids)
+    return len(found), merged(spans), items
 
 
 def code_points(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -119,15 +107,16 @@ def blocks_of(windows: DataFrame, block_bytes: int) -> list[list[tuple[bytes, in
         yield [(bytes(r.pattern), r.size, list(r.items)) for r in part.toLocalIterator()]
 
 
-def scan_with(scanner: Scanner):
+def scan_with(machine: steps.OnWorker):
     """A function of texts and what earlier blocks found in them."""
 
     def scan(texts: pa.Array, before: pa.Array) -> pa.Array:
         data, offsets = steps.text_buffers(texts)
         data, rows = data.tobytes(), []
+        patterns = machine.get()
         for k, found in enumerate(before.to_pylist()):
             row = data[offsets[k] : offsets[k + 1]]
-            n_words, spans, items = scanner.scan(row)
+            n_words, spans, items = scan_text(patterns, row)
             if found:
                 spans = merged(spans + [(s["first"], s["last"]) for s in found["spans"]])
                 items |= set(found["items"])
@@ -153,8 +142,8 @@ def scanned(docs: DataFrame, text: str | Column, benchmark: DataFrame, into: str
     column = F.col(text) if isinstance(text, str) else text
     out = docs.withColumn(into, F.lit(None).cast(FOUND))
     for patterns in blocks_of(item_windows(benchmark, window), block_bytes):
-        scanner = Scanner(spark.sparkContext.broadcast(patterns))
-        out = out.withColumn(into, F.arrow_udf(scan_with(scanner), FOUND).asNondeterministic()(column, F.col(into)))
+        machine = steps.OnWorker(spark, patterns, automaton)
+        out = out.withColumn(into, F.arrow_udf(scan_with(machine), FOUND).asNondeterministic()(column, F.col(into)))
     return out
 
 

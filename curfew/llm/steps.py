@@ -2,6 +2,7 @@
 
 import os
 import tempfile
+import uuid
 import zipfile
 from contextlib import contextmanager
 
@@ -84,3 +85,22 @@ def fresh(name: str, taken: list[str]) -> str:
     while name.lower() in {t.lower() for t in taken}:
         name = f"_{name}"
     return name
+
+
+class OnWorker:
+    """Something that a worker builds from broadcast data on first use and keeps for
+    its later tasks, one at a time per builder."""
+
+    kept: dict = {}
+
+    def __init__(self, spark: SparkSession, data, build):
+        self.key, self.shared, self.build = uuid.uuid4().hex, spark.sparkContext.broadcast(data), build
+
+    def get(self):
+        name = self.build.__qualname__
+        key, built = OnWorker.kept.get(name, (None, None))
+        if key != self.key:
+            OnWorker.kept.pop(name, None)
+            built = self.build(self.shared.value)
+            OnWorker.kept[name] = (self.key, built)
+        return built
