@@ -1,7 +1,7 @@
 """Queries of the operators on text: each takes a session and the folder of the tables."""
 
 import public_tokenizers
-from curfew.llm import decontamination, html_text, token_output, toxicity
+from curfew.llm import decontamination, html_text, quality, token_output, toxicity
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -9,6 +9,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -27,6 +31,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op3_toxicity": op3_toxicity,
     "op4_decontamination": op4_decontamination,
     "op7_token_output": op7_token_output,
