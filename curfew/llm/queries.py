@@ -1,7 +1,7 @@
 """Queries of the operators on text: each takes a session and the folder of the tables."""
 
 import public_tokenizers
-from curfew.llm import decontamination, html_text, quality, token_output, toxicity
+from curfew.llm import decontamination, html_text, quality, token_output, toxicity, url_filter
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -26,6 +26,10 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.documents_report(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.classified(table(spark, sf_dir, "pages"))
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -35,5 +39,6 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_decontamination": op4_decontamination,
     "op7_token_output": op7_token_output,
+    "op9_url_filter": op9_url_filter,
     "op10_html_extraction": op10_html_extraction,
 }
