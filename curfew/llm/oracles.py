@@ -26,6 +26,24 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM d LEFT JOIN c ON c.doc_id = d.doc_id LEFT JOIN m ON m.doc_id = d.doc_id
 """
 
+#: Windows are compared by md5 here: 50 words each would not fit.
+OP6 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, s, md5(array_to_string(w[s : s + 49], ' ')) AS h
+      FROM (SELECT *, unnest(range(1, len(w) - 48)) AS s FROM d WHERE len(w) >= 50)),
+f AS (SELECT h, min(doc_id) AS least FROM g GROUP BY h HAVING min(doc_id) < max(doc_id)),
+c AS (SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS k FROM g JOIN f USING (h) WHERE doc_id > least)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(r.n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(r.kept, '')) AS kept_sha256
+FROM d LEFT JOIN (SELECT doc_id, count(gone) AS n_removed,
+                         string_agg(CASE WHEN gone IS NULL THEN word END, ' ' ORDER BY i) AS kept
+                  FROM (SELECT p.doc_id, p.i, p.word, c.k AS gone
+                        FROM (SELECT doc_id, i, w[i] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)) AS p
+                        LEFT JOIN c ON c.doc_id = p.doc_id AND c.k = p.i)
+                  GROUP BY doc_id) AS r ON r.doc_id = d.doc_id
+"""
+
 ORACLES = {
     "op4_decontamination": OP4,
+    "op6_substring_dedup": OP6,
 }
