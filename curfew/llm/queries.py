@@ -1,7 +1,7 @@
 """Queries of the operators on text: each takes a session and the folder of the tables."""
 
 import public_tokenizers
-from curfew.llm import decontamination, html_text, quality, substring_dedup, token_output, toxicity, url_filter
+from curfew.llm import decontamination, html_text, near_duplicates, quality, substring_dedup, token_output, toxicity, url_filter
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -22,6 +22,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("spans")
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.report(table(spark, sf_dir, "documents"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.report(table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op3_toxicity": op3_toxicity,
     "op4_decontamination": op4_decontamination,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_token_output": op7_token_output,
     "op9_url_filter": op9_url_filter,
