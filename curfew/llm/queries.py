@@ -1,7 +1,7 @@
 """Queries of the operators on text: each takes a session and the folder of the tables."""
 
 import public_tokenizers
-from curfew.llm import decontamination, html_text, near_duplicates, quality, substring_dedup, token_output, toxicity, url_filter
+from curfew.llm import decontamination, html_text, line_dedup, near_duplicates, quality, substring_dedup, token_output, toxicity, url_filter
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -34,6 +34,10 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.documents_report(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.classified(table(spark, sf_dir, "pages"))
 
@@ -49,6 +53,7 @@ QUERIES = {
     "op5_near_duplicates": op5_near_duplicates,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_token_output": op7_token_output,
+    "op8_line_dedup": op8_line_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_html_extraction": op10_html_extraction,
 }
