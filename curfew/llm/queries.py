@@ -1,7 +1,7 @@
 """Queries of the operators on text: each takes a session and the folder of the tables."""
 
 import public_tokenizers
-from curfew.llm import decontamination, html_text, line_dedup, near_duplicates, quality, substring_dedup, token_output, toxicity, url_filter
+from curfew.llm import decontamination, html_text, line_dedup, mixing, near_duplicates, quality, substring_dedup, token_output, toxicity, url_filter
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -13,6 +13,14 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+#: Shares of the words of the mix, by domain.
+WEIGHTS = {"clean": 0.9, "poor": 0.06, "toxic": 0.04}
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), WEIGHTS)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -48,6 +56,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_mixing": op2_mixing,
     "op3_toxicity": op3_toxicity,
     "op4_decontamination": op4_decontamination,
     "op5_near_duplicates": op5_near_duplicates,

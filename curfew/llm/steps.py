@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from curfew.session import shared_folder
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -104,3 +105,13 @@ class OnWorker:
             built = self.build(self.shared.value)
             OnWorker.kept[name] = (self.key, built)
         return built
+
+
+def hash_sample(rows: DataFrame, key: str, size: int) -> DataFrame:
+    """About ``size`` rows, and never more: those with the least hashes of ``key``. Only
+    rows under a threshold that the count of all rows gives are ordered."""
+    total = rows.count()
+    bits = F.xxhash64(key).bitwiseAND(F.lit((1 << 30) - 1))
+    if total > size:
+        rows = rows.filter(bits < F.lit(int((1 << 30) * min(1.0, 1.05 * size / total))))
+    return written(rows.orderBy(F.xxhash64(key), *rows.columns).limit(size))
