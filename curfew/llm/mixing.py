@@ -67,6 +67,12 @@ def domain_of_labels(labels: DataFrame) -> DataFrame:
     return known.groupBy("doc_id").agg(F.max(domain).alias("domain"))
 
 
+def quality_of_labels(labels: DataFrame) -> DataFrame:
+    """doc_id and domain from quality alone: poor or clean."""
+    known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL")
+    return known.groupBy("doc_id").agg(F.max(F.when(F.col("quality") == 0, "poor").otherwise("clean")).alias("domain"))
+
+
 class Classifier:
     """Lists of telling words, cuts of the statistics, and log chances by domain."""
 
@@ -194,7 +200,9 @@ def fitted(rows: DataFrame, targets: list[float], target_words: float | None = N
             F.col("n_words") > 0, F.greatest(F.lit(0.0), F.col("rate") + move)).otherwise(F.col("rate")))
         if step % EVERY == 0:
             state = steps.written(state)
-        reached = [x or 0.0 for x in state.agg(*expected(F.col("rate"))).first()]
+        before, reached = reached, [x or 0.0 for x in state.agg(*expected(F.col("rate"))).first()]
+        if max(abs(x - y) for x, y in zip(before, reached)) <= TOLERANCE / 100 * total:
+            break
     return state, wanted, reached
 
 
@@ -224,9 +232,9 @@ def report(docs: DataFrame, labels: DataFrame, weights: dict[str, float]) -> Dat
     return state.select("doc_id", "n_words", *names, "rate", copies(F.col("rate")).alias("copies"))
 
 
-def mixed(docs: DataFrame, labels: DataFrame, weights: dict[str, float], target_words: float | None = None) -> DataFrame:
+def mixed(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], target_words: float | None = None) -> DataFrame:
     """The rows of ``docs``, all columns, each as often as its copies."""
-    state, _ = rates(docs, domain_of_labels(labels), weights, target_words)
+    state, _ = rates(docs, labelled, weights, target_words)
     n, own, doc = (steps.fresh(x, docs.columns) for x in ("copies", "own", "doc"))
     counts = state.select(F.col("doc_id").alias(doc), F.col("own").alias(own), copies(F.col("rate")).alias(n)).distinct()
     held = docs.join(counts, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.xxhash64("text") == F.col(own)))
