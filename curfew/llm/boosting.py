@@ -45,7 +45,7 @@ def bin_edges(x: np.ndarray, bins: int = BINS) -> list[np.ndarray]:
     """Cuts between the quantiles of each feature."""
     out = []
     for column in x.T:
-        distinct = np.unique(np.quantile(column, np.linspace(0, 1, bins + 1), method="nearest"))
+        distinct = np.unique(np.quantile(column, np.linspace(0, 1, bins), method="nearest"))
         out.append((distinct[1:] + distinct[:-1]) / 2)
     return out
 

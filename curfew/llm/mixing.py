@@ -22,6 +22,7 @@ greater. Without labels all rows are of one domain.
 """
 
 from functools import reduce
+from math import log, sqrt
 
 from curfew.llm import steps
 from pyspark.sql import Column, DataFrame
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 SAMPLE = 20_000
 LIST = 64
 BINS = 8
-ROUNDS, EVERY = 60, 6
+ROUNDS, EVERY = 100, 6
 TOLERANCE = 1e-4
 FLOOR = 1e-3
 
@@ -160,22 +161,16 @@ def posteriors(docs: DataFrame, model: Classifier) -> DataFrame:
     for d in model.domains:
         parts = [
             F.element_at(F.expr("array(" + ",".join(
-                f"{logarithm(model.chances[d, n, k])}D" for k in range(len(model.cuts[n]) + 1)) + ")"), F.col(n))
+                f"{log(model.chances[d, n, k])}D" for k in range(len(model.cuts[n]) + 1)) + ")"), F.col(n))
             for n in names
         ]
-        scores.append(reduce(lambda a, b: a + b, parts, F.lit(logarithm(model.prior[d]))))
+        scores.append(reduce(lambda a, b: a + b, parts, F.lit(log(model.prior[d]))))
     scored = binned.select(*[c for c in binned.columns if c not in names], F.array(*scores).alias("score"))
     raised = scored.withColumn("score", F.transform("score", lambda s: F.exp(s - F.array_max("score"))))
     total = F.aggregate("score", F.lit(0.0), lambda a, b: a + b)
     return raised.withColumn("p", F.transform("score", lambda s: s / total)).drop("score")
 
 
-def logarithm(value: float) -> float:
-    from math import log
-
-    return log(value)
-
-
 def fitted(rows: DataFrame, targets: list[float], target_words: float | None = None) -> tuple[DataFrame, list[float], list[float]]:
     """``rows`` (n_words, p) with a column ``rate``; the words wanted and those reached.
 
@@ -189,21 +184,28 @@ def fitted(rows: DataFrame, targets: list[float], target_words: float | None = N
     total = sum(now)
     wanted = [w / sum(targets) * (target_words or total) for w in targets]
     scale = [max(x, FLOOR * total, 1e-9) for x in now]
-    state = rows.withColumn("rate", F.lit(1.0))
-    reached = now
+    state = rows.withColumn("rate", F.lit(1.0)).withColumn("past", F.lit(1.0))
+    reached, before, pace = now, now, 1.0
+    miss = lambda e: sum(((wanted[j] - e[j]) ** 2) / scale[j] for j in k)
     for step in range(1, ROUNDS + 1):
-        gaps = [(wanted[j] - reached[j]) / scale[j] for j in k]
-        if max(map(abs, (wanted[j] - reached[j] for j in k))) <= TOLERANCE * max(total, 1e-9):
+        if max(abs(wanted[j] - reached[j]) for j in k) <= TOLERANCE * max(total, 1e-9):
             break
+        # The words expected are linear in the rates, so those ahead need no pass.
+        pace = pace if miss(reached) <= miss(before) else 1.0
+        next_pace = (1 + sqrt(1 + 4 * pace**2)) / 2
+        push = (pace - 1) / next_pace
+        pace = next_pace
+        gaps = [(wanted[j] - reached[j] - push * (reached[j] - before[j])) / scale[j] for j in k]
         move = reduce(lambda a, b: a + b, [F.col("p")[j] * F.lit(gaps[j]) for j in k])
-        state = state.withColumn("rate", F.when(
-            F.col("n_words") > 0, F.greatest(F.lit(0.0), F.col("rate") + move)).otherwise(F.col("rate")))
+        ahead = F.col("rate") + F.lit(push) * (F.col("rate") - F.col("past"))
+        new = F.when(F.col("n_words") > 0, F.greatest(F.lit(0.0), ahead + move)).otherwise(F.col("rate"))
+        state = state.select(*rows.columns, new.alias("rate"), F.col("rate").alias("past"))
         if step % EVERY == 0:
             state = steps.written(state)
         before, reached = reached, [x or 0.0 for x in state.agg(*expected(F.col("rate"))).first()]
         if max(abs(x - y) for x, y in zip(before, reached)) <= TOLERANCE / 100 * total:
             break
-    return state, wanted, reached
+    return state.drop("past"), wanted, reached
 
 
 def rates(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], target_words: float | None = None) -> tuple[DataFrame, Classifier]:

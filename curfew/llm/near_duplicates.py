@@ -250,8 +250,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, node (hash of the text), class_id and
-    class_size, the number of rows in the class."""
+    """One row per row of ``docs``: doc_id, node (hash of the text), label (least node of
+    the class), class_id and class_size, the number of rows in the class."""
     spark = docs.sparkSession
     steps.ship(spark)
     docs = docs.select("doc_id", "text")
@@ -288,24 +288,26 @@ def classes(docs: DataFrame) -> DataFrame:
     joined = firsts.join(labels, "node", "left").select("node", "first", "n", F.coalesce("label", "node").alias("label"))
     joined = steps.written(joined)
     sizes = joined.groupBy("label").agg(F.min("first").alias("class_id"), F.sum("n").alias("class_size"))
-    known = joined.select("node", "label").join(sizes, "label").select("node", "class_id", "class_size")
-    return slim.join(known, "node").select("doc_id", "node", "class_id", "class_size")
+    known = joined.select("node", "label").join(sizes, "label")
+    return slim.join(known, "node").select("doc_id", "node", "label", "class_id", "class_size")
 
 
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, class_size, and whether the row is the one that stays."""
-    found = classes(docs).drop("node")
+    found = classes(docs).drop("node", "label")
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.col("class_id").isNull()))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, one of each class: that of the least doc_id, and
-    of rows with this id the first by text."""
-    found = classes(docs)
-    name = steps.fresh("node", docs.columns)
-    stays = found.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class_id").agg(F.min("node").alias(name))
-    rows = docs.withColumn(name, F.expr(NODE))
-    kept = rows.join(
-        stays.withColumnRenamed("class_id", f"{name}_id"),
-        rows["doc_id"].eqNullSafe(F.col(f"{name}_id")) & (rows[name] == stays[name]), "left_semi").drop(name)
-    return kept
+    """The rows of ``docs``, all columns, one of each class: that of the least doc_id, of
+    rows with this id that of the least hash, and of equal rows any."""
+    found = steps.written(classes(docs))
+    node, doc = (steps.fresh(x, docs.columns) for x in ("node", "doc"))
+    stays = found.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("label").agg(
+        F.min("class_id").alias(doc), F.min("node").alias("least"), F.count("*").alias("n"))
+    rows = docs.withColumn(node, F.expr(NODE))
+    same = F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(node) == F.col(f"{node}_least"))
+    kept = rows.join(stays.select(doc, F.col("least").alias(f"{node}_least")), same, "left_semi")
+    if not stays.filter("n > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id", node])
+    return kept.drop(node)
