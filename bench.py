@@ -60,7 +60,7 @@ def main() -> None:
     load()
     seconds = {"load_facts": timed(load)}
     fact = warehouse.scan(spark, f"{root}/facts")
-    day = warehouse.newest_day(fact)
+    day = warehouse.newest_folder_day(spark, f"{root}/facts")
     first = day - timedelta(days=29)
 
     reports = {

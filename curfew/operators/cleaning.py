@@ -21,6 +21,7 @@ def has_required(trimmed: bool = True) -> Column:
 
 
 def has_valid_duration() -> Column:
+    """Whole seconds within the bounds; a length that is no whole number is refused."""
     seconds = F.col("online_duration").try_cast("int")
     return seconds.between(V.MIN_SESSION_SECONDS, V.MAX_SESSION_SECONDS)
 

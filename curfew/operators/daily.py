@@ -121,8 +121,10 @@ def minor_profile(fact: DataFrame, day: date) -> DataFrame:
 
 
 def ods_check(raw: DataFrame, day: date) -> DataFrame:
-    return raw.filter(F.col("dt") == day_key(day)).groupBy("dt").agg(
-        F.count(F.lit(1)).alias("record_count"),
+    folded = raw.filter(F.col("dt") == day_key(day)).groupBy("dt", "player_id", "game_id").agg(
+        F.count(F.lit(1)).alias("n"))
+    return folded.groupBy("dt").agg(
+        F.sum("n").alias("record_count"),
         F.count_distinct("player_id").alias("unique_players"),
         F.count_distinct("game_id").alias("unique_games"),
     )

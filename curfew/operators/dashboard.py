@@ -138,6 +138,11 @@ def rank_index(df: DataFrame, order: list, n: int) -> DataFrame:
     return top(df, order, n).withColumn("rank_index", F.row_number().over(Window.orderBy(*order)))
 
 
+def numbered(groups: DataFrame, order: list) -> DataFrame:
+    """All rows with their 1-based position; for results of few groups, whatever their number."""
+    return groups.withColumn("rank_index", F.row_number().over(Window.orderBy(*order)))
+
+
 def ranking_order() -> list:
     return [F.desc("max_risk_level"), F.desc("total_hours"), F.col("player_id")]
 

@@ -14,6 +14,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curfew.functions import rules
 from curfew.operators import cleaning, daily, standardize
 from curfew.session import build_session, size_shuffles
 from curfew.sinks import tables
@@ -59,7 +60,7 @@ def day_facts(spark: SparkSession, layers: Layers, day: date, lateness_days: int
     scanned = raw_days(spark, layers, day, lateness_days)
     if lateness_days is None:
         return clean_facts(scanned, day)
-    of_day = scanned.filter(F.substring("login_time", 1, 10).try_cast("date") == F.lit(day))
+    of_day = scanned.filter(F.to_date(rules.parse_time(F.col("login_time"))) == F.lit(day))
     return clean_facts(of_day, None)
 
 

@@ -6,7 +6,7 @@ windows, so that it shares no step with the DataFrame functions.
 
 from curfew import schema
 from curfew.functions import fixed_values as V
-from curfew.plans.queries import LOOKUP_PLAYER, RANGE_DAYS
+from curfew.plans.queries import LOOKUP_PLAYER
 
 
 def quoted(text: str) -> str:
@@ -186,7 +186,7 @@ def since(days) -> str:
     return f"dt >= (SELECT d FROM newest) - {days - 1} AND dt <= (SELECT d FROM newest)"
 
 
-RANGE = since(RANGE_DAYS)
+RANGE = "dt IS NOT NULL"
 
 ORACLES: dict[str, str] = {}
 
@@ -244,13 +244,15 @@ on_fact("replace_day", f"SELECT {FACT_LIST} FROM beh, newest WHERE dt < d OR {MI
 on_raw("labelled_load", f"""SELECT {NULL_TEXT}, dt, 'newest' AS load_label FROM raw, newest
   WHERE dt = strftime(d, '%Y%m%d') AND online_duration <> 'abc'
   UNION ALL SELECT {NULL_TEXT}, dt, 'before' FROM raw, newest
-  WHERE dt = strftime(d - 1, '%Y%m%d') AND online_duration <> 'abc'""")
-on_fact("table_layout", f"SELECT {FACT_LIST} FROM beh WHERE {ON_DAY}")
+  WHERE dt <> strftime(d, '%Y%m%d') AND online_duration <> 'abc'""")
+on_fact("table_layout", f"SELECT {FACT_LIST} FROM beh")
+on_raw("retention_raw", """SELECT dt, count(*) AS record_count FROM raw, newest
+  WHERE strptime(dt, '%Y%m%d') >= d - 10 GROUP BY dt""")
 OVERVIEW = f"""SELECT dt, count(*) AS total_rows, {cd()} AS players, {cd(MINOR)} AS minors,
   {cd(RISK)} AS at_risk FROM beh"""
 on_fact("retention", f"{OVERVIEW} WHERE {since(11)} GROUP BY dt")
 on_fact("add_column", f"""SELECT dt, player_id, login_time, CASE WHEN dt = d THEN risk_label END AS risk_label
-  FROM beh, newest WHERE {since(2)}""")
+  FROM beh, newest""")
 on_fact("compact_output", f"SELECT {FACT_LIST} FROM beh")
 
 # --- filters and cleaning ------------------------------------------------------
@@ -676,6 +678,7 @@ _checks["duplicates"] = [check_sql(
     f"(SELECT player_id, login_time FROM beh WHERE {ON_DAY} GROUP BY ALL HAVING count(*) > 1)")]
 for _group, _parts in _checks.items():
     on_fact(f"dq_{_group}", "\nUNION ALL ".join(_parts))
+on_fact("dq_future_dt", check_sql("future_dt", "FAIL", cnt("dt > d - 1"), "beh, newest"))
 on_fact("dq_report", "\nUNION ALL ".join(part for parts in _checks.values() for part in parts))
 
 # --- streaming and the daily job -----------------------------------------------
@@ -692,23 +695,21 @@ on_raw("stream_arrival_check", f"""SELECT count(*) AS arrived_rows, {cnt(f"playe
 on_raw("stream_microbatch_load", "SELECT count(*) AS loaded_rows FROM raw")
 on_raw("stream_dedup", f"SELECT DISTINCT {NULL_TEXT} FROM raw")
 ORACLES["stream_label"] = f"WITH {STREAM}\nSELECT {FACT_LIST} FROM beh WHERE risk_label = 3"
-# A window is out once its end lies ten minutes before the newest login.
 ORACLES["stream_active_30m"] = f"""WITH {STREAM},
 placed AS (
   SELECT player_id, time_bucket(INTERVAL 5 MINUTE, login_time) - to_minutes(CAST(5 * k AS INTEGER)) AS window_start
   FROM beh, range(6) AS offsets(k))
 SELECT window_start, window_start + INTERVAL 30 MINUTE AS window_end, {cd()} AS active_players, count(*) AS row_count
 FROM placed
-WHERE window_start + INTERVAL 30 MINUTE <= (SELECT max(login_time) FROM beh) - INTERVAL 10 MINUTE
 GROUP BY window_start"""
 ORACLES["stream_daily_risk"] = f"""WITH {STREAM}
-SELECT dt, {cd()} AS active_players, {cd(RISK)} AS at_risk_players, {per_label('label_')} FROM beh
-WHERE dt + 1 <= (SELECT max(login_time) FROM beh) - INTERVAL 1 DAY GROUP BY dt"""
+SELECT dt, {cd()} AS active_players, {cd(RISK)} AS at_risk_players, {per_label('label_')} FROM beh GROUP BY dt"""
 ORACLES["daily_job_facts"] = f"WITH {CLEAN}\nSELECT {FACT_LIST} FROM beh WHERE {since(2)}"
 ORACLES["daily_job_stats"] = f"WITH {CLEAN}\nSELECT {STATS_LIST} FROM beh WHERE {since(2)} GROUP BY dt"
 ORACLES["daily_cycle_sync"] = f"""WITH {CLEAN}
 SELECT dt, count(*) AS rows_a, count(*) AS rows_b, CAST(0 AS BIGINT) AS row_diff FROM beh
 WHERE {since(3)} GROUP BY dt"""
+ORACLES["daily_cycle_gap"] = f"WITH {CLEAN}\nSELECT dt, count(*) AS record_count FROM beh WHERE {since(4)} GROUP BY dt"
 on_fact("roster_after_day", """SELECT player_id, min(dt) AS first_seen, max(dt) AS last_active
 FROM (SELECT * FROM beh, newest WHERE dt = d OR player_id IN
   (SELECT player_id FROM beh, newest WHERE dt < d GROUP BY player_id, d HAVING max(dt) >= d - 15))

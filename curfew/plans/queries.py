@@ -24,7 +24,6 @@ from curfew.streaming import sources as stream_sources
 Query = Callable[[SparkSession, str], DataFrame]
 
 LOOKUP_PLAYER = "P00000007"
-RANGE_DAYS = 30
 QUERIES: dict[str, Query] = {}
 
 
@@ -42,7 +41,7 @@ def raw(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def report_day(spark: SparkSession, folder: str) -> date:
-    return warehouse.newest_day(fact(spark, folder))
+    return sessions.newest_day(sessions.read_events(spark, folder))
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -81,8 +80,8 @@ def of_day(build: Callable[[DataFrame, date], DataFrame]) -> Query:
 
 def of_range(build: Callable[[DataFrame, date, date], DataFrame]) -> Query:
     def run(spark, folder):
-        last = report_day(spark, folder)
-        return plain(build(fact(spark, folder), last - timedelta(days=RANGE_DAYS - 1), last))
+        first, last = sessions.day_range(sessions.read_events(spark, folder))
+        return plain(build(fact(spark, folder), first, last))
 
     return run
 
@@ -143,17 +142,11 @@ QUERIES["dwd_scan_dates"] = of_day(
 QUERIES["latest_dt"] = of_fact(warehouse.latest_day)
 
 
-def fact_table(spark: SparkSession, folder: str, buckets: int = 0, days: int | None = None) -> str:
-    """A catalog table of the fact, filled day by day or at once."""
+def fact_table(spark: SparkSession, folder: str, buckets: int = 0) -> str:
+    """A catalog table of the whole fact."""
     table, root = new_table(spark, "facts")
     tables.create_fact_table(spark, table, root, buckets)
-    if days is None:
-        tables.write_dwd(fact(spark, folder), root)
-        spark.sql(f"MSCK REPAIR TABLE {table}")
-    else:
-        last = report_day(spark, folder)
-        for back in range(days):
-            tables.write_table_day(fact(spark, folder), table, last - timedelta(days=back), bucketed=buckets > 0)
+    tables.write_table_days(fact(spark, folder), table, bucketed=buckets > 0)
     return table
 
 
@@ -238,40 +231,54 @@ def replace_day(spark, folder):
 
 @query
 def labelled_load(spark, folder):
-    """Two loads under two labels, one of them tried twice: each counts once."""
+    """All days under two labels, one of them tried twice: each counts once."""
     root, day = f"{shared_folder(spark)}/loads", report_day(spark, folder)
     marked = raw_source.read_marked(spark, raw_folder(spark, folder))
-    for label, back in [("newest", 0), ("newest", 0), ("before", 1)]:
-        key = raw_source.day_key(day - timedelta(days=back))
-        ledger.labelled_load(marked.filter(F.col("dt") == key), root, label, 0.3)
+    newest = F.col("dt") == raw_source.day_key(day)
+    for label, rows in [("newest", newest), ("newest", newest), ("before", ~newest)]:
+        ledger.labelled_load(marked.filter(rows), root, label, 0.3)
     layout = schema.ddl([*[(name, "string") for name in schema.RAW_FIELDS], ("dt", "string")])
     return ledger.loaded_rows(spark, root, layout)
 
 
 @query
 def table_layout(spark, folder):
-    """A bucketed table of the newest day, written twice."""
-    table = fact_table(spark, folder, buckets=4, days=1)
-    tables.write_table_day(fact(spark, folder), table, report_day(spark, folder), bucketed=True)
+    """A bucketed table of all days, the newest written twice."""
+    table, day = fact_table(spark, folder, buckets=4), report_day(spark, folder)
+    tables.write_table_day(warehouse.on_day(fact(spark, folder), day), table, day, bucketed=True)
     return fact_columns(spark.table(table))
 
 
 @query
 def retention(spark, folder):
+    """Days older than ten are gone, also from the folder: a repair finds none of them."""
     table = fact_table(spark, folder)
     tables.retention(spark, table, report_day(spark, folder), 10)
+    spark.sql(f"MSCK REPAIR TABLE {table}")
     return plain(daily.daily_overview(spark.table(table)))
 
 
+@query
+def retention_raw(spark, folder):
+    """Raw days and their files older than ten days; a repair finds none of them again."""
+    table, _ = new_table(spark, "raw")
+    raw_source.create_raw_table(spark, table, raw_folder(spark, folder))
+    raw_source.discover_days(spark, table)
+    tables.retention(spark, table, report_day(spark, folder), 10)
+    raw_source.discover_days(spark, table)
+    return spark.table(table).groupBy("dt").agg(F.count(F.lit(1)).alias("record_count"))
+
+
 @query
 def add_column(spark, folder):
     table, root = new_table(spark, "facts")
     tables.create_fact_table(spark, table, root, 0, with_label=False)
     last = report_day(spark, folder)
-    tables.write_table_day(fact(spark, folder), table, last - timedelta(days=1))
+    rows = fact(spark, folder)
+    tables.write_table_days(rows.filter(F.col("dt") < F.lit(last)), table)
     tables.add_column(spark, table, "risk_label", "int")
     tables.add_column(spark, table, "risk_label", "int")
-    tables.write_table_day(fact(spark, folder), table, last)
+    tables.write_table_day(warehouse.on_day(rows, last), table, last)
     return spark.table(table).select("dt", "player_id", "login_time", "risk_label")
 
 
@@ -480,13 +487,13 @@ QUERIES["top200_streaks"] = of_range(
 QUERIES["top500_export"] = of_range(lambda f, a, b: dashboard.rank_index(
     analysis.curfew_breaches(f, a, b), dashboard.severity_order(), 500).select(
         *session_key("rank_index", "risk_label", "online_duration_min")))
-QUERIES["order_by_bucket_min"] = of_day(lambda f, d: dashboard.rank_index(
-    dashboard.duration_dist_with_order(f, d), [F.col("shortest")], 6))
-QUERIES["custom_order"] = of_day(lambda f, d: dashboard.rank_index(
+QUERIES["order_by_bucket_min"] = of_day(lambda f, d: dashboard.numbered(
+    dashboard.duration_dist_with_order(f, d), [F.col("shortest")]))
+QUERIES["custom_order"] = of_day(lambda f, d: dashboard.numbered(
     warehouse.on_day(f, d).groupBy("login_period").agg(F.count(F.lit(1)).alias("record_count")),
-    [classes.custom_order("login_period", [V.DAYTIME, V.EVENING, V.NIGHT])], 3))
-QUERIES["order_by_ordinal"] = of_day(lambda f, d: dashboard.rank_index(
-    analysis.minor_duration_dist(f, d), [F.col("duration_range")], 7))
+    [classes.custom_order("login_period", [V.DAYTIME, V.EVENING, V.NIGHT])]))
+QUERIES["order_by_ordinal"] = of_day(lambda f, d: dashboard.numbered(
+    analysis.minor_duration_dist(f, d), [F.col("duration_range")]))
 
 QUERIES["kpi_payload"] = of_day(reshape.kpi_payload)
 QUERIES["duration_payload"] = of_day(reshape.duration_payload)
@@ -505,6 +512,8 @@ QUERIES["flow_edges"] = of_day(
 QUERIES["dq_report"] = of_day(lambda f, d: quality.dq_report(f, d, d))
 for _name in quality.check_names():
     QUERIES[f"dq_{_name}"] = of_day(lambda f, d, name=_name: quality.dq_report(f, d, d, [name]))
+# A day before the newest as today, so that there are rows ahead of it.
+QUERIES["dq_future_dt"] = of_day(lambda f, d: quality.dq_report(f, d, d - timedelta(days=1), ["future_dt"]))
 
 # --- streaming -----------------------------------------------------------------
 
@@ -585,19 +594,34 @@ def stream_label(spark, folder):
 
 @query
 def stream_dedup(spark, folder):
-    return _through_stream(spark, folder, lambda s: stream_operators.stream_dedup(s).drop("event_time"))
+    """Two streams over the same files in several batches: copies within, across and after them."""
+    root, logs = shared_folder(spark), raw_folder(spark, folder)
+    for name in ["first", "again"]:
+        stream = stream_sources.stream_source(spark, logs, max_files=6)
+        stream_sinks.stream_dedup_load(stream, f"{root}/out", f"{root}/{name}").awaitTermination()
+    found = spark.read.schema(
+        f"{schema.ddl([(name, 'string') for name in schema.RAW_FIELDS])}, {stream_sinks.DEDUP_DDL}").parquet(f"{root}/out")
+    return found.select(*schema.RAW_FIELDS)
+
+
+def _parts(spark: SparkSession, folder: str, fold: Callable[[DataFrame], DataFrame], layout: str) -> DataFrame:
+    """Parts that a stream of several batches has written."""
+    stream = stream_operators.stream_facts(stream_sources.stream_source(spark, raw_folder(spark, folder), max_files=10))
+    root = shared_folder(spark)
+    stream_sinks.stream_parts(stream, fold, f"{root}/parts", f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema(layout).parquet(f"{root}/parts")
 
 
 @query
 def stream_active_30m(spark, folder):
-    return _through_stream(
-        spark, folder, lambda s: stream_operators.stream_active_30m(stream_operators.stream_facts(s)))
+    parts = _parts(spark, folder, stream_operators.active_parts, stream_operators.ACTIVE_PARTS)
+    return stream_operators.active_so_far(parts)
 
 
 @query
 def stream_daily_risk(spark, folder):
-    return _through_stream(
-        spark, folder, lambda s: stream_operators.stream_daily_risk(stream_operators.stream_facts(s)))
+    parts = _parts(spark, folder, stream_operators.risk_parts, stream_operators.RISK_PARTS)
+    return stream_operators.risk_so_far(parts)
 
 
 # --- the daily job -------------------------------------------------------------
@@ -628,8 +652,24 @@ def daily_cycle_sync(spark, folder):
     """A cycle three days back, then one that catches up; rows of both layers per loaded day."""
     root, last = shared_folder(spark), report_day(spark, folder)
     layers = daily_job.Layers.under(raw_folder(spark, folder), root)
-    daily_cycle.run_cycle(spark, layers, f"{root}/serving", last - timedelta(days=3))
-    return daily_cycle.run_cycle(spark, layers, f"{root}/serving", last).sync
+    since = last - timedelta(days=3)
+    daily_cycle.run_cycle(spark, layers, f"{root}/serving", since, since=since)
+    return daily_cycle.run_cycle(spark, layers, f"{root}/serving", last, since=since).sync
+
+
+@query
+def daily_cycle_gap(spark, folder):
+    """The raw files of a day come after a cycle has passed it: the next one loads it."""
+    root, last = shared_folder(spark), report_day(spark, folder)
+    logs, late = f"{root}/raw", last - timedelta(days=2)
+    rows, key = raw(spark, folder), raw_source.day_key(late)
+    raw_source.write_raw_lines(rows.filter(F.col("dt") != key), logs)
+    layers, since = daily_job.Layers.under(logs, root), last - timedelta(days=3)
+    daily_cycle.run_cycle(spark, layers, f"{root}/serving", last - timedelta(days=1), since=since)
+    raw_source.write_raw_lines(rows.filter(F.col("dt") == key), logs, append=True)
+    daily_cycle.run_cycle(spark, layers, f"{root}/serving", last, since=since)
+    served = warehouse.scan_serving(spark, f"{root}/serving")
+    return served.groupBy("dt").agg(F.count(F.lit(1)).alias("record_count"))
 
 
 @query

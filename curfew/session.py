@@ -1,5 +1,6 @@
 """Session settings for cluster runs, and the shared folder for written steps."""
 
+import logging
 import tempfile
 import uuid
 
@@ -7,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PARTITION_BYTES = 128 * 1024 * 1024
-MAX_REDUCE_TASKS = 50_000
 UNKNOWN_BYTES = 2**60
 
 SETTINGS = {
@@ -30,21 +30,21 @@ def build_session(app_name: str = "curfew", hive: bool = False, **extra: str) ->
         builder = builder.enableHiveSupport()
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    if "spark.sql.shuffle.partitions" not in extra:
-        size_shuffles(spark)
-    return spark
+    return builder.getOrCreate()
 
 
 def size_shuffles(spark: SparkSession, scanned: DataFrame | None = None) -> int:
-    """Set the number of reduce tasks: three per core, or one per 128 MB scanned if
-    that is more. Adaptive execution merges what turns out small, but splits a
-    shuffle no further, so the number must suit the largest one."""
-    count = 3 * spark.sparkContext.defaultParallelism
+    """Set the number of reduce tasks: one per 128 MB scanned, and at least as many as
+    configured. Adaptive execution merges what turns out small, but splits a
+    shuffle no further, so the number must suit the largest one. The cores that
+    are there at the start do not count: more may come."""
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if scanned is not None:
         size = int(scanned._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
         if size < UNKNOWN_BYTES:
-            count = max(count, min(MAX_REDUCE_TASKS, -(-size // PARTITION_BYTES)))
+            count = max(count, -(-size // PARTITION_BYTES))
+        else:
+            logging.getLogger(__name__).warning("size of the scan is unknown; %d reduce tasks", count)
     spark.conf.set("spark.sql.shuffle.partitions", str(count))
     return count
 
@@ -53,12 +53,12 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     """A session for stateful streams beside a batch session.
 
     A stream keeps one state store per shuffle partition, and their number is
-    fixed with its checkpoint, unlike a batch's, which merges as it runs. One
-    per core unless given.
+    fixed with its checkpoint, unlike a batch's, which merges as it runs. Give
+    it by the size the state will have; otherwise the configured one is kept.
     """
     own = spark.newSession()
     for key, value in {
-        "spark.sql.shuffle.partitions": str(state_partitions or spark.sparkContext.defaultParallelism),
+        "spark.sql.shuffle.partitions": str(state_partitions or spark.conf.get("spark.sql.shuffle.partitions")),
         "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
         "spark.sql.session.timeZone": spark.conf.get("spark.sql.session.timeZone"),
     }.items():

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from curfew import schema
-from curfew.sources.warehouse import on_day, on_days, partition_days
+from curfew.sources.warehouse import delete_folder, folder_days, on_day, on_days, partition_days
 
 # Lookups by player and game skip stripes by bloom filter.
 BLOOM_COLUMNS = "player_id,game_id"
@@ -39,11 +39,16 @@ def write_days(rows: DataFrame, root: str, compact: bool = True) -> None:
     _orc(rows).partitionBy("dt").option("partitionOverwriteMode", "dynamic").save(root)
 
 
+def only_day(rows: DataFrame, day: date) -> DataFrame:
+    """The rows, of which one of another day fails the job that reads them."""
+    other = F.concat(F.lit("row outside of the replaced day: "), F.coalesce(F.col("dt").cast("string"), F.lit("NULL")))
+    refused = F.raise_error(other).cast("date")
+    return rows.withColumn("dt", F.when(F.col("dt") == F.lit(day), F.col("dt")).otherwise(refused))
+
+
 def write_day(rows: DataFrame, root: str, day: date, compact: bool = False) -> None:
     """Replace one day by ``rows``, also by none; rows of other days are refused."""
-    other = F.concat(F.lit("row outside of the replaced day: "), F.col("dt").cast("string"))
-    refused = F.raise_error(other).cast("date")
-    checked = rows.withColumn("dt", F.when(F.col("dt") == F.lit(day), F.col("dt")).otherwise(refused))
+    checked = only_day(rows, day)
     written = Observation()
     write_days(checked.observe(written, F.count(F.lit(1)).alias("n")), root, compact)
     if written.get["n"] == 0:
@@ -103,7 +108,7 @@ def _create(spark: SparkSession, table: str, columns, root: str | None, clustere
     )
 
 
-def create_fact_table(spark: SparkSession, table: str, root: str | None = None, buckets: int = 32,
+def create_fact_table(spark: SparkSession, table: str, root: str | None = None, buckets: int = 0,
                       with_label: bool = True) -> None:
     """Day partitions, buckets by player sorted by login, bloom filters.
 
@@ -121,7 +126,7 @@ def create_stats_table(spark: SparkSession, table: str, root: str | None = None)
 
 
 def write_table_day(rows: DataFrame, table: str, day: date, bucketed: bool = False) -> None:
-    """Replace one day of a catalog table, also by nothing.
+    """Replace one day of a catalog table, also by nothing; rows of other days are refused.
 
     Columns go by name; those of the table that the rows lack become NULL. For a
     bucketed table rows are first brought together by player, so that a task
@@ -133,13 +138,26 @@ def write_table_day(rows: DataFrame, table: str, day: date, bucketed: bool = Fal
         for name, kind in spark.table(table).dtypes if name != "dt"
     ]
     hint = "/*+ REBALANCE(player_id) */" if bucketed else ""
+    # The day itself is a constant of the insert; the filter keeps its check in the plan.
+    checked = only_day(rows, day).filter(F.col("dt").isNotNull())
     spark.sql(
         f"INSERT OVERWRITE TABLE {table} PARTITION (dt = DATE '{day:%Y-%m-%d}') "
         f"SELECT {hint} {', '.join(columns)} FROM {{rows}}",
-        rows=on_day(rows, day),
+        rows=checked,
     )
 
 
+def write_table_days(rows: DataFrame, table: str, bucketed: bool = False) -> None:
+    """Replace in a catalog table exactly the days that occur in ``rows``, in one job."""
+    have = set(rows.columns)
+    columns = [
+        F.col(name) if name in have else F.lit(None).cast(kind).alias(name)
+        for name, kind in rows.sparkSession.table(table).dtypes
+    ]
+    rows = rows.hint("rebalance", "dt", "player_id") if bucketed else compact_output(rows)
+    rows.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+
+
 def add_column(spark: SparkSession, table: str, name: str, kind: str) -> None:
     """Add a column unless the table has it; older days read it as NULL."""
     if name not in spark.table(table).columns:
@@ -147,14 +165,28 @@ def add_column(spark: SparkSession, table: str, name: str, kind: str) -> None:
 
 
 def retention(spark: SparkSession, table: str, day: date, keep_days: int) -> list[date]:
-    """Drop the days older than ``keep_days`` before ``day``; returns them.
+    """Delete the days older than ``keep_days`` before ``day``; returns them.
 
-    Works on the catalog's list of days; no data is read.
+    Works on the catalog's list of days; no data is read. A table with a folder of
+    its own keeps its files when a day is dropped from the catalog, so the folder
+    of the day is deleted too; a repair of the table does not bring it back. Days
+    may be keyed as dates or, as in raw tables, as yyyyMMdd.
     """
     limit = day - timedelta(days=keep_days)
-    listed = partition_days(spark, table).filter(F.col("dt") < F.lit(limit))
-    old = sorted(row["dt"] for row in listed.collect())
-    if old:
-        specs = ", ".join(f"PARTITION (dt = DATE '{dt:%Y-%m-%d}')" for dt in old)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
-    return old
+    listed = partition_days(spark, table, with_key=True).filter(F.col("dt") < F.lit(limit))
+    old = sorted((row["dt"], row["key"]) for row in listed.collect())
+    for _, key in old:
+        spec = f"PARTITION (dt = '{key}')"
+        described = spark.sql(f"DESCRIBE FORMATTED {table} {spec}").filter("col_name = 'Location'")
+        location = described.first()["data_type"]
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
+        delete_folder(spark, location)
+    return [dt for dt, _ in old]
+
+
+def retention_folder(spark: SparkSession, root: str, day: date, keep_days: int) -> list[date]:
+    """The same for a folder of days without a table: raw logs, facts, serving copy, daily rows."""
+    old = sorted((dt, path) for dt, path in folder_days(spark, root).items() if dt < day - timedelta(days=keep_days))
+    for _, path in old:
+        delete_folder(spark, path)
+    return [dt for dt, _ in old]

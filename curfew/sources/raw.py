@@ -124,8 +124,9 @@ def tolerant_load(spark: SparkSession, path: str, max_ratio: float) -> DataFrame
     return marked.filter(~F.col("rejected")).drop("rejected", REJECTED)
 
 
-def write_raw_lines(rows: DataFrame, root: str) -> None:
+def write_raw_lines(rows: DataFrame, root: str, append: bool = False) -> None:
     """Lay rows out as a collector does: text lines under dt=yyyyMMdd."""
     fields = [F.coalesce(F.col(name), F.lit("")) for name in schema.RAW_FIELDS]
-    rows.select(F.concat_ws("|", *fields).alias("value"), "dt").write.partitionBy("dt").text(root)
+    rows.select(F.concat_ws("|", *fields).alias("value"), "dt").write.mode(
+        "append" if append else "errorifexists").partitionBy("dt").text(root)
 

@@ -4,6 +4,8 @@ Both are projections of one scan. A filter on ``dt`` reaches the file scan as a
 range of the event time, and only the columns a query names are read.
 """
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -115,3 +117,13 @@ def raw_rows(events: DataFrame) -> DataFrame:
         F.date_format(login, V.DAY_FORMAT).alias("dt"),
         F.explode(copies).alias("copy"),
     ).drop("copy")
+
+
+def day_range(events: DataFrame) -> tuple[date | None, date | None]:
+    """First and newest day, from the least and greatest time alone."""
+    found = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    return tuple(value.date() if value else None for value in found)
+
+
+def newest_day(events: DataFrame) -> date | None:
+    return day_range(events)[1]

@@ -2,7 +2,7 @@
 every scan lists only the day directories it needs."""
 
 from collections.abc import Iterable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,10 +69,54 @@ def newest_day(fact: DataFrame) -> date | None:
     return latest_day(fact).first()["latest_dt"]
 
 
-def partition_days(spark: SparkSession, table: str) -> DataFrame:
-    """Days of a table by its catalog; no file is touched."""
-    day = F.regexp_extract("partition", "dt=([0-9-]+)", 1).cast("date")
-    return spark.sql(f"SHOW PARTITIONS {table}").select(day.alias("dt"))
+def parse_key(key: str) -> date | None:
+    """The day of a folder or partition, keyed as a date or as yyyyMMdd."""
+    for form in ("%Y-%m-%d", "%Y%m%d"):
+        try:
+            return datetime.strptime(key, form).date()
+        except ValueError:
+            pass
+    return None
+
+
+def partition_days(spark: SparkSession, table: str, with_key: bool = False) -> DataFrame:
+    """Days of a table by its catalog, keyed as dates or as yyyyMMdd; no file is touched."""
+    key = F.regexp_extract("partition", "dt=([0-9-]+)", 1)
+    day = F.coalesce(key.try_cast("date"), F.try_to_timestamp(key, F.lit("yyyyMMdd")).cast("date"))
+    day = F.when(F.length(key) == 8, F.try_to_timestamp(key, F.lit("yyyyMMdd")).cast("date")).otherwise(day)
+    columns = [day.alias("dt"), key.alias("key")]
+    return spark.sql(f"SHOW PARTITIONS {table}").select(*columns[: 1 + with_key])
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def folder_days(spark: SparkSession, root: str) -> dict[date, str]:
+    """Days of a folder and their paths, by its list of directories; no file is opened.
+    Empty where there is no folder."""
+    system, path = _file_system(spark, root)
+    if not system.exists(path):
+        return {}
+    names = [(s.getPath().getName(), s.getPath().toString()) for s in system.listStatus(path) if s.isDirectory()]
+    days = {parse_key(name[3:]): where for name, where in names if name.startswith("dt=")}
+    return {day: where for day, where in days.items() if day}
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    system, where = _file_system(spark, path)
+    return system.exists(where)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    system, where = _file_system(spark, path)
+    system.delete(where, True)
+
+
+def newest_folder_day(spark: SparkSession, root: str) -> date | None:
+    """The newest day of a folder, without a look at its files."""
+    return max(folder_days(spark, root), default=None)
 
 
 def newest_partition(spark: SparkSession, table: str) -> date | None:

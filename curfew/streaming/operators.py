@@ -27,7 +27,8 @@ def stream_alerts(facts: DataFrame) -> DataFrame:
 def stream_dedup(raw: DataFrame, lateness: str = "1 hour") -> DataFrame:
     """Drop copies of a raw row that arrive within the lateness bound.
 
-    State holds the rows of that bound only.
+    State holds the rows of that bound only; rows that come later than it are
+    dropped too. ``sinks.stream_dedup_load`` keeps them.
     """
     timed = raw.withColumn("event_time", rules.parse_time(F.col("login_time")))
     return timed.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(schema.RAW_FIELDS)
@@ -49,7 +50,10 @@ def _windows(facts: DataFrame, size: str, slide: str, lateness: str, *flags) ->
 def stream_active_30m(
     facts: DataFrame, size: str = "30 minutes", slide: str = "5 minutes", lateness: str = "10 minutes"
 ) -> DataFrame:
-    """Distinct players and rows per sliding window, exact; emitted when a window closes."""
+    """Distinct players and rows per sliding window, exact; emitted when a window closes.
+
+    Windows that are still open are not among the rows: ``active_so_far`` has them.
+    """
     counted = _windows(facts, size, slide, lateness).groupBy("window").agg(
         F.count("player_id").alias("active_players"), F.sum("n").alias("row_count")
     )
@@ -60,7 +64,10 @@ def stream_active_30m(
 
 
 def stream_daily_risk(facts: DataFrame, lateness: str = "1 day") -> DataFrame:
-    """Distinct players per day and label, exact; emitted when the lateness has passed."""
+    """Distinct players per day and label, exact; emitted when the lateness has passed.
+
+    Days that are still open are not among the rows: ``risk_so_far`` has them.
+    """
     def seen(condition, name):
         return F.expr(f"max(if({condition}, 1, 0)) AS {name}")
 
@@ -79,3 +86,44 @@ def stream_daily_risk(facts: DataFrame, lateness: str = "1 day") -> DataFrame:
     return counted.select(F.to_date("window.start").alias("dt"), *[
         name for name in counted.columns if name != "window"
     ])
+
+
+ACTIVE_PARTS = "window_start timestamp_ntz, window_end timestamp_ntz, player_id string, n bigint"
+
+
+def active_parts(facts: DataFrame, size: str = "30 minutes", slide: str = "5 minutes") -> DataFrame:
+    """Rows of a batch per window and player, for ``sinks.stream_parts``."""
+    folded = facts.groupBy(F.window("login_time", size, slide), "player_id").agg(F.count(F.lit(1)).alias("n"))
+    bounds = [F.col(f"window.{end}").cast("timestamp_ntz").alias(f"window_{end}") for end in ("start", "end")]
+    return folded.select(*bounds, "player_id", "n")
+
+
+def active_so_far(parts: DataFrame) -> DataFrame:
+    """Distinct players and rows of every window that has rows, from the parts of all batches."""
+    per_player = parts.groupBy("window_start", "window_end", "player_id").agg(F.sum("n").alias("n"))
+    return per_player.groupBy("window_start", "window_end").agg(
+        F.count("player_id").alias("active_players"), F.sum("n").alias("row_count"))
+
+
+RISK_FLAGS = {"at_risk": AT_RISK, **{f"label_{label}": label_is(label) for label in LABELS}}
+RISK_PARTS = "dt date, player_id string, " + ", ".join(f"{name} int" for name in RISK_FLAGS)
+
+
+def risk_parts(facts: DataFrame) -> DataFrame:
+    """What a batch knows of each player's day: which labels were met."""
+    day = F.to_date("login_time").alias("dt")
+    return facts.groupBy(day, "player_id").agg(
+        *[F.expr(f"max(if({condition}, 1, 0)) AS {name}") for name, condition in RISK_FLAGS.items()])
+
+
+def risk_so_far(parts: DataFrame) -> DataFrame:
+    """Distinct players per day and label, all days that have rows, from the parts of all batches."""
+    per_player = parts.groupBy("dt", "player_id").agg(*[F.max(name).alias(name) for name in RISK_FLAGS])
+    known = F.col("player_id").isNotNull()
+
+    def count(name, alias):
+        return F.sum(F.when(known, F.col(name)).otherwise(0)).alias(alias)
+
+    return per_player.groupBy("dt").agg(
+        F.count("player_id").alias("active_players"), count("at_risk", "at_risk_players"),
+        *[count(f"label_{label}", f"label_{label}") for label in LABELS])

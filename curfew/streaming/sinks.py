@@ -1,5 +1,6 @@
 """Sinks of streams. Each writes a batch in a way that repeating it changes nothing."""
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -8,6 +9,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from curfew import schema
 from curfew.functions import fixed_values as V
+from curfew.functions import rules
+from curfew.sources import warehouse
 
 ROLL_SECONDS = 600
 ROLL_ROWS = 100_000
@@ -68,17 +71,83 @@ def stream_fanout(
 def stream_microbatch_load(
     stream: DataFrame, root: str, checkpoint: str, seconds: int | None = None
 ) -> StreamingQuery:
-    """Load batch by batch; a batch run again replaces what it wrote before."""
+    """Load batch by batch; a batch run again replaces what it wrote before.
+
+    Batches are numbered within a stream, which is known by its checkpoint, so
+    another stream into the same root adds to it.
+    """
+    stream_id = stream_key(checkpoint)
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/stream_id={stream_id}/batch_id={batch_id}")
+
+    writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    return paced(writer, seconds).start()
+
+
+def stream_key(checkpoint: str) -> str:
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
+DEDUP_DDL = "row_key string, login_day string, stream_id string, batch_id bigint"
+
+
+def stream_dedup_load(stream: DataFrame, root: str, checkpoint: str, seconds: int | None = None) -> StreamingQuery:
+    """Load raw rows, each distinct row once, however late it or its copy arrives.
+
+    A batch drops its own copies, then those that earlier batches wrote for the
+    same days of login; only these days are read. No state is kept beside the
+    written rows, and none is lost for being late. A batch run again replaces
+    what it wrote and does not look at it. One stream writes to a root at a time.
+    """
+    stream_id = stream_key(checkpoint)
+    layout = f"{schema.ddl([(name, 'string') for name in schema.RAW_FIELDS])}, {DEDUP_DDL}"
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        whole = F.sha2(F.to_json(F.struct(*schema.RAW_FIELDS), {"ignoreNullFields": "false"}), 256)
+        day = F.coalesce(F.to_date(rules.parse_time(F.col("login_time"))).cast("string"), F.lit("none"))
+        new = batch.select(*schema.RAW_FIELDS).distinct().withColumns({"row_key": whole, "login_day": day})
+        days = [row["login_day"] for row in new.select("login_day").distinct().collect()]
+        folders = existing(spark, root, days)
+        if folders:
+            known = spark.read.schema(layout).option("basePath", root).parquet(*folders)
+            earlier = known.filter((F.col("stream_id") != stream_id) | (F.col("batch_id") != batch_id))
+            new = new.join(earlier.select("login_day", "row_key"), ["login_day", "row_key"], "left_anti")
+        placed = new.withColumns({"stream_id": F.lit(stream_id), "batch_id": F.lit(batch_id)})
+        placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "login_day", "stream_id", "batch_id").parquet(root)
+
+    writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    return paced(writer, seconds).start()
+
+
+def existing(spark: SparkSession, root: str, days: list[str]) -> list[str]:
+    """Folders of those of the days that have one."""
+    folders = [f"{root}/login_day={day}" for day in days]
+    return [folder for folder in folders if warehouse.folder_exists(spark, folder)]
+
+
+def stream_parts(stream: DataFrame, fold: Callable[[DataFrame], DataFrame], root: str, checkpoint: str,
+                 seconds: int | None = None) -> StreamingQuery:
+    """Write the folded rows of each batch; a reader folds those of all batches.
+
+    The parts hold every row that has arrived, late ones too, so a report over
+    them is complete at any time, the newest windows included.
+    """
+    stream_id = stream_key(checkpoint)
+
     def load(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+        fold(batch).write.mode("overwrite").parquet(f"{root}/stream_id={stream_id}/batch_id={batch_id}")
 
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return paced(writer, seconds).start()
 
 
 def loaded_per_batch(spark: SparkSession, root: str, layout: str) -> DataFrame:
-    loaded = spark.read.schema(f"{layout}, batch_id bigint").parquet(root)
-    return loaded.groupBy("batch_id").agg(F.count(F.lit(1)).alias("loaded_rows"))
+    """Rows by stream and batch."""
+    loaded = spark.read.schema(f"{layout}, stream_id string, batch_id bigint").parquet(root)
+    return loaded.groupBy("stream_id", "batch_id").agg(F.count(F.lit(1)).alias("loaded_rows"))
 
 
 def stream_arrival_check(arrived: DataFrame, marker: Column) -> DataFrame:
@@ -89,5 +158,13 @@ def stream_arrival_check(arrived: DataFrame, marker: Column) -> DataFrame:
 
 
 def rows_read(query: StreamingQuery) -> int:
-    """Rows a query has read since it was started."""
-    return sum(progress.numInputRows for progress in query.recentProgress)
+    """Rows a query has read since it was started.
+
+    A query remembers a fixed number of its last batches; where it may have
+    forgotten some, this is an error instead of a number too small.
+    """
+    seen = query.recentProgress
+    limit = int(SparkSession.active().conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
+    if len(seen) >= limit:
+        raise ValueError(f"only the last {limit} batches are remembered; raise spark.sql.streaming.numRecentProgressUpdates")
+    return sum(progress.numInputRows for progress in seen)

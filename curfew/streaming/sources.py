@@ -16,11 +16,12 @@ def stream_source(spark: SparkSession, folder: str, max_files: int | None = None
 
 
 def split_line(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Raw fields of lines in one text or binary column."""
-    options = {"sep": "|", "nullValue": "", "mode": "PERMISSIVE"}
-    parsed = F.from_csv(F.col(column).cast("string"), schema.ddl(
-        [(name, "string") for name in schema.RAW_FIELDS]), options)
-    return lines.select(parsed.alias("fields")).select("fields.*")
+    """Raw fields of lines in one text or binary column, by the rules of the files:
+    comment and empty lines are no rows."""
+    line = F.col(column).cast("string")
+    parsed = F.from_csv(line, schema.ddl([(name, "string") for name in schema.RAW_FIELDS]), TEXT_OPTIONS)
+    rows = lines.filter(~F.startswith(line, F.lit(TEXT_OPTIONS["comment"])) & (F.trim(line) != ""))
+    return rows.select(parsed.alias("fields")).select("fields.*")
 
 
 def stream_kafka_source(spark: SparkSession, servers: str, topic: str) -> DataFrame:

@@ -103,7 +103,7 @@ def table(spark, folder):
 def test_bucketed_table_day_by_day(spark, fact, table, folder):
     tables.create_fact_table(spark, table, f"{folder}/t", buckets=3)
     for day in [DAY, BEFORE, DAY]:
-        tables.write_table_day(fact, table, day, bucketed=True)
+        tables.write_table_day(warehouse.on_day(fact, day), table, day, bucketed=True)
     assert spark.table(table).count() == 40
     assert warehouse.newest_partition(spark, table) == DAY
     described = dict((row[0], row[1]) for row in spark.sql(f"DESCRIBE EXTENDED {table}").collect())
@@ -115,18 +115,45 @@ def test_bucketed_table_day_by_day(spark, fact, table, folder):
 def test_retention_keeps_the_last_days(spark, fact, table, folder):
     tables.create_fact_table(spark, table, buckets=0)
     for back in range(3):
-        tables.write_table_day(fact, table, DAY - timedelta(days=back))
+        day = DAY - timedelta(days=back)
+        tables.write_table_day(warehouse.on_day(fact, day), table, day)
     assert tables.retention(spark, table, DAY, 1) == [DAY - timedelta(days=2)]
     assert tables.retention(spark, table, DAY, 1) == []
     assert spark.table(table).count() == 40
 
 
+def test_retention_deletes_the_files_of_a_table_with_its_own_folder(spark, fact, table, folder):
+    tables.create_fact_table(spark, table, f"{folder}/t")
+    tables.write_table_days(fact, table)
+    before = spark.table(table).count()
+    old = tables.retention(spark, table, DAY, 1)
+    assert old and not [day for day in warehouse.folder_days(spark, f"{folder}/t") if day in old]
+    left = spark.table(table).count()
+    spark.sql(f"MSCK REPAIR TABLE {table}")
+    assert spark.table(table).count() == left < before
+
+
+def test_retention_of_a_folder(spark, folder):
+    layers = layers_of(folder)
+    days = warehouse.folder_days(spark, layers.raw)
+    assert BEFORE in days and DAY in days
+    assert tables.retention_folder(spark, layers.raw, DAY, 0) == sorted(day for day in days if day < DAY)
+    assert set(warehouse.folder_days(spark, layers.raw)) == {day for day in days if day >= DAY}
+    assert warehouse.folder_days(spark, f"{folder}/none") == {} and warehouse.newest_folder_day(spark, f"{folder}/none") is None
+
+
+def test_a_table_day_refuses_other_days(spark, fact, table):
+    tables.create_fact_table(spark, table)
+    with pytest.raises(Exception, match="row outside of the replaced day"):
+        tables.write_table_day(fact, table, DAY)
+
+
 def test_added_column_is_null_in_older_days(spark, fact, table, folder):
     tables.create_fact_table(spark, table, buckets=0, with_label=False)
-    tables.write_table_day(fact, table, BEFORE)
+    tables.write_table_day(warehouse.on_day(fact, BEFORE), table, BEFORE)
     tables.add_column(spark, table, "risk_label", "int")
     tables.add_column(spark, table, "risk_label", "int")
-    tables.write_table_day(fact, table, DAY)
+    tables.write_table_day(warehouse.on_day(fact, DAY), table, DAY)
     found = spark.table(table)
     assert found.filter("dt = DATE'2024-01-09' AND risk_label IS NOT NULL").count() == 0
     assert found.filter("dt = DATE'2024-01-10' AND risk_label IS NULL").count() == 0
@@ -198,16 +225,20 @@ def test_job_clears_a_day_whose_rows_all_fail_now(spark, folder):
     assert spark.read.schema(layout).orc(layers.stats).count() == 0
 
 
-def test_reduce_tasks_follow_cores_and_bytes(spark, folder, monkeypatch):
+def test_reduce_tasks_follow_the_bytes_scanned(spark, folder, monkeypatch):
     layers = layers_of(folder)
     raw = raw_source.ods_scan(spark, layers.raw)
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
+        spark.conf.set("spark.sql.shuffle.partitions", "24")
         assert session.size_shuffles(spark, raw) == session.size_shuffles(spark) == 24
         monkeypatch.setattr(session, "PARTITION_BYTES", 10)
         assert session.size_shuffles(spark, raw) > 50
+        spark.conf.set("spark.sql.shuffle.partitions", "24")
         one_day = raw_source.ods_scan_day(spark, layers.raw, BEFORE)
-        assert session.size_shuffles(spark, one_day) < session.size_shuffles(spark, raw)
+        few = session.size_shuffles(spark, one_day)
+        assert few < session.size_shuffles(spark, raw)
+        spark.conf.set("spark.sql.shuffle.partitions", "24")
         nothing = raw_source.ods_scan_day(spark, layers.raw, DAY + timedelta(days=50))
         assert session.size_shuffles(spark, nothing) == 24
     finally:
@@ -259,6 +290,20 @@ def test_raw_table_discovers_days(spark, folder, table):
     assert line()["player_id"] == "P1"
 
 
+def test_first_cycle_of_an_empty_warehouse(spark, folder):
+    done = daily_cycle.run_cycle(spark, daily_job.Layers.under(f"{folder}/raw", f"{folder}/w"), f"{folder}/s", DAY)
+    assert done.loaded == [] and rows(done.sync) == [] and done.checks.count() > 0
+
+
+def test_cycle_takes_up_a_day_whose_files_came_late(spark, folder):
+    layers, serving = layers_of(folder), f"{folder}/serving"
+    later = date(2024, 1, 12)
+    write_log(f"{folder}/raw", "20240112", [text(login_time="2024-01-12 10:00:00", logout_time="2024-01-12 11:00:00")])
+    assert later in daily_cycle.run_cycle(spark, layers, serving, later).loaded
+    write_log(f"{folder}/raw", "20240111", [text(login_time="2024-01-11 10:00:00", logout_time="2024-01-11 11:00:00")])
+    assert daily_cycle.run_cycle(spark, layers, serving, date(2024, 1, 13)).loaded == [date(2024, 1, 11)]
+
+
 def test_cycle_catches_up_publishes_and_checks(spark, folder):
     layers, serving = layers_of(folder), f"{folder}/serving"
     first = daily_cycle.run_cycle(spark, layers, serving, BEFORE)
@@ -277,6 +322,6 @@ def test_cycle_catches_up_publishes_and_checks(spark, folder):
 
 def test_missing_dates_from_partitions(spark, fact, table):
     tables.create_fact_table(spark, table, buckets=0)
-    tables.write_table_day(fact, table, BEFORE)
+    tables.write_table_day(warehouse.on_day(fact, BEFORE), table, BEFORE)
     days = warehouse.partition_days(spark, table)
     assert values(reshape.missing_dates(days, DAY + timedelta(days=1)), "dt") == [DAY]

@@ -108,10 +108,37 @@ def test_microbatches_load_once_however_often_they_run(spark, feed, folder):
     feed(login("a", "10:00:00"), login("b", "10:00:00"))
     feed(login("c", "10:00:00"))
     layout = schema.ddl([(name, "string") for name in schema.RAW_FIELDS])
-    for attempt in ["first", "again"]:  # a new checkpoint repeats all batches
+    for attempt, streams in [("first", 1), ("first", 1), ("other", 2)]:  # another stream adds to the first
         stream = sources.stream_source(spark, f"{folder}/in", max_files=1)
         sinks.stream_microbatch_load(stream, f"{folder}/out", f"{folder}/{attempt}").awaitTermination()
-        assert sorted(rows(sinks.loaded_per_batch(spark, f"{folder}/out", layout))) == [(0, 2), (1, 1)]
+        loaded = sinks.loaded_per_batch(spark, f"{folder}/out", layout).drop("stream_id")
+        assert sorted(rows(loaded)) == sorted([(0, 2), (1, 1)] * streams)
+
+
+def test_dedup_load_keeps_late_distinct_rows(spark, feed, folder):
+    feed(login("a", "10:00:00"), login("a", "10:00:00"), login("b", "23:00:00"))
+    feed(login("a", "10:00:00"), text(player_id="c", login_time="2024-01-20 10:00:00", logout_time="2024-01-20 11:00:00"))
+    feed(login("late", "00:10:00"), login("b", "23:00:00"), login("n", "10:00:00", login_ip=None))
+    feed(login("n", "10:00:00", login_ip=None), login("odd", "25:00:00"))
+    feed(login("odd", "25:00:00"), login("late", "00:10:00"))
+    for checkpoint in ["one", "one", "two"]:
+        stream = sources.stream_source(spark, f"{folder}/in", max_files=1)
+        sinks.stream_dedup_load(stream, f"{folder}/out", f"{folder}/{checkpoint}").awaitTermination()
+        assert sorted(values(spark.read.parquet(f"{folder}/out"), "player_id")) == ["a", "b", "c", "late", "n", "odd"]
+
+
+def test_counts_so_far_hold_open_windows_and_late_rows(spark, feed, folder):
+    feed(login("a", "10:01:00"), login("b", "10:07:00"))
+    feed(text(player_id="x", login_time="2024-01-12 12:00:00", logout_time="2024-01-12 13:00:00"))
+    feed(login("a", "10:03:00", online_duration=20000), login("d", "10:58:00"))
+    facts = operators.stream_facts(sources.stream_source(spark, f"{folder}/in", max_files=1))
+    for name, fold in [("active", operators.active_parts), ("risk", operators.risk_parts)]:
+        sinks.stream_parts(facts, fold, f"{folder}/{name}", f"{folder}/{name}_ck").awaitTermination()
+    active = operators.active_so_far(spark.read.schema(operators.ACTIVE_PARTS).parquet(f"{folder}/active"))
+    by_start = {row["window_start"]: (row["active_players"], row["row_count"]) for row in active.collect()}
+    assert by_start[datetime(2024, 1, 10, 10, 0)] == (2, 3) and by_start[datetime(2024, 1, 12, 12, 0)] == (1, 1)
+    risk = operators.risk_so_far(spark.read.schema(operators.RISK_PARTS).parquet(f"{folder}/risk"))
+    assert {row["dt"].day: row["active_players"] for row in risk.collect()} == {10: 3, 12: 1}
 
 
 def test_fanout_sinks_are_independent(spark, feed, folder):
@@ -155,6 +182,8 @@ def test_arrival_check(spark, feed, run):
 def test_lines_of_a_topic_split_into_fields(spark):
     lines = spark.createDataFrame([(bytearray(login("a", "10:00:00", login_ip=None), "utf-8"),)], "value binary")
     row = sources.split_line(lines).first()
+    odd = spark.createDataFrame([("# comment",), ("",), ('"q' + "|x" * 12,)], "value string")
+    assert values(sources.split_line(odd), "player_id") == ['"q']
     assert row["player_id"] == "a" and row["login_ip"] is None and row["device_type"] == "ios"
 
 
