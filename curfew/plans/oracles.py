@@ -25,6 +25,15 @@ def up_to(value, bounds, otherwise) -> str:
     return case([(f"{value} <= {bound}", quoted(name)) for bound, name in bounds], quoted(otherwise))
 
 
+#: Bounds are written out here, apart from those of the library, so that a wrong one shows.
+HISTOGRAM_BOUNDS = [30, 60, 120, 180, 240, 360]
+
+
+def named(bounds, classes) -> list:
+    """Bounds with the names of the library's classes, in order."""
+    return [(bound, name) for bound, (_, name) in zip(bounds, classes, strict=True)]
+
+
 def wording(vocabulary, label="risk_label") -> str:
     other = V.RISK_WORDING_ELSE.get(vocabulary)
     return case([(f"{label} = {k}", quoted(v)) for k, v in V.RISK_WORDING[vocabulary].items()],
@@ -65,11 +74,11 @@ IP_SQL = "'10.0.' || (event_id % 256) || '.' || (1 + event_id % 250)"
 AMOUNT_SQL = ("CASE WHEN event_type = 'purchase' THEN CAST(value AS DECIMAL(12,2)) "
               "ELSE CAST(0 AS DECIMAL(12,2)) END")
 PERIOD_SQL = case([("h BETWEEN 6 AND 17", quoted(V.DAYTIME)), ("h >= 18", quoted(V.EVENING))], quoted(V.NIGHT))
-NIGHT_SQL = f"(login_hour >= {V.NIGHT_FROM_HOUR} OR login_hour < {V.NIGHT_UNTIL_HOUR})"
+NIGHT_SQL = f"(login_hour >= 22 OR login_hour < 8)"
 LABEL_SQL = case([
     ("is_minor = 0", "0"),
-    (f"online_duration > {V.MINOR_LIMIT_SECONDS} AND {NIGHT_SQL}", "3"),
-    (f"online_duration > {V.MINOR_LIMIT_SECONDS}", "1"),
+    (f"online_duration > 14400 AND {NIGHT_SQL}", "3"),
+    (f"online_duration > 14400", "1"),
     (NIGHT_SQL, "2"),
 ], "0")
 MINUTES_SQL = "CAST(round(CAST(online_duration / 60.0 AS DECIMAL(18,6)), 1) AS DECIMAL(10,1))"
@@ -82,7 +91,7 @@ DERIVED_SQL = f"""
   {MINUTES_SQL} AS online_duration_min,
   CASE WHEN login_period = '{V.NIGHT}' THEN 1 ELSE 0 END AS is_night_login,
   CASE WHEN account_type = 'minor' THEN 1 ELSE 0 END AS is_minor,
-  CASE WHEN online_duration > {V.MINOR_LIMIT_SECONDS} THEN 1 ELSE 0 END AS is_heavy_gamer,
+  CASE WHEN online_duration > 14400 THEN 1 ELSE 0 END AS is_heavy_gamer,
   CASE WHEN recharge_amount > 0 THEN 1 ELSE 0 END AS is_paying_player"""
 
 BEH = f"""
@@ -139,7 +148,7 @@ IP_OK_SQL = """(regexp_full_match(trim(login_ip), '[0-9]{1,3}(\\.[0-9]{1,3}){3}'
   AND trim(login_ip) NOT LIKE '169.254.%')"""
 REQUIRED_SQL = " AND ".join(
     f"coalesce(trim({name}), '') <> ''" for name in ["player_id", "login_time", "logout_time", "online_duration"])
-DURATION_OK_SQL = f"coalesce(TRY_CAST(online_duration AS INTEGER) BETWEEN 0 AND {V.MAX_SESSION_SECONDS}, false)"
+DURATION_OK_SQL = f"coalesce(TRY_CAST(online_duration AS INTEGER) BETWEEN 0 AND 21600, false)"
 ORDER_OK_SQL = f"try_strptime(login_time, {TEXT_FORMAT}) < try_strptime(logout_time, {TEXT_FORMAT})"
 RAW_LIST = ", ".join(schema.RAW_FIELDS)
 
@@ -277,7 +286,7 @@ FROM (SELECT
   (SELECT count(*) FROM (SELECT DISTINCT {RAW_LIST} FROM raw WHERE {PASSED_SQL})) AS n5)""")
 on_raw("clean_sql_path", f"""SELECT {RAW_DT} FROM raw WHERE player_id <> '' AND login_time IS NOT NULL
   AND logout_time IS NOT NULL AND TRY_CAST(online_duration AS BIGINT) >= 0
-  AND TRY_CAST(online_duration AS BIGINT) <= {V.MAX_SESSION_SECONDS} AND login_time < logout_time""")
+  AND TRY_CAST(online_duration AS BIGINT) <= 21600 AND login_time < logout_time""")
 on_fact("minor_risk_filter", f"""SELECT player_id, login_time, risk_label, risk_label IN (2, 3) AS is_curfew
   FROM beh WHERE {MINOR} AND {RISK}""")
 on_fact("window_days", f"""SELECT player_id, login_time, dt, dt >= d - 1 AS in_last_two
@@ -319,13 +328,13 @@ DURATION_TEXT = (f"CAST(floor(online_duration_min / 60) AS INTEGER) || '{V.HOURS
                  f"CAST(floor(online_duration_min % 60) AS INTEGER) || '{V.MINUTES_UNIT}'")
 KEY_MIN = f"player_id, login_time, {money('online_duration_min')} AS online_duration_min"
 on_fact("duration_text", f"SELECT {KEY_MIN}, {DURATION_TEXT} AS duration_text FROM beh")
-RECORD_CLASS = up_to("online_duration", V.RECORD_CLASSES, V.RECORD_CLASS_ELSE)
-SIX = below("online_duration_min", V.DASHBOARD_CLASSES, V.DASHBOARD_CLASS_ELSE)
-SEVEN = below("online_duration_min", V.MINOR_CLASSES, V.MINOR_CLASS_ELSE)
-HISTOGRAM = case([(f"online_duration_min <= {b}", str(b)) for b in V.HISTOGRAM_BOUNDS])
+RECORD_CLASS = up_to("online_duration", named([3600, 7200, 10800, 14400], V.RECORD_CLASSES), V.RECORD_CLASS_ELSE)
+SIX = below("online_duration_min", named([30, 60, 120, 180, 240], V.DASHBOARD_CLASSES), V.DASHBOARD_CLASS_ELSE)
+SEVEN = below("online_duration_min", named([30, 60, 120, 180, 240, 300], V.MINOR_CLASSES), V.MINOR_CLASS_ELSE)
+HISTOGRAM = case([(f"online_duration_min <= {b}", str(b)) for b in HISTOGRAM_BOUNDS])
 RECHARGE = case(
     [("recharge_amount = 0", quoted(V.RECHARGE_ZERO))]
-    + [(f"recharge_amount <= {b}", quoted(n)) for b, n in V.RECHARGE_CLASSES], quoted(V.RECHARGE_CLASS_ELSE))
+    + [(f"recharge_amount <= {b}", quoted(n)) for b, n in named([30, 100, 300, 1000], V.RECHARGE_CLASSES)], quoted(V.RECHARGE_CLASS_ELSE))
 on_fact("bucket_5", f"SELECT player_id, login_time, online_duration, {RECORD_CLASS} AS bucket FROM beh")
 on_fact("bucket_6", f"SELECT {KEY_MIN}, {SIX} AS bucket FROM beh")
 on_fact("bucket_7", f"SELECT {KEY_MIN}, {SEVEN} AS bucket FROM beh")
@@ -341,7 +350,7 @@ numbered AS (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY dt) AS
 islands AS (
   SELECT player_id, count(*) AS consecutive_days, min(dt) AS streak_start, max(dt) AS streak_end
   FROM numbered GROUP BY player_id, dt - CAST(rn AS INTEGER))"""
-TIER = case([(f"consecutive_days >= {b}", quoted(n)) for b, n in V.TIERS], quoted(V.TIER_ELSE))
+TIER = case([(f"consecutive_days >= {b}", quoted(n)) for b, n in named([7, 5], V.TIERS)], quoted(V.TIER_ELSE))
 ISLAND_LIST = "player_id, consecutive_days, streak_start, streak_end"
 on_fact("intervention_tier", f"SELECT {ISLAND_LIST}, {TIER} AS tier FROM islands", ISLANDS)
 BADGE = ("'Lv' || risk_label || ' ' || " + case(
@@ -527,7 +536,7 @@ on_fact("daily_report", f"""SELECT count(*) AS record_count, {cd()} AS active_pl
   {avg('online_duration_min', 0)} AS avg_online_min FROM beh WHERE {ON_DAY}""")
 HIST_COUNTS = ", ".join(
     cnt(f"online_duration_min <= {b}" + (f" AND online_duration_min > {a}" if a else "")) + f" AS upto_{b}_min"
-    for a, b in zip([None, *V.HISTOGRAM_BOUNDS], V.HISTOGRAM_BOUNDS))
+    for a, b in zip([None, *HISTOGRAM_BOUNDS], HISTOGRAM_BOUNDS))
 on_fact("load_summary", f"""SELECT count(*) AS total_records, {cnt("account_type = 'minor'")} AS minor_records,
   {cnt("account_type <> 'minor'")} AS adult_records,
   {', '.join(f"{cnt(f'risk_label = {k}')} AS risk_{k}" for k in range(4))}, {HIST_COUNTS},
