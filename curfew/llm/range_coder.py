@@ -18,19 +18,21 @@ import zlib
 import numpy as np
 
 BLOCK = 1024
-BITS = 20
-ONE = 1 << BITS
+#: Which prediction holds is coded in shares of 2**12, kept with 8 more bits; an id by
+#: order 0 in shares of 2**18. Together they cut the range into 2**30.
+CHOICE_BITS, EXTRA_BITS, ID_BITS = 12, 8, 18
+CHOICES, ONE, SHARES = 1 << CHOICE_BITS, 1 << (CHOICE_BITS + EXTRA_BITS), 1 << ID_BITS
 SLOTS = 1 << 9
 TOP = 8
 RATE = 5
 WORD = np.uint64(32)
-SHIFT = np.uint64(BITS)
+SHIFT = np.uint64(CHOICE_BITS + ID_BITS)
 LEAST = np.uint64(1 << 32)
 FULL = np.uint64((1 << 64) - 1)
 
 
 def frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct ids, their shares of ``ONE``, each at least 1, and the rank of every id."""
+    """Distinct ids, their shares of ``SHARES``, each at least 1, and the rank of every id."""
     if ids.max() < 1 << 22:
         counts = np.bincount(ids)
         symbols = np.flatnonzero(counts)
@@ -40,10 +42,10 @@ def frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         rank = place[ids]
     else:
         symbols, rank, counts = np.unique(ids, return_inverse=True, return_counts=True)
-    if len(symbols) > ONE // 2:
+    if len(symbols) > SHARES // 2:
         raise ValueError("too many distinct ids in a chunk")
-    share = 1 + counts * (ONE - len(symbols)) // counts.sum()
-    share[np.argmax(share)] += ONE - share.sum()
+    share = 1 + counts * (SHARES - len(symbols)) // counts.sum()
+    share[np.argmax(share)] += SHARES - share.sum()
     return symbols.astype(np.int64), share.astype(np.int64), rank
 
 
@@ -67,8 +69,8 @@ class Predictor:
         self.context = np.empty((2, blocks), np.int64)
 
     def predict(self, n: int) -> None:
-        """For the first ``n`` blocks: the ids named and the shares of ``ONE`` for
-        each being right."""
+        """For the first ``n`` blocks: the ids named and the shares of ``CHOICES`` for
+        each being right, at least 1 if any is named."""
         self.n = n
         context = self.context[:, :n]
         np.multiply(self.last[0, :n], 0x9E3779B1, out=context[0])
@@ -82,8 +84,9 @@ class Predictor:
         self.base = self.chance.take(self.place).astype(np.int64)
         self.same = (self.name[0] == self.name[1]) & (self.name[0] > 0)
         self.gap = self.base[0] - self.base[1]
-        self.share2 = self.base[1] + ((self.gap * self.weight[:n]) >> 16) * self.same
-        self.share1 = (((ONE - self.share2) * self.base[0]) >> BITS) * ~self.same
+        self.share2 = (self.base[1] + ((self.gap * self.weight[:n]) >> 16) * self.same) >> EXTRA_BITS
+        one = ((CHOICES - self.share2) * self.base[0]) >> (CHOICE_BITS + EXTRA_BITS)
+        self.share1 = np.maximum(one, self.trust[0] > 0) * ~self.same
 
     def learn(self, symbol: np.ndarray) -> None:
         n, after = self.n, symbol + 1
@@ -150,10 +153,10 @@ def encode(ids: np.ndarray) -> tuple[bytes, list[bytes]]:
         hit1, hit2 = model.name == symbol + 1
         hit1 &= ~hit2
         both = model.share2 + model.share1
-        start = np.where(hit2, 0, np.where(hit1, model.share2, both))
-        put(n, start, np.where(hit2, model.share2, np.where(hit1, model.share1, ONE - both)))
-        miss = ~(hit2 | hit1)
-        put(n, np.where(miss, below[symbol], 0), np.where(miss, share[symbol], ONE))
+        rest = CHOICES - both
+        start = np.where(hit2, 0, np.where(hit1, model.share2 << ID_BITS, (both << ID_BITS) + rest * below[symbol]))
+        size = np.where(hit2, model.share2 << ID_BITS, np.where(hit1, model.share1 << ID_BITS, rest * share[symbol]))
+        put(n, start, size)
         model.learn(symbol)
     every = np.arange(blocks)
     for _ in (0, 1):
@@ -182,10 +185,6 @@ def decode(table: bytes, coded: list[bytes], total: int) -> np.ndarray:
     used = np.full(blocks, 2)
     out = np.zeros((BLOCK, blocks), np.int64)
 
-    def place(n: int) -> tuple[np.ndarray, np.ndarray]:
-        unit = width[:n] >> SHIFT
-        return unit, np.minimum(code[:n] // unit, np.uint64(ONE - 1)).astype(np.int64)
-
     def take(n: int, unit: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
         rest = code[:n] - unit * start.astype(np.uint64)
         narrow = unit * size.astype(np.uint64)
@@ -201,14 +200,16 @@ def decode(table: bytes, coded: list[bytes], total: int) -> np.ndarray:
         n = blocks if t < count[-1] else blocks - 1
         model.predict(n)
         both = model.share2 + model.share1
-        unit, at = place(n)
-        hit2 = at < model.share2
-        miss = at >= both
-        start = np.where(hit2, 0, np.where(miss, both, model.share2))
-        take(n, unit, start, np.where(hit2, model.share2, np.where(miss, ONE - both, model.share1)))
-        unit, at = place(n)
-        found = owner[at]
-        take(n, unit, np.where(miss, below[found], 0), np.where(miss, share[found], ONE))
+        rest = CHOICES - both
+        unit = width[:n] >> SHIFT
+        at = np.minimum(code[:n] // unit, np.uint64((CHOICES << ID_BITS) - 1)).astype(np.int64)
+        hit2 = at < model.share2 << ID_BITS
+        past = at - (both << ID_BITS)
+        miss = past >= 0
+        found = owner[np.maximum(past, 0) // rest]
+        start = np.where(hit2, 0, np.where(miss, (both << ID_BITS) + rest * below[found], model.share2 << ID_BITS))
+        size = np.where(hit2, model.share2 << ID_BITS, np.where(miss, rest * share[found], model.share1 << ID_BITS))
+        take(n, unit, start, size)
         symbol = np.where(miss, found, np.where(hit2, model.name[1], model.name[0]) - 1).astype(np.int64)
         out[t, :n] = symbol
         model.learn(symbol)

@@ -19,19 +19,17 @@ ordered by text, and each row is a document of its own. No rows make an empty fo
 import os
 import re
 import zlib
-from array import array
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from curfew.llm import range_coder, steps
+from curfew.llm import range_coder, steps, words
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 END_ID = 1
 CHUNK_BYTES = 8 << 20
-CACHED_WORDS = 600_000
+CACHED_WORDS = 2_000_000
 
 FORMAT = (
     "part int, chunk int, doc_ids array<bigint>, counts array<bigint>, n_tokens bigint, frequencies binary, "
@@ -48,73 +46,137 @@ ARROW_FORMAT = pa.schema([
 LETTERS_THEN_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ſ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
+class Table:
+    """Entries of hashed words, in order of the hash."""
+
+    def __init__(self):
+        self.known, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def missing(self, distinct: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.known, distinct), max(0, len(self.known) - 1))
+        return self.known[at] != distinct if len(self.known) else np.ones(len(distinct), bool)
+
+    def add(self, hashed: np.ndarray, entry: np.ndarray) -> None:
+        at = np.searchsorted(self.known, hashed)
+        self.known, self.entry = np.insert(self.known, at, hashed), np.insert(self.entry, at, entry)
+
+    def of(self, hashed: np.ndarray) -> np.ndarray:
+        return self.entry[np.searchsorted(self.known, hashed)]
+
+
+def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of all pieces in turn."""
+    after = np.cumsum(size)
+    return np.arange(int(after[-1]) if len(after) else 0) + np.repeat(start - after + size, size)
+
+
 class WordIds:
     """Ids of words between white space, each tokenised once while it is kept.
 
-    The tokenizer splits at white space first, so the ids of a text are those of
-    its words in turn. Kept per worker, under a fixed number of words.
+    The tokenizer splits at white space first, so the ids of a text are those of its
+    words in turn; most words are letters with marks after them, and these parts are
+    kept too. All are known by 64-bit hash and kept per worker, up to a fixed number.
     """
 
-    kept: dict = {}
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        self.is_end = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.is_end[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
         self.clear()
 
-    @staticmethod
-    def of(path: str) -> "WordIds":
-        if path not in WordIds.kept:
-            WordIds.kept[path] = WordIds(path)
-        return WordIds.kept[path]
-
     def clear(self) -> None:
-        """Entry 0 is the end of a document."""
-        self.place, self.parts = {}, {}
-        self.ids, self.start, self.size = array("I", [END_ID]), array("q", [0]), array("q", [1])
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn(self, words: set[bytes]) -> None:
-        whole, split = [], []
-        for word in words:
+        """Entry 0 is the end of a document, entry 1 is empty."""
+        self.words, self.parts = Table(), Table()
+        self.ids = np.array([END_ID], np.uint32)
+        self.start, self.size = np.array([0, 1]), np.array([1, 0])
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, np.uint32) for e in found]
+
+    def encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their numbers for parts that the tokenizer never splits further: many at
+        a time, cut after the ids that end a word."""
+        ids, sizes = [], []
+        for k in range(0, len(parts), 4096):
+            some = parts[k : k + 4096]
+            own = self.encode([" ".join(some)])
+            size = np.diff(np.flatnonzero(self.is_end[own[0]]), prepend=-1)
+            if len(size) != len(some) or size.sum() != len(own[0]):
+                own = self.encode(some)
+                size = np.fromiter(map(len, own), np.int64, len(own))
+            ids += own
+            sizes.append(size)
+        return np.concatenate(ids) if ids else np.zeros(0, np.uint32), np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
+
+    def append(self, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
+        first, start = len(self.start), len(self.ids) + np.cumsum(size) - size
+        self.ids = np.concatenate([self.ids, ids.astype(np.uint32)])
+        self.start, self.size = np.append(self.start, start), np.append(self.size, size)
+        return first + np.arange(len(size))
+
+    def entries_of_parts(self, parts: list[str]) -> np.ndarray:
+        """The entry of each part; the parts hold no white space."""
+        raw = np.frombuffer(" ".join(parts).encode(), np.uint8)
+        hashed = words.hashes(raw, words.find(raw, np.array([0, len(raw)])))
+        new = self.parts.missing(hashed)
+        if new.any():
+            entry = self.append(*self.encode_parts([parts[k] for k in np.flatnonzero(new)]))
+            order = np.argsort(hashed[new])
+            self.parts.add(hashed[new][order], entry[order])
+        return self.parts.of(hashed)
+
+    def learn(self, hashed: np.ndarray, found: list[bytes]) -> None:
+        """New entries for words, given in order of their hashes."""
+        entry = np.zeros(len(found), np.int64)
+        split, whole, parts = [], [], {}
+        for k, word in enumerate(found):
             text = word.decode("utf-8", "replace")
             match = LETTERS_THEN_MARKS.fullmatch(text)
             if match:
                 letters, marks = match.groups()
-                split.append((word, letters.lower() if letters.isascii() else letters, marks))
+                letters = letters.lower() if letters.isascii() else letters
+                split.append((k, parts.setdefault(letters, len(parts)), parts.setdefault(marks, len(parts)) if marks else -1))
             else:
-                whole.append((word, text))
-        new = list({part for _, *both in split for part in both} - self.parts.keys())
-        self.parts.update(zip(new, self.encode(new), strict=True))
-        found = [(word, self.parts[a] + self.parts[b]) for word, a, b in split]
-        found += zip([w for w, _ in whole], self.encode([t for _, t in whole]), strict=True)
-        for word, ids in found:
-            self.place[word] = len(self.start)
-            self.start.append(len(self.ids))
-            self.size.append(len(ids))
-            self.ids.extend(ids)
-
-    def texts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+                whole.append((k, text))
+        if split:
+            place, letters, marks = np.array(split).T
+            own = np.append(self.entries_of_parts(list(parts)), 1)
+            both = np.stack([own[letters], own[marks]], 1)
+            size = self.size[both]
+            ids = self.ids[ragged(self.start[both].ravel(), size.ravel())]
+            entry[place] = np.where(marks < 0, both[:, 0], self.append(ids, size.sum(1)))
+        if whole:
+            ids = self.encode([t for _, t in whole])
+            entry[[k for k, _ in whole]] = self.append(np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids)))
+        self.words.add(hashed, entry)
+
+    def texts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and the number for each, the end included."""
-        split = [text.split() for text in texts]
-        new = set(chain.from_iterable(split)) - self.place.keys()
-        if len(self.place) + len(new) > CACHED_WORDS:
+        found = words.find(data, offsets)
+        distinct, where, back = np.unique(words.hashes(data, found), return_index=True, return_inverse=True)
+        if len(self.words.known) + len(distinct) > CACHED_WORDS:
             self.clear()
-            new = set(chain.from_iterable(split))
-        self.learn(new)
-        count = np.fromiter((len(s) + 1 for s in split), np.int64, len(split))
-        place = np.fromiter(
-            chain.from_iterable(chain(map(self.place.__getitem__, s), (0,)) for s in split), np.int64, int(count.sum())
-        )
-        size = np.frombuffer(self.size, np.int64)[place]
-        after = np.cumsum(size)
-        at = np.arange(int(after[-1])) + np.repeat(np.frombuffer(self.start, np.int64)[place] - after + size, size)
-        ids = np.frombuffer(self.ids, np.uint32)[at].astype(np.int64)
-        return ids, np.diff(after[np.cumsum(count) - 1], prepend=0)
+        new = self.words.missing(distinct)
+        if new.any():
+            raw = data.tobytes()
+            self.learn(distinct[new], [raw[found.start[k] : found.end[k]] for k in where[new]])
+        entry = np.insert(self.words.of(distinct)[back], found.first[1:], 0)
+        size = self.size[entry]
+        ends = found.first[1:] + np.arange(len(offsets) - 1)
+        return self.ids[ragged(self.start[entry], size)].astype(np.int64), np.diff(np.cumsum(size)[ends], prepend=0)
+
+
+KEPT: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    if path not in KEPT:
+        KEPT[path] = WordIds(path)
+    return KEPT[path]
 
 
 def encoder(path: str):
@@ -124,9 +186,8 @@ def encoder(path: str):
             doc_ids = batch.column(0)
             data, offsets = steps.text_buffers(batch.column(1))
             for first, last in steps.pieces(offsets, CHUNK_BYTES):
-                raw = data[offsets[first] : offsets[last]].tobytes()
-                cuts = (offsets[first : last + 1] - offsets[first]).tolist()
-                ids, counts = WordIds.of(path).texts([raw[a:b] for a, b in zip(cuts, cuts[1:])])
+                own = data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
+                ids, counts = word_ids(path).texts(*own)
                 table, coded = range_coder.encode(ids)
                 blocks = [
                     {"n_tokens": int(n), "crc32": zlib.crc32(block), "data": block}
@@ -161,23 +222,29 @@ def chunk_ids(frequencies: bytes, blocks: list[dict], n_tokens: int) -> np.ndarr
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
-    """The documents of a folder: doc_id, ids, and their place (part, chunk, row, offset)."""
+    """The documents of a folder: doc_id, ids, and their place (part, chunk, offset)."""
+    kind = "doc_id bigint, part int, chunk int, offset bigint, ids array<int>"
+    return decoded(spark, folder, "ids", kind, lambda ids, ends: pa.ListArray.from_arrays(
+        pa.array(ends, pa.int32()), pa.array(ids, pa.int32())))
+
+
+def decoded(spark: SparkSession, folder: str, name: str, kind: str, column) -> DataFrame:
+    """One row per document, with ``column`` made from the ids of a chunk and where its
+    documents end."""
     steps.ship(spark)
 
     def documents(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                ids = chunk_ids(row["frequencies"], row["blocks"], row["n_tokens"]).astype(np.int32)
+                ids = chunk_ids(row["frequencies"], row["blocks"], row["n_tokens"])
                 ends = np.cumsum([0, *row["counts"]])
                 many = len(row["doc_ids"])
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(row["doc_ids"], pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
-                    pa.array([row["part"]] * many, pa.int32()), pa.array([row["chunk"]] * many, pa.int32()),
-                    pa.array(ends[:-1], pa.int64()),
-                ], names=["doc_id", "ids", "part", "chunk", "offset"])
+                    pa.array(row["doc_ids"], pa.int64()), pa.array(np.full(many, row["part"]), pa.int32()),
+                    pa.array(np.full(many, row["chunk"]), pa.int32()), pa.array(ends[:-1], pa.int64()), column(ids, ends),
+                ], names=["doc_id", "part", "chunk", "offset", name])
 
-    rows = chunks(spark, folder)
-    return rows.mapInArrow(documents, "doc_id bigint, ids array<int>, part int, chunk int, offset bigint")
+    return chunks(spark, folder).mapInArrow(documents, kind)
 
 
 def chunks(spark: SparkSession, folder: str) -> DataFrame:
@@ -196,19 +263,19 @@ def chunk_starts(spark: SparkSession, folder: str) -> DataFrame:
         "part", "chunk", (F.col("before") + F.col("within")).alias("chunk_start"))
 
 
-def crc32_of_ids(ids: pa.Array) -> pa.Array:
-    values = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4")
-    ends = np.append(0, np.cumsum(np.asarray(ids.value_lengths())))
-    return pa.array([zlib.crc32(values[a:b].tobytes()) for a, b in zip(ends, ends[1:])], pa.int64())
+def digests(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    raw = ids.astype("<u4")
+    sums = [zlib.crc32(raw[a:b].tobytes()) for a, b in zip(ends, ends[1:])]
+    return pa.StructArray.from_arrays([pa.array(np.diff(ends), pa.int64()), pa.array(sums, pa.int64())], ["n_tokens", "crc32"])
 
 
 def listing(spark: SparkSession, folder: str) -> DataFrame:
     """One row per document as read from the files: doc_id, start, n_tokens, ids_crc32."""
-    slim = read(spark, folder).select(
-        "doc_id", "part", "chunk", "offset", F.size("ids").cast("long").alias("n_tokens"),
-        F.arrow_udf(crc32_of_ids, "bigint")("ids").alias("ids_crc32"))
+    kind = "doc_id bigint, part int, chunk int, offset bigint, own struct<n_tokens:bigint,crc32:bigint>"
+    slim = decoded(spark, folder, "own", kind, digests)
     return slim.join(chunk_starts(spark, folder), ["part", "chunk"]).select(
-        "doc_id", (F.col("chunk_start") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
+        "doc_id", (F.col("chunk_start") + F.col("offset")).alias("start"), F.col("own.n_tokens").alias("n_tokens"),
+        F.col("own.crc32").alias("ids_crc32"))
 
 
 def documents_report(docs: DataFrame, tokenizer: str) -> DataFrame:
