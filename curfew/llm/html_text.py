@@ -49,34 +49,48 @@ OUTSIDE_WORDS = frozenset(
 )
 #: They close an open paragraph.
 ENDS_PARAGRAPH = BLOCKS - {"br", "html", "body", "caption", "option", "optgroup", "tbody", "td", "tfoot", "th", "thead", "tr"}
-#: They hold the article, whatever the name of a class beside it says.
-INSIDE = frozenset({"article", "main", "body", "html"})
+#: Whatever holds these words is not the article, even within one.
+REMARKS = frozenset(
+    "ad ads advert adverts advertisement advertising comment comments disqus promo promoted promotion related replies "
+    "reply respond sponsor sponsored".split()
+)
+#: What they name lies elsewhere: a box that has a sidebar is no sidebar.
+BESIDE = frozenset("has is no with without".split())
 CONTAINERS = frozenset("article aside body details div fieldset footer form header main nav section table td ul ol".split())
 WORD = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-def is_outside(tag: str, attributes: list[tuple[str, str | None]]) -> bool:
-    if tag in OUTSIDE:
-        return True
-    if tag in INSIDE:
-        return False
+def named(attributes: list[tuple[str, str | None]]) -> set[str]:
+    """Words of the classes and the id."""
+    out: set[str] = set()
     for name, value in attributes:
-        if not value:
-            if name == "hidden":
-                return True
-            continue
-        if name == "role" and value.strip().lower() in OUTSIDE_ROLES:
-            return True
-        if name == "aria-hidden" and value.strip().lower() == "true":
-            return True
-        if name in ("class", "id") and OUTSIDE_WORDS & set(WORD.findall(CAMEL.sub(" ", value).lower())):
+        for part in (value or "").split() if name in ("class", "id") else ():
+            words = WORD.findall(CAMEL.sub(" ", part).lower())
+            out.update(() if words and words[0] in BESIDE else words)
+    return out
+
+
+def hidden(attributes: list[tuple[str, str | None]]) -> bool:
+    for name, value in attributes:
+        value = (value or "").strip().lower()
+        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in OUTSIDE_ROLES:
             return True
-        if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
+        if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
     return False
 
 
+def outside(tag: str, attributes: list[tuple[str, str | None]]) -> tuple[bool, bool]:
+    """Whether an element is not the article for good, and whether it is not by its place
+    in the layout, which an article or main element within it overrules."""
+    if not attributes or tag in ("html", "body"):
+        return tag in OUTSIDE, False
+    words = named(attributes)
+    for_good = tag in OUTSIDE or hidden(attributes) or bool(words & REMARKS)
+    return for_good, tag not in ("article", "main") and bool(words & OUTSIDE_WORDS)
+
+
 class Lines(HTMLParser):
     """Collects (region, text, tags, characters in links) for each block of text."""
 
@@ -85,8 +99,8 @@ class Lines(HTMLParser):
         self.lines: list[tuple[int, str, int, int]] = []
         self.parts: list[str] = []
         self.tags = self.linked = self.links = 0
-        self.unshown = self.outside = 0
-        self.open: list[tuple[str, int, int, int, int]] = []
+        self.unshown = self.outside = self.beside = 0
+        self.open: list[tuple[str, int, int, int, int, int]] = []
         self.region, self.regions = 0, 1
 
     def updatepos(self, i, j):
@@ -108,9 +122,11 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        self.open.append((tag, self.region, self.unshown, self.outside, self.links))
+        self.open.append((tag, self.region, self.unshown, self.outside, self.beside, self.links))
         self.unshown += tag in UNSHOWN
-        self.outside += is_outside(tag, attributes)
+        for_good, by_place = outside(tag, attributes)
+        self.outside += for_good
+        self.beside = 0 if tag in ("article", "main") else self.beside + by_place
         self.links += tag == "a"
         if tag in CONTAINERS:
             self.region, self.regions = self.regions, self.regions + 1
@@ -125,7 +141,7 @@ class Lines(HTMLParser):
                 return
 
     def leave(self, k: int) -> None:
-        _, self.region, self.unshown, self.outside, self.links = self.open[k]
+        _, self.region, self.unshown, self.outside, self.beside, self.links = self.open[k]
         del self.open[k:]
 
     def handle_startendtag(self, tag, attributes):
@@ -143,7 +159,7 @@ class Lines(HTMLParser):
                 break
 
     def handle_data(self, data):
-        if self.unshown or self.outside:
+        if self.unshown or self.outside or self.beside:
             return
         self.parts.append(data)
         if self.links:

@@ -181,6 +181,8 @@ def test_main_text():
     assert html_text.main_text("<p>a<br>b</p><script>c") == "a b"
     assert html_text.main_text("<nav><a>x</a></nav>") == ""
     assert html_text.main_text("<div" * 50 + ">" * 50 + "<p>x") != ""
+    boxed = '<body class="no-header"><div class="page has-sidebar"><div id="sidebar-wrapper"><article class="post">in</article></div>'
+    assert html_text.main_text(boxed + "<p>also</p><aside>x</aside></div><div id=comments><article>c</article></div>") == "in also"
     deep = "<div>" * 3000 + "deep text" + "</div>" * 3000
     assert html_text.main_text(deep) == "deep text"
 
