@@ -12,9 +12,12 @@ Improved consistent weighted sampling draws ``BANDS * ROWS`` samples per text; t
 texts agree in a sample with a chance equal to their weighted Jaccard similarity. Texts
 that agree in all rows of a band are candidates. Copies of a whole text are one node
 from the start. Every member of a band's bucket is compared with the least one;
-links give classes. Then, in each bucket that holds several classes, all pairs across
-classes are compared, but for those whose samples tell them apart: among one bit per
-sample, more than ``MOST_BITS`` differ (for similar texts the chance is below 1e-5).
+links give classes. Then the buckets that hold several classes are opened. What
+two of these texts have in common is at most the weight of the shingles that each
+shares with any other of them, which rules out most pairs. In each bucket all others
+are compared with the text that shares most, and then all pairs that are still of two
+classes, but for those whose samples tell them apart: among one bit per sample, more
+than ``MOST_BITS`` differ (for similar texts the chance is below 1e-5).
 No pair of one class is listed, and no group has a limit.
 
 A null text is empty. A text without words is like no other text but its copies.
@@ -25,7 +28,7 @@ null ids has a null id.
 import numpy as np
 import pyarrow as pa
 from curfew.llm import steps, words
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SHINGLE = 5
@@ -211,6 +214,42 @@ def similarities(left: pa.Array, right: pa.Array, idf: Idf) -> np.ndarray:
     return np.where(total > 0, shared / np.maximum(total - shared, 1e-300), 0.0)
 
 
+def shingle_rows(machine: steps.OnWorker, totals: bool):
+    """From (id, text): each distinct shingle and its weight, or only their sum."""
+
+    def give(batches):
+        for batch in batches:
+            for first, found, hashed in rows_of(batch.column(1)):
+                row, key, weight = shingles(found, hashed, machine.get())
+                if totals:
+                    weight = np.bincount(row, weight, len(found.counts))
+                    row, key = np.arange(len(weight)), np.zeros(len(weight), np.uint64)
+                if len(row):
+                    yield pa.RecordBatch.from_arrays([
+                        batch.column(0).take(pa.array(first + row, pa.int64())), pa.array(key.view(np.int64)),
+                        pa.array(weight)], names=["id", "key", "weight"])
+
+    return give
+
+
+def shared_weights(texts: DataFrame, machine: steps.OnWorker) -> DataFrame:
+    """Of ``texts`` (id, text): their weight, and that of the shingles that another of them
+    has too. No more than this can two texts have in common."""
+    kind = "id bigint, key bigint, weight double"
+    held = texts.mapInArrow(shingle_rows(machine, False), kind)
+    own = held.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("id"), F.min("weight").alias("weight"))
+    lost = own.filter("n = 1").groupBy("id").agg(F.sum("weight").alias("lost"))
+    total = texts.mapInArrow(shingle_rows(machine, True), kind).select("id", F.col("weight").alias("total"))
+    common = F.col("total") - F.coalesce("lost", F.lit(0.0))
+    return total.join(lost, "id", "left").select("id", "total", common.alias("common"))
+
+
+def can_be_similar(x: str, y: str) -> Column:
+    """By their weights: what they share is at most the lesser common weight."""
+    most = F.least(F.col(f"{x}common"), F.col(f"{y}common")) * (1 + 1e-9)
+    return most * (1 + THRESHOLD) >= (F.col(f"{x}total") + F.col(f"{y}total")) * THRESHOLD
+
+
 def verifier(machine: steps.OnWorker):
     def verify(left: pa.Array, right: pa.Array) -> pa.Array:
         out = [np.zeros(0)]
@@ -277,14 +316,31 @@ def classes(docs: DataFrame) -> DataFrame:
     labels = components(edges)
     labelled = shared.join(labels, "node", "left").select("key", "node", "bits", F.coalesce("label", "node").alias("label"))
     mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
-    open_entries = steps.written(labelled.join(mixed.select("key"), "key"))
-    left = open_entries.select("key", F.col("node").alias("a"), F.col("bits").alias("x"), F.col("label").alias("p"))
-    right = open_entries.select("key", F.col("node").alias("b"), F.col("bits").alias("y"), F.col("label").alias("q"))
-    rest = left.join(right, (left["key"] == right["key"]) & (F.col("a") < F.col("b")) & (F.col("p") != F.col("q"))
-                     & close(F.col("x"), F.col("y"))).select("a", "b").distinct()
-    more = verified(rest.join(stars, ["a", "b"], "left_anti"), texts, machine)
-    if not more.isEmpty():
-        labels = components(edges.unionByName(more))
+    number = F.xxhash64("node").alias("id")
+    opened = steps.written(labelled.join(mixed.select("key"), "key").withColumn("id", number))
+    open_texts = texts.select(number, "text").join(opened.select("id").distinct(), "id").dropDuplicates(["id"])
+    weights = steps.written(shared_weights(open_texts, machine))
+    opened = steps.written(opened.drop("label").join(weights.filter(F.col("common") >= THRESHOLD * F.col("total")), "id"))
+    tried = stars
+    for once in (True, False):
+        entries = opened.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        left = entries.select([F.col(c).alias(f"x_{c}") for c in entries.columns])
+        if once:
+            best = F.min_by(F.struct(*entries.columns), F.struct(F.col("common") / -F.col("total"), "node"))
+            right = entries.groupBy("key").agg(best.alias("e")).select(*[F.col(f"e.{c}").alias(f"y_{c}") for c in entries.columns])
+            order = F.col("x_node") != F.col("y_node")
+        else:
+            right = entries.select([F.col(c).alias(f"y_{c}") for c in entries.columns])
+            order = F.col("x_node") < F.col("y_node")
+        pairs = left.join(right, (left["x_key"] == right["y_key"]) & order & (F.col("x_label") != F.col("y_label"))
+                          & close(F.col("x_bits"), F.col("y_bits")) & can_be_similar("x_", "y_"))
+        pairs = pairs.select(
+            F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+        more = verified(pairs.join(tried, ["a", "b"], "left_anti"), texts, machine)
+        tried = steps.written(tried.unionByName(pairs))
+        if not more.isEmpty():
+            edges = steps.written(edges.unionByName(more))
+            labels = components(edges)
     joined = firsts.join(labels, "node", "left").select("node", "first", "n", F.coalesce("label", "node").alias("label"))
     joined = steps.written(joined)
     sizes = joined.groupBy("label").agg(F.min("first").alias("class_id"), F.sum("n").alias("class_size"))
