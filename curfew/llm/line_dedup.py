@@ -10,11 +10,12 @@ number is told to the workers, come last by their count, all others before them
 hash. Two similar sets share a word among their first ``size - least overlap + 1``.
 These prefixes are joined on the word under a length filter, a positional filter, and
 a filter by a 64-bit map of the words, all of which only drop pairs that cannot be
-similar. What is left is verified by the words themselves.
+similar. In the map each word flips a bit, so two maps differ in no more bits than the
+sets in words, however long they are. What is left is verified by the words themselves.
 
-A line has only to find one earlier match. So it is first compared with the earliest
-lines that hold its words, a few for each, and only lines without a match go on to all:
-a large group of alike lines makes few pairs.
+A line has only to find one earlier match. So it is first compared with the ``FEW``
+earliest lines that pass the filters for each of its words, and only lines without a
+match that have more of them go on to all: a large group of alike lines makes few pairs.
 
 A null text has one line without words. Rows with a null doc_id come first; rows with
 equal ids are ordered by a hash of their text. Rows that are equal in both are one
@@ -32,8 +33,9 @@ UP, DOWN = 4, 5
 THRESHOLD = UP / DOWN
 RARE_SHARES = [0.001 * 2**k for k in range(10)]
 COMMON_WORDS = 1 << 20
-#: How many earliest lines of a word are tried, in turn, before all.
-FEW = (1, 16)
+#: How many earlier lines are tried for a line and word before all.
+FEW = 2
+SMALL, CELLS = 16, 1 << 21
 
 SETS = pa.schema([
     ("doc_id", pa.int64()), ("own", pa.int64()), ("line", pa.int32()), ("set", pa.int64()), ("again", pa.int64()),
@@ -54,7 +56,9 @@ def line_words(texts: pa.Array):
         in_row = np.searchsorted(feeds, cuts)
         row = found.row
         line = np.searchsorted(feeds, found.start) - in_row[row]
-        order = np.lexsort((hashed, line, row))
+        place = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (line[1:] != line[:-1]))) if len(row) else row
+        number = np.repeat(np.arange(len(place)), np.diff(np.append(place, len(row))))
+        order = np.argsort((number.astype(np.uint64) << np.uint64(40)) | (hashed >> np.uint64(24)))
         row, line, hashed = row[order], line[order], hashed[order]
         new = np.ones(len(row), bool)
         new[1:] = (row[1:] != row[:-1]) | (line[1:] != line[:-1]) | (hashed[1:] != hashed[:-1])
@@ -85,14 +89,20 @@ def line_sets(batches):
 
 
 def word_counts(batches):
+    """How often each word occurs in a batch."""
     for batch in batches:
-        out = [hashed for _, _, _, hashed in line_words(batch.column(2))]
+        out = []
+        data, offsets = steps.text_buffers(batch.column(2))
+        for first, last in steps.pieces(offsets):
+            part, cuts = data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
+            out.append(words.hashes(part, words.find(part, cuts)))
         word, count = np.unique(np.concatenate(out) if out else np.zeros(0, np.uint64), return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(count)], names=["word", "n"])
 
 
 def common_words(rows: DataFrame, lines: int) -> tuple[np.ndarray, np.ndarray]:
-    """Words in more than a share of the lines, by hash, with their place by rarity."""
+    """Words that occur more often than a share of the lines, by hash, with their place by
+    rarity. Any order of the words gives the same matches; a good one gives few pairs."""
     counts = rows.mapInArrow(word_counts, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     kept = steps.written(counts.filter(F.col("n") >= RARE_SHARES[0] * lines))
     for share in RARE_SHARES:
@@ -136,7 +146,7 @@ def prefixes(machine: steps.OnWorker):
                 if len(common):
                     at = np.minimum(np.searchsorted(common, hashed), len(common) - 1)
                     rank = np.where(common[at] == hashed, place[at], 0)
-                bits = np.bitwise_or.reduceat(np.uint64(1) << (hashed >> np.uint64(58)), start)
+                bits = np.bitwise_xor.reduceat(np.uint64(1) << (hashed >> np.uint64(58)), start)
                 order = np.lexsort((hashed, rank, group))
                 pos = np.arange(len(row)) - np.repeat(start, size)
                 taken = pos < np.repeat(size - least_overlap(size) + 1, size)
@@ -236,25 +246,101 @@ def matched(rows: DataFrame, pairs: DataFrame) -> DataFrame:
         F.col("x_doc_id").alias("doc_id"), F.col("x_own").alias("own"), F.col("x_line").alias("line")).distinct())
 
 
+def may_match(size, pos, bits, x, y) -> np.ndarray:
+    """``possible`` for places ``x`` and ``y`` of arrays."""
+    a, b = size[x], size[y]
+    both = a + b
+    out = (np.minimum(a, b) * DOWN >= np.maximum(a, b) * UP)
+    out &= np.minimum(a - pos[x], b - pos[y]) * (UP + DOWN) >= both * UP
+    differ = np.bitwise_count(bits[x] ^ bits[y]).astype(np.int64)
+    return out & ((both - differ) * (UP + DOWN) >= both * (2 * UP))
+
+
+def earlier_matches(start: np.ndarray, size: np.ndarray, pos: np.ndarray, bits: np.ndarray):
+    """For the members of posting lists, which begin at ``start``: pairs (x, y) of a member
+    and an earlier one that it may match, the ``FEW`` earliest for each at most, and the
+    members that have more of them."""
+    many = np.diff(np.append(start, len(size)))
+    xs, ys, more = [], [], []
+    small = np.repeat(many <= SMALL, many)
+    rank = np.arange(len(size)) - np.repeat(start, many)
+    for back in range(1, SMALL):
+        x = np.flatnonzero(small & (rank >= back))
+        if not len(x):
+            break
+        hit = x[may_match(size, pos, bits, x, x - back)]
+        xs.append(hit)
+        ys.append(hit - back)
+    for first, count in zip(start[many > SMALL], many[many > SMALL]):
+        left, found = np.arange(first + 1, first + count), np.zeros(count, np.int64)
+        low, width = first, SMALL
+        while low < first + count and len(left):
+            high = min(first + count, low + width)
+            step = max(1, CELLS // (high - low))
+            done = []
+            for k in range(0, len(left), step):
+                x = left[k : k + step]
+                grid = may_match(size, pos, bits, x[:, None], np.arange(low, high)[None, :])
+                grid &= np.arange(low, high)[None, :] < x[:, None]
+                order = np.cumsum(grid, axis=1) + found[x - first][:, None]
+                more.append(x[order[:, -1] > FEW])
+                at, place = np.nonzero(grid & (order <= FEW))
+                xs.append(x[at])
+                ys.append(low + place)
+                found[x - first] = order[:, -1]
+                done.append(order[:, -1] >= FEW + 1)
+            left = left[~np.concatenate(done) & (left > high)]
+            low, width = high, width * 4
+    join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    return join(xs), join(ys), np.unique(join(more))
+
+
+def candidates(batches):
+    """From entries sorted by word and place: pairs of lines that may match. A list is read
+    whole; one that goes on in the next batch is held."""
+    held = None
+    names = ["doc_id", "own", "line"]
+
+    def pairs(table):
+        word = table.column("word").to_numpy()
+        start = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+        size, pos = (table.column(c).to_numpy().astype(np.int64) for c in ("size", "pos"))
+        x, y, more = earlier_matches(start, size, pos, table.column("bits").to_numpy().view(np.uint64))
+        columns = {f"x_{c}": table.column(c).take(pa.array(x)) for c in names}
+        columns |= {f"y_{c}": table.column(c).take(pa.array(y)) for c in names}
+        columns["more"] = pa.array(np.isin(x, more))
+        return pa.table(columns).combine_chunks().to_batches()
+
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = (pa.concat_tables([held, table]) if held is not None else table).combine_chunks()
+        if not len(table):
+            continue
+        word = table.column("word").to_numpy()
+        cut = int(np.searchsorted(word, word[-1])) if word[0] != word[-1] else 0
+        yield from pairs(table.slice(0, cut)) if cut else ()
+        held = table.slice(cut)
+    if held is not None and len(held):
+        yield from pairs(held)
+
+
+PAIRS_SQL = "x_doc_id bigint, x_own bigint, x_line int, y_doc_id bigint, y_own bigint, y_line int, more boolean"
+
+
 def resembling(rows: DataFrame, entries: DataFrame) -> DataFrame:
     """The nodes of ``entries`` that resemble an earlier node."""
-    left, found = entries, None
-    for few in (*FEW, 0):
-        x = renamed(left, "x_")
-        if few:
-            salt = F.pmod(F.xxhash64("doc_id", "own", "line"), F.lit(few))
-            first = entries.groupBy("word", salt.alias("salt")).agg(
-                F.min(F.struct("doc_id", "own", "line", "size", "pos", "bits")).alias("e"))
-            y = renamed(first.select("word", "e.*"), "y_")
-        else:
-            y = renamed(entries, "y_")
-        pairs = x.join(y, (F.col("x_word") == F.col("y_word")) & (place("y_") < place("x_")) & possible("x_", "y_"))
-        names = [f"{p}_{c}" for p in "xy" for c in ("doc_id", "own", "line")]
-        new = matched(rows, pairs.select(names))
-        found = new if found is None else steps.written(found.unionByName(new))
-        if few:
-            left = steps.written(left.join(renamed(new, "m_"), line_is("m_"), "left_anti"))
-    return found
+    ordered = entries.repartition("word").sortWithinPartitions("word", "doc_id", "own", "line")
+    pairs = steps.written(ordered.mapInArrow(candidates, PAIRS_SQL))
+    names = [f"{p}_{c}" for p in "xy" for c in ("doc_id", "own", "line")]
+    found = matched(rows, pairs.select(names))
+    open_lines = pairs.filter("more").select(*[F.col(f"x_{c}").alias(c) for c in ("doc_id", "own", "line")]).distinct()
+    open_lines = steps.written(open_lines.join(renamed(found, "m_"), line_is("m_"), "left_anti"))
+    if open_lines.isEmpty():
+        return found
+    left = renamed(entries.join(renamed(open_lines, "o_"), line_is("o_"), "left_semi"), "x_")
+    rest = left.join(renamed(entries, "y_"), (F.col("x_word") == F.col("y_word")) & (place("y_") < place("x_"))
+                     & possible("x_", "y_"))
+    return steps.written(found.unionByName(matched(rows, rest.select(names))))
 
 
 def keep(texts: pa.Array, gone: pa.Array) -> pa.Array:
@@ -282,7 +368,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         rows.join(renamed(wanted, "w_"), same_document("w_")).select("doc_id", "own", "text", "w_lines")
         .mapInArrow(prefixes(machine), PREFIX_SQL)
     )
-    alike = resembling(rows, steps.written(entries.distinct()))
+    alike = resembling(rows, steps.written(entries))
     gone = renamed(alike, "m_")
     named = nodes.join(gone, line_is("m_"), "left")
     verdict = named.select("set", "again", place().alias("first"), F.col("m_line").isNotNull().alias("alike"))
