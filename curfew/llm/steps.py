@@ -97,6 +97,12 @@ class OnWorker:
     def __init__(self, spark: SparkSession, data, build):
         self.key, self.shared, self.build = uuid.uuid4().hex, spark.sparkContext.broadcast(data), build
 
+    @staticmethod
+    def forget() -> None:
+        """Free what earlier operators have built on this worker."""
+        OnWorker.kept.clear()
+        pa.default_memory_pool().release_unused()
+
     def get(self):
         name = self.build.__qualname__
         key, built = OnWorker.kept.get(name, (None, None))

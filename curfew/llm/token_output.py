@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 END_ID = 1
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 6 << 20
 CACHED_WORDS = 2_000_000
 
 FORMAT = (
@@ -182,6 +182,7 @@ def word_ids(path: str) -> WordIds:
 def encoder(path: str):
     def encode(batches):
         part, chunk = TaskContext.get().partitionId(), 0
+        steps.OnWorker.forget()
         for batch in batches:
             doc_ids = batch.column(0)
             data, offsets = steps.text_buffers(batch.column(1))
