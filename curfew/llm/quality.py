@@ -122,7 +122,7 @@ def learn(stats: DataFrame, labels: DataFrame) -> boosting.Trees | None:
     """Trees for quality 1, from a bounded sample; None without both labels."""
     known = labels.filter(training_fold() & F.col("quality").isNotNull()).groupBy("doc_id").agg(
         F.max("quality").alias("quality"))
-    rows = stats.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), *STATS).limit(SAMPLE).select("quality", *STATS).toPandas()
+    rows = stats.join(F.broadcast(steps.hash_sample(known, "doc_id", SAMPLE)), "doc_id").select("quality", *STATS).toPandas()
     y = rows["quality"].to_numpy(float)
     if len(np.unique(y)) < 2:
         return None

@@ -80,9 +80,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, int,
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     )
     counts = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    order = F.xxhash64("doc_id")
-    chosen = known.filter("toxic = 1").orderBy(order).limit(MAX_TOXIC).unionAll(
-        known.filter("toxic = 0").orderBy(order).limit(MAX_CLEAN))
+    chosen = steps.hash_sample(known.filter("toxic = 1"), "doc_id", MAX_TOXIC).unionAll(
+        steps.hash_sample(known.filter("toxic = 0"), "doc_id", MAX_CLEAN))
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
     return steps.written(rows), counts.get(1, 0), counts.get(0, 0)
 

@@ -143,10 +143,9 @@ def classified(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         F.coalesce(F.crc32(F.col("url")) % 5 != 0, F.lit(False)).alias("trains"))
     urls = urls.withColumn("label", F.when(F.col("rule").isNotNull(), (F.col("ruling") == "block").cast("double")))
     rows = steps.written(featured(urls).drop("suffix", "site", "section"))
-    sample = rows.filter("trains").orderBy(F.xxhash64("url"), "page_id").limit(SAMPLE).select(
+    sample = steps.hash_sample(rows.filter("trains").withColumn("key", F.struct("url", "page_id")), "key", SAMPLE).select(
         F.coalesce("label", F.lit(0.0)).alias("label"),
         F.when(F.col("label").isNull(), UNLABELLED_WEIGHT).otherwise(1.0).alias("weight"), *FEATURES)
-    sample = steps.written(sample)
     if sample.select("label").distinct().count() < 2:
         scored = rows.withColumn("score", F.lit(0.0))
     else:
