@@ -321,6 +321,8 @@ def classes(docs: DataFrame) -> DataFrame:
     open_texts = texts.select(number, "text").join(opened.select("id").distinct(), "id").dropDuplicates(["id"])
     weights = steps.written(shared_weights(open_texts, machine))
     opened = steps.written(opened.drop("label").join(weights.filter(F.col("common") >= THRESHOLD * F.col("total")), "id"))
+    shared_keys = opened.groupBy("id").agg(F.collect_set("key").alias("keys"))
+    opened = steps.written(opened.join(shared_keys, "id"))
     tried = stars
     for once in (True, False):
         entries = opened.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -331,7 +333,9 @@ def classes(docs: DataFrame) -> DataFrame:
             order = F.col("x_node") != F.col("y_node")
         else:
             right = entries.select([F.col(c).alias(f"y_{c}") for c in entries.columns])
-            order = F.col("x_node") < F.col("y_node")
+            # A pair that meets in several buckets counts in the first of them.
+            first = F.col("x_key") == F.array_min(F.array_intersect("x_keys", "y_keys"))
+            order = (F.col("x_node") < F.col("y_node")) & first
         pairs = left.join(right, (left["x_key"] == right["y_key"]) & order & (F.col("x_label") != F.col("y_label"))
                           & close(F.col("x_bits"), F.col("y_bits")) & can_be_similar("x_", "y_"))
         pairs = pairs.select(
