@@ -49,6 +49,14 @@ OUTSIDE_WORDS = frozenset(
 )
 #: They close an open paragraph.
 ENDS_PARAGRAPH = BLOCKS - {"br", "html", "body", "caption", "option", "optgroup", "tbody", "td", "tfoot", "th", "thead", "tr"}
+#: Their end tags may be left out; the next such tag ends them, within the same list or select.
+ENDED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "optgroup": ("option", "optgroup")}
+#: Parts of a table, likewise: what a tag ends, within the same table.
+CELLS = ("td", "th", "caption", "colgroup")
+SECTIONS = ("thead", "tbody", "tfoot")
+ENDED_IN_TABLE = {"td": CELLS, "th": CELLS, "tr": ("tr", *CELLS)} | dict.fromkeys(SECTIONS, (*SECTIONS, "tr", *CELLS))
+#: An open one of these hides the list items around it; an address, div or p does not.
+BOUNDS = BLOCKS - {"address", "div", "p"} | {"button", "object", "template"}
 #: Whatever holds these words is not the article, even within one.
 REMARKS = frozenset(
     "ad ads advert adverts advertisement advertising comment comments disqus promo promoted promotion related replies "
@@ -101,6 +109,10 @@ class Lines(HTMLParser):
         self.tags = self.linked = self.links = 0
         self.unshown = self.outside = self.beside = 0
         self.open: list[tuple[str, int, int, int, int, int]] = []
+        #: Where the open elements of each tag, the blocks and the bounds stand in ``open``.
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.bounds: list[int] = []
         self.region, self.regions = 0, 1
 
     def updatepos(self, i, j):
@@ -119,9 +131,15 @@ class Lines(HTMLParser):
             self.flush()
             if tag in ENDS_PARAGRAPH:
                 self.close_paragraph()
+            self.close_implied(tag)
         self.tags += 1
         if tag in VOID:
             return
+        self.places.setdefault(tag, []).append(len(self.open))
+        if tag in BLOCKS:
+            self.blocks.append(len(self.open))
+        if tag in BOUNDS:
+            self.bounds.append(len(self.open))
         self.open.append((tag, self.region, self.unshown, self.outside, self.beside, self.links))
         self.unshown += tag in UNSHOWN
         for_good, by_place = outside(tag, attributes)
@@ -133,16 +151,33 @@ class Lines(HTMLParser):
 
     def close_paragraph(self) -> None:
         """A block ends a paragraph that its container holds open."""
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == "p":
-                self.leave(k)
-                return
-            if self.open[k][0] in BLOCKS:
-                return
+        if self.blocks and self.open[self.blocks[-1]][0] == "p":
+            self.leave(self.blocks[-1])
+
+    def close_implied(self, tag: str) -> None:
+        """Ends what is open of a list, select or table and ends where ``tag`` begins."""
+        for ended in ENDED_BY.get(tag, ()):
+            if self.bounds and self.open[self.bounds[-1]][0] == ended:
+                self.leave(self.bounds[-1])
+        if tag in ENDED_IN_TABLE:
+            table = self.last("table")
+            ended = [k for k in map(self.last, ENDED_IN_TABLE[tag]) if k > table]
+            if ended:
+                self.leave(min(ended))
+
+    def last(self, tag: str) -> int:
+        """Where the innermost open element of a tag stands, or -1."""
+        places = self.places.get(tag)
+        return places[-1] if places else -1
 
     def leave(self, k: int) -> None:
         _, self.region, self.unshown, self.outside, self.beside, self.links = self.open[k]
+        for tag, *_ in self.open[k:]:
+            self.places[tag].pop()
         del self.open[k:]
+        for places in (self.blocks, self.bounds):
+            while places and places[-1] >= k:
+                places.pop()
 
     def handle_startendtag(self, tag, attributes):
         self.handle_starttag(tag, attributes)
@@ -153,10 +188,9 @@ class Lines(HTMLParser):
         if tag in BLOCKS:
             self.flush()
         self.tags += 1
-        for k in range(len(self.open) - 1, max(-1, len(self.open) - 257), -1):
-            if self.open[k][0] == tag:
-                self.leave(k)
-                break
+        at = self.last(tag)
+        if at >= 0:
+            self.leave(at)
 
     def handle_data(self, data):
         if self.unshown or self.outside or self.beside:

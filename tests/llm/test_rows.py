@@ -187,6 +187,38 @@ def test_main_text():
     assert html_text.main_text(deep) == "deep text"
 
 
+@pytest.mark.parametrize("n", [2, 255, 256, 5000])
+def test_long_lists_without_end_tags(n):
+    """What follows a menu, form or table stays, however many elements it leaves open."""
+    article = "<article><p>" + "all of the article " * 20 + "</article>"
+    wanted = ("all of the article " * 20).strip()
+    for menu in (
+        "<nav><ul>" + "<li><a href=x>item</a>" * n + "</ul></nav>", "<form><select>" + "<option>item" * n + "</select></form>",
+        "<footer><table>" + "<tr><td>cell<th>cell" * n + "</table></footer>", "<nav><dl>" + "<dt>a<dd>b" * n + "</dl></nav>",
+        "<nav>" + "<span>" * n + "</nav>", "<form><select>" + "<optgroup><option>item" * n + "</select></form>",
+        "<nav><table>" + "<tbody><tr><td>cell" * n + "</table></nav>", "<nav>" + "<font><i>" * n + "<hr>" * n + "</nav>",
+    ):
+        assert html_text.main_text(f"<body>{menu}{article}") == wanted
+
+
+def test_implied_ends():
+    """An item ends the one before it in its own list, not that around the list."""
+
+    def still_open(html):
+        parser = html_text.Lines()
+        parser.feed(html)
+        return " ".join(tag for tag, *_ in parser.open)
+
+    assert still_open("<ul><li>a<li><p>b<li>c") == "ul li"
+    assert still_open("<ul><li>a<ol><li>b<li><div>c") == "ul li ol li div"
+    assert still_open("<ul><li><div>a<li>b") == "ul li"
+    assert still_open("<dl><dt>a<dd>b<dt>c<dd><b>d") == "dl dd b"
+    assert still_open("<table><tr><td>a<td><ul><li>b<tr><td><table><tr><td>c<th>d") == "table tr td table tr th"
+    assert still_open("<table><caption>a<thead><tr><th>b<tbody><tr><td>c") == "table tbody tr td"
+    assert still_open("<select><optgroup><option>a<option>b<optgroup><option>c") == "select optgroup option"
+    assert html_text.main_text("<ul><li class=ad>buy<li>" + "the text " * 20 + "</ul>") == ("the text " * 20).strip()
+
+
 def test_pages_are_read_whole(spark):
     pages = queries.table(spark, MEDIUM, "pages")
     found = {r.page_id: r for r in queries.op10_html_extraction(spark, MEDIUM).collect()}
