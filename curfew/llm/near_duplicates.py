@@ -3,10 +3,9 @@ verified by weighted Jaccard similarity.
 
 A shingle is ``SHINGLE`` words (all words of a shorter text), A-Z as a-z. Its weight in
 a text is its count there times the mean idf of its words, ``log(1 + N / df)`` over
-all documents. Words rarer than a share of the documents get the idf of that share,
-so that only common words need to be known to the workers: there are at most mean
-distinct words per document / share of them. The share is the least of a fixed series
-for which they are ``COMMON_WORDS`` or fewer.
+all documents. The workers know the ``COMMON_WORDS`` or fewer words at or above the least
+power of two of documents that leaves so few. A word in one document needs no list. What
+lies between comes with the text, from a join of its words with the counted ones.
 
 Improved consistent weighted sampling draws ``BANDS * ROWS`` samples per text; two
 texts agree in a sample with a chance equal to their weighted Jaccard similarity. Texts
@@ -36,7 +35,6 @@ THRESHOLD = 0.8
 BANDS, ROWS = 14, 4
 SAMPLES = BANDS * ROWS
 MOST_BITS = 17
-RARE_SHARES = [0.001 * 2**k for k in range(10)]
 COMMON_WORDS = 1 << 20
 TABLE = 1 << 16
 
@@ -59,19 +57,33 @@ SAMPLE_KEYS = words.mix(np.arange(7, 7 + SAMPLES, dtype=np.uint64) * words.WINDO
 
 
 class Idf:
-    """idf of hashed words: listed for common ones, one value for the rest."""
+    """idf of hashed words: of the common ones, of those listed beside texts, and of the
+    rest, which are in one document."""
 
-    def __init__(self, data: tuple[np.ndarray, np.ndarray, float]):
-        self.known, self.value, self.rest = data
+    def __init__(self, data: tuple[np.ndarray, np.ndarray, int], listed=(np.zeros(0, np.uint64), np.zeros(0))):
+        self.data, self.listed = data, listed
+
+    def beside(self, *columns: tuple[pa.Array, pa.Array]) -> "Idf":
+        """With the words and counts of some columns of lists."""
+        word, n = (np.concatenate([c[k].flatten().to_numpy(zero_copy_only=False) for c in columns]) for k in (0, 1))
+        word, first = np.unique(word.astype(np.int64).view(np.uint64), return_index=True)
+        return Idf(self.data, (word, np.log1p(self.data[2] / n[first].astype(float))))
 
     def of(self, hashed: np.ndarray) -> np.ndarray:
-        out = np.full(len(hashed), self.rest)
-        if len(self.known):
-            at = np.minimum(np.searchsorted(self.known, hashed), len(self.known) - 1)
-            same = self.known[at] == hashed
-            out[same] = self.value[at[same]]
+        out = np.full(len(hashed), np.log1p(self.data[2]))
+        for known, value in (self.data[:2], self.listed):
+            if len(known):
+                at = np.minimum(np.searchsorted(known, hashed), len(known) - 1)
+                same = known[at] == hashed
+                out[same] = value[at[same]]
         return out
 
+    def is_common(self, hashed: np.ndarray) -> np.ndarray:
+        known = self.data[0]
+        if not len(known):
+            return np.zeros(len(hashed), bool)
+        return known[np.minimum(np.searchsorted(known, hashed), len(known) - 1)] == hashed
+
 
 def rows_of(texts: pa.Array):
     """Words and their hashes, a few rows at a time."""
@@ -150,37 +162,68 @@ def document_frequencies(batches):
         yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(count)], names=["word", "n"])
 
 
-def common_words(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
-    """Hashes of the common words in order, their idf, and that of all others."""
+def counted_words(docs: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray, int], DataFrame | None]:
+    """For ``Idf``: hashes of the common words in order, their idf, and the number of rows.
+    And word and n of the words that are not common but in several rows, if any."""
     total = docs.count()
-    if not total:
-        return np.zeros(0, np.uint64), np.zeros(0), 1.0
     counts = docs.select("text").mapInArrow(document_frequencies, "word bigint, n bigint").groupBy("word").agg(
         F.sum("n").alias("n"))
-    kept = steps.written(counts.filter(F.col("n") >= RARE_SHARES[0] * total))
-    for share in RARE_SHARES:
-        common = kept.filter(F.col("n") >= share * total)
-        if common.count() <= COMMON_WORDS:
-            break
-    rows = common.toPandas()
-    word = rows["word"].to_numpy(np.int64).view(np.uint64)
+    counts = steps.written(counts.filter("n > 1"))
+    sizes = dict(counts.groupBy(F.length(F.bin("n")).alias("bits")).agg(F.count("*")).collect())
+    bits = 2
+    while sum(n for k, n in sizes.items() if k >= bits) > COMMON_WORDS:
+        bits += 1
+    least = 1 << (bits - 1)
+    rows = counts.filter(F.col("n") >= least).toArrow()
+    word, n = rows["word"].to_numpy().view(np.uint64), rows["n"].to_numpy()
     order = np.argsort(word)
-    return word[order], np.log1p(total / rows["n"].to_numpy(float)[order]), float(np.log1p(1 / share))
+    common = word[order], np.log1p(total / n[order]), total
+    return common, counts.filter(F.col("n") < least) if min(sizes, default=bits) < bits else None
+
+
+def uncommon_words(machine: steps.OnWorker):
+    """From (node, text): the distinct words of a text that the workers do not know."""
+
+    def give(batches):
+        for batch in batches:
+            take = first_of_each(batch.column(0))
+            nodes = batch.column(0).take(take)
+            for first, found, hashed in rows_of(batch.column(1).take(take)):
+                other = ~machine.get().is_common(hashed)
+                row, hashed = found.row[other], hashed[other]
+                _, one = np.unique(words.mix(hashed ^ words.mix(row.astype(np.uint64))), return_index=True)
+                yield pa.RecordBatch.from_arrays(
+                    [nodes.take(pa.array(first + row[one], pa.int64())), pa.array(hashed[one].view(np.int64))],
+                    names=["node", "word"])
+
+    return give
+
+
+def listed_words(texts: DataFrame, machine: steps.OnWorker, rest: DataFrame) -> DataFrame:
+    """For each node of ``texts`` (node, text): its words that are in ``rest``, and their n."""
+    held = texts.mapInArrow(uncommon_words(machine), "node binary, word bigint").join(rest, "word")
+    lists = held.groupBy("node").agg(F.collect_set(F.struct("word", "n")).alias("listed"))
+    return lists.select("node", F.col("listed.word").alias("listed"), F.col("listed.n").alias("listed_n"))
+
+
+def first_of_each(nodes: pa.Array) -> pa.Array:
+    """Where each node of a batch comes first."""
+    seen, fresh = set(), []
+    for k, node in enumerate(nodes.to_pylist()):
+        if node not in seen:
+            seen.add(node)
+            fresh.append(k)
+    return pa.array(fresh, pa.int64())
 
 
 def signer(machine: steps.OnWorker):
     def sign(batches):
         for batch in batches:
-            nodes = batch.column(0)
-            seen, fresh = set(), []
-            for k, node in enumerate(nodes.to_pylist()):
-                if node not in seen:
-                    seen.add(node)
-                    fresh.append(k)
-            take = pa.array(fresh, pa.int64())
-            nodes, texts = nodes.take(take), batch.column(1).take(take)
+            idf = machine.get().beside((batch.column(2), batch.column(3)))
+            take = first_of_each(batch.column(0))
+            nodes, texts = batch.column(0).take(take), batch.column(1).take(take)
             for first, found, hashed in rows_of(texts):
-                row, codes = samples(*shingles(found, hashed, machine.get()))
+                row, codes = samples(*shingles(found, hashed, idf))
                 bits = ((codes >> np.uint64(17)) & np.uint64(1)) << np.arange(SAMPLES, dtype=np.uint64)
                 band = np.zeros((len(row), BANDS), np.uint64)
                 for k in range(ROWS):
@@ -215,12 +258,13 @@ def similarities(left: pa.Array, right: pa.Array, idf: Idf) -> np.ndarray:
 
 
 def shingle_rows(machine: steps.OnWorker, totals: bool):
-    """From (id, text): each distinct shingle and its weight, or only their sum."""
+    """From (id, text, listed, listed_n): each distinct shingle and its weight, or only their sum."""
 
     def give(batches):
         for batch in batches:
+            idf = machine.get().beside((batch.column(2), batch.column(3)))
             for first, found, hashed in rows_of(batch.column(1)):
-                row, key, weight = shingles(found, hashed, machine.get())
+                row, key, weight = shingles(found, hashed, idf)
                 if totals:
                     weight = np.bincount(row, weight, len(found.counts))
                     row, key = np.arange(len(weight)), np.zeros(len(weight), np.uint64)
@@ -233,7 +277,7 @@ def shingle_rows(machine: steps.OnWorker, totals: bool):
 
 
 def shared_weights(texts: DataFrame, machine: steps.OnWorker) -> DataFrame:
-    """Of ``texts`` (id, text): their weight, and that of the shingles that another of them
+    """Of ``texts`` (id, text, listed, listed_n): their weight, and that of the shingles that another of them
     has too. No more than this can two texts have in common."""
     kind = "id bigint, key bigint, weight double"
     held = texts.mapInArrow(shingle_rows(machine, False), kind)
@@ -251,10 +295,11 @@ def can_be_similar(x: str, y: str) -> Column:
 
 
 def verifier(machine: steps.OnWorker):
-    def verify(left: pa.Array, right: pa.Array) -> pa.Array:
+    def verify(left: pa.Array, right: pa.Array, x: pa.Array, x_n: pa.Array, y: pa.Array, y_n: pa.Array) -> pa.Array:
         out = [np.zeros(0)]
         for k in range(0, len(left), 512):
-            out.append(similarities(left.slice(k, 512), right.slice(k, 512), machine.get()))
+            part = [column.slice(k, 512) for column in (left, right, x, x_n, y, y_n)]
+            out.append(similarities(*part[:2], machine.get().beside(part[2:4], part[4:])))
         return pa.array(np.concatenate(out))
 
     return F.arrow_udf(verify, "double").asNondeterministic()
@@ -262,10 +307,10 @@ def verifier(machine: steps.OnWorker):
 
 def verified(pairs: DataFrame, texts: DataFrame, machine: steps.OnWorker) -> DataFrame:
     """The pairs (a, b) of nodes that are similar enough, written."""
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("left"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("right"))
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("left"), F.col("listed").alias("x"), F.col("listed_n").alias("x_n"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("right"), F.col("listed").alias("y"), F.col("listed_n").alias("y_n"))
     both = pairs.join(left, "a").join(right, "b")
-    similar = both.select("a", "b", verifier(machine)("left", "right").alias("similarity"))
+    similar = both.select("a", "b", verifier(machine)("left", "right", "x", "x_n", "y", "y_n").alias("similarity"))
     return steps.written(similar.filter(F.col("similarity") >= THRESHOLD).select("a", "b").distinct())
 
 
@@ -288,6 +333,12 @@ def components(edges: DataFrame) -> DataFrame:
         labels = new.select("node", "label")
 
 
+def texts_of(rows: DataFrame, held: DataFrame) -> DataFrame:
+    """The text of each node of ``held`` (node, first, listed, listed_n), from its first row."""
+    same = F.col("doc_id").eqNullSafe(F.col("first")) & (F.col("own") == F.col("node"))
+    return rows.join(held, same).select("node", "text", "listed", "listed_n")
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, node (hash of the text), label (least node of
     the class), class_id and class_size, the number of rows in the class."""
@@ -296,9 +347,19 @@ def classes(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     slim = steps.written(docs.select("doc_id", F.expr(NODE).alias("node")))
     firsts = slim.groupBy("node").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
-    machine = steps.OnWorker(spark, common_words(docs), Idf)
-    signed = docs.select(F.expr(NODE).alias("node"), "text").mapInArrow(
-        signer(machine), "node binary, bands array<bigint>, bits bigint")
+    common, rest = counted_words(docs)
+    machine = steps.OnWorker(spark, common, Idf)
+    rows = docs.select("doc_id", "text", F.expr(NODE).alias("own"))
+    none = F.array().cast("array<bigint>")
+    plain = rows.select(F.col("own").alias("node"), "text")
+    if rest is None:
+        held = firsts.select("node", "first", none.alias("listed"), none.alias("listed_n"))
+        to_sign = plain.select("node", "text", none.alias("listed"), none.alias("listed_n"))
+    else:
+        held = steps.written(firsts.join(listed_words(plain, machine, rest), "node", "left").select(
+            "node", "first", *[F.coalesce(c, none).alias(c) for c in ("listed", "listed_n")]))
+        to_sign = texts_of(rows, held)
+    signed = to_sign.mapInArrow(signer(machine), "node binary, bands array<bigint>, bits bigint")
     signed = signed.groupBy("node").agg(F.first("bands").alias("bands"), F.first("bits").alias("bits"))
     entries = signed.select("node", "bits", F.explode("bands").alias("key"))
     entries = steps.written(entries)
@@ -308,17 +369,14 @@ def classes(docs: DataFrame) -> DataFrame:
     stars = steps.written(
         shared.filter(F.col("node") != F.col("rep.node")).filter(close(F.col("bits"), F.col("rep.bits")))
         .select(F.col("rep.node").alias("a"), F.col("node").alias("b")).distinct())
-    named = shared.select("node").distinct().join(firsts, "node").select(F.col("first").alias("doc_id"), "node")
-    rows = docs.select("doc_id", "text", F.expr(NODE).alias("own"))
-    texts = steps.written(
-        rows.join(named, rows["doc_id"].eqNullSafe(named["doc_id"]) & (rows["own"] == named["node"])).select("node", "text"))
+    texts = steps.written(texts_of(rows, shared.select("node").distinct().join(held, "node")))
     edges = verified(stars, texts, machine)
     labels = components(edges)
     labelled = shared.join(labels, "node", "left").select("key", "node", "bits", F.coalesce("label", "node").alias("label"))
     mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
     number = F.xxhash64("node").alias("id")
     opened = steps.written(labelled.join(mixed.select("key"), "key").withColumn("id", number))
-    open_texts = texts.select(number, "text").join(opened.select("id").distinct(), "id").dropDuplicates(["id"])
+    open_texts = texts.select(number, "text", "listed", "listed_n").join(opened.select("id").distinct(), "id").dropDuplicates(["id"])
     weights = steps.written(shared_weights(open_texts, machine))
     opened = steps.written(opened.drop("label").join(weights.filter(F.col("common") >= THRESHOLD * F.col("total")), "id"))
     shared_keys = opened.groupBy("id").agg(F.collect_set("key").alias("keys"))

@@ -136,6 +136,29 @@ def test_near_duplicates_equal_brute_force(spark):
     assert found == {i: min(own) for own in members.values() for i in own}
 
 
+@pytest.mark.parametrize("common", [1 << 20, 40, 0])
+def test_idf_is_of_all_words(docs_of, monkeypatch, common):
+    """A pair above 0.8, below it with the idf cut at 0.1% of the documents, whether the
+    workers know all words, some or none."""
+    monkeypatch.setattr(near_duplicates, "COMMON_WORDS", common)
+    rare = prose(0, 51, "rare")
+    pairs = [(k, f"{rare} {prose(20 * k, 8, 'few')}") for k in (1, 2)]
+    pairs += [(100 * k + j, f"{prose(20 * k, 8, 'few')} {prose(100 * k + j, 1, 'own')}") for k in (1, 2) for j in range(40)]
+    pairs += [(i, prose(10 * i, 6, "fill")) for i in range(1000, 5000)]
+    df = Counter(w for _, text in pairs for w in set(text.split()))
+    plain = {w: math.log1p(len(pairs) / n) for w, n in df.items()}
+    cut = {w: min(v, math.log1p(1000)) for w, v in plain.items()}
+    value, as_cut = (weighted_jaccard(*[shingle_weights(t, idf) for _, t in pairs[:2]]) for idf in (plain, cut))
+    assert as_cut < 0.799 and value > 0.801
+    docs = docs_of(*pairs)
+    known, rest = near_duplicates.counted_words(docs)
+    assert len(known[0]) == {1 << 20: 67, 40: 16, 0: 0}[common] and (rest is None) == (common == 1 << 20)
+    machine = near_duplicates.Idf(known)
+    assert machine.is_common(known[0]).all() and np.isclose(machine.of(np.zeros(1, np.uint64)), plain["own100"])
+    by_id = {r.doc_id: r.class_id for r in near_duplicates.report(docs).collect()}
+    assert by_id[1] == by_id[2] == 1
+
+
 def test_near_duplicate_groups(spark, docs_of):
     """A large group of near copies, a shared passage that makes no class, a chain."""
     rng = random.Random(5)
