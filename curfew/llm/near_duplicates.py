@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 
 SHINGLE = 5
 THRESHOLD = 0.8
+#: Sums of equal weights may differ by rounding.
+LEAST = THRESHOLD * (1 - 1e-9)
 BANDS, ROWS = 14, 4
 SAMPLES = BANDS * ROWS
 MOST_BITS = 17
@@ -311,7 +313,7 @@ def verified(pairs: DataFrame, texts: DataFrame, machine: steps.OnWorker) -> Dat
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("right"), F.col("listed").alias("y"), F.col("listed_n").alias("y_n"))
     both = pairs.join(left, "a").join(right, "b")
     similar = both.select("a", "b", verifier(machine)("left", "right", "x", "x_n", "y", "y_n").alias("similarity"))
-    return steps.written(similar.filter(F.col("similarity") >= THRESHOLD).select("a", "b").distinct())
+    return steps.written(similar.filter(F.col("similarity") >= LEAST).select("a", "b").distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -378,7 +380,7 @@ def classes(docs: DataFrame) -> DataFrame:
     opened = steps.written(labelled.join(mixed.select("key"), "key").withColumn("id", number))
     open_texts = texts.select(number, "text", "listed", "listed_n").join(opened.select("id").distinct(), "id").dropDuplicates(["id"])
     weights = steps.written(shared_weights(open_texts, machine))
-    opened = steps.written(opened.drop("label").join(weights.filter(F.col("common") >= THRESHOLD * F.col("total")), "id"))
+    opened = steps.written(opened.drop("label").join(weights.filter(F.col("common") >= LEAST * F.col("total")), "id"))
     shared_keys = opened.groupBy("id").agg(F.collect_set("key").alias("keys"))
     opened = steps.written(opened.join(shared_keys, "id"))
     tried = stars
