@@ -152,6 +152,13 @@ def samples(row: np.ndarray, key: np.ndarray, weight: np.ndarray) -> tuple[np.nd
     return row[start], codes
 
 
+def sample_bits(codes: np.ndarray) -> np.ndarray:
+    """One bit of each sample. The number of the sample is mixed in, so that the bits of
+    samples that are one shingle are independent."""
+    bits = (words.mix(codes ^ SAMPLE_KEYS) >> np.uint64(17)) & np.uint64(1)
+    return np.bitwise_or.reduce(bits << np.arange(SAMPLES, dtype=np.uint64), 1)
+
+
 def document_frequencies(batches):
     """Hash of each word and how many rows of a batch hold it."""
     for batch in batches:
@@ -226,7 +233,6 @@ def signer(machine: steps.OnWorker):
             nodes, texts = batch.column(0).take(take), batch.column(1).take(take)
             for first, found, hashed in rows_of(texts):
                 row, codes = samples(*shingles(found, hashed, idf))
-                bits = ((codes >> np.uint64(17)) & np.uint64(1)) << np.arange(SAMPLES, dtype=np.uint64)
                 band = np.zeros((len(row), BANDS), np.uint64)
                 for k in range(ROWS):
                     band = words.mix(band * words.BASE + codes[:, k::ROWS])
@@ -235,7 +241,7 @@ def signer(machine: steps.OnWorker):
                 yield pa.RecordBatch.from_arrays([
                     nodes.take(pa.array(first + row, pa.int64())),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(band.ravel().view(np.int64))),
-                    pa.array(np.bitwise_or.reduce(bits, 1).view(np.int64)),
+                    pa.array(sample_bits(codes).view(np.int64)),
                 ], names=["node", "bands", "bits"])
 
     return sign

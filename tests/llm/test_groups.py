@@ -222,6 +222,18 @@ def test_samples_estimate_similarity():
     assert abs(np.mean([s[0] - s[1] for s in share])) < 0.03
 
 
+def test_bits_of_short_texts_are_independent():
+    """Among pairs of 4 and 5 equal shingles, fewer than 1e-4 differ in more bits than allowed."""
+    n = 40_000
+    key = np.random.default_rng(4).integers(0, 2**63, 5 * n).astype(np.uint64)
+    row, short = np.repeat(np.arange(n), 5), np.arange(5 * n) % 5 < 4
+    x = near_duplicates.samples(row, key, np.ones(5 * n))[1]
+    y = near_duplicates.samples(row[short], key[short], np.ones(4 * n))[1]
+    differ = np.bitwise_count(near_duplicates.sample_bits(x) ^ near_duplicates.sample_bits(y))
+    assert (differ > near_duplicates.MOST_BITS).sum() < 1e-4 * n
+    assert abs((x == y).mean() - 0.8) < 0.01
+
+
 # Passages
 
 
