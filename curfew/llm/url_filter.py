@@ -74,12 +74,18 @@ def ruled(rules: tuple[Rule, ...], value) -> Column:
 
 
 def entropy(text: Column) -> Column:
-    """Bits per character."""
-    chars = F.split(text, "")
+    """Bits per character, from the runs of the sorted characters."""
     size = F.greatest(F.length(text), F.lit(1))
-    share = lambda c: (F.size(chars) - F.size(F.array_remove(chars, c))) / size
-    bits = F.transform(F.array_distinct(chars), lambda c: -share(c) * F.log2(share(c)))
-    return F.when(F.length(text) > 0, F.aggregate(bits, F.lit(0.0), lambda a, b: a + b)).otherwise(0.0)
+    bits = lambda n: F.when(n > 0, -(n / size) * F.log2(n / size)).otherwise(0.0)
+    start = F.struct(F.lit("").alias("char"), F.lit(0).alias("n"), F.lit(0.0).alias("bits"))
+
+    def add(run: Column, char: Column) -> Column:
+        same = run["char"] == char
+        ended = F.when(same, run["bits"]).otherwise(run["bits"] + bits(run["n"]))
+        return F.struct(char.alias("char"), F.when(same, run["n"] + 1).otherwise(1).alias("n"), ended.alias("bits"))
+
+    total = F.aggregate(F.sort_array(F.split(text, "")), start, add, lambda run: run["bits"] + bits(run["n"]))
+    return F.when(F.length(text) > 0, total).otherwise(0.0)
 
 
 def ratio(text: Column, pattern: str) -> Column:
@@ -97,7 +103,7 @@ def lexical(urls: DataFrame) -> DataFrame:
         F.size(F.filter(F.split(path, "/"), lambda p: p != "")).alias("depth"),
         F.size(labels).alias("labels"),
         ratio(url, "[0-9]").alias("digit_ratio"), ratio(host, "[0-9]").alias("host_digit_ratio"),
-        entropy(host).alias("host_entropy"), entropy(F.substr(path, F.lit(1), F.lit(2000))).alias("path_entropy"),
+        entropy(host).alias("host_entropy"), entropy(path).alias("path_entropy"),
         F.when(query != "", F.size(F.split(query, "&"))).otherwise(0).alias("parameters"),
         F.length(query).alias("query_length"),
         F.regexp_count(url, F.lit("-")).alias("hyphens"),

@@ -262,6 +262,18 @@ def test_url_rules(spark):
     assert [r.verdict for r in url_filter.classified(twice).collect()] == ["allow", "allow"]
 
 
+def test_entropy_is_of_the_whole_path(spark):
+    """Paths beyond 2,000 characters, of few and of many different ones."""
+    paths = ["/" + "a" * 3000 + "bcdefgh" * 500, "/" + "".join(chr(0x4E00 + k) for k in range(20_000)), "/é€😀/é", "/"]
+    pages = spark.createDataFrame([(k, f"http://a.com{p}") for k, p in enumerate([*paths, ""])], "page_id long, url string")
+    host, path = url_filter.host_and_path(F.col("url"))
+    found = url_filter.lexical(pages.withColumn("host", host).withColumn("path", path))
+    for k, value in rows(found.select("page_id", "path_entropy")):
+        counts = np.array([*Counter([*paths, ""][k]).values()], float)
+        share = counts / max(1, counts.sum())
+        assert abs(value + (share * np.log2(share)).sum()) < 1e-9
+
+
 def test_url_trees_held_out(spark):
     found = url_filter.classified(queries.table(spark, MEDIUM, "pages"))
     own = found.filter("held_out AND rule IS NOT NULL").select((F.col("score") >= 0.5) == (F.col("verdict") == "block"))
