@@ -1,7 +1,7 @@
 """Queries of the operators on text: each takes a session and the folder of the tables."""
 
 import public_tokenizers
-from curfew.llm import decontamination, html_text, line_dedup, mixing, near_duplicates, quality, substring_dedup, token_output, toxicity, url_filter
+from curfew.llm import decontamination, html_text, line_dedup, mixing, near_duplicates, quality, substring_dedup, token_alignment, token_output, toxicity, url_filter
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -54,6 +54,11 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sides = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment.report(table(spark, sf_dir, "documents"), *sides)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
@@ -65,4 +70,5 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_html_extraction": op10_html_extraction,
+    "op11_token_alignment": op11_token_alignment,
 }
