@@ -43,7 +43,53 @@ FROM d LEFT JOIN (SELECT doc_id, count(gone) AS n_removed,
                   GROUP BY doc_id) AS r ON r.doc_id = d.doc_id
 """
 
+OP12 = """
+WITH RECURSIVE v AS (SELECT DISTINCT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+      WHERE label IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+      AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.93),
+r AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y),
+c AS (SELECT x, min(y) AS least FROM r GROUP BY x),
+n AS (SELECT x, count(*) AS n FROM l GROUP BY x)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id,
+       vec_id <= coalesce(least, vec_id) AS kept
+FROM embeddings LEFT JOIN n ON n.x = vec_id LEFT JOIN c ON c.x = vec_id
+"""
+
+#: crc32 by its table of 256 entries, which eight shifts of each byte give.
+OP13 = """
+WITH g AS (SELECT list_transform(range(256), lambda b: list_reduce(range(8),
+             lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS t),
+t AS (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x, row_number() OVER (PARTITION BY conv_id
+        ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS j
+      FROM conversations WHERE conv_id IS NOT NULL),
+h AS (SELECT c, c - c % 100 AS base,
+             xor(list_reduce(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT)),
+                             lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295), 4294967295) % 6 AS h
+      FROM (SELECT DISTINCT c FROM t), g),
+w AS (SELECT h.c, list({'r': u.r, 'x': u.x} ORDER BY u.k, u.j) FILTER (WHERE u.r IS NOT NULL) AS w
+      FROM h LEFT JOIN (SELECT h.c, 0 AS k, t.j, t.r, t.x FROM h JOIN t ON t.c = h.base AND t.j < h.h
+                        UNION ALL SELECT h.c, 1, t.j, t.r, t.x FROM h JOIN t ON t.c = h.c AND t.j >= h.h) u ON u.c = h.c
+      GROUP BY h.c),
+p AS (SELECT c, len(coalesce(w, [])) AS n, d, coalesce(w, [])[1:d] AS p
+      FROM (SELECT *, unnest(range(0, len(coalesce(w, [])) + 1)) AS d FROM w)),
+n AS (SELECT p, d, min(c) AS conv_id, count(*) AS n_convs,
+             string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE d = n) AS ends FROM p GROUP BY p, d),
+k AS (SELECT p[1 : d - 1] AS p, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children,
+             CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * length(n.p[d].x) END AS saved FROM n LEFT JOIN k ON k.p = n.p),
+s AS (SELECT p[1:e] AS p, sum(CAST(n_children = 0 AS BIGINT)) AS n_leaves, sum(saved) AS saved
+      FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM m) GROUP BY 1)
+SELECT m.conv_id, m.d AS depth, u.conv_id AS parent_conv_id, m.n_convs, m.n_children,
+       CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(coalesce(m.ends, '')) AS ends_sha256
+FROM m JOIN s ON s.p = m.p LEFT JOIN n u ON m.d > 0 AND u.p = m.p[1 : m.d - 1]
+"""
+
 ORACLES = {
     "op4_decontamination": OP4,
     "op6_substring_dedup": OP6,
+    "op12_embedding_dedup": OP12,
+    "op13_prefix_trie": OP13,
 }

@@ -1,7 +1,7 @@
 """Queries of the operators on text: each takes a session and the folder of the tables."""
 
 import public_tokenizers
-from curfew.llm import decontamination, html_text, line_dedup, mixing, near_duplicates, quality, substring_dedup, token_alignment, token_output, toxicity, url_filter
+from curfew.llm import decontamination, embedding_dedup, html_text, line_dedup, mixing, near_duplicates, prefix_trie, quality, substring_dedup, token_alignment, token_output, toxicity, url_filter
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -59,6 +59,14 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.report(table(spark, sf_dir, "documents"), *sides)
 
 
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
@@ -71,4 +79,6 @@ QUERIES = {
     "op9_url_filter": op9_url_filter,
     "op10_html_extraction": op10_html_extraction,
     "op11_token_alignment": op11_token_alignment,
+    "op12_embedding_dedup": op12_embedding_dedup,
+    "op13_prefix_trie": op13_prefix_trie,
 }
