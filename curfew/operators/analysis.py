@@ -204,6 +204,20 @@ def streak_join(streaks: DataFrame, fact: DataFrame) -> DataFrame:
     )
 
 
+def streak_join_by_player(streaks: DataFrame, fact: DataFrame) -> DataFrame:
+    """The same for two tables in buckets by player, which are joined where they lie.
+
+    The player is the only key and the days are a range, so that the buckets fit. A player with a third of
+    all rows is joined in one task; ``streak_join`` splits it.
+    """
+    sessions = fact.filter(f"{MINOR} AND {label_is(V.SEVERE)}").select(
+        F.col("player_id").alias("player"), "dt", "login_time", "game_id", MINUTES, "recharge_amount")
+    within = F.col("dt").between(F.col("streak_start"), F.col("streak_end"))
+    return streaks.join(sessions, (F.col("player_id") == F.col("player")) & within).select(
+        *streaks.columns, "dt", "login_time", "game_id", MINUTES, "recharge_amount"
+    )
+
+
 def severe_streak_totals(fact: DataFrame, first: date, min_days: int = 3) -> DataFrame:
     """Players graded severe on consecutive days, with totals over the streak.
 

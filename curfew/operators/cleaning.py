@@ -1,5 +1,7 @@
 """Cleaning of raw rows: required fields, length, time order, address, copies."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,23 +52,23 @@ def clean_ip(raw: DataFrame) -> DataFrame:
     return raw.filter(has_valid_ip())
 
 
-def clean_dedup(raw: DataFrame) -> DataFrame:
-    """One row per distinct set of the 13 raw fields.
+def clean_dedup(raw: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """One row per distinct set of the 13 raw fields, and of ``keys`` beside them.
 
     Copies fold before the shuffle, so a row repeated any number of times sends
     one row per task. Columns beside the raw fields keep their least value,
     which is the same on every run and every retry.
     """
-    others = [name for name in raw.columns if name not in schema.RAW_FIELDS]
+    others = [name for name in raw.columns if name not in [*schema.RAW_FIELDS, *keys]]
     if not others:
         return raw.distinct()
-    kept = raw.groupBy(*schema.RAW_FIELDS).agg(*[F.min(name).alias(name) for name in others])
+    kept = raw.groupBy(*schema.RAW_FIELDS, *keys).agg(*[F.min(name).alias(name) for name in others])
     return kept.select(*raw.columns)
 
 
-def clean(raw: DataFrame) -> DataFrame:
-    """All rules; the order of the filters does not change what is left."""
-    return clean_dedup(raw.filter(has_required() & has_valid_duration() & has_time_order() & has_valid_ip()))
+def clean(raw: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """All rules; the order of the filters does not change what is left. Copies that differ in ``keys`` stay."""
+    return clean_dedup(raw.filter(has_required() & has_valid_duration() & has_time_order() & has_valid_ip()), keys)
 
 
 def first_failed_rule() -> Column:

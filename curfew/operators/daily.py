@@ -21,8 +21,13 @@ def players_per_label(prefix: str) -> dict:
 
 def daily_stats(fact: DataFrame, day: date) -> DataFrame:
     """The daily aggregate row; empty when the day has no rows."""
+    return stats_by_day(on_day(fact, day))
+
+
+def stats_by_day(fact: DataFrame) -> DataFrame:
+    """The daily aggregate rows of all days that have rows."""
     grouped = rollup_players(
-        on_day(fact, day), ["dt"],
+        fact, ["dt"],
         dau=players(),
         total_records=rows(),
         paying_players=players(PAYING),

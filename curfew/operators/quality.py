@@ -137,8 +137,7 @@ def _duplicates(fact: DataFrame, day: date) -> DataFrame:
     return _as_rows(found, [Check(FAIL, {"duplicates": "pairs"})])
 
 
-def _whole_table(fact: DataFrame, today: date, wanted: list[str]) -> DataFrame:
-    per_day = fact.groupBy("dt").agg(F.count(F.lit(1)).alias("n"))
+def _whole_table(per_day: DataFrame, today: date, wanted: list[str]) -> DataFrame:
     found = per_day.agg(
         F.coalesce(F.sum(F.when(F.col("dt") > F.lit(today), F.col("n"))), F.lit(0)).alias("future"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
@@ -150,8 +149,10 @@ def _whole_table(fact: DataFrame, today: date, wanted: list[str]) -> DataFrame:
     return _as_rows(found, [checks[name] for name in wanted])
 
 
-def dq_report(fact: DataFrame, day: date, today: date, wanted: Iterable[str] | None = None) -> DataFrame:
-    """The wanted checks, all of them by default."""
+def dq_report(fact: DataFrame, day: date, today: date, wanted: Iterable[str] | None = None,
+              per_day: DataFrame | None = None) -> DataFrame:
+    """The wanted checks, all of them by default. ``per_day`` has the rows of each day as dt and n where they
+    are known, as by ``warehouse.rows_per_day``; else they are counted."""
     wanted = check_names() if wanted is None else list(wanted)
     unknown = set(wanted) - set(check_names())
     if unknown:
@@ -163,7 +164,9 @@ def dq_report(fact: DataFrame, day: date, today: date, wanted: Iterable[str] | N
         parts.append(_as_rows(one_row, list(of_day.values())))
     of_table = [name for name in ["future_dt", "min_volume"] if name in wanted]
     if of_table:
-        parts.append(_whole_table(fact, today, of_table))
+        if per_day is None:
+            per_day = fact.groupBy("dt").agg(F.count(F.lit(1)).alias("n"))
+        parts.append(_whole_table(per_day, today, of_table))
     if "duplicates" in wanted:
         parts.append(_duplicates(fact, day))
     return reduce(DataFrame.unionByName, parts)

@@ -60,13 +60,13 @@ def derive(typed: DataFrame) -> DataFrame:
     return basic.withColumn("risk_label", grade)
 
 
-def with_event_day(fact: DataFrame, batch_day: date | None = None) -> DataFrame:
-    """Day of a row: that of its login, or the day of the batch if one is given."""
+def with_event_day(fact: DataFrame, batch_day: date | Column | None = None) -> DataFrame:
+    """Day of a row: that of its login, or the day of the batch if one or a column of them is given."""
     day = F.to_date("login_time") if batch_day is None else F.lit(batch_day)
     return fact.withColumn("dt", day)
 
 
-def to_facts(cleaned: DataFrame, batch_day: date | None = None) -> DataFrame:
+def to_facts(cleaned: DataFrame, batch_day: date | Column | None = None) -> DataFrame:
     """Cleaned raw rows as facts in declared column order, provenance last."""
     kept = [name for name, _ in schema.PROVENANCE_DDL if name in cleaned.columns]
     fact = with_event_day(derive(standardize(cleaned)), batch_day)

@@ -54,7 +54,7 @@ def run_cycle(spark: SparkSession, layers: daily_job.Layers, serving_root: str,
     deleted without it. With nothing to load and nothing loaded the reports are empty.
     """
     days = gap_days(spark, layers, today, since) if catch_up else []
-    loaded = [day for day in [*days, today] if daily_job.run(spark, layers, day, lateness_days)]
+    loaded = daily_job.run_days(spark, layers, [*days, today], lateness_days)
     fact = facts_or_none(spark, layers.facts, warehouse.scan)
     if loaded:
         tables.publish_serving_bulk(fact, serving_root, loaded)
@@ -66,7 +66,8 @@ def run_cycle(spark: SparkSession, layers: daily_job.Layers, serving_root: str,
     return Outcome(
         loaded,
         reshape.layer_reconcile(warehouse.on_days(fact, loaded), warehouse.on_days(serving, loaded)),
-        quality.dq_report(serving, today, today),
+        quality.dq_report(serving, today, today, per_day=warehouse.rows_per_day(spark, serving_root)
+                          if warehouse.folder_exists(spark, serving_root) else None),
         daily.daily_report(serving, today),
         daily.recent_volume(serving, today),
     )

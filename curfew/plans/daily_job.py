@@ -11,9 +11,10 @@ import argparse
 from datetime import date, datetime, timedelta
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from curfew.functions import fixed_values as V
 from curfew.functions import rules
 from curfew.operators import cleaning, daily, standardize
 from curfew.session import build_session, size_shuffles
@@ -44,34 +45,56 @@ def clean_facts(raw: DataFrame, batch_day: date | None) -> DataFrame:
     return standardize.to_facts(cleaning.clean(stamped), batch_day)
 
 
-def raw_days(spark: SparkSession, layers: Layers, day: date, lateness_days: int | None) -> DataFrame:
-    return raw_source.ods_scan_days(spark, layers.raw, day, day + timedelta(days=lateness_days or 0))
+def days_read(days: list[date], lateness_days: int | None) -> list[date]:
+    """Directories that the job reads for some days."""
+    return sorted({day + timedelta(days=late) for day in days for late in range((lateness_days or 0) + 1)})
 
 
-def day_facts(spark: SparkSession, layers: Layers, day: date, lateness_days: int | None = None) -> DataFrame:
-    """Clean facts of a day.
+def days_facts(scanned: DataFrame, days: list[date], lateness_days: int | None = None) -> DataFrame:
+    """Clean facts of days, from the scan of ``days_read``.
 
     By default the day of the raw directory is the day of its rows. With
     ``lateness_days`` it is the day of login: directories up to so many days
-    later are read too, since a log may arrive late, and only this day's logins
-    are kept; the job then reads so many days more. Either way a rerun sees the
-    same rows.
+    later are read too, since a log may arrive late, and only logins of the wanted
+    days are kept; the job then reads so many days more. Either way a rerun sees the
+    same rows, and a day comes out the same whether it is loaded alone or among others.
     """
-    scanned = raw_days(spark, layers, day, lateness_days)
     if lateness_days is None:
-        return clean_facts(scanned, day)
-    of_day = scanned.filter(F.to_date(rules.parse_time(F.col("login_time"))) == F.lit(day))
-    return clean_facts(of_day, None)
+        stamped = raw_source.with_provenance(scanned)
+        return standardize.to_facts(cleaning.clean(stamped, ["dt"]), F.to_date("dt", V.DAY_FORMAT))
+    login = F.to_date(rules.parse_time(F.col("login_time")))
+    late = F.date_diff(F.to_date("dt", V.DAY_FORMAT), login)
+    return clean_facts(scanned.filter(login.isin(list(days)) & late.between(0, lateness_days)), None)
+
+
+def run_days(spark: SparkSession, layers: Layers, days: list[date], lateness_days: int | None = None) -> list[date]:
+    """Load many days in one run: facts in one job, daily rows in another. Returns the days that had
+    raw rows to read; the others are left as they are. A day whose rows are all refused is cleared."""
+    days = sorted(set(days))
+    there = set(warehouse.folder_days(spark, layers.raw))
+    if not there & set(days_read(days, lateness_days)):
+        return []
+    raw_seen, fact_seen = Observation(), Observation()
+    scanned = raw_source.ods_scan_list(spark, layers.raw, days_read(days, lateness_days))
+    facts = days_facts(scanned.observe(raw_seen, F.collect_set("dt").alias("days")), days, lateness_days)
+    tables.write_days(facts.observe(fact_seen, F.collect_set("dt").alias("days")), layers.facts, compact=len(days) > 1)
+    read = set(raw_seen.get["days"])
+    loaded = [day for day in days if any(raw_source.day_key(d) in read for d in days_read([day], lateness_days))]
+    filled = set(fact_seen.get["days"])
+    written = warehouse.on_days(warehouse.scan(spark, layers.facts), sorted(filled)) if filled else facts.limit(0)
+    stats = daily.stats_by_day(written)
+    if filled:
+        tables.write_daily_stats_of_days(stats, layers.stats)
+    for day in loaded:
+        if day not in filled:
+            tables.clear_day(facts, layers.facts, day)
+            tables.clear_day(tables.stamped(stats), layers.stats, day)
+    return loaded
 
 
 def run(spark: SparkSession, layers: Layers, day: date, lateness_days: int | None = None) -> bool:
-    """False, and nothing written, when there is no raw row to read."""
-    if raw_days(spark, layers, day, lateness_days).isEmpty():
-        return False
-    tables.write_dwd(day_facts(spark, layers, day, lateness_days), layers.facts, day)
-    written = warehouse.scan_day(spark, layers.facts, day)
-    tables.write_daily_stats(daily.daily_stats(written, day), layers.stats, day)
-    return True
+    """One day; False, and nothing written, when there is no raw row to read."""
+    return bool(run_days(spark, layers, [day], lateness_days))
 
 
 def raw_table_day(spark: SparkSession, table: str, day: date) -> DataFrame:
@@ -115,7 +138,7 @@ def main(arguments: list[str] | None = None) -> int:
         raw = raw_table_day(spark, names.raw, options.day)
     else:
         layers = Layers.under(options.raw, options.warehouse)
-        raw = raw_days(spark, layers, options.day, options.lateness_days)
+        raw = raw_source.ods_scan_list(spark, layers.raw, days_read([options.day], options.lateness_days))
     size_shuffles(spark, raw)
     if options.tables:
         done = run_tables(spark, names, options.day)

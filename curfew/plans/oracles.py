@@ -235,7 +235,7 @@ on_fact("write_dwd", f"SELECT {FACT_LIST} FROM beh")
 STATS_LIST = f"""{cd()} AS dau, count(*) AS total_records, {cd('is_paying_player = 1')} AS paying_players,
   {cd()} AS total_players, {money('sum(recharge_amount)')} AS total_recharge, {cd(MINOR)} AS minor_players,
   {per_label('risk_label_')}, {rounded('avg(online_duration) / 60', 1)} AS avg_online_min, dt"""
-on_fact("write_daily_stats", f"SELECT {STATS_LIST} FROM beh WHERE {since(2)} GROUP BY dt")
+on_fact("write_daily_stats", f"SELECT {STATS_LIST} FROM beh GROUP BY dt")
 
 
 def spark_time(column):
@@ -369,6 +369,7 @@ on_fact("streak_join", f"""SELECT {', '.join('s.' + c.strip() for c in ISLAND_LI
 FROM islands s JOIN beh b ON s.player_id = b.player_id AND b.dt BETWEEN s.streak_start AND s.streak_end
   AND b.is_minor = 1 AND b.risk_label = 3
 WHERE s.consecutive_days >= 3""", ISLANDS)
+ORACLES["streak_join_bucketed"] = ORACLES["streak_join"]
 ADULTS, MINORS = cd("account_type = 'adult'"), cd("account_type = 'minor'")
 on_fact("hour_fill", f"""SELECT CAST(h AS INTEGER) AS hour_of_day, {cd("account_type = 'adult'")} AS adult_active,
   {cd("account_type = 'minor'")} AS minor_active, {cd()} AS total_active
@@ -389,6 +390,9 @@ GRID = GRID.replace("""  FROM (SELECT unnest(['adult', 'minor']) AS account),
 on_fact("payment_grid", "SELECT * FROM grid", GRID)
 on_fact("missing_dates", """SELECT CAST(unnest(generate_series(d + 1, d + 4, INTERVAL 1 DAY)) AS DATE) AS dt
   FROM newest""")
+on_fact("missing_dates_interior", """SELECT dt FROM (
+  SELECT CAST(unnest(generate_series(min(dt), (SELECT d + 1 FROM newest), INTERVAL 1 DAY)) AS DATE) AS dt
+  FROM beh WHERE day(dt) % 5 <> 0) WHERE dt NOT IN (SELECT dt FROM beh WHERE day(dt) % 5 <> 0)""")
 ONLINE_MIN = f"{money('round(online_duration_min, 0)')} AS online_min"
 AMOUNT = f"{money('recharge_amount')} AS recharge_amount"
 
@@ -701,6 +705,7 @@ on_raw("stream_fanout", """SELECT sink, nullif(player_id, '') AS player_id, logi
 FROM raw, (SELECT unnest(['files', 'batches']) AS sink)""")
 on_raw("stream_arrival_check", f"""SELECT count(*) AS arrived_rows, {cnt(f"player_id = '{LOOKUP_PLAYER}'")}
   AS marked_rows, {cnt(f"player_id = '{LOOKUP_PLAYER}'")} > 0 AS marker_arrived FROM raw""")
+on_raw("stream_rows_read", "SELECT count(*) AS input_rows FROM raw")
 on_raw("stream_microbatch_load", "SELECT count(*) AS loaded_rows FROM raw")
 on_raw("stream_dedup", f"SELECT DISTINCT {NULL_TEXT} FROM raw")
 ORACLES["stream_label"] = f"WITH {STREAM}\nSELECT {FACT_LIST} FROM beh WHERE risk_label = 3"
@@ -713,12 +718,12 @@ FROM placed
 GROUP BY window_start"""
 ORACLES["stream_daily_risk"] = f"""WITH {STREAM}
 SELECT dt, {cd()} AS active_players, {cd(RISK)} AS at_risk_players, {per_label('label_')} FROM beh GROUP BY dt"""
-ORACLES["daily_job_facts"] = f"WITH {CLEAN}\nSELECT {FACT_LIST} FROM beh WHERE {since(2)}"
-ORACLES["daily_job_stats"] = f"WITH {CLEAN}\nSELECT {STATS_LIST} FROM beh WHERE {since(2)} GROUP BY dt"
+ORACLES["daily_job_facts"] = f"WITH {CLEAN}\nSELECT {FACT_LIST} FROM beh"
+ORACLES["daily_job_stats"] = f"WITH {CLEAN}\nSELECT {STATS_LIST} FROM beh GROUP BY dt"
 ORACLES["daily_cycle_sync"] = f"""WITH {CLEAN}
 SELECT dt, count(*) AS rows_a, count(*) AS rows_b, CAST(0 AS BIGINT) AS row_diff FROM beh
-WHERE {since(3)} GROUP BY dt"""
-ORACLES["daily_cycle_gap"] = f"WITH {CLEAN}\nSELECT dt, count(*) AS record_count FROM beh WHERE {since(4)} GROUP BY dt"
+GROUP BY dt"""
+ORACLES["daily_cycle_gap"] = f"WITH {CLEAN}\nSELECT dt, count(*) AS record_count FROM beh GROUP BY dt"
 on_fact("roster_after_day", """SELECT player_id, min(dt) AS first_seen, max(dt) AS last_active
 FROM (SELECT * FROM beh, newest WHERE dt = d OR player_id IN
   (SELECT player_id FROM beh, newest WHERE dt < d GROUP BY player_id, d HAVING max(dt) >= d - 15))

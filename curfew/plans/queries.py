@@ -139,17 +139,25 @@ QUERIES["dwd_scan_range"] = of_day(
 QUERIES["dwd_scan_dates"] = of_day(
     lambda f, d: fact_columns(warehouse.on_days(f, [d, d - timedelta(days=2), d - timedelta(days=5)]))
 )
-QUERIES["latest_dt"] = of_fact(warehouse.latest_day)
 
 
-def fact_table(spark: SparkSession, folder: str, buckets: int = 0) -> str:
+def fact_table(spark: SparkSession, folder: str, bucketed: bool = False) -> str:
     """A catalog table of the whole fact."""
     table, root = new_table(spark, "facts")
+    rows = fact(spark, folder)
+    first, last = sessions.day_range(sessions.read_events(spark, folder))
+    buckets = tables.buckets_for(rows, (last - first).days + 1) if bucketed else 0
     tables.create_fact_table(spark, table, root, buckets)
-    tables.write_table_days(fact(spark, folder), table, bucketed=buckets > 0)
+    tables.write_table_days(rows, table, bucketed=bucketed)
     return table
 
 
+@query
+def latest_dt(spark, folder):
+    """The newest day by the catalog's list of days."""
+    return warehouse.latest_day(warehouse.partition_days(spark, fact_table(spark, folder)))
+
+
 @query
 def catalog_scan(spark, folder):
     return fact_columns(warehouse.catalog_scan(spark, f"spark_catalog.{fact_table(spark, folder)}"))
@@ -164,7 +172,7 @@ def orc_dir_scan(spark, folder):
 
 @query
 def tolerant_load(spark, folder):
-    return raw_source.tolerant_load(spark, raw_folder(spark, folder), 0.3)
+    return raw_source.tolerant_load(spark, raw_folder(spark, folder), f"{shared_folder(spark)}/loaded", 0.3)
 
 
 @query
@@ -190,9 +198,10 @@ def write_dwd(spark, folder):
 
 @query
 def write_daily_stats(spark, folder):
+    """All days in one job, the newest again on its own."""
     root, last = f"{shared_folder(spark)}/stats", report_day(spark, folder)
-    for day in [last - timedelta(days=1), last, last]:
-        tables.write_daily_stats(daily.daily_stats(fact(spark, folder), day), root, day)
+    tables.write_daily_stats_of_days(daily.stats_by_day(fact(spark, folder)), root)
+    tables.write_daily_stats(daily.daily_stats(fact(spark, folder), last), root, last)
     layout = schema.ddl([*schema.DAILY_STATS_DDL, ("dt", "date")])
     return plain(spark.read.schema(layout).orc(root).drop("etl_time"))
 
@@ -244,7 +253,7 @@ def labelled_load(spark, folder):
 @query
 def table_layout(spark, folder):
     """A bucketed table of all days, the newest written twice."""
-    table, day = fact_table(spark, folder, buckets=4), report_day(spark, folder)
+    table, day = fact_table(spark, folder, bucketed=True), report_day(spark, folder)
     tables.write_table_day(warehouse.on_day(fact(spark, folder), day), table, day, bucketed=True)
     return fact_columns(spark.table(table))
 
@@ -304,7 +313,13 @@ QUERIES["window_days"] = of_day(
         *session_key("dt"), (F.col("dt") >= F.date_sub(F.lit(d), 1)).alias("in_last_two")
     )
 )
-QUERIES["pk_lookup"] = of_fact(lambda f: fact_columns(warehouse.of_player(f, LOOKUP_PLAYER)))
+
+
+@query
+def pk_lookup(spark, folder):
+    """One player's sessions from the bucketed table: one bucket of each day, whose stripes a bloom filter skips."""
+    return fact_columns(warehouse.of_player(spark.table(fact_table(spark, folder, bucketed=True)), LOOKUP_PLAYER))
+
 
 # --- derived columns -----------------------------------------------------------
 
@@ -397,11 +412,43 @@ def compute_risk_label(spark, folder):
 
 QUERIES["streak_join"] = of_range(
     lambda f, a, b: analysis.streak_join(analysis.severe_islands(f, a), warehouse.in_range(f, a, b)))
+
+
+@query
+def streak_join_bucketed(spark, folder):
+    """The same between two tables in buckets by player: neither side moves."""
+    table = fact_table(spark, folder, bucketed=True)
+    first, last = sessions.day_range(sessions.read_events(spark, folder))
+    sessions_of = spark.table(table)
+    buckets = tables.bucket_count(spark, table)
+    streaks, root = new_table(spark, "streaks")
+    tables.write_bucketed(analysis.severe_islands(sessions_of, first), streaks, root, buckets)
+    return plain(analysis.streak_join_by_player(spark.table(streaks), warehouse.in_range(sessions_of, first, last)))
+
+
 QUERIES["hour_fill"] = of_day(lambda f, d: reshape.hour_fill(
     dashboard.period_stats(f.filter(AT_RISK), d)))
 QUERIES["payment_grid"] = of_day(
     lambda f, d: reshape.payment_grid(f.sparkSession, dashboard.payment_analysis(f, d)))
-QUERIES["missing_dates"] = of_day(lambda f, d: reshape.missing_dates(f, d + timedelta(days=5)))
+
+
+@query
+def missing_dates(spark, folder):
+    """Days after the newest one, by the catalog's list of days."""
+    days = warehouse.partition_days(spark, fact_table(spark, folder))
+    return reshape.missing_dates(days, report_day(spark, folder) + timedelta(days=5))
+
+
+@query
+def missing_dates_interior(spark, folder):
+    """Days between the oldest and the newest as well: of the table every fifth day is dropped."""
+    table = fact_table(spark, folder)
+    for row in warehouse.partition_days(spark, table).filter("day(dt) % 5 = 0").collect():
+        spark.sql(f"ALTER TABLE {table} DROP PARTITION (dt = '{row['dt']}')")
+    return reshape.missing_dates(
+        warehouse.partition_days(spark, table), report_day(spark, folder) + timedelta(days=2), interior=True)
+
+
 QUERIES["drilldown"] = of_day(lambda f, d: dashboard.drilldown(f, dashboard.risk_ranking(f, d), d))
 
 
@@ -453,7 +500,14 @@ QUERIES["severe_streaks"] = of_range(lambda f, a, b: analysis.severe_streaks(f,
 QUERIES["daily_overview"] = of_fact(daily.daily_overview)
 QUERIES["label_distribution"] = of_fact(daily.label_distribution)
 QUERIES["raw_log_summary"] = of_raw(daily.raw_log_summary)
-QUERIES["player_detail"] = of_day(lambda f, d: dashboard.player_detail(f, LOOKUP_PLAYER, d))
+
+
+@query
+def player_detail(spark, folder):
+    """One player's last days from the bucketed table."""
+    table = spark.table(fact_table(spark, folder, bucketed=True))
+    return plain(dashboard.player_detail(table, LOOKUP_PLAYER, report_day(spark, folder)))
+
 
 
 @query
@@ -509,11 +563,22 @@ QUERIES["flow_edges"] = of_day(
 
 # --- quality -------------------------------------------------------------------
 
-QUERIES["dq_report"] = of_day(lambda f, d: quality.dq_report(f, d, d))
+def _checked(wanted: list[str] | None, days_back: int = 0) -> Query:
+    """Checks of the written fact; what they ask of the whole table comes from file footers."""
+    def run(spark, folder):
+        root, day = fact_folder(spark, folder), report_day(spark, folder)
+        counts = warehouse.rows_per_day(spark, root)
+        return plain(quality.dq_report(warehouse.scan(spark, root), day, day - timedelta(days=days_back), wanted, counts))
+
+    return run
+
+
+QUERIES["dq_report"] = _checked(None)
 for _name in quality.check_names():
     QUERIES[f"dq_{_name}"] = of_day(lambda f, d, name=_name: quality.dq_report(f, d, d, [name]))
+QUERIES["dq_min_volume"] = _checked(["min_volume"])
 # A day before the newest as today, so that there are rows ahead of it.
-QUERIES["dq_future_dt"] = of_day(lambda f, d: quality.dq_report(f, d, d - timedelta(days=1), ["future_dt"]))
+QUERIES["dq_future_dt"] = _checked(["future_dt"], 1)
 
 # --- streaming -----------------------------------------------------------------
 
@@ -539,18 +604,15 @@ def stream_enrich(spark, folder):
 
 @query
 def stream_fanout(spark, folder):
-    stream = stream_sources.stream_source(spark, raw_folder(spark, folder))
+    """Two sinks from one reading of the source."""
+    stream = stream_sources.stream_source(spark, raw_folder(spark, folder), max_files=10)
     root = shared_folder(spark)
-    started = stream_sinks.stream_fanout(stream, {
-        "files": lambda s, checkpoint: stream_sinks.append_files(s, f"{root}/files", checkpoint),
-        "batches": lambda s, checkpoint: stream_sinks.stream_microbatch_load(s, f"{root}/batches", checkpoint),
-    }, f"{root}/checkpoints")
-    for running in started.values():
-        running.awaitTermination()
-    files = spark.read.schema(schema.RAW).parquet(f"{root}/files").withColumn("sink", F.lit("files"))
-    batches = spark.read.schema(schema.RAW).option("recursiveFileLookup", "true").parquet(
-        f"{root}/batches").withColumn("sink", F.lit("batches"))
-    return files.unionByName(batches).select("sink", "player_id", "login_time", "login_ip")
+    stream_sinks.stream_fanout(stream, {
+        name: stream_sinks.into_batches(f"{root}/{name}") for name in ("files", "batches")
+    }, root, f"{root}/checkpoint").awaitTermination()
+    read = [spark.read.schema(schema.RAW).option("recursiveFileLookup", "true").parquet(f"{root}/{name}").withColumn("sink", F.lit(name))
+            for name in ("files", "batches")]
+    return read[0].unionByName(read[1]).select("sink", "player_id", "login_time", "login_ip")
 
 
 @query
@@ -568,6 +630,23 @@ def stream_arrival_check(spark, folder):
     return stream_sinks.stream_arrival_check(arrived, F.col("player_id") == LOOKUP_PLAYER)
 
 
+@query
+def stream_rows_read(spark, folder):
+    """Rows that a query has read in all its batches, over two starts."""
+    root, logs = shared_folder(spark), raw_folder(spark, folder)
+    progress = stream_sinks.ProgressTable(spark, f"{root}/progress")
+    spark.streams.addListener(progress)
+    try:
+        for _ in range(2):
+            stream = stream_sources.stream_source(spark, logs, max_files=4)
+            running = stream_sinks.append_files(stream, f"{root}/out", f"{root}/checkpoint")
+            running.awaitTermination()
+            progress.wait_for(running)
+    finally:
+        spark.streams.removeListener(progress)
+    return progress.read().agg(F.sum("input_rows").alias("input_rows"))
+
+
 @query
 def stream_microbatch_load(spark, folder):
     stream = stream_sources.stream_source(spark, raw_folder(spark, folder), max_files=10)
@@ -597,41 +676,41 @@ def stream_dedup(spark, folder):
     """Two streams over the same files in several batches: copies within, across and after them."""
     root, logs = shared_folder(spark), raw_folder(spark, folder)
     for name in ["first", "again"]:
-        stream = stream_sources.stream_source(spark, logs, max_files=6)
+        stream = stream_sources.stream_source(stream_session(spark), logs, max_files=6)
         stream_sinks.stream_dedup_load(stream, f"{root}/out", f"{root}/{name}").awaitTermination()
     found = spark.read.schema(
         f"{schema.ddl([(name, 'string') for name in schema.RAW_FIELDS])}, {stream_sinks.DEDUP_DDL}").parquet(f"{root}/out")
     return found.select(*schema.RAW_FIELDS)
 
 
-def _parts(spark: SparkSession, folder: str, fold: Callable[[DataFrame], DataFrame], layout: str) -> DataFrame:
-    """Parts that a stream of several batches has written."""
-    stream = stream_operators.stream_facts(stream_sources.stream_source(spark, raw_folder(spark, folder), max_files=10))
-    root = shared_folder(spark)
-    stream_sinks.stream_parts(stream, fold, f"{root}/parts", f"{root}/checkpoint").awaitTermination()
-    return spark.read.schema(layout).parquet(f"{root}/parts")
+def _fact_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Graded sessions as they come, in several batches."""
+    return stream_operators.stream_facts(stream_sources.stream_source(spark, raw_folder(spark, folder), max_files=10))
 
 
 @query
 def stream_active_30m(spark, folder):
-    parts = _parts(spark, folder, stream_operators.active_parts, stream_operators.ACTIVE_PARTS)
-    return stream_operators.active_so_far(parts)
+    root = shared_folder(spark)
+    stream_sinks.stream_active_counts(_fact_stream(spark, folder), f"{root}/active", f"{root}/checkpoint").awaitTermination()
+    return stream_operators.active_so_far(stream_sinks.active_table(spark, f"{root}/active").read())
 
 
 @query
 def stream_daily_risk(spark, folder):
-    parts = _parts(spark, folder, stream_operators.risk_parts, stream_operators.RISK_PARTS)
-    return stream_operators.risk_so_far(parts)
+    root = shared_folder(spark)
+    stream_sinks.stream_risk_counts(_fact_stream(spark, folder), f"{root}/risk", f"{root}/checkpoint").awaitTermination()
+    return stream_sinks.risk_table(spark, f"{root}/risk").read(kind="counts")
 
 
 # --- the daily job -------------------------------------------------------------
 
 
 def _job(spark: SparkSession, folder: str, lateness_days: int | None) -> daily_job.Layers:
+    """The job over every raw day in one run, then over the newest day again."""
     layers = daily_job.Layers.under(raw_folder(spark, folder), shared_folder(spark))
-    day = report_day(spark, folder)
-    for target in [day - timedelta(days=1), day, day]:
-        daily_job.run(spark, layers, target, lateness_days)
+    days = list(warehouse.folder_days(spark, layers.raw))
+    daily_job.run_days(spark, layers, days, lateness_days)
+    daily_job.run(spark, layers, max(days), lateness_days)
     return layers
 
 
@@ -649,12 +728,13 @@ def daily_job_stats(spark, folder):
 
 @query
 def daily_cycle_sync(spark, folder):
-    """A cycle three days back, then one that catches up; rows of both layers per loaded day."""
+    """A cycle on the newest day but one, which catches up on all days before it, and one on the newest;
+    rows of both layers per day."""
     root, last = shared_folder(spark), report_day(spark, folder)
-    layers = daily_job.Layers.under(raw_folder(spark, folder), root)
-    since = last - timedelta(days=3)
-    daily_cycle.run_cycle(spark, layers, f"{root}/serving", since, since=since)
-    return daily_cycle.run_cycle(spark, layers, f"{root}/serving", last, since=since).sync
+    layers, serving = daily_job.Layers.under(raw_folder(spark, folder), root), f"{root}/serving"
+    first = daily_cycle.run_cycle(spark, layers, serving, last - timedelta(days=1))
+    second = daily_cycle.run_cycle(spark, layers, serving, last)
+    return first.sync.unionByName(second.sync)
 
 
 @query
@@ -664,10 +744,10 @@ def daily_cycle_gap(spark, folder):
     logs, late = f"{root}/raw", last - timedelta(days=2)
     rows, key = raw(spark, folder), raw_source.day_key(late)
     raw_source.write_raw_lines(rows.filter(F.col("dt") != key), logs)
-    layers, since = daily_job.Layers.under(logs, root), last - timedelta(days=3)
-    daily_cycle.run_cycle(spark, layers, f"{root}/serving", last - timedelta(days=1), since=since)
+    layers = daily_job.Layers.under(logs, root)
+    daily_cycle.run_cycle(spark, layers, f"{root}/serving", last - timedelta(days=1))
     raw_source.write_raw_lines(rows.filter(F.col("dt") == key), logs, append=True)
-    daily_cycle.run_cycle(spark, layers, f"{root}/serving", last, since=since)
+    daily_cycle.run_cycle(spark, layers, f"{root}/serving", last)
     served = warehouse.scan_serving(spark, f"{root}/serving")
     return served.groupBy("dt").agg(F.count(F.lit(1)).alias("record_count"))
 

@@ -1,5 +1,6 @@
 """Writing the layers. Every write replaces whole days, so a rerun changes nothing."""
 
+import math
 from collections.abc import Iterable
 from datetime import date, timedelta
 
@@ -7,10 +8,12 @@ from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from curfew import schema
+from curfew.session import UNKNOWN_BYTES
 from curfew.sources.warehouse import delete_folder, folder_days, on_day, on_days, partition_days
 
 # Lookups by player and game skip stripes by bloom filter.
 BLOOM_COLUMNS = "player_id,game_id"
+BUCKET_BYTES, LEAST_BUCKETS = 256 * 1024 * 1024, 4
 
 
 def compact_output(fact: DataFrame) -> DataFrame:
@@ -46,13 +49,18 @@ def only_day(rows: DataFrame, day: date) -> DataFrame:
     return rows.withColumn("dt", F.when(F.col("dt") == F.lit(day), F.col("dt")).otherwise(refused))
 
 
+def clear_day(rows: DataFrame, root: str, day: date) -> None:
+    """Replace one day by no rows, in the layout of ``rows``."""
+    _orc(rows.limit(0).drop("dt")).save(f"{root}/dt={day:%Y-%m-%d}")
+
+
 def write_day(rows: DataFrame, root: str, day: date, compact: bool = False) -> None:
     """Replace one day by ``rows``, also by none; rows of other days are refused."""
     checked = only_day(rows, day)
     written = Observation()
     write_days(checked.observe(written, F.count(F.lit(1)).alias("n")), root, compact)
     if written.get["n"] == 0:
-        _orc(rows.limit(0).drop("dt")).save(f"{root}/dt={day:%Y-%m-%d}")
+        clear_day(rows, root, day)
 
 
 def write_dwd(fact: DataFrame, root: str, day: date | None = None) -> None:
@@ -72,6 +80,11 @@ def write_daily_stats(stats: DataFrame, root: str, day: date) -> None:
     write_day(stamped(stats), root, day)
 
 
+def write_daily_stats_of_days(stats: DataFrame, root: str) -> None:
+    """The daily rows of many days in one job."""
+    write_days(stamped(stats), root)
+
+
 def replace_day(rows: DataFrame, root: str, day: date) -> None:
     """What a deletion of the day's rows followed by a load comes to, in one step."""
     write_day(rows, root, day, compact=True)
@@ -121,6 +134,30 @@ def create_fact_table(spark: SparkSession, table: str, root: str | None = None,
     _create(spark, table, columns, root, clustered, f", 'orc.bloom.filter.columns' = '{BLOOM_COLUMNS}'")
 
 
+def buckets_for(rows: DataFrame, days: int) -> int:
+    """Buckets for a table of ``rows`` over so many days: a power of two that keeps a bucket of a day near
+    ``BUCKET_BYTES``, ``LEAST_BUCKETS`` at least. Powers of two let tables of different counts be joined."""
+    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    wanted = size / max(days, 1) / BUCKET_BYTES if size < UNKNOWN_BYTES else LEAST_BUCKETS
+    return max(LEAST_BUCKETS, 1 << max(0, math.ceil(math.log2(max(wanted, 1)))))
+
+
+def bucket_count(spark: SparkSession, table: str) -> int:
+    described = spark.sql(f"DESCRIBE EXTENDED {table}").filter("col_name = 'Num Buckets'").first()
+    return int(described["data_type"]) if described else 0
+
+
+def write_bucketed(rows: DataFrame, table: str, root: str, buckets: int) -> None:
+    """A table of rows by player beside the fact, in as many buckets, so that the two are joined where they lie.
+
+    A player with a third of all rows has a third of them in one bucket, whose task of the join is as long
+    as that; a join by player and day of tables without buckets splits it. Use it where no player dominates.
+    """
+    ordered = rows.repartition(buckets, "player_id")
+    ordered.write.mode("overwrite").format("orc").bucketBy(buckets, "player_id").sortBy("player_id").option(
+        "path", root).saveAsTable(table)
+
+
 def create_stats_table(spark: SparkSession, table: str, root: str | None = None) -> None:
     _create(spark, table, schema.DAILY_STATS_DDL, root, "", "")
 

@@ -1,14 +1,17 @@
 """Raw session logs: bar-separated text in one directory per day."""
 
+import uuid
+from collections.abc import Iterable
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curfew import schema
 from curfew.functions import rules
+from curfew.sources import warehouse
 
 # Plain fields: no quoting, '#' opens a comment line, an empty field is NULL.
 TEXT_OPTIONS = {"sep": "|", "comment": "#", "quote": "", "nullValue": "", "mode": "PERMISSIVE"}
@@ -31,8 +34,12 @@ def ods_scan(spark: SparkSession, root: str, days: str = "*") -> DataFrame:
 
 def ods_scan_days(spark: SparkSession, root: str, first: date, last: date) -> DataFrame:
     """A closed range of days; days without a directory have no rows."""
-    span = range((last - first).days + 1)
-    keys = [day_key(first + timedelta(days=back)) for back in span]
+    return ods_scan_list(spark, root, [first + timedelta(days=back) for back in range((last - first).days + 1)])
+
+
+def ods_scan_list(spark: SparkSession, root: str, days: Iterable[date]) -> DataFrame:
+    """The listed days; those without a directory have no rows."""
+    keys = [day_key(day) for day in days]
     try:
         return ods_scan(spark, root, f"{{{','.join(keys)}}}")
     except AnalysisException as error:
@@ -111,17 +118,24 @@ class LoadRejected(ValueError):
     """More rows of a load were rejected than it tolerates."""
 
 
-def tolerant_load(spark: SparkSession, path: str, max_ratio: float) -> DataFrame:
-    """The typed-able rows, or LoadRejected when too many lines are bad.
+def tolerant_load(spark: SparkSession, path: str, target: str, max_ratio: float) -> DataFrame:
+    """Load the rows that can be typed into the folder ``target``, or LoadRejected when too many lines are bad.
 
-    Checks by a pass of its own; ``sinks.ledger`` does the same in the pass
-    that writes.
+    One pass: the lines are counted while the good ones are written beside the target. Only a load that
+    is within the limit is put in place, by one rename, so after a refusal the target is as it was.
     """
-    marked = read_marked(spark, path)
-    found = rejected_share(marked).first()
-    if found["rejected_ratio"] > max_ratio:
-        raise LoadRejected(f"{found['rejected_rows']} of {found['total_rows']} rows rejected, limit {max_ratio:.0%}")
-    return marked.filter(~F.col("rejected")).drop("rejected", REJECTED)
+    marked, counted = read_marked(spark, path), Observation()
+    watched = marked.observe(counted, F.count(F.lit(1)).alias("total"), F.count_if("rejected").alias("bad"))
+    beside = f"{target}.{uuid.uuid4().hex}"
+    try:
+        watched.filter(~F.col("rejected")).drop("rejected", REJECTED).write.parquet(beside)
+        found = counted.get
+        if found["total"] and found["bad"] / found["total"] > max_ratio:
+            raise LoadRejected(f"{found['bad']} of {found['total']} rows rejected, limit {max_ratio:.0%}")
+        warehouse.replace_folder(spark, beside, target)
+    finally:
+        warehouse.delete_folder(spark, beside)
+    return spark.read.schema(_layout()).parquet(target)
 
 
 def write_raw_lines(rows: DataFrame, root: str, append: bool = False) -> None:

@@ -4,6 +4,7 @@ every scan lists only the day directories it needs."""
 from collections.abc import Iterable
 from datetime import date, datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,7 +89,7 @@ def partition_days(spark: SparkSession, table: str, with_key: bool = False) -> D
     return spark.sql(f"SHOW PARTITIONS {table}").select(*columns[: 1 + with_key])
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
 
@@ -96,7 +97,7 @@ def _file_system(spark: SparkSession, path: str):
 def folder_days(spark: SparkSession, root: str) -> dict[date, str]:
     """Days of a folder and their paths, by its list of directories; no file is opened.
     Empty where there is no folder."""
-    system, path = _file_system(spark, root)
+    system, path = file_system(spark, root)
     if not system.exists(path):
         return {}
     names = [(s.getPath().getName(), s.getPath().toString()) for s in system.listStatus(path) if s.isDirectory()]
@@ -105,19 +106,93 @@ def folder_days(spark: SparkSession, root: str) -> dict[date, str]:
 
 
 def folder_exists(spark: SparkSession, path: str) -> bool:
-    system, where = _file_system(spark, path)
+    system, where = file_system(spark, path)
     return system.exists(where)
 
 
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """What a folder holds; nothing where there is none."""
+    system, path = file_system(spark, folder)
+    return [s.getPath().getName() for s in system.listStatus(path)] if system.exists(path) else []
+
+
+def read_text(spark: SparkSession, file: str) -> str:
+    system, path = file_system(spark, file)
+    stream = system.open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_text(spark: SparkSession, file: str, content: str) -> None:
+    """A small ASCII file, in place at once: written beside and renamed."""
+    system, path = file_system(spark, file)
+    beside = file_system(spark, f"{file}.new")[1]
+    stream = system.create(beside, True)
+    stream.writeBytes(content)
+    stream.close()
+    system.delete(path, False)
+    if not system.rename(beside, path):
+        raise OSError(f"could not put {file} in place")
+
+
+def create_text(spark: SparkSession, file: str, content: str) -> bool:
+    """A small ASCII file that must not exist yet; False if it does. The file system lets one writer through."""
+    system, path = file_system(spark, file)
+    system.mkdirs(path.getParent())
+    try:
+        stream = system.create(path, False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in str(error.java_exception.getClass().getName()):
+            return False
+        raise
+    stream.writeBytes(content)
+    stream.close()
+    return True
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
-    system, where = _file_system(spark, path)
+    system, where = file_system(spark, path)
     system.delete(where, True)
 
 
+def replace_folder(spark: SparkSession, new: str, target: str) -> None:
+    """Put a finished folder in the place of another; both are renames."""
+    system, source = file_system(spark, new)
+    place, old = (file_system(spark, x)[1] for x in (target, f"{new}.old"))
+    system.mkdirs(place.getParent())
+    if system.exists(place):
+        system.rename(place, old)
+    if not system.rename(source, place):
+        raise OSError(f"could not put {target} in place")
+    system.delete(old, True)
+
+
 def newest_folder_day(spark: SparkSession, root: str) -> date | None:
     """The newest day of a folder, without a look at its files."""
     return max(folder_days(spark, root), default=None)
 
 
+def count_session(spark: SparkSession) -> SparkSession:
+    """A session whose ORC scans answer counts by day from file footers and directories."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,parquet,text")
+    own.conf.set("spark.sql.orc.aggregatePushdown", "true")
+    return own
+
+
+def footer_counts(spark: SparkSession, root: str) -> DataFrame:
+    """dt and n, the rows of each day of a folder, from the footers of its files: no row is read."""
+    columns = [*schema.FACT_DDL, *schema.PROVENANCE_DDL, ("dt", "date")]
+    days = count_session(spark).read.schema(schema.ddl(columns)).orc(root)
+    return days.groupBy("dt").agg(F.count(F.lit(1)).alias("n"))
+
+
+def rows_per_day(spark: SparkSession, root: str) -> DataFrame:
+    """``footer_counts`` in the session given: a row a day, so its size is that of the calendar."""
+    return spark.createDataFrame([tuple(row) for row in footer_counts(spark, root).collect()], "dt date, n bigint")
+
+
 def newest_partition(spark: SparkSession, table: str) -> date | None:
     return newest_day(partition_days(spark, table))

@@ -88,42 +88,65 @@ def stream_daily_risk(facts: DataFrame, lateness: str = "1 day") -> DataFrame:
     ])
 
 
-ACTIVE_PARTS = "window_start timestamp_ntz, window_end timestamp_ntz, player_id string, n bigint"
+PANES = "pane timestamp_ntz, bucket bigint, players binary, n bigint"
 
 
-def active_parts(facts: DataFrame, size: str = "30 minutes", slide: str = "5 minutes") -> DataFrame:
-    """Rows of a batch per window and player, for ``sinks.stream_parts``."""
-    folded = facts.groupBy(F.window("login_time", size, slide), "player_id").agg(F.count(F.lit(1)).alias("n"))
-    bounds = [F.col(f"window.{end}").cast("timestamp_ntz").alias(f"window_{end}") for end in ("start", "end")]
-    return folded.select(*bounds, "player_id", "n")
+def player_panes(facts: DataFrame, slide: str = "5 minutes") -> DataFrame:
+    """Rows per pane and player. A pane is the stretch between two starts of windows, so a
+    session is in one pane, however many windows overlap."""
+    pane = F.window("login_time", slide).getField("start").cast("timestamp_ntz").alias("pane")
+    return facts.filter("login_time is not null").groupBy(pane, "player_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-def active_so_far(parts: DataFrame) -> DataFrame:
-    """Distinct players and rows of every window that has rows, from the parts of all batches."""
-    per_player = parts.groupBy("window_start", "window_end", "player_id").agg(F.sum("n").alias("n"))
-    return per_player.groupBy("window_start", "window_end").agg(
-        F.count("player_id").alias("active_players"), F.sum("n").alias("row_count"))
+def pane_bitmaps(numbered: DataFrame) -> DataFrame:
+    """Panes with their players as bits, from rows with the place (bucket, bit) of the player."""
+    return numbered.groupBy("pane", "bucket").agg(F.bitmap_construct_agg("bit").alias("players"), F.sum("n").alias("n"))
+
+
+def merged_panes(panes: DataFrame) -> DataFrame:
+    return panes.groupBy("pane", "bucket").agg(F.bitmap_or_agg("players").alias("players"), F.sum("n").alias("n"))
+
+
+def active_so_far(panes: DataFrame, size: str = "30 minutes", slide: str = "5 minutes") -> DataFrame:
+    """Distinct players and rows of every window that has rows, from the panes of all time.
+    A window must be so many whole panes long."""
+    length, step = (panes.sparkSession.sql(f"SELECT CAST(INTERVAL {text} AS INTERVAL SECOND)").first()[0] for text in (
+        "'%s' %s" % tuple(size.split()), "'%s' %s" % tuple(slide.split())))
+    if length % step:
+        raise ValueError(f"a window of {size} is no whole number of panes of {slide}")
+    starts = F.transform(F.sequence(F.lit(0), F.lit(length // step - 1)), lambda k: F.col("pane") - k * F.lit(step))
+    windows = panes.select(F.explode(starts).alias("window_start"), "bucket", "players", "n")
+    buckets = windows.groupBy("window_start", "bucket").agg(F.bitmap_or_agg("players").alias("players"), F.sum("n").alias("n"))
+    counted = buckets.groupBy("window_start").agg(
+        F.sum(F.bitmap_count("players")).alias("active_players"), F.sum("n").alias("row_count"))
+    return counted.select("window_start", (F.col("window_start") + F.lit(length)).alias("window_end"), "active_players", "row_count")
 
 
 RISK_FLAGS = {"at_risk": AT_RISK, **{f"label_{label}": label_is(label) for label in LABELS}}
-RISK_PARTS = "dt date, player_id string, " + ", ".join(f"{name} int" for name in RISK_FLAGS)
+MET = ["active", *RISK_FLAGS]
+RISK_DAYS = "dt date, bucket bigint, " + ", ".join(f"{name} binary" for name in MET)
+RISK_COUNTS = "dt date, " + ", ".join(f"{name} bigint" for name in ["active_players", "at_risk_players", *list(RISK_FLAGS)[1:]])
 
 
-def risk_parts(facts: DataFrame) -> DataFrame:
+def player_days(facts: DataFrame) -> DataFrame:
     """What a batch knows of each player's day: which labels were met."""
     day = F.to_date("login_time").alias("dt")
-    return facts.groupBy(day, "player_id").agg(
+    return facts.filter("login_time is not null").groupBy(day, "player_id").agg(
         *[F.expr(f"max(if({condition}, 1, 0)) AS {name}") for name, condition in RISK_FLAGS.items()])
 
 
-def risk_so_far(parts: DataFrame) -> DataFrame:
-    """Distinct players per day and label, all days that have rows, from the parts of all batches."""
-    per_player = parts.groupBy("dt", "player_id").agg(*[F.max(name).alias(name) for name in RISK_FLAGS])
-    known = F.col("player_id").isNotNull()
+def day_bitmaps(numbered: DataFrame) -> DataFrame:
+    """Days with the players of each label as bits, from rows with the place (bucket, bit) of the player."""
+    flags = {"active": F.lit(True), **{name: F.col(name) == 1 for name in RISK_FLAGS}}
+    return numbered.groupBy("dt", "bucket").agg(
+        *[F.bitmap_construct_agg(F.when(met, F.col("bit"))).alias(name) for name, met in flags.items()])
+
+
+def merged_days(days: DataFrame) -> DataFrame:
+    return days.groupBy("dt", "bucket").agg(*[F.bitmap_or_agg(name).alias(name) for name in MET])
 
-    def count(name, alias):
-        return F.sum(F.when(known, F.col(name)).otherwise(0)).alias(alias)
 
-    return per_player.groupBy("dt").agg(
-        F.count("player_id").alias("active_players"), count("at_risk", "at_risk_players"),
-        *[count(f"label_{label}", f"label_{label}") for label in LABELS])
+def risk_counts(days: DataFrame) -> DataFrame:
+    """Distinct players per day and label, from the bitmaps of whole days."""
+    names = {"active": "active_players", "at_risk": "at_risk_players"}
+    return days.groupBy("dt").agg(*[F.sum(F.bitmap_count(name)).alias(names.get(name, name)) for name in MET])

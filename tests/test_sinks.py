@@ -184,6 +184,110 @@ def test_a_refused_load_is_invisible_and_may_come_again(spark, folder):
     assert rows(ledger.loaded_rows(spark, folder, LAYOUT).select("player_id", "n")) == [("a", 1)]
 
 
+def test_two_writers_of_one_label(spark, folder):
+    """Both see the label free; one gets the claim, and its rows alone are there."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def load(k):
+        batch = marked(spark, *[(f"w{k}", i, False) for i in range(500)])
+        try:
+            return ledger.labelled_load(batch, folder, "one")
+        except ledger.LabelTaken:
+            return None
+
+    with ThreadPoolExecutor(4) as pool:
+        outcomes = list(pool.map(load, range(4)))
+    assert outcomes.count(True) == 1 and outcomes.count(False) + outcomes.count(None) == 3
+    found = ledger.loaded_rows(spark, folder, LAYOUT)
+    assert found.count() == 500 and found.select("player_id").distinct().count() == 1
+
+
+def test_a_dead_claim_is_taken_over_and_a_late_writer_changes_nothing(spark, folder):
+    first = ledger.claim(spark, folder, "one")
+    with pytest.raises(ledger.LabelTaken):
+        ledger.labelled_load(marked(spark, ("a", 1, False)), folder, "one")
+    assert ledger.labelled_load(marked(spark, ("b", 1, False)), folder, "one", patience=0)
+    # The first writer lives after all: its entry is refused by the file system.
+    assert not warehouse.create_text(spark, f"{folder}/entries/one.json", f'{{"attempt": {first}}}')
+    assert values(ledger.loaded_rows(spark, folder, LAYOUT), "player_id") == ["b"]
+
+
+def test_tolerant_load_in_one_pass_shows_nothing_after_a_refusal(spark, folder):
+    write_log(f"{folder}/raw", "20240110", [text(), text(online_duration="abc"), text(player_id="P2")])
+    target = f"{folder}/loaded"
+    reads = []
+    listener = spark.sparkContext._jsc.sc().statusTracker()
+    with pytest.raises(raw_source.LoadRejected, match="1 of 3"):
+        raw_source.tolerant_load(spark, f"{folder}/raw", target, 0.2)
+    assert not warehouse.folder_exists(spark, target) and warehouse.names(spark, folder) == ["raw"]
+    spark.sparkContext.setJobGroup("tolerant", "one pass")
+    found = raw_source.tolerant_load(spark, f"{folder}/raw", target, 0.4)
+    reads = listener.getJobIdsForGroup("tolerant")
+    spark.sparkContext.setJobGroup("", "")
+    assert len(reads) == 1
+    assert sorted(values(found, "player_id")) == ["P1", "P2"] and found.columns[-1] == "dt"
+    with pytest.raises(raw_source.LoadRejected):
+        raw_source.tolerant_load(spark, f"{folder}/raw", target, 0.2)
+    assert spark.read.parquet(target).count() == 2
+
+
+def test_counts_from_footers_read_no_row(spark, fact, folder):
+    tables.write_dwd(fact, folder)
+    counts = warehouse.footer_counts(spark, folder)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in plan and "PushedGroupBy: [dt]" in plan
+    assert sorted(rows(warehouse.rows_per_day(spark, folder))) == sorted(rows(fact.groupBy("dt").count()))
+
+
+def test_a_lookup_reads_one_bucket(spark, fact, table, folder):
+    buckets = tables.buckets_for(fact, 3)
+    tables.create_fact_table(spark, table, f"{folder}/t", buckets)
+    tables.write_table_days(fact, table, bucketed=True)
+    found = warehouse.of_player(spark.table(table), "P3")
+    # A lone scan leaves the files of other buckets out as well, but its plan only says so without this setting.
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    try:
+        plan = warehouse.of_player(spark.table(table), "P3")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+    assert f"SelectedBucketsCount: 1 out of {buckets}" in plan
+    assert "PushedFilters: [IsNotNull(player_id), EqualTo(player_id,P3)]" in plan
+    assert found.count() == 12
+
+
+def test_bucketed_tables_join_where_they_lie(spark, fact, table, folder):
+    from curfew.operators import analysis
+
+    tables.create_fact_table(spark, table, f"{folder}/t", 4)
+    tables.write_table_days(fact, table, bucketed=True)
+    streaks = table.replace(".facts", ".streaks")
+    days = spark.table(table).select("player_id", "dt").distinct()
+    tables.write_bucketed(analysis.streak_islands(days), streaks, f"{folder}/s", tables.bucket_count(spark, table))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = analysis.streak_join_by_player(spark.table(streaks), spark.table(table))
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        plain = analysis.streak_join(analysis.streak_islands(fact.select("player_id", "dt").distinct()), fact)
+        assert sorted(rows(joined)) == sorted(rows(plain))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_many_days_in_one_run_are_those_of_one_run_each(spark, folder):
+    layers = layers_of(folder)
+    write_log(f"{folder}/raw", "20240108", [text(online_duration="abc")])
+    write_log(f"{folder}/raw", "20240111", [text(), text()])
+    apart = daily_job.Layers.under(layers.raw, f"{folder}/apart")
+    days = [date(2024, 1, d) for d in (8, 9, 10, 11, 12)]
+    for lateness in (None, 3):
+        loaded = daily_job.run_days(spark, layers, days, lateness)
+        assert loaded == [day for day in days if daily_job.run(spark, apart, day, lateness)]
+        for kind in ("facts", "stats"):
+            both = [spark.read.orc(getattr(where, kind)) for where in (layers, apart)]
+            assert sorted(rows(both[0].drop("etl_time")), key=repr) == sorted(rows(both[1].drop("etl_time")), key=repr)
+
+
 def layers_of(folder):
     write_log(f"{folder}/raw", "20240109", [text(login_time="2024-01-09 10:00:00", logout_time="2024-01-09 11:00:00")])
     write_log(f"{folder}/raw", "20240110", [

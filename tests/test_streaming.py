@@ -4,7 +4,7 @@ from datetime import datetime
 
 import pytest
 from conftest import rows, values
-from curfew import schema
+from curfew import schema, session
 from curfew.operators import standardize
 from curfew.streaming import operators, sinks, sources
 from pyspark.sql import functions as F
@@ -49,7 +49,7 @@ def test_source_reads_each_file_once(feed, run):
     feed(login("c", "10:00:00"))
     arrived, query = run(lambda s: s)
     assert sorted(values(arrived, "player_id")) == ["a", "b", "c"]
-    assert sinks.rows_read(query) == 1
+    assert sum(progress.numInputRows for progress in query.recentProgress) == 1
 
 
 def test_enrich(feed, run):
@@ -127,21 +127,214 @@ def test_dedup_load_keeps_late_distinct_rows(spark, feed, folder):
         assert sorted(values(spark.read.parquet(f"{folder}/out"), "player_id")) == ["a", "b", "c", "late", "n", "odd"]
 
 
+def facts_stream(spark, folder):
+    return operators.stream_facts(sources.stream_source(spark, f"{folder}/in", max_files=1))
+
+
+def run_counts(spark, folder):
+    """Both tables of current counts, brought up to date with the files that are there."""
+    facts = facts_stream(spark, folder)
+    sinks.stream_active_counts(facts, f"{folder}/active", f"{folder}/active_ck").awaitTermination()
+    sinks.stream_risk_counts(facts, f"{folder}/risk", f"{folder}/risk_ck").awaitTermination()
+    active = operators.active_so_far(sinks.active_table(spark, f"{folder}/active").read())
+    risk = sinks.risk_table(spark, f"{folder}/risk").read(kind="counts")
+    return ({row["window_start"]: (row["active_players"], row["row_count"]) for row in active.collect()},
+            {row["dt"].day: row for row in risk.collect()})
+
+
+def files_under(folder):
+    return {os.path.join(top, name): os.path.getsize(os.path.join(top, name))
+            for top, _, names in os.walk(folder) for name in names if name.endswith(".parquet")}
+
+
 def test_counts_so_far_hold_open_windows_and_late_rows(spark, feed, folder):
     feed(login("a", "10:01:00"), login("b", "10:07:00"))
     feed(text(player_id="x", login_time="2024-01-12 12:00:00", logout_time="2024-01-12 13:00:00"))
     feed(login("a", "10:03:00", online_duration=20000), login("d", "10:58:00"))
-    facts = operators.stream_facts(sources.stream_source(spark, f"{folder}/in", max_files=1))
-    for name, fold in [("active", operators.active_parts), ("risk", operators.risk_parts)]:
-        sinks.stream_parts(facts, fold, f"{folder}/{name}", f"{folder}/{name}_ck").awaitTermination()
-    active = operators.active_so_far(spark.read.schema(operators.ACTIVE_PARTS).parquet(f"{folder}/active"))
-    by_start = {row["window_start"]: (row["active_players"], row["row_count"]) for row in active.collect()}
+    by_start, by_day = run_counts(spark, folder)
     assert by_start[datetime(2024, 1, 10, 10, 0)] == (2, 3) and by_start[datetime(2024, 1, 12, 12, 0)] == (1, 1)
-    risk = operators.risk_so_far(spark.read.schema(operators.RISK_PARTS).parquet(f"{folder}/risk"))
-    assert {row["dt"].day: row["active_players"] for row in risk.collect()} == {10: 3, 12: 1}
+    assert by_start[datetime(2024, 1, 10, 9, 35)] == (1, 2) and by_start[datetime(2024, 1, 10, 10, 5)] == (1, 1)
+    assert {day: row["active_players"] for day, row in by_day.items()} == {10: 3, 12: 1}
+    assert [by_day[10][f"label_{k}"] for k in range(4)] == [3, 1, 0, 0] and by_day[10]["at_risk_players"] == 1
+    # What a player adds to a day costs a bit: the same players again change no size, and a late file only its day.
+    feed(login("a", "10:04:00"), login("b", "10:08:00"), login("d", "10:57:00"))
+    assert run_counts(spark, folder)[0][datetime(2024, 1, 10, 10, 0)] == (2, 5)
+
+
+def test_a_batch_rewrites_only_the_days_it_touches(spark, feed, folder):
+    for day in range(1, 5):
+        feed(text(player_id="a", login_time=f"2024-01-0{day} 12:00:00", logout_time=f"2024-01-0{day} 13:00:00"))
+    run_counts(spark, folder)
+    before = files_under(f"{folder}/risk")
+    feed(text(player_id="late", login_time="2024-01-03 12:00:00", logout_time="2024-01-03 13:00:00"))
+    _, by_day = run_counts(spark, folder)
+    after = files_under(f"{folder}/risk")
+    assert {day: row["active_players"] for day, row in by_day.items()} == {1: 1, 2: 1, 3: 2, 4: 1}
+    written = {path for path in after if path not in before and "/players/" not in path and "/staged/" not in path}
+    assert written and all("span=2024-01-03" in path for path in written)
+
+
+def test_counts_do_not_grow_with_batches(spark, feed, folder):
+    """Five more batches of the same players in the same hour: as many files and bytes as after two."""
+    for minute in range(2):
+        feed(*[login(f"p{i}", f"10:{minute:02d}:00") for i in range(40)])
+    run_counts(spark, folder)
+    before = {name: files_under(f"{folder}/{name}/rows") for name in ("active", "risk")}
+    for minute in range(2, 7):
+        feed(*[login(f"p{i}", f"10:{minute % 5:02d}:30") for i in range(40)])
+    by_start, by_day = run_counts(spark, folder)
+    assert by_start[datetime(2024, 1, 10, 10, 0)] == (40, 7 * 40) and by_day[10]["active_players"] == 40
+    for name in ("active", "risk"):
+        after = files_under(f"{folder}/{name}/rows")
+        assert len(after) <= 2 * len(before[name]) and sum(after.values()) < 2.5 * sum(before[name].values())
+        assert len(os.listdir(f"{folder}/{name}/manifest")) <= 4  # two, and their checksums
+
+
+def test_closed_days_become_one_span_and_take_late_rows(spark, feed, folder):
+    feed(login("a", "10:00:00"), login("b", "11:00:00"), login("c", "12:00:00"))
+    feed(text(player_id="x", login_time="2024-01-13 12:00:00", logout_time="2024-01-13 13:00:00"))
+    feed(text(player_id="y", login_time="2024-01-13 12:01:00", logout_time="2024-01-13 13:00:00"))
+    run_counts(spark, folder)
+    table = sinks.active_table(spark, f"{folder}/active")
+    assert set(table.manifest()["spans"]) == {"2024-01-10", "2024-01-13-12"}
+    feed(login("late", "11:01:00"))
+    by_start, _ = run_counts(spark, folder)
+    assert set(table.manifest()["spans"]) == {"2024-01-10", "2024-01-13-12"}
+    assert by_start[datetime(2024, 1, 10, 11, 0)] == (2, 2) and by_start[datetime(2024, 1, 10, 12, 0)] == (1, 1)
+
+
+def test_a_batch_that_runs_again_counts_once(spark, feed, folder, monkeypatch):
+    """The process stops after the rows and their manifest are there, and before the stream knows it; and once
+    before the manifest is."""
+    feed(login("a", "10:00:00"))
+    run_counts(spark, folder)
+    feed(login("a", "10:01:00"), login("b", "10:02:00"))
+    commit = sinks.SpanTable.commit
+
+    def stop_after(self, manifest):
+        commit(self, manifest)
+        raise RuntimeError("stopped after the commit")
+
+    def stop_before(self, manifest):
+        raise RuntimeError("stopped before the commit")
 
+    for stop in (stop_before, stop_after):
+        monkeypatch.setattr(sinks.SpanTable, "commit", stop)
+        with pytest.raises(Exception, match="stopped"):
+            sinks.stream_active_counts(facts_stream(spark, folder), f"{folder}/active", f"{folder}/active_ck").awaitTermination()
+    seen = operators.active_so_far(sinks.active_table(spark, f"{folder}/active").read())
+    assert {row["window_start"]: row["row_count"] for row in seen.collect()}[datetime(2024, 1, 10, 10, 0)] == 3
+    monkeypatch.setattr(sinks.SpanTable, "commit", commit)
+    by_start, by_day = run_counts(spark, folder)
+    assert by_start[datetime(2024, 1, 10, 10, 0)] == (2, 3) and by_day[10]["active_players"] == 2
 
-def test_fanout_sinks_are_independent(spark, feed, folder):
+
+def test_another_stream_into_the_same_counts_is_refused(spark, feed, folder):
+    feed(login("a", "10:00:00"))
+    run_counts(spark, folder)
+    with pytest.raises(Exception, match="belongs to another stream"):
+        sinks.stream_risk_counts(facts_stream(spark, folder), f"{folder}/risk", f"{folder}/other_ck").awaitTermination()
+
+
+def test_players_are_numbered_without_gaps_and_merged(spark, folder, monkeypatch):
+    from curfew.sinks import spans
+
+    monkeypatch.setattr(spans, "LOOSE_PLAYERS", 3)
+    table = spans.SpanTable(spark, f"{folder}/t", operators.RISK_DAYS)
+    manifest = table.manifest()
+    for batch in range(5):
+        ids = spark.createDataFrame([(f"p{k}",) for k in range(batch * 5 + 7)] + [("p1",), (None,)], "player_id string").repartition(3)
+        manifest = {**table.number_players(batch, ids, manifest), "batch": batch}
+    assert len(manifest["players"]) <= 4
+    known = rows(table.players(manifest))
+    assert sorted(number for _, number in known) == list(range(1, 28)) and len({player for player, _ in known}) == 27
+
+
+def test_windows_need_whole_panes(spark):
+    with pytest.raises(ValueError, match="whole number"):
+        operators.active_so_far(spark.createDataFrame([], operators.PANES), "30 minutes", "7 minutes")
+
+
+def test_state_decides_what_it_can_and_lives_through_a_restart(spark, feed, folder):
+    """Only copies and late rows are looked up among the written ones; the state is there after a restart."""
+    own = session.stream_session(spark, 2)
+
+    def run_once():
+        stream = sources.stream_source(own, f"{folder}/in", max_files=1)
+        query = sinks.stream_dedup_load(stream, f"{folder}/out", f"{folder}/ck")
+        query.awaitTermination()
+        return query.lastProgress.stateOperators[0]
+
+    feed(login("a", "10:00:00"), login("b", "10:10:00"), login("a", "10:00:00"))
+    feed(login("c", "10:30:00"), login("b", "10:10:00"))
+    state = run_once()
+    assert state.numRowsTotal == 3 and any(name.startswith("rocksdb") for name in state.customMetrics)
+    feed(login("a", "10:00:00"), login("d", "10:40:00"))
+    for player in ("far", "far2"):  # rows are late once the batch before last has moved the watermark
+        feed(text(player_id=player, login_time="2024-01-20 10:00:00", logout_time="2024-01-20 11:00:00"))
+    feed(login("late", "10:00:00"), login("c", "10:30:00"), login("e", "25:00:00"))
+    run_once()
+    written = spark.read.parquet(f"{folder}/out")
+    assert {(row["player_id"], row["looked_up"]) for row in written.collect()} == {
+        ("a", False), ("b", False), ("c", False), ("d", False), ("far", False), ("far2", False), ("late", True), ("e", True)}
+    assert written.count() == 8
+
+
+def test_progress_of_many_batches_and_a_restart(spark, feed, folder, request):
+    """More batches than a query remembers."""
+    name = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(name, "5")
+    request.addfinalizer(lambda: spark.conf.unset(name))
+    for k in range(11):
+        feed(login(f"p{k}", "10:00:00"), *[login(f"q{k}", "10:00:00")] * (k % 2))
+    progress = sinks.ProgressTable(spark, f"{folder}/progress")
+    spark.streams.addListener(progress)
+    try:
+        for extra in (0, 7):
+            for k in range(extra):
+                feed(login(f"r{k}", "10:00:00"))
+            query = sinks.append_files(sources.stream_source(spark, f"{folder}/in", max_files=1), f"{folder}/out", f"{folder}/ck")
+            query.awaitTermination()
+            assert progress.rows_read(query) == 11 + 5 + extra
+    finally:
+        spark.streams.removeListener(progress)
+    assert progress.read().count() == 18 and len(query.recentProgress) <= 5
+
+
+def test_fanout_reads_once_and_repeats_only_the_failed_sink(spark, feed, folder):
+    feed(login("a", "10:00:00"))
+    feed(login("b", "10:00:00"))
+    down, reads = [True], spark.sparkContext.accumulator(0)
+    count = F.udf(lambda x: reads.add(1) or x, "string").asNondeterministic()
+    stream = sources.stream_source(spark, f"{folder}/in", max_files=1).withColumn("player_id", count("player_id"))
+    given = {"good": [], "bad": []}
+
+    def sink(name):
+        write = sinks.into_batches(f"{folder}/{name}")
+
+        def load(batch, batch_id):
+            given[name].append(batch_id)
+            if name == "bad" and down[0] and batch_id == 1:
+                raise RuntimeError("sink is down")
+            write(batch, batch_id)
+
+        return load
+
+    def start():
+        both = {"bad": sink("bad"), "good": sink("good")}
+        sinks.stream_fanout(stream, both, f"{folder}/state", f"{folder}/ck").awaitTermination()
+
+    with pytest.raises(Exception, match="sinks without batch 1"):
+        start()
+    assert reads.value == 2
+    down[0] = False
+    start()
+    assert given == {"good": [0, 1], "bad": [0, 1, 1]}
+    for name in given:
+        assert sorted(values(spark.read.option("recursiveFileLookup", "true").parquet(f"{folder}/{name}"), "player_id")) == ["a", "b"]
+
+
+def test_independent_sinks(spark, feed, folder):
     feed(login("a", "10:00:00"))
     stream = sources.stream_source(spark, f"{folder}/in")
 
@@ -151,7 +344,7 @@ def test_fanout_sinks_are_independent(spark, feed, folder):
 
         return s.writeStream.foreachBatch(fail).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
-    queries = sinks.stream_fanout(stream, {
+    queries = sinks.independent_sinks(stream, {
         "good": lambda s, checkpoint: sinks.append_files(s, f"{folder}/good", checkpoint), "bad": broken,
     }, f"{folder}/checkpoints")
     queries["good"].awaitTermination()
