@@ -2,15 +2,19 @@
 
 Texts are folded first: compatibility forms and look-alike Greek and Cyrillic
 letters become Latin ones, digits and signs that stand for a letter before another
-letter become that letter, all is lower case, and all else parts words. Patterns are
+letter become that letter, all is lower case, and all else parts words. At the end of a word
+they may be meant as they are, so the word counts in both forms. Patterns are
 whole words or beginnings of words. One Aho-Corasick automaton finds them in a text;
 hits within an exception phrase do not count. The sum of the weights of the hits is
 divided by a power of the number of words, and ``score = d / (d + scale)``.
 
 Patterns, weights, the power and the scale come from labelled rows of the training
-fold alone: at most ``MAX_TOXIC`` and ``MAX_CLEAN`` rows, chosen by a hash of the id.
+fold alone: at most ``MAX_TOXIC`` and ``MAX_CLEAN`` rows, chosen by a hash of the id. Of toxic rows that
+are copies of each other one stays, so that no other word of a text that is copied gathers evidence.
+A row counts once for a pattern. How much evidence a pattern needs follows from the sample: so much
+that ``CHANCE`` of all words that could reach it would do so by chance.
 Exception phrases (a pattern with the word before or after it) are learned from the
-same rows: phrases that clean rows hold and toxic ones do not.
+same rows: phrases that two clean rows or more hold and toxic ones do not.
 """
 
 import math
@@ -21,15 +25,17 @@ from collections import Counter
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from curfew.llm import steps
+from curfew.llm import steps, words
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_TOXIC, MAX_CLEAN = 8_000, 40_000
-MAX_PATTERNS = 5_000
-#: Evidence that a pattern is toxic: twice the log-likelihood ratio against chance.
-EVIDENCE = 30.0
+#: Words that may pass by chance, of all that are tried.
+CHANCE = 1.0
+#: Least weight of a pattern: how much more often toxic rows hold it, as a logarithm.
 LIFT = math.log(32)
+#: Rows that share one of so many least hashes of three words are copies.
+SIGNATURE, SHINGLE = 8, 3
 BEGINNINGS = (4, 5, 6, 7)
 POWERS = (0.0, 0.25, 0.5, 0.75, 1.0)
 
@@ -59,13 +65,19 @@ def folding() -> dict[int, str]:
 
 
 FOLD = folding()
-INSTEAD = re.compile("[" + re.escape("".join(STANDS_FOR)) + r"]{1,3}(?=[^\W\d_])")
+INSTEAD = re.compile("[" + re.escape("".join(STANDS_FOR)) + r"]+(?=[^\W\d_])")
+#: A word that ends with digits or signs which stand for letters; a mark of exclamation ends a sentence.
+ENDING = re.compile(r"([^\W_]*[^\W\d_])([013457@$]+)(?![\w@$])")
+
+
+def letters(marks: str) -> str:
+    return "".join(STANDS_FOR[c] for c in marks)
 
 
 def folded(text: str) -> list[str]:
     """The words of a text, folded."""
-    text = text.lower()
-    text = INSTEAD.sub(lambda m: "".join(STANDS_FOR[c] for c in m[0]), text)
+    text = INSTEAD.sub(lambda m: letters(m[0]), text.lower())
+    text = ENDING.sub(lambda m: f"{m[1]}{letters(m[2])} {m[0]}", text)
     return text.translate(FOLD).split()
 
 
@@ -73,54 +85,109 @@ def training_fold():
     return F.crc32(F.col("doc_id").cast("string")) % 5 != 0
 
 
+def signatures(batches):
+    """For each row the least hashes of its runs of words, one for each of ``SIGNATURE`` hash functions."""
+    salts = words.mix(np.arange(3, 3 + SIGNATURE, dtype=np.uint64) * words.WINDOW_BASE)
+    for batch in batches:
+        data, offsets = steps.text_buffers(batch.column(1))
+        found = words.find(data, offsets)
+        hashed = words.hashes(data, found, words.FOLDED_BYTES)
+        at, row = words.window_rows(found, SHINGLE)
+        runs = words.windows(hashed, SHINGLE)[at]
+        start = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else np.zeros(0, np.int64)
+        out = np.zeros((batch.num_rows, SIGNATURE), np.uint64)
+        for k in range(SIGNATURE if len(start) else 0):
+            out[row[start], k] = np.minimum.reduceat(words.mix(runs ^ salts[k]), start)
+        ends = np.arange(0, out.size + 1, SIGNATURE, dtype=np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(out.ravel().view(np.int64)))], names=["doc_id", "least"])
+
+
+def copies(rows: list[tuple[int, list[int]]]) -> list[int]:
+    """Ids of rows that share a least hash with one of a smaller id, directly or by others."""
+    top: dict[int, int] = {i: i for i, _ in rows}
+
+    def least(i: int) -> int:
+        while top[i] != i:
+            top[i] = top[top[i]]
+            i = top[i]
+        return i
+
+    seen: dict[tuple[int, int], int] = {}
+    for i, hashes in sorted(rows):
+        for key in enumerate(hashes):
+            if key[1]:
+                a, b = least(i), least(seen.setdefault(key, i))
+                top[max(a, b)] = min(a, b)
+    return [i for i in top if least(i) != i]
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, int, int]:
-    """Texts and labels of the rows to learn from, and how many of either label exist."""
+    """Texts and labels of the rows to learn from, and how many of either label there are. Of rows
+    with one id that with the least text counts."""
+    spark = docs.sparkSession
     known = (
         labels.filter(training_fold() & F.col("toxic").isNotNull())
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     )
-    counts = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     chosen = steps.hash_sample(known.filter("toxic = 1"), "doc_id", MAX_TOXIC).unionAll(
         steps.hash_sample(known.filter("toxic = 0"), "doc_id", MAX_CLEAN))
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
-    return steps.written(rows), counts.get(1, 0), counts.get(0, 0)
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(
+        F.min("text").alias("text"), F.min("toxic").alias("toxic"))
+    rows = steps.written(rows)
+    signed = rows.filter("toxic = 1").select("doc_id", "text").mapInArrow(signatures, "doc_id bigint, least array<bigint>")
+    again = copies([(row.doc_id, row.least) for row in signed.collect()])
+    dropped = spark.createDataFrame([(i,) for i in again], "doc_id bigint")
+    rows = steps.written(rows.join(F.broadcast(dropped), "doc_id", "left_anti").select("text", "toxic"))
+    counts = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    return rows, counts.get(1, 0), counts.get(0, 0)
+
 
+def patterns_of(words: set[str]) -> set[str]:
+    """A pattern begins with a blank; it ends with one if it is a whole word."""
+    return {f" {w} " for w in words} | {f" {w[:n]}" for w in words for n in BEGINNINGS if len(w) >= n}
 
-def word_counts(batches):
-    """Rows that hold a word, by label, summed over a batch."""
+
+def pattern_counts(batches):
+    """Rows that hold a pattern, by label, summed over a batch."""
     for batch in batches:
         counts = Counter(), Counter()
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            counts[toxic].update(set(folded(text or "")))
-        words = list(counts[0].keys() | counts[1].keys())
+            counts[toxic].update(patterns_of(set(folded(text or ""))))
+        found = list(counts[0].keys() | counts[1].keys())
         yield pa.RecordBatch.from_arrays([
-            pa.array(words, pa.string()), pa.array([counts[1][w] for w in words], pa.int64()),
-            pa.array([counts[0][w] for w in words], pa.int64())], names=["word", "n_toxic", "n_clean"])
+            pa.array(found, pa.string()), pa.array([counts[1][w] for w in found], pa.int64()),
+            pa.array([counts[0][w] for w in found], pa.int64())], names=["pattern", "t", "c"])
+
+
+def needed(sizes: dict[int, int], share: float) -> float:
+    """The evidence that a pattern needs. A pattern in n rows has at most that of n toxic ones, which chance
+    gives with share ** n; so patterns in too few rows are not tried and raise the bar for no other."""
+    tried, n = sum(sizes.values()), 1
+    while tried * share**n > CHANCE:
+        tried -= sizes.get(n, 0)
+        n += 1
+    return -2 * n * math.log(share) - 1e-9
 
 
 def lexicon(sample: DataFrame, toxic: int, clean: int) -> list[tuple[str, float]]:
-    """Patterns and weights. A pattern begins with a blank; it ends with one if it is a
-    whole word. One that begins like a stronger pattern is left out."""
+    """Patterns and weights. One that begins like a stronger pattern is left out."""
     share = toxic / (toxic + clean)
-    words = sample.mapInArrow(word_counts, "word string, n_toxic bigint, n_clean bigint")
-    beginnings = [F.when(F.length("word") >= n, F.concat(F.lit(" "), F.substring("word", 1, n))) for n in BEGINNINGS]
-    forms = F.array(F.concat(F.lit(" "), "word", F.lit(" ")), *beginnings)
-    counts = (
-        words.groupBy("word").agg(F.sum("n_toxic").alias("t"), F.sum("n_clean").alias("c"))
-        .select(F.explode(F.array_compact(forms)).alias("pattern"), "t", "c")
-        .groupBy("pattern").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
-    )
+    counts = sample.mapInArrow(pattern_counts, "pattern string, t bigint, c bigint").groupBy("pattern").agg(
+        F.sum("t").alias("t"), F.sum("c").alias("c"))
+    counts = steps.written(counts)
     both = F.col("t") + F.col("c")
+    # Beginnings go with their words, so the words alone are counted as tries.
+    words_alone = counts.filter(F.endswith("pattern", F.lit(" ")))
+    least = needed(dict(words_alone.groupBy(both.alias("n")).agg(F.count("*")).collect()), share)
     term = lambda n, p: F.when(n > 0, n * F.log(n / (both * p))).otherwise(0.0)
-    evidence = 2 * (term(F.col("t"), share) + term(F.col("c"), 1 - share))
     weight = F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1))
-    strong = (
-        counts.select("pattern", evidence.alias("evidence"), weight.alias("weight"))
-        .filter((F.col("weight") >= LIFT) & (F.col("evidence") >= EVIDENCE))
-        .orderBy(F.desc("evidence"), F.desc(F.length("pattern")), "pattern").limit(MAX_PATTERNS).collect()
-    )
+    evidence = 2 * (term(F.col("t"), share) + term(F.col("c"), 1 - share))
+    strong = counts.select("pattern", weight.alias("weight"), evidence.alias("evidence")).filter(
+        (F.col("weight") >= LIFT) & (F.col("evidence") >= least))
     kept: list[tuple[str, float]] = []
-    for row in strong:
+    # No more than the bounded sample has patterns.
+    for row in strong.orderBy(F.desc("evidence"), F.desc(F.length("pattern")), "pattern").collect():
         if not any(row.pattern.startswith(p) or p.startswith(row.pattern) for p, _ in kept):
             kept.append((row.pattern, float(row.weight)))
     return kept
@@ -153,9 +220,9 @@ def weigher(machine: steps.OnWorker):
         built = machine.get()
         counts, sums, numbers = [], [], []
         for text in texts.to_pylist():
-            words = folded(text or "")
-            found = hits(built, words)
-            counts.append(len(words))
+            own = folded(text or "")
+            found = hits(built, own)
+            counts.append(len(own))
             sums.append(sum(h[2] for h in found))
             numbers.append(len(found))
         return pa.StructArray.from_arrays(
@@ -172,9 +239,9 @@ def phrase_counts(machine: steps.OnWorker):
         for batch in batches:
             counts = Counter()
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = folded(text or "")
-                line, phrases = " " + " ".join(words) + " ", set()
-                for first, last, _ in hits(machine.get(), words):
+                own = folded(text or "")
+                line, phrases = " " + " ".join(own) + " ", set()
+                for first, last, _ in hits(machine.get(), own):
                     stop = line.index(" ", max(first + 1, last - 1))
                     before = line.rfind(" ", 0, first) if first else -1
                     after = line.find(" ", stop + 1)
@@ -190,13 +257,14 @@ def phrase_counts(machine: steps.OnWorker):
 
 
 def exceptions(sample: DataFrame, patterns: list[tuple[str, float]]) -> list[str]:
-    """Phrases around a pattern that three clean rows or more hold, and no toxic one."""
+    """Phrases around a pattern that two clean rows or more hold, and no toxic one. There are no more than
+    the bounded sample has hits in clean rows."""
     machine = steps.OnWorker(sample.sparkSession, (patterns, []), automaton)
     counts = sample.mapInArrow(phrase_counts(machine), "phrase string, toxic int, n bigint")
     clean, toxic = F.sum(F.when(F.col("toxic") == 0, F.col("n"))), F.sum(F.when(F.col("toxic") == 1, F.col("n")))
     rows = (
         counts.groupBy("phrase").agg(clean.alias("c"), toxic.alias("t"))
-        .filter("c >= 3 AND t IS NULL").orderBy(F.desc("c"), "phrase").limit(MAX_PATTERNS).collect()
+        .filter("c >= 2 AND t IS NULL").orderBy("phrase").collect()
     )
     return [row.phrase for row in rows]
 
@@ -238,8 +306,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     rows = sample.select("toxic", weigh("text").alias("w")).select("toxic", "w.weight", "w.n_words").collect()
     if not rows:
         return Model([], [], 0.0, 1.0)
-    label, weight, words = (np.array(x, float) for x in zip(*rows))
-    return Model(patterns, phrases, *fitted_scale(weight, words, label, toxic, clean))
+    label, weight, size = (np.array(x, float) for x in zip(*rows))
+    return Model(patterns, phrases, *fitted_scale(weight, size, label, toxic, clean))
 
 
 def scored(docs: DataFrame, model: Model, into: str) -> DataFrame:

@@ -280,3 +280,40 @@ def test_url_trees_held_out(spark):
     assert np.mean([r[0] for r in own.collect()]) > 0.9
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_toxicity_folds_endings():
+    """A digit or sign at the end may stand for a letter or for itself; longer runs fold too."""
+    assert toxicity.folded("h4t3 a$$ mp3 stupid! 1000 c0000l x5! cov19") == [
+        "hate", "hat3", "ass", "a", "mpe", "mp3", "stupid", "1000", "cooool", "xs", "x5", "cov19"]
+
+
+def test_toxicity_of_copies_and_chance(spark):
+    """Words of one copied text are no evidence, a word in several toxic texts is; chance words stay out."""
+    filler = lambda k: " ".join(f"w{(k * 7 + j * j * 3 + j) % 211}" for j in range(40))
+    texts = [(k, filler(k) + (" nasty" if k < 30 else "") + (f" {chr(97 + k % 9)}{k % 9}noise" if k < 30 else ""), int(k < 30)) for k in range(200)]
+    texts += [(1000 + k, filler(500) + " rare copied phrase of one text nasty", 1) for k in range(25)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, toxic int")
+    model = toxicity.learn(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert [p for p, _ in model.patterns] == [" nasty "]
+
+
+def test_toxicity_scores_next_to_a_plain_scorer(spark):
+    """Score by score, with the learned lexicon and no automaton."""
+    docs, labels = queries.table(spark, MEDIUM, "documents"), queries.table(spark, MEDIUM, "labels")
+    model = toxicity.learn(docs, labels)
+    texts = dict(rows(docs.select("doc_id", "text")))
+    for row in toxicity.report(docs, labels).collect():
+        own = toxicity.folded(texts[row.doc_id] or "")
+        line = " " + " ".join(own) + " "
+        weight = 0.0
+        for pattern, w in model.patterns:
+            at = line.find(pattern)
+            while at >= 0:
+                inside = any(line.find(p, max(0, at - len(p)), at + len(pattern) + len(p)) >= 0 and any(
+                    s <= at and at + len(pattern) <= s + len(p)
+                    for s in range(max(0, at - len(p)), at + 1) if line.startswith(p, s)) for p in model.phrases)
+                weight += 0.0 if inside else w
+                at = line.find(pattern, at + 1)
+        density = weight / max(1, len(own)) ** model.power
+        assert abs(row.score - max(0.0, density / (density + model.scale))) < 1e-9
