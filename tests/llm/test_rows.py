@@ -291,7 +291,7 @@ def test_toxicity_folds_endings():
 def test_toxicity_of_copies_and_chance(spark):
     """Words of one copied text are no evidence, a word in several toxic texts is; chance words stay out."""
     filler = lambda k: " ".join(f"w{(k * 7 + j * j * 3 + j) % 211}" for j in range(40))
-    texts = [(k, filler(k) + (" nasty" if k < 30 else "") + (f" {chr(97 + k % 9)}{k % 9}noise" if k < 30 else ""), int(k < 30)) for k in range(200)]
+    texts = [(k, filler(k) + (" nasty" if k < 30 else "") + (f" {chr(97 + k % 15)}noise" if k < 30 else ""), int(k < 30)) for k in range(200)]
     texts += [(1000 + k, filler(500) + " rare copied phrase of one text nasty", 1) for k in range(25)]
     docs = spark.createDataFrame(texts, "doc_id long, text string, toxic int")
     model = toxicity.learn(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
