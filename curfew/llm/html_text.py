@@ -1,19 +1,20 @@
 """Main text of web pages.
 
 The standard library's streaming parser turns a page into lines, one for each block
-of text between block tags. A line has the ratio of its text to the tags in it, the
-share of its text inside links, and the kind of the region that holds it. The ratios
-are smoothed along the page by a Gaussian, and the regions of the page are split
-into two clusters by a threshold between the means of what they hold (two-means on
-the logarithm). Lines of the upper cluster are the text.
+of text between block tags. A line has the ratio of its text outside links to the tags in it. The ratios
+are smoothed along the page by a Gaussian, and the lines are split into two clusters by a threshold
+between their means (two-means on the logarithm). Lines of the upper cluster tell where the content is:
+the main container is the innermost article or main element that holds ``MOST`` of their text, or else the
+innermost container that holds ``NEARLY_ALL`` of it.
 
-The unit that is clustered is a region, not a line: a container whose name says
-boilerplate (``nav``, ``footer``, a class such as ``ad`` or ``comments``) is out
-beforehand, and all lines of a chosen region stay, so that a short paragraph of an
-article is not lost between long ones.
+All lines of the main container are the text, long and short ones, lists, tables and nested sections alike,
+but for what is outside by structure: elements such as ``nav``, ``footer`` and ``form``, by role, and containers
+whose class or id says so. Names of paragraphs and headings say nothing. Of a main container that is no
+article, boxes made of links are left out too.
 
 A null or empty page, and one without text, give the empty text. Character references
-are decoded, white space within a block is one blank, blocks are joined by one.
+are decoded, white space within a block is one blank, blocks are joined by one. Equal page_ids are pages of
+their own; other columns are not looked at.
 """
 
 import math
@@ -27,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SMOOTHING = 1.0
+#: Shares of the text of the upper cluster that a main container holds.
+MOST, NEARLY_ALL = 0.5, 0.95
 
 BLOCKS = frozenset(
     "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure "
@@ -65,6 +68,8 @@ REMARKS = frozenset(
 #: What they name lies elsewhere: a box that has a sidebar is no sidebar.
 BESIDE = frozenset("has is no with without".split())
 CONTAINERS = frozenset("article aside body details div fieldset footer form header main nav section table td ul ol".split())
+#: Names of these say nothing about the layout.
+PROSE = frozenset("a b blockquote caption cite code dd dt em figcaption h1 h2 h3 h4 h5 h6 i p pre q span strong".split())
 WORD = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -94,7 +99,7 @@ def outside(tag: str, attributes: list[tuple[str, str | None]]) -> tuple[bool, b
     in the layout, which an article or main element within it overrules."""
     if not attributes or tag in ("html", "body"):
         return tag in OUTSIDE, False
-    words = named(attributes)
+    words = set() if tag in PROSE else named(attributes)
     for_good = tag in OUTSIDE or hidden(attributes) or bool(words & REMARKS)
     return for_good, tag not in ("article", "main") and bool(words & OUTSIDE_WORDS)
 
@@ -113,7 +118,9 @@ class Lines(HTMLParser):
         self.places: dict[str, list[int]] = {}
         self.blocks: list[int] = []
         self.bounds: list[int] = []
-        self.region, self.regions = 0, 1
+        self.region = 0
+        #: The container around each container, and whether it is an article.
+        self.around, self.is_article = [0], [False]
 
     def updatepos(self, i, j):
         """Line numbers are not needed."""
@@ -147,7 +154,9 @@ class Lines(HTMLParser):
         self.beside = 0 if tag in ("article", "main") else self.beside + by_place
         self.links += tag == "a"
         if tag in CONTAINERS:
-            self.region, self.regions = self.regions, self.regions + 1
+            self.around.append(self.region)
+            self.is_article.append(tag in ("article", "main"))
+            self.region = len(self.around) - 1
 
     def close_paragraph(self) -> None:
         """A block ends a paragraph that its container holds open."""
@@ -226,26 +235,47 @@ def threshold(values: np.ndarray) -> float:
     return (low + high) / 2 if high - low > math.log(4) else -math.inf
 
 
+def upper_lines(lines: list[tuple[int, str, int, int]]) -> np.ndarray:
+    """Which lines are in the upper cluster of smoothed text-to-tag ratios."""
+    unlinked = np.array([max(0, len(text) - linked) for _, text, _, linked in lines], float)
+    tags = np.array([max(1, tags) for _, _, tags, _ in lines], float)
+    ratio = np.log1p(smoothed(unlinked / tags))
+    return ratio >= threshold(ratio)
+
+
+def main_container(parser: Lines, mass: np.ndarray) -> int:
+    """The container that holds the content, given the text of the upper cluster in each."""
+    total = mass.copy()
+    for k in range(len(total) - 1, 0, -1):  # a container comes before those within it
+        total[parser.around[k]] += total[k]
+    for least, wanted in ((MOST, True), (NEARLY_ALL, False)):
+        fit = [k for k in range(len(total)) if total[k] > least * total[0] and (parser.is_article[k] or not wanted)]
+        if fit and total[0]:
+            return fit[-1]
+    return 0
+
+
 def main_text(html: str) -> str:
-    """The lines of the regions chosen, in page order."""
+    """The lines of the main container, in page order."""
     parser = Lines()
     parser.feed(html)
     parser.close()
     lines = parser.lines
     if not lines:
         return ""
+    owner = np.array([region for region, *_ in lines])
     size = np.array([len(text) for _, text, _, _ in lines], float)
-    unlinked = size - np.array([min(len(text), linked) for _, text, _, linked in lines])
-    tags = np.array([max(1, tags) for _, _, tags, _ in lines], float)
-    ratio = smoothed(unlinked / tags)
-    place = {region: k for k, region in enumerate(dict.fromkeys(region for region, *_ in lines))}
-    owner = np.array([place[region] for region, *_ in lines])
-    weight = np.bincount(owner, ratio * size) / np.bincount(owner, size)
-    held = np.bincount(owner, unlinked)
-    value = np.log1p(weight) + np.log1p(held)
-    linked = held < 0.5 * np.bincount(owner, size)
-    chosen = (value >= threshold(value)) & ~linked
-    return " ".join(text for (_, text, _, _), k in zip(lines, owner, strict=True) if chosen[k])
+    linked = np.array([min(len(text), linked) for _, text, _, linked in lines], float)
+    boxes = len(parser.around)
+    mass = np.bincount(owner, (size - linked) * upper_lines(lines), boxes)
+    main = main_container(parser, mass)
+    inside = np.zeros(boxes, bool)
+    inside[main] = True
+    for k in range(main + 1, boxes):
+        inside[k] = inside[parser.around[k]]
+    if not parser.is_article[main]:
+        inside &= np.bincount(owner, linked, boxes) * 2 <= np.bincount(owner, size, boxes)
+    return " ".join(text for (_, text, _, _), k in zip(lines, owner, strict=True) if inside[k])
 
 
 def texts(pages: pa.Array) -> pa.Array:

@@ -317,3 +317,35 @@ def test_toxicity_scores_next_to_a_plain_scorer(spark):
                 at = line.find(pattern, at + 1)
         density = weight / max(1, len(own)) ** model.power
         assert abs(row.score - max(0.0, density / (density + model.scale))) < 1e-9
+
+
+def test_html_keeps_the_whole_article():
+    """Beside one long paragraph: lists, tables, details, sections, a lead in its own box, telling names of headings."""
+    article = (
+        "<article><div><p>The lead.</p></div><p>" + "long text " * 500 + "</p><ul><li>one<li>two</ul><table><tr><td>three<td>four</table>"
+        "<details><summary>five</summary>six</details><section><h2 id='notice-period'>seven</h2><section><p>eight</p></section></section>"
+        "<p class='related-work'>nine</p><h2 id=login-form>ten</h2><ol><li><a href=x>eleven</a></ol></article>")
+    wanted = "The lead. " + "long text " * 500 + "one two three four five six seven eight nine ten eleven"
+    page = "<body><nav><a href=a>menu</a></nav><div class=sidebar>side</div>{}<footer>foot</footer>"
+    assert html_text.main_text(page.format(article)) == wanted
+    sections = "<div><section><p>" + "first part " * 40 + "</p></section><section><p>" + "second part " * 60 + "</p></section></div>"
+    assert html_text.main_text(page.format(sections)) == ("first part " * 40 + "second part " * 60).strip()
+    halves = "<article><p>" + "half a " * 50 + "</p></article><article><p>" + "half b " * 50 + "</p></article>"
+    assert html_text.main_text(page.format(halves)) == ("half a " * 50 + "half b " * 50).strip()
+
+
+def test_html_clustering_finds_the_article_without_names(spark, monkeypatch):
+    """With no list of tags, roles and names, ratios alone lead to the same container."""
+    pages = [r.html for r in queries.table(spark, MEDIUM, "pages").collect()]
+    wanted = [html_text.main_text(page or "") for page in pages]
+    monkeypatch.setattr(html_text, "outside", lambda tag, attributes: (False, False))
+    found = [html_text.main_text(page or "") for page in pages]
+    assert all(w in f for w, f in zip(wanted, found)) and sum(map(len, found)) < 1.02 * sum(map(len, wanted))
+
+
+def test_html_of_equal_ids_and_clashing_columns(spark):
+    pages = spark.createDataFrame(
+        [(1, "http://a", "<p>x</p>", "t", 5), (1, "http://b", "<p>y</p>", "t", 5), (None, None, None, None, None)],
+        "page_id long, url string, html string, text string, n_chars long")
+    assert sorted(rows(html_text.extract(pages)), key=repr) == sorted(
+        [(1, "http://a", "x", 1), (1, "http://b", "y", 1), (None, None, "", 0)], key=repr)
