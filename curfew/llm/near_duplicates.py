@@ -187,7 +187,12 @@ def counted_words(docs: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray, int],
     word, n = rows["word"].to_numpy().view(np.uint64), rows["n"].to_numpy()
     order = np.argsort(word)
     common = word[order], np.log1p(total / n[order]), total
-    return common, counts.filter(F.col("n") < least) if min(sizes, default=bits) < bits else None
+    if min(sizes, default=bits) >= bits:
+        steps.freed(counts)
+        return common, None
+    rest = counts.filter(F.col("n") < least)
+    rest._written_to = counts._written_to
+    return common, rest
 
 
 def uncommon_words(machine: steps.OnWorker):
@@ -336,9 +341,12 @@ def components(edges: DataFrame) -> DataFrame:
         ahead = step.select(F.col("node").alias("label"), F.col("label").alias("further"))
         new = steps.written(step.join(ahead, "label", "left").select(
             "node", "old", F.coalesce("further", "label").alias("label")))
+        steps.freed(labels, step)
         if new.filter("label <> old").isEmpty():
+            steps.freed(both)
             return new.select("node", "label")
         labels = new.select("node", "label")
+        labels._written_to = new._written_to
 
 
 def texts_of(rows: DataFrame, held: DataFrame) -> DataFrame:
@@ -366,6 +374,7 @@ def classes(docs: DataFrame) -> DataFrame:
     else:
         held = steps.written(firsts.join(listed_words(plain, machine, rest), "node", "left").select(
             "node", "first", *[F.coalesce(c, none).alias(c) for c in ("listed", "listed_n")]))
+        steps.freed(rest)
         to_sign = texts_of(rows, held)
     signed = to_sign.mapInArrow(signer(machine), "node binary, bands array<bigint>, bits bigint")
     signed = signed.groupBy("node").agg(F.first("bands").alias("bands"), F.first("bits").alias("bits"))
@@ -378,6 +387,7 @@ def classes(docs: DataFrame) -> DataFrame:
         shared.filter(F.col("node") != F.col("rep.node")).filter(close(F.col("bits"), F.col("rep.bits")))
         .select(F.col("rep.node").alias("a"), F.col("node").alias("b")).distinct())
     texts = steps.written(texts_of(rows, shared.select("node").distinct().join(held, "node")))
+    steps.freed(entries, held)
     edges = verified(stars, texts, machine)
     labels = components(edges)
     labelled = shared.join(labels, "node", "left").select("key", "node", "bits", F.coalesce("label", "node").alias("label"))
@@ -386,9 +396,11 @@ def classes(docs: DataFrame) -> DataFrame:
     opened = steps.written(labelled.join(mixed.select("key"), "key").withColumn("id", number))
     open_texts = texts.select(number, "text", "listed", "listed_n").join(opened.select("id").distinct(), "id").dropDuplicates(["id"])
     weights = steps.written(shared_weights(open_texts, machine))
-    opened = steps.written(opened.drop("label").join(weights.filter(F.col("common") >= LEAST * F.col("total")), "id"))
+    all_opened, opened = opened, steps.written(opened.drop("label").join(weights.filter(F.col("common") >= LEAST * F.col("total")), "id"))
+    steps.freed(shared, all_opened, weights)
     shared_keys = opened.groupBy("id").agg(F.collect_set("key").alias("keys"))
-    opened = steps.written(opened.join(shared_keys, "id"))
+    without_keys, opened = opened, steps.written(opened.join(shared_keys, "id"))
+    steps.freed(without_keys)
     tried = stars
     for once in (True, False):
         entries = opened.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -407,12 +419,16 @@ def classes(docs: DataFrame) -> DataFrame:
         pairs = pairs.select(
             F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
         more = verified(pairs.join(tried, ["a", "b"], "left_anti"), texts, machine)
-        tried = steps.written(tried.unionByName(pairs))
+        if once:
+            before, tried = tried, steps.written(tried.unionByName(pairs))
+            steps.freed(before)
         if not more.isEmpty():
-            edges = steps.written(edges.unionByName(more))
+            before, edges = edges, steps.written(edges.unionByName(more))
+            steps.freed(before, more)
             labels = components(edges)
     joined = firsts.join(labels, "node", "left").select("node", "first", "n", F.coalesce("label", "node").alias("label"))
     joined = steps.written(joined)
+    steps.freed(opened, texts, tried, edges)
     sizes = joined.groupBy("label").agg(F.min("first").alias("class_id"), F.sum("n").alias("class_size"))
     known = joined.select("node", "label").join(sizes, "label")
     return slim.join(known, "node").select("doc_id", "node", "label", "class_id", "class_size")

@@ -52,7 +52,18 @@ def written(df: DataFrame, folder: str | None = None) -> DataFrame:
     folder = folder or shared_folder(spark)
     with freed_shuffles(spark):
         df.write.mode("overwrite").parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    rows = spark.read.schema(df.schema).parquet(folder)
+    rows._written_to = folder
+    return rows
+
+
+def freed(*rows: DataFrame | None) -> None:
+    """Delete what ``written`` has written for these rows. Whatever is made of them must be written itself by then."""
+    for df in rows:
+        folder = getattr(df, "_written_to", None)
+        if folder:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_buffers(column) -> tuple[np.ndarray, np.ndarray]:
