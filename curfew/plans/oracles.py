@@ -699,6 +699,7 @@ on_fact("dq_report", "\nUNION ALL ".join(part for parts in _checks.values() for
 on_raw("stream_source", f"SELECT {NULL_TEXT} FROM raw")
 on_raw("stream_split_line", f"SELECT {NULL_TEXT} FROM raw")
 on_raw("stream_dated_files", f"SELECT {NULL_TEXT} FROM raw")
+on_raw("stream_packed_files", f"SELECT {NULL_TEXT} FROM raw")
 on_raw("stream_enrich", """SELECT nullif(player_id, '') AS player_id, login_time, 'collector-1' AS host,
   true AS is_stamped FROM raw""")
 on_raw("stream_fanout", """SELECT sink, nullif(player_id, '') AS player_id, login_time, login_ip

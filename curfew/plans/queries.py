@@ -14,7 +14,7 @@ from curfew.functions.conditions import AT_RISK, MINOR, PAYING
 from curfew.operators import analysis, cleaning, daily, dashboard, quality, reshape, standardize
 from curfew.plans import daily_cycle, daily_job
 from curfew.session import shared_folder, stream_session
-from curfew.sinks import ledger, tables
+from curfew.sinks import ledger, packing, tables
 from curfew.sources import raw as raw_source
 from curfew.sources import sessions, warehouse
 from curfew.streaming import operators as stream_operators
@@ -624,6 +624,17 @@ def stream_dated_files(spark, folder):
     return raw_source.ods_scan(spark, f"{root}/logs").drop("dt")
 
 
+@query
+def stream_packed_files(spark, folder):
+    """The same files in several batches, packed but for the newest day, and read as one."""
+    root, logs = shared_folder(spark), raw_folder(spark, folder)
+    stream = stream_sources.stream_source(spark, logs, max_files=10)
+    dated = stream.withColumn("arrival_time", F.to_timestamp("login_time"))
+    stream_sinks.stream_dated_files(dated, f"{root}/logs", f"{root}/checkpoint", seconds=None).awaitTermination()
+    packing.pack_days(spark, f"{root}/logs", f"{root}/packed", report_day(spark, folder))
+    return packing.scan(spark, f"{root}/logs", f"{root}/packed").drop("dt")
+
+
 @query
 def stream_arrival_check(spark, folder):
     arrived = _through_stream(spark, folder, lambda s: s)

@@ -152,6 +152,12 @@ def create_text(spark: SparkSession, file: str, content: str) -> bool:
     return True
 
 
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """Bytes of all files of a folder."""
+    system, path = file_system(spark, folder)
+    return system.getContentSummary(path).getLength()
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     system, where = file_system(spark, path)
     system.delete(where, True)

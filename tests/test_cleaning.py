@@ -117,11 +117,12 @@ def test_provenance_survives_dedup(spark, folder):
 
 def test_tolerant_load(spark, folder):
     good = [text(player_id=f"P{i}") for i in range(99)]
-    write_log(folder, "20240110", [*good, text(match_count="many")])
-    assert raw_source.tolerant_load(spark, folder, 0.01).count() == 99
+    logs, target = f"{folder}/logs", f"{folder}/loaded"
+    write_log(logs, "20240110", [*good, text(match_count="many")])
+    assert raw_source.tolerant_load(spark, logs, target, 0.01).count() == 99
     with pytest.raises(raw_source.LoadRejected):
-        raw_source.tolerant_load(spark, folder, 0.005)
-    share = raw_source.rejected_share(raw_source.read_marked(spark, folder))
+        raw_source.tolerant_load(spark, logs, target, 0.005)
+    share = raw_source.rejected_share(raw_source.read_marked(spark, logs))
     assert rows(share) == [(100, 1, 0.01)]
 
 

@@ -1,11 +1,13 @@
 import os
 import time
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from conftest import rows, values
 from curfew import schema, session
 from curfew.operators import standardize
+from curfew.sinks import packing
+from curfew.sources import warehouse
 from curfew.streaming import operators, sinks, sources
 from pyspark.sql import functions as F
 from test_cleaning import text
@@ -365,6 +367,37 @@ def test_dated_files_roll_by_rows_and_read_back_as_raw(spark, feed, folder):
     assert raw_source.ods_scan(spark, f"{folder}/logs").filter("login_ip IS NULL").count() == 25
 
 
+def test_packing_keeps_each_row_once(spark, feed, folder, monkeypatch):
+    """Before, during and after; a broken attempt shows nothing; files have the wanted size."""
+    for k in range(4):
+        feed(*[login(f"p{k}-{i}", "10:00:00", login_ip=None) for i in range(20)])
+    stamped = sources.stream_source(spark, f"{folder}/in", max_files=1).withColumn(
+        "arrival_time", F.to_timestamp(F.when(F.startswith("player_id", F.lit("p3")), "2024-01-11 01:00:00").otherwise("2024-01-10 10:00:00")))
+    sinks.stream_dated_files(stamped, f"{folder}/logs", f"{folder}/ck", seconds=None).awaitTermination()
+    logs, packed = f"{folder}/logs", f"{folder}/packed"
+    seen = lambda: sorted(values(packing.scan(spark, logs, packed), "player_id"))
+    everyone = sorted(f"p{k}-{i}" for k in range(4) for i in range(20))
+    assert seen() == everyone
+    put = warehouse.put_text
+
+    def stop(*args):
+        raise RuntimeError("stopped before the manifest")
+
+    monkeypatch.setattr(warehouse, "put_text", stop)
+    with pytest.raises(RuntimeError, match="before the manifest"):
+        packing.pack_days(spark, logs, packed, date(2024, 1, 11))
+    assert seen() == everyone
+    monkeypatch.setattr(warehouse, "put_text", put)
+    size = warehouse.folder_bytes(spark, f"{logs}/dt=20240110")
+    assert packing.pack_days(spark, logs, packed, date(2024, 1, 11), size // 2 + 1) == [date(2024, 1, 10)]
+    assert packing.pack_days(spark, logs, packed, date(2024, 1, 11)) == []
+    assert seen() == everyone
+    pack = packing.packs(spark, packed)["20240110"]
+    assert os.listdir(f"{packed}/rows/dt=20240110") == [f"pack={pack}"]
+    files = [os.path.getsize(f"{packed}/rows/dt=20240110/pack={pack}/{n}") for n in os.listdir(f"{packed}/rows/dt=20240110/pack={pack}") if n.endswith(".txt")]
+    assert len(files) == 2 and max(files) < 1.2 * min(files)
+
+
 def test_arrival_check(spark, feed, run):
     feed(login("marker-1", "10:00:00"), login("b", "10:00:00"))
     arrived, _ = run(lambda s: s)
