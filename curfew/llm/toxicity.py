@@ -66,8 +66,8 @@ def folding() -> dict[int, str]:
 
 FOLD = folding()
 INSTEAD = re.compile("[" + re.escape("".join(STANDS_FOR)) + r"]+(?=[^\W\d_])")
-#: A word that ends with digits or signs which stand for letters; a mark of exclamation ends a sentence.
-ENDING = re.compile(r"([^\W_]*[^\W\d_])([013457@$]+)(?![\w@$])")
+#: Digits and signs at the end of a word that may stand for letters; a mark of exclamation ends a sentence.
+ENDING = re.compile(r"[013457@$]+(?![\w@$])")
 
 
 def letters(marks: str) -> str:
@@ -77,8 +77,16 @@ def letters(marks: str) -> str:
 def folded(text: str) -> list[str]:
     """The words of a text, folded."""
     text = INSTEAD.sub(lambda m: letters(m[0]), text.lower())
-    text = ENDING.sub(lambda m: f"{m[1]}{letters(m[2])} {m[0]}", text)
-    return text.translate(FOLD).split()
+    parts, at = [], 0
+    for match in ENDING.finditer(text):
+        first = match.start()
+        if not text[first - 1 : first].isalpha():
+            continue
+        while first > at and text[first - 1].isalnum():
+            first -= 1
+        parts += [text[at:first], text[first : match.start()], letters(match[0]), " "]
+        at = first
+    return "".join([*parts, text[at:]]).translate(FOLD).split()
 
 
 def training_fold():
