@@ -66,7 +66,7 @@ def stream_active_30m(
 def stream_daily_risk(facts: DataFrame, lateness: str = "1 day") -> DataFrame:
     """Distinct players per day and label, exact; emitted when the lateness has passed.
 
-    Days that are still open are not among the rows: ``risk_so_far`` has them.
+    Days that are still open are not among the rows: ``sinks.stream_risk_counts`` has them.
     """
     def seen(condition, name):
         return F.expr(f"max(if({condition}, 1, 0)) AS {name}")
