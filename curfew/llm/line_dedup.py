@@ -4,18 +4,24 @@ A line is the text between two line feeds, as the set of its words; lines are in
 of doc_id, then of their place. A line goes if the Jaccard similarity with any line
 before it, removed or not, is ``THRESHOLD`` or more. Lines without words stay.
 
-Lines with equal sets are one node, known by its first line; all later ones go. For
-the others the words of a set are ordered by rarity: common words, of which a bounded
-number is told to the workers, come last by their count, all others before them by
-hash. Two similar sets share a word among their first ``size - least overlap + 1``.
-These prefixes are joined on the word under a length filter, a positional filter, and
-a filter by a 64-bit map of the words, all of which only drop pairs that cannot be
-similar. In the map each word flips a bit, so two maps differ in no more bits than the
-sets in words, however long they are. What is left is verified by the words themselves.
+Lines with equal sets are one node, known by its first line; all later ones go. Nodes
+are numbered in the order of their lines, so a line is one number from there on. The
+words of a set are ordered by the number of nodes that hold them, rarest first, then by
+hash: the ``COMMON_WORDS`` or fewer most frequent ones with their counts are told to the
+workers, all others that are in several nodes come to the texts by a join, and the rest
+are in one node. Two similar sets share a word among their first ``size - least overlap
++ 1``. These prefixes, without the words of one node, are joined on the word under a
+length filter, a positional filter, and a filter by a 64-bit map of the words, all of
+which only drop pairs that cannot be similar. In the map each word flips a bit, so two
+maps differ in no more bits than the sets in words, however long they are. What is left
+is verified by the words themselves.
 
 A line has only to find one earlier match. So it is first compared with the ``FEW``
-earliest lines that pass the filters for each of its words, and only lines without a
-match that have more of them go on to all: a large group of alike lines makes few pairs.
+earliest lines that pass the filters for each of its words, and of the pairs found the
+one that shares most is verified first. Only lines without a match that have more of
+them go on to all: a large group of alike lines makes few pairs. The list of a word in
+over ``BLOCK`` nodes is dealt into blocks, so no task holds it whole; a line of such a
+word that finds no match in its blocks goes on to all as well.
 
 A null text has one line without words. Rows with a null doc_id come first; rows with
 equal ids are ordered by a hash of their text. Rows that are equal in both are one
@@ -31,8 +37,8 @@ from pyspark.sql import functions as F
 #: Similar means 4/5 or more; kept as integers so that no bound is rounded.
 UP, DOWN = 4, 5
 THRESHOLD = UP / DOWN
-RARE_SHARES = [0.001 * 2**k for k in range(10)]
 COMMON_WORDS = 1 << 20
+BLOCK = 1 << 16
 #: How many earlier lines are tried for a line and word before all.
 FEW = 2
 SMALL, CELLS = 16, 1 << 21
@@ -88,31 +94,99 @@ def line_sets(batches):
                 pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(size)], schema=SETS)
 
 
+HELD_SQL = "numbers array<bigint>, text string"
+
+
+def node_texts(batches):
+    """From (text, nodes): the numbers of a document's nodes, and their lines as one text."""
+    for batch in batches:
+        numbers, out = [], []
+        for text, nodes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            own = text.split("\n")
+            numbers.append([n["number"] for n in nodes])
+            out.append("\n".join([own[n["line"]] for n in nodes]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(numbers, pa.list_(pa.int64())), pa.array(out, pa.string())], names=["numbers", "text"])
+
+
+def numbered_words(numbers: pa.Array, texts: pa.Array):
+    """Of the rows of ``node_texts``, a few at a time: the distinct words of each node by
+    hash, where each node begins, its number, and the rows read."""
+    cut = np.append(0, np.cumsum(np.asarray(numbers.value_lengths()).astype(np.int64)))
+    flat = numbers.flatten().to_numpy().astype(np.int64)
+    for first, row, line, hashed in line_words(texts):
+        start = groups(row, line)
+        if len(start):
+            yield hashed, start, flat[cut[first + row[start]] + line[start]], slice(first, first + row[-1] + 1)
+
+
 def word_counts(batches):
-    """How often each word occurs in a batch."""
+    """In how many nodes of a batch each word is."""
     for batch in batches:
-        out = []
-        data, offsets = steps.text_buffers(batch.column(2))
-        for first, last in steps.pieces(offsets):
-            part, cuts = data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
-            out.append(words.hashes(part, words.find(part, cuts)))
-        word, count = np.unique(np.concatenate(out) if out else np.zeros(0, np.uint64), return_counts=True)
+        found = [hashed for hashed, *_ in numbered_words(batch.column(0), batch.column(1))]
+        word, count = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(count)], names=["word", "n"])
 
 
-def common_words(rows: DataFrame, lines: int) -> tuple[np.ndarray, np.ndarray]:
-    """Words that occur more often than a share of the lines, by hash, with their place by
-    rarity. Any order of the words gives the same matches; a good one gives few pairs."""
-    counts = rows.mapInArrow(word_counts, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    kept = steps.written(counts.filter(F.col("n") >= RARE_SHARES[0] * lines))
-    for share in RARE_SHARES:
-        common = kept.filter(F.col("n") >= share * lines)
-        if common.count() <= COMMON_WORDS:
-            break
-    found = common.toPandas().sort_values(["n", "word"])
-    word = found["word"].to_numpy(np.int64).view(np.uint64)
+def by_hash(data):
+    """Hashes of words in order, and the number of nodes that hold each."""
+    word = data[0].view(np.uint64)
     order = np.argsort(word)
-    return word[order], order + 1
+    return word[order], data[1][order]
+
+
+def looked_up(hashed: np.ndarray, known: np.ndarray, count: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """The count of each word where it is known, else ``other``."""
+    if not len(known):
+        return other
+    at = np.minimum(np.searchsorted(known, hashed), len(known) - 1)
+    return np.where(known[at] == hashed, count[at], other)
+
+
+def uncommon_words(machine: steps.OnWorker):
+    """The words of each row that are not among the common ones: word, and the row by its first number."""
+
+    def find(batches):
+        known, count = machine.get()
+        for batch in batches:
+            numbers = batch.column(0)
+            first_number = numbers.flatten().to_numpy()[np.append(0, np.cumsum(np.asarray(numbers.value_lengths()))[:-1])]
+            for first, row, _, hashed in line_words(batch.column(1)):
+                rare = looked_up(hashed, known, count, np.zeros(len(hashed), np.int64)) == 0
+                row, hashed = row[rare], hashed[rare]
+                order = np.lexsort((hashed, row))
+                row, hashed = row[order], hashed[order]
+                new = np.ones(len(row), bool)
+                new[1:] = (row[1:] != row[:-1]) | (hashed[1:] != hashed[:-1])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hashed[new].view(np.int64)), pa.array(first_number[first + row[new]])], names=["word", "at"])
+
+    return find
+
+
+def with_counts(held: DataFrame) -> tuple[DataFrame, steps.OnWorker, DataFrame]:
+    """``held`` with the words that a join has to tell (words, counts), the common words for
+    the workers, and the written counts of all words in several nodes."""
+    spark = held.sparkSession
+    counts = held.mapInArrow(word_counts, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = steps.written(counts.filter("n > 1"))
+    by_size = counts.groupBy(F.length(F.bin("n")).alias("bits")).count().collect()
+    least, total = 2, sum(r["count"] for r in by_size)
+    for r in sorted(by_size, key=lambda r: r["bits"]):
+        if total <= COMMON_WORDS:
+            break
+        least, total = 1 << r["bits"], total - r["count"]
+    common = counts.filter(F.col("n") >= least).toPandas()
+    machine = steps.OnWorker(spark, (common["word"].to_numpy(np.int64), common["n"].to_numpy(np.int64)), by_hash)
+    if least == 2:
+        none = F.array().cast("array<bigint>")
+        return held.withColumn("words", none).withColumn("counts", none), machine, counts
+    own = held.mapInArrow(uncommon_words(machine), "word bigint, at bigint").join(counts.filter(F.col("n") < least), "word")
+    lists = own.groupBy("at").agg(F.collect_list(F.struct("word", "n")).alias("own"))
+    told = held.join(lists, F.col("numbers")[0] == F.col("at"), "left").select(
+        "numbers", "text", *(F.coalesce(F.col(f"own.{c}"), F.array().cast("array<bigint>")).alias(n)
+                             for c, n in (("word", "words"), ("n", "counts"))))
+    return told, machine, counts
 
 
 def least_overlap(size: np.ndarray) -> np.ndarray:
@@ -121,47 +195,39 @@ def least_overlap(size: np.ndarray) -> np.ndarray:
 
 
 def prefixes(machine: steps.OnWorker):
-    """From (doc_id, own, text, lines): the first words, by rarity, of the lines named."""
+    """From (numbers, text, words, counts): the first words, by rarity, of each node."""
 
     def find(batches):
-        common, place = machine.get()
+        known, count = machine.get()
         for batch in batches:
-            named = batch.column(3)
-            cut = np.append(0, np.cumsum(np.asarray(named.value_lengths())))
-            wanted = named.flatten().to_numpy().astype(np.int64)
-            for first, row, line, hashed in line_words(batch.column(2)):
-                if not len(row):
-                    continue
-                few = np.diff(cut)[first : first + row[-1] + 1]
-                lines = wanted[cut[first] : cut[first] + few.sum()]
-                names = np.repeat(np.arange(len(few)), few) << 32 | lines
-                mine = np.isin(row << 32 | line, names)
-                row, line, hashed = row[mine], line[mine], hashed[mine]
-                start = groups(row, line)
-                if not len(start):
-                    continue
-                size = np.diff(np.append(start, len(row)))
+            told, counts = batch.column(2), batch.column(3)
+            for hashed, start, number, rows in numbered_words(batch.column(0), batch.column(1)):
+                own = told[rows.start : rows.stop].flatten().to_numpy().astype(np.int64).view(np.uint64)
+                own, at = np.unique(own, return_index=True)
+                held = counts[rows.start : rows.stop].flatten().to_numpy().astype(np.int64)[at]
+                n = looked_up(hashed, own, held, np.ones(len(hashed), np.int64))
+                n = looked_up(hashed, known, count, n)
+                size = np.diff(np.append(start, len(hashed)))
                 group = np.repeat(np.arange(len(start)), size)
-                rank = np.zeros(len(row), np.int64)
-                if len(common):
-                    at = np.minimum(np.searchsorted(common, hashed), len(common) - 1)
-                    rank = np.where(common[at] == hashed, place[at], 0)
                 bits = np.bitwise_xor.reduceat(np.uint64(1) << (hashed >> np.uint64(58)), start)
-                order = np.lexsort((hashed, rank, group))
-                pos = np.arange(len(row)) - np.repeat(start, size)
-                taken = pos < np.repeat(size - least_overlap(size) + 1, size)
-                group = group[taken]
-                take = pa.array(first + row[start][group])
+                order = np.lexsort((hashed, n, group))
+                hashed, n = hashed[order], n[order]
+                pos = np.arange(len(hashed)) - np.repeat(start, size)
+                taken = (pos < np.repeat(size - least_overlap(size) + 1, size)) & (n > 1)
+                group, hashed, n = group[taken], hashed[taken], n[taken]
+                blocks = (n // BLOCK + 1).astype(np.uint64)
+                block = (words.mix(number.view(np.uint64))[group] % blocks).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(hashed[order][taken].view(np.int64)), batch.column(0).take(take), batch.column(1).take(take),
-                    pa.array(line[start][group].astype(np.int32)), pa.array(size[group].astype(np.int32)),
-                    pa.array(pos[taken].astype(np.int32)), pa.array(bits[group].view(np.int64)),
-                ], names=["word", "doc_id", "own", "line", "size", "pos", "bits"])
+                    pa.array(hashed.view(np.int64)), pa.array(np.where(blocks > 1, block, -1).astype(np.int32)),
+                    pa.array(number[group]), pa.array(size[group].astype(np.int32)), pa.array(pos[taken].astype(np.int32)),
+                    pa.array(bits[group].view(np.int64)),
+                ], names=["word", "block", "number", "size", "pos", "bits"])
 
     return find
 
 
-PREFIX_SQL = "word bigint, doc_id bigint, own bigint, line int, size int, pos int, bits bigint"
+#: Blocks are numbered from 0; a word that needs none has -1.
+PREFIX_SQL = "word bigint, block int, number bigint, size int, pos int, bits bigint"
 
 
 def place(prefix: str = "") -> Column:
@@ -198,52 +264,40 @@ def overlap(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array(out, pa.bool_())
 
 
-def pick_lines(batches):
-    """From (doc_id, own, text, lines): the text of each line named."""
+def single_lines(batches):
+    """From (numbers, text): each node's number and line."""
     for batch in batches:
-        doc_ids, owns = batch.column(0), batch.column(1)
-        rows, places, out = [], [], []
-        for k, (text, lines) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-            own = text.split("\n")
-            for line in lines:
-                rows.append(k)
-                places.append(line)
-                out.append(own[line])
-        take = pa.array(rows, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [doc_ids.take(take), owns.take(take), pa.array(places, pa.int32()), pa.array(out, pa.string())],
-            names=["doc_id", "own", "line", "words"])
-
-
-def named_lines(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """doc_id, own, line and the text of the lines ``wanted`` (doc_id, own, line)."""
-    lists = wanted.groupBy("doc_id", "own").agg(F.collect_set("line").alias("lines"))
-    held = rows.join(renamed(lists, "w_"), same_document("w_")).select("doc_id", "own", "text", "w_lines")
-    return held.mapInArrow(pick_lines, "doc_id bigint, own bigint, line int, words string").distinct()
+        lines = [line for text in batch.column(1).to_pylist() for line in text.split("\n")]
+        yield pa.RecordBatch.from_arrays([batch.column(0).flatten(), pa.array(lines, pa.string())], names=["number", "words"])
 
 
 def same_document(prefix: str) -> Column:
     return F.col("doc_id").eqNullSafe(F.col(f"{prefix}doc_id")) & (F.col("own") == F.col(f"{prefix}own"))
 
 
-def same_line(x: str, y: str) -> Column:
-    return (
-        F.col(f"{x}doc_id").eqNullSafe(F.col(f"{y}doc_id")) & (F.col(f"{x}own") == F.col(f"{y}own"))
-        & (F.col(f"{x}line") == F.col(f"{y}line"))
-    )
-
-
-def matched(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Of the pairs (x_ and y_ lines), the x_ lines that are similar to their y_ line."""
-    pairs = steps.written(pairs.distinct())
-    ids = lambda p: pairs.select(*(F.col(f"{p}{c}").alias(c) for c in ("doc_id", "own", "line")))
-    lines = steps.written(named_lines(rows, ids("x_").unionByName(ids("y_")).distinct()))
+def similar_of(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """Of the pairs (x, y) of node numbers, those that are similar by their words."""
     a, b = renamed(lines, "a_"), renamed(lines, "b_")
-    both = pairs.join(a, same_line("x_", "a_")).join(b, same_line("y_", "b_"))
+    both = pairs.join(a, F.col("x") == F.col("a_number")).join(b, F.col("y") == F.col("b_number"))
     similar = F.arrow_udf(overlap, "boolean").asNondeterministic()("a_words", "b_words")
-    found = both.select("x_doc_id", "x_own", "x_line", similar.alias("similar")).filter("similar")
-    return steps.written(found.select(
-        F.col("x_doc_id").alias("doc_id"), F.col("x_own").alias("own"), F.col("x_line").alias("line")).distinct())
+    return both.select("x", similar.alias("similar")).filter("similar").select("x").distinct()
+
+
+def matched(held: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Of the pairs (x, y), the x that are similar to a y. The pair that shares most words
+    of the prefixes is verified first, the others only where it fails."""
+    pairs = steps.written(pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("shared")))
+    wanted = pairs.select(F.explode(F.array("x", "y")).alias("w")).distinct()
+    lines = held.select("numbers", "text").mapInArrow(single_lines, "number bigint, words string")
+    lines = steps.written(lines.join(wanted, F.col("number") == F.col("w"), "left_semi").dropDuplicates(["number"]))
+    best = steps.written(pairs.groupBy("x").agg(F.max(F.struct("shared", (-F.col("y")).alias("y"))).alias("best"))
+                         .select("x", (-F.col("best.y")).alias("y")))
+    found = steps.written(similar_of(best, lines))
+    left = pairs.join(found, "x", "left_anti").join(best, ["x", "y"], "left_anti")
+    rest = steps.written(left.select("x", "y"))
+    out = found if rest.isEmpty() else steps.written(found.unionByName(similar_of(rest, lines)))
+    steps.freed(pairs, lines, best, rest, *([found] if out is not found else []))
+    return out
 
 
 def may_match(size, pos, bits, x, y) -> np.ndarray:
@@ -296,51 +350,58 @@ def earlier_matches(start: np.ndarray, size: np.ndarray, pos: np.ndarray, bits:
 
 
 def candidates(batches):
-    """From entries sorted by word and place: pairs of lines that may match. A list is read
-    whole; one that goes on in the next batch is held."""
+    """From entries sorted by word, block and number: pairs (x, y) of nodes that may match.
+    A list is read whole; one that goes on in the next batch is held. ``more`` says that x
+    may match others; those of a list in blocks get a row without y for it."""
     held = None
-    names = ["doc_id", "own", "line"]
+
+    def starts(table):
+        word, block = table.column("word").to_numpy(), table.column("block").to_numpy()
+        return np.flatnonzero(np.append(True, (word[1:] != word[:-1]) | (block[1:] != block[:-1])))
 
     def pairs(table):
-        word = table.column("word").to_numpy()
-        start = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+        # A repeated document brings its entries again, next to each other.
+        word, number, block = (table.column(c).to_numpy() for c in ("word", "number", "block"))
+        new = np.append(True, (word[1:] != word[:-1]) | (number[1:] != number[:-1]))
+        table = table if new.all() else table.filter(pa.array(new)).combine_chunks()
+        number, block = table.column("number").to_numpy(), table.column("block").to_numpy()
         size, pos = (table.column(c).to_numpy().astype(np.int64) for c in ("size", "pos"))
-        x, y, more = earlier_matches(start, size, pos, table.column("bits").to_numpy().view(np.uint64))
-        columns = {f"x_{c}": table.column(c).take(pa.array(x)) for c in names}
-        columns |= {f"y_{c}": table.column(c).take(pa.array(y)) for c in names}
-        columns["more"] = pa.array(np.isin(x, more))
-        return pa.table(columns).combine_chunks().to_batches()
+        x, y, more = earlier_matches(starts(table), size, pos, table.column("bits").to_numpy().view(np.uint64))
+        dealt = np.flatnonzero(block >= 0)
+        return pa.table({
+            "x": pa.array(number[np.append(x, dealt)]),
+            "y": pa.array(np.append(number[y], dealt), mask=np.arange(len(x) + len(dealt)) >= len(x)),
+            "more": pa.array(np.append(np.isin(x, more), np.ones(len(dealt), bool))),
+        }).combine_chunks().to_batches()
 
     for batch in batches:
         table = pa.Table.from_batches([batch])
         table = (pa.concat_tables([held, table]) if held is not None else table).combine_chunks()
         if not len(table):
             continue
-        word = table.column("word").to_numpy()
-        cut = int(np.searchsorted(word, word[-1])) if word[0] != word[-1] else 0
-        yield from pairs(table.slice(0, cut)) if cut else ()
+        cut = int(starts(table)[-1])
+        yield from pairs(table.slice(0, cut).combine_chunks()) if cut else ()
         held = table.slice(cut)
     if held is not None and len(held):
-        yield from pairs(held)
-
+        yield from pairs(held.combine_chunks())
 
-PAIRS_SQL = "x_doc_id bigint, x_own bigint, x_line int, y_doc_id bigint, y_own bigint, y_line int, more boolean"
 
-
-def resembling(rows: DataFrame, entries: DataFrame) -> DataFrame:
-    """The nodes of ``entries`` that resemble an earlier node."""
-    ordered = entries.repartition("word").sortWithinPartitions("word", "doc_id", "own", "line")
-    pairs = steps.written(ordered.mapInArrow(candidates, PAIRS_SQL))
-    names = [f"{p}_{c}" for p in "xy" for c in ("doc_id", "own", "line")]
-    found = matched(rows, pairs.select(names))
-    open_lines = pairs.filter("more").select(*[F.col(f"x_{c}").alias(c) for c in ("doc_id", "own", "line")]).distinct()
-    open_lines = steps.written(open_lines.join(renamed(found, "m_"), line_is("m_"), "left_anti"))
+def resembling(held: DataFrame, entries: DataFrame) -> DataFrame:
+    """The numbers of the nodes that resemble an earlier node, as x."""
+    ordered = entries.repartition("word", "block").sortWithinPartitions("word", "block", "number")
+    pairs = steps.written(ordered.mapInArrow(candidates, "x bigint, y bigint, more boolean"))
+    found = matched(held, pairs.filter("y IS NOT NULL").select("x", "y"))
+    open_lines = steps.written(pairs.filter("more").select("x").distinct().join(found, "x", "left_anti"))
+    steps.freed(pairs)
     if open_lines.isEmpty():
         return found
-    left = renamed(entries.join(renamed(open_lines, "o_"), line_is("o_"), "left_semi"), "x_")
-    rest = left.join(renamed(entries, "y_"), (F.col("x_word") == F.col("y_word")) & (place("y_") < place("x_"))
+    left = steps.written(renamed(entries.join(open_lines, F.col("number") == F.col("x"), "left_semi"), "x_"))
+    right = renamed(entries.join(left.select("x_word").distinct(), F.col("word") == F.col("x_word"), "left_semi"), "y_")
+    rest = left.join(right, (F.col("x_word") == F.col("y_word")) & (F.col("y_number") < F.col("x_number"))
                      & possible("x_", "y_"))
-    return steps.written(found.unionByName(matched(rows, rest.select(names))))
+    later = matched(held, rest.select(F.col("x_number").alias("x"), F.col("y_number").alias("y")))
+    steps.freed(left, open_lines)
+    return steps.written(found.unionByName(later))
 
 
 def keep(texts: pa.Array, gone: pa.Array) -> pa.Array:
@@ -355,33 +416,26 @@ def keep(texts: pa.Array, gone: pa.Array) -> pa.Array:
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """doc_id, own (hash of the text) and the places of the lines to remove."""
-    spark = docs.sparkSession
     rows = docs.select("doc_id", F.xxhash64("text").alias("own"), "text").filter("text IS NOT NULL")
     sets = steps.written(rows.mapInArrow(line_sets, SETS_SQL))
-    lines = sets.count()
     first = sets.groupBy("set", "again").agg(F.min(F.struct("doc_id", "own", "line", "size")).alias("e"))
-    nodes = steps.written(first.select("set", "again", "e.*"))
+    in_order = first.select("set", "again", "e.*").repartitionByRange("doc_id", "own", "line").sortWithinPartitions(
+        "doc_id", "own", "line")
+    nodes = steps.written(in_order.withColumn("number", F.monotonically_increasing_id()))
     # A smaller set has no similar one but itself: 4 of 5 words is the least.
-    wanted = nodes.filter(F.col("size") >= UP).groupBy("doc_id", "own").agg(F.collect_set("line").alias("lines"))
-    machine = steps.OnWorker(spark, common_words(rows, lines), as_given)
-    entries = (
-        rows.join(renamed(wanted, "w_"), same_document("w_")).select("doc_id", "own", "text", "w_lines")
-        .mapInArrow(prefixes(machine), PREFIX_SQL)
-    )
-    alike = resembling(rows, steps.written(entries))
-    gone = renamed(alike, "m_")
-    named = nodes.join(gone, line_is("m_"), "left")
-    verdict = named.select("set", "again", place().alias("first"), F.col("m_line").isNotNull().alias("alike"))
+    lists = nodes.filter(F.col("size") >= UP).groupBy("doc_id", "own").agg(
+        F.sort_array(F.collect_list(F.struct("line", "number"))).alias("nodes"))
+    held = steps.written(
+        rows.join(renamed(lists, "w_"), same_document("w_")).select("text", "w_nodes")
+        .mapInArrow(node_texts, HELD_SQL))
+    told, machine, counts = with_counts(held)
+    alike = resembling(held, told.mapInArrow(prefixes(machine), PREFIX_SQL))
+    named = nodes.join(alike, F.col("number") == F.col("x"), "left")
+    verdict = named.select("set", "again", place().alias("first"), F.col("x").isNotNull().alias("alike"))
     every = sets.join(verdict, ["set", "again"]).filter(F.col("alike") | (place() != F.col("first")))
-    return steps.written(every.groupBy("doc_id", "own").agg(F.collect_set("line").alias("gone")))
-
-
-def line_is(prefix: str) -> Column:
-    return same_document(prefix) & (F.col("line") == F.col(f"{prefix}line"))
-
-
-def as_given(data):
-    return data
+    gone = steps.written(every.groupBy("doc_id", "own").agg(F.collect_set("line").alias("gone")))
+    steps.freed(sets, nodes, held, counts, alike)
+    return gone
 
 
 def cleaned(docs: DataFrame) -> DataFrame:

@@ -297,7 +297,11 @@ def brute_lines(pairs):
     return sorted(out, key=repr)
 
 
-def test_lines_equal_brute_force(docs_of):
+@pytest.mark.parametrize(("common", "block"), [(line_dedup.COMMON_WORDS, line_dedup.BLOCK), (30, 8)])
+def test_lines_equal_brute_force(docs_of, monkeypatch, common, block):
+    """Also with most words told by a join, and long lists in blocks."""
+    monkeypatch.setattr(line_dedup, "COMMON_WORDS", common)
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
     rng = random.Random(4)
     pool = [f"w{k}" for k in range(400)]
 
@@ -327,6 +331,15 @@ def test_large_group_of_alike_lines(docs_of):
     assert found[0] == 0 and all(found[i] == 1 for i in range(1, 300))
 
 
+def test_lines_of_common_words_and_repeated_documents(docs_of):
+    """Lines made of few words, all in many lines; a repeated document is one and keeps its lines."""
+    rng = random.Random(9)
+    pool = [f"c{k}" for k in range(14)]
+    pairs = [(i, "\n".join(" ".join(rng.sample(pool, rng.randint(4, 12))) for _ in range(3))) for i in range(60)]
+    found = line_dedup.report(docs_of(*pairs, pairs[0], pairs[7], pairs[7]))
+    assert sorted(set(rows(found)), key=repr) == brute_lines(pairs) and found.count() == 63
+
+
 def test_lines_of_odd_rows(odd_docs, no_docs):
     found = {(r.doc_id, r.n_lines, r.n_removed) for r in line_dedup.report(odd_docs).collect()}
     assert line_dedup.report(odd_docs).count() == 12
