@@ -37,8 +37,9 @@ from pyspark.sql import functions as F
 #: Similar means 4/5 or more; kept as integers so that no bound is rounded.
 UP, DOWN = 4, 5
 THRESHOLD = UP / DOWN
-COMMON_WORDS = 1 << 20
+COMMON_WORDS = 1 << 19
 BLOCK = 1 << 16
+COUNTED = 1 << 22
 #: How many earlier lines are tried for a line and word before all.
 FEW = 2
 SMALL, CELLS = 16, 1 << 21
@@ -121,11 +122,22 @@ def numbered_words(numbers: pa.Array, texts: pa.Array):
 
 
 def word_counts(batches):
-    """In how many nodes of a batch each word is."""
+    """In how many nodes each word is, summed over about ``COUNTED`` words at a time."""
+
+    def counted(found):
+        word, count = np.unique(np.concatenate(found), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(count)], names=["word", "n"])
+
+    found, total = [], 0
     for batch in batches:
-        found = [hashed for hashed, *_ in numbered_words(batch.column(0), batch.column(1))]
-        word, count = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(count)], names=["word", "n"])
+        for hashed, *_ in numbered_words(batch.column(0), batch.column(1)):
+            found.append(hashed)
+            total += len(hashed)
+            if total >= COUNTED:
+                yield counted(found)
+                found, total = [], 0
+    if found:
+        yield counted(found)
 
 
 def by_hash(data):
@@ -176,8 +188,8 @@ def with_counts(held: DataFrame) -> tuple[DataFrame, steps.OnWorker, DataFrame]:
         if total <= COMMON_WORDS:
             break
         least, total = 1 << r["bits"], total - r["count"]
-    common = counts.filter(F.col("n") >= least).toPandas()
-    machine = steps.OnWorker(spark, (common["word"].to_numpy(np.int64), common["n"].to_numpy(np.int64)), by_hash)
+    common = counts.filter(F.col("n") >= least).toArrow()
+    machine = steps.OnWorker(spark, tuple(common.column(c).to_numpy() for c in ("word", "n")), by_hash)
     if least == 2:
         none = F.array().cast("array<bigint>")
         return held.withColumn("words", none).withColumn("counts", none), machine, counts
