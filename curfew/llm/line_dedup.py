@@ -177,8 +177,9 @@ def uncommon_words(machine: steps.OnWorker):
 
 
 def with_counts(held: DataFrame) -> tuple[DataFrame, steps.OnWorker, DataFrame]:
-    """``held`` with the words that a join has to tell (words, counts), the common words for
-    the workers, and the written counts of all words in several nodes."""
+    """``held`` with the words that a join has to tell (words, counts), written in its place
+    if there are any; the common words for the workers, and the written counts of all words
+    in several nodes."""
     spark = held.sparkSession
     counts = held.mapInArrow(word_counts, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     counts = steps.written(counts.filter("n > 1"))
@@ -198,6 +199,8 @@ def with_counts(held: DataFrame) -> tuple[DataFrame, steps.OnWorker, DataFrame]:
     told = held.join(lists, F.col("numbers")[0] == F.col("at"), "left").select(
         "numbers", "text", *(F.coalesce(F.col(f"own.{c}"), F.array().cast("array<bigint>")).alias(n)
                              for c, n in (("word", "words"), ("n", "counts"))))
+    told = steps.written(told)
+    steps.freed(held)
     return told, machine, counts
 
 
@@ -441,12 +444,12 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         rows.join(renamed(lists, "w_"), same_document("w_")).select("text", "w_nodes")
         .mapInArrow(node_texts, HELD_SQL))
     told, machine, counts = with_counts(held)
-    alike = resembling(held, told.mapInArrow(prefixes(machine), PREFIX_SQL))
+    alike = resembling(told, told.mapInArrow(prefixes(machine), PREFIX_SQL))
     named = nodes.join(alike, F.col("number") == F.col("x"), "left")
     verdict = named.select("set", "again", place().alias("first"), F.col("x").isNotNull().alias("alike"))
     every = sets.join(verdict, ["set", "again"]).filter(F.col("alike") | (place() != F.col("first")))
     gone = steps.written(every.groupBy("doc_id", "own").agg(F.collect_set("line").alias("gone")))
-    steps.freed(sets, nodes, held, counts, alike)
+    steps.freed(sets, nodes, held, told, counts, alike)
     return gone
 
 
