@@ -102,7 +102,7 @@ def brute_classes(pairs):
     df = Counter()
     for _, text in pairs:
         df.update({w.lower() for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")})
-    idf = {w: min(math.log1p(len(pairs) / n), math.log1p(1000)) for w, n in df.items()}
+    idf = {w: math.log1p(len(pairs) / n) for w, n in df.items()}
     texts = sorted({t or "" for _, t in pairs})
     weights = [shingle_weights(t, idf) for t in texts]
     holders, parent = {}, list(range(len(texts)))
