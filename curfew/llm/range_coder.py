@@ -25,6 +25,10 @@ CHOICES, ONE, SHARES = 1 << CHOICE_BITS, 1 << (CHOICE_BITS + EXTRA_BITS), 1 << I
 SLOTS = 1 << 9
 TOP = 8
 RATE = 5
+#: What the chance of being right moves towards.
+GOAL, MISSED = np.int32(ONE - (ONE >> 7)), np.int32(ONE >> 9)
+#: Multipliers of the last two ids; the low bits of the products name a slot.
+CONTEXT = np.array([[0x9E3779B1], [0xC2B2AE35]], np.uint32)
 WORD = np.uint64(32)
 SHIFT = np.uint64(CHOICE_BITS + ID_BITS)
 LEAST = np.uint64(1 << 32)
@@ -64,43 +68,49 @@ class Predictor:
         self.first_chance = np.arange(2 * blocks).reshape(2, blocks) * TOP
         self.empty = self.chance.reshape(-1, TOP)[:, 0]
         self.chance.reshape(-1, TOP)[:, 1:] = np.arange(1, TOP) * (ONE // 8)
-        self.weight = np.full(blocks, 1 << 15, np.int64)
-        self.last = np.zeros((2, blocks), np.int64)
-        self.context = np.empty((2, blocks), np.int64)
+        self.weight = np.full(blocks, 1 << 15, np.int32)
+        self.last = np.zeros((2, blocks), np.uint32)
 
     def predict(self, n: int) -> None:
-        """For the first ``n`` blocks: the ids named and the shares of ``CHOICES`` for
+        """For the first ``n`` blocks, in 32 bits: the ids named and the shares of ``CHOICES`` for
         each being right, at least 1 if any is named."""
         self.n = n
-        context = self.context[:, :n]
-        np.multiply(self.last[0, :n], 0x9E3779B1, out=context[0])
-        np.multiply(self.last[1, :n], 0xC2B2AE35, out=context[1])
+        context = self.last[:, :n] * CONTEXT
         context[1] += context[0]
-        self.at = self.first_slot[:, :n] + ((context >> 15) & (SLOTS - 1))
-        self.held = self.slots.take(self.at)
+        context >>= 15
+        context &= SLOTS - 1
+        self.at = at = self.first_slot[:, :n] + context
+        self.held = self.slots.take(at)
         self.trust = self.held & (TOP - 1)
         self.name = self.held >> 3
         self.place = self.first_chance[:, :n] + self.trust
-        self.base = self.chance.take(self.place).astype(np.int64)
-        self.same = (self.name[0] == self.name[1]) & (self.name[0] > 0)
-        self.gap = self.base[0] - self.base[1]
-        self.share2 = (self.base[1] + ((self.gap * self.weight[:n]) >> 16) * self.same) >> EXTRA_BITS
-        one = ((CHOICES - self.share2) * self.base[0]) >> (CHOICE_BITS + EXTRA_BITS)
-        self.share1 = np.maximum(one, self.trust[0] > 0) * ~self.same
+        self.base = self.chance.take(self.place)
+        self.same = (self.name[0] == self.name[1]) & (self.trust[0] > 0)
+        self.step = np.where(self.same, self.base[0] - self.base[1] >> 6, 0)
+        self.share2 = (self.base[1] + ((self.step * self.weight[:n]) >> 10)) >> EXTRA_BITS
+        one = ((CHOICES - self.share2) * (self.base[0] >> EXTRA_BITS)) >> CHOICE_BITS
+        self.share1 = np.where(self.same, 0, np.maximum(one, self.trust[0] > 0))
 
     def learn(self, symbol: np.ndarray) -> None:
         n, after = self.n, symbol + 1
         right = self.name == after
-        step = (self.gap >> 6) * self.same
-        self.weight[:n] += np.where(right[1], step, -step)
-        np.clip(self.weight[:n], 1 << 11, (1 << 16) - (1 << 11), out=self.weight[:n])
-        goal = right * (ONE - (ONE >> 7) - (ONE >> 9)) + (ONE >> 9)
-        self.chance[self.place] = self.base + ((goal - self.base) >> RATE)
+        weight = self.weight[:n]
+        weight += np.where(right[1], self.step, -self.step)
+        np.maximum(weight, 1 << 11, out=weight)
+        np.minimum(weight, (1 << 16) - (1 << 11), out=weight)
+        goal = np.where(right, GOAL, MISSED)
+        goal -= self.base
+        goal >>= RATE
+        goal += self.base
+        self.chance[self.place.ravel()] = goal.ravel()
         self.empty[:] = 0
-        wrong = np.where(self.trust < 2, (after << 3) + 1, self.held - (self.trust + 1 >> 1))
-        self.slots[self.at] = np.where(right, self.held + (self.trust < TOP - 1), wrong)
+        after <<= 3
+        after += 1
+        wrong = np.where(self.trust < 2, after, self.held - (self.trust + 1 >> 1))
+        held = np.where(right, self.held + (self.trust < TOP - 1), wrong)
+        self.slots[self.at.ravel()] = held.ravel()
         self.last[1, :n] = self.last[0, :n]
-        self.last[0, :n] = after
+        self.last[0, :n] = symbol + 1
 
 
 def sizes(total: int) -> np.ndarray:
@@ -113,12 +123,13 @@ def encode(ids: np.ndarray) -> tuple[bytes, list[bytes]]:
     if not len(ids):
         return b"", []
     symbols, share, ranks = frequencies(ids)
-    below = np.cumsum(share) - share
+    below, small_share = (np.cumsum(share) - share).astype(np.int32), share.astype(np.int32)
     count = sizes(len(ids))
     blocks = len(count)
-    rank = np.zeros(blocks * BLOCK, np.int64)
+    rank = np.zeros(blocks * BLOCK, np.int32)
     rank[: len(ids)] = ranks
     rank = np.ascontiguousarray(rank.reshape(blocks, BLOCK).T)
+    below, small_share = below.take(rank), small_share.take(rank)
     low, width = np.zeros(blocks, np.uint64), np.full(blocks, FULL)
     out = np.zeros((blocks, 2 * BLOCK + 8), np.uint32)
     used = np.zeros(blocks, np.int64)
@@ -154,8 +165,8 @@ def encode(ids: np.ndarray) -> tuple[bytes, list[bytes]]:
         hit1 &= ~hit2
         both = model.share2 + model.share1
         rest = CHOICES - both
-        start = np.where(hit2, 0, np.where(hit1, model.share2 << ID_BITS, (both << ID_BITS) + rest * below[symbol]))
-        size = np.where(hit2, model.share2 << ID_BITS, np.where(hit1, model.share1 << ID_BITS, rest * share[symbol]))
+        start = np.where(hit2, 0, np.where(hit1, model.share2 << ID_BITS, (both << ID_BITS) + rest * below[t, :n]))
+        size = np.where(hit2, model.share2 << ID_BITS, np.where(hit1, model.share1 << ID_BITS, rest * small_share[t, :n]))
         put(n, start, size)
         model.learn(symbol)
     every = np.arange(blocks)
@@ -173,7 +184,7 @@ def decode(table: bytes, coded: list[bytes], total: int) -> np.ndarray:
         return np.zeros(0, np.int64)
     symbols, share = np.frombuffer(zlib.decompress(table), "<u4").reshape(2, -1).astype(np.int64)
     symbols = np.cumsum(symbols)
-    below = np.cumsum(share) - share
+    below, small_share = (np.cumsum(share) - share).astype(np.int32), share.astype(np.int32)
     owner = np.repeat(np.arange(len(share), dtype=np.int32), share)
     count = sizes(total)
     blocks = len(count)
@@ -183,7 +194,7 @@ def decode(table: bytes, coded: list[bytes], total: int) -> np.ndarray:
         words[k, : len(data) // 4] = np.frombuffer(data, "<u4")
     code, width = (words[:, 0] << WORD) | words[:, 1], np.full(blocks, FULL)
     used = np.full(blocks, 2)
-    out = np.zeros((BLOCK, blocks), np.int64)
+    out = np.zeros((BLOCK, blocks), np.int32)
 
     def take(n: int, unit: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
         rest = code[:n] - unit * start.astype(np.uint64)
@@ -202,15 +213,15 @@ def decode(table: bytes, coded: list[bytes], total: int) -> np.ndarray:
         both = model.share2 + model.share1
         rest = CHOICES - both
         unit = width[:n] >> SHIFT
-        at = np.minimum(code[:n] // unit, np.uint64((CHOICES << ID_BITS) - 1)).astype(np.int64)
+        at = np.minimum(code[:n] // unit, np.uint64((CHOICES << ID_BITS) - 1)).astype(np.int32)
         hit2 = at < model.share2 << ID_BITS
         past = at - (both << ID_BITS)
         miss = past >= 0
         found = owner[np.maximum(past, 0) // rest]
         start = np.where(hit2, 0, np.where(miss, (both << ID_BITS) + rest * below[found], model.share2 << ID_BITS))
-        size = np.where(hit2, model.share2 << ID_BITS, np.where(miss, rest * share[found], model.share1 << ID_BITS))
+        size = np.where(hit2, model.share2 << ID_BITS, np.where(miss, rest * small_share[found], model.share1 << ID_BITS))
         take(n, unit, start, size)
-        symbol = np.where(miss, found, np.where(hit2, model.name[1], model.name[0]) - 1).astype(np.int64)
+        symbol = np.where(miss, found, np.where(hit2, model.name[1], model.name[0]) - 1)
         out[t, :n] = symbol
         model.learn(symbol)
     return symbols[out.T.reshape(-1)[:total]]

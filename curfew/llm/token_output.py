@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 END_ID = 1
 CHUNK_BYTES = 6 << 20
 CACHED_WORDS = 2_000_000
+#: Words that are found by the first bits of their hash alone.
+NEAR_BITS = 20
 
 FORMAT = (
     "part int, chunk int, doc_ids array<bigint>, counts array<bigint>, n_tokens bigint, frequencies binary, "
@@ -45,6 +47,11 @@ ARROW_FORMAT = pa.schema([
 #: tokenizer never joins a letter and a mark; an apostrophe may bind them.
 LETTERS_THEN_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ſ]+)([!-&(-/:-@\[-`{-~]*)")
 
+#: Bytes that are letters of ASCII (0), such marks (1), and others (2).
+KIND = np.full(256, 2, np.uint8)
+KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 0
+KIND[[*range(0x21, 0x27), *range(0x28, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = 1
+
 
 class Table:
     """Entries of hashed words, in order of the hash."""
@@ -64,6 +71,22 @@ class Table:
         return self.entry[np.searchsorted(self.known, hashed)]
 
 
+class Growing:
+    """An array that grows at its end, seldom copied."""
+
+    def __init__(self, first: list[int], kind: type):
+        self.held, self.size = np.array(first, kind), len(first)
+
+    def add(self, more: np.ndarray) -> None:
+        end = self.size + len(more)
+        if end > len(self.held):
+            held = np.empty(max(end, len(self.held) * 3 // 2), self.held.dtype)
+            held[: self.size] = self.held[: self.size]
+            self.held = held
+        self.held[self.size : end] = more
+        self.size = end
+
+
 def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The places of all pieces in turn."""
     after = np.cumsum(size)
@@ -90,8 +113,9 @@ class WordIds:
     def clear(self) -> None:
         """Entry 0 is the end of a document, entry 1 is empty."""
         self.words, self.parts = Table(), Table()
-        self.ids = np.array([END_ID], np.uint32)
-        self.start, self.size = np.array([0, 1]), np.array([1, 0])
+        self.near, self.near_entry = np.zeros(1 << NEAR_BITS, np.uint64), np.ones(1 << NEAR_BITS, np.int32)
+        self.ids = Growing([END_ID], np.uint32)
+        self.start, self.size = Growing([0, 1], np.int64), Growing([1, 0], np.int32)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -113,61 +137,97 @@ class WordIds:
         return np.concatenate(ids) if ids else np.zeros(0, np.uint32), np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
 
     def append(self, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
-        first, start = len(self.start), len(self.ids) + np.cumsum(size) - size
-        self.ids = np.concatenate([self.ids, ids.astype(np.uint32)])
-        self.start, self.size = np.append(self.start, start), np.append(self.size, size)
+        first = self.start.size
+        self.start.add(self.ids.size + np.cumsum(size) - size)
+        self.size.add(size)
+        self.ids.add(ids)
         return first + np.arange(len(size))
 
-    def entries_of_parts(self, parts: list[str]) -> np.ndarray:
-        """The entry of each part; the parts hold no white space."""
-        raw = np.frombuffer(" ".join(parts).encode(), np.uint8)
-        hashed = words.hashes(raw, words.find(raw, np.array([0, len(raw)])))
-        new = self.parts.missing(hashed)
+    def entries_of_parts(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The entry of each part of ``raw``; the parts hold no white space."""
+        hashed = words.hashes(raw, words.Words(start, end, start))
+        distinct, where, back = np.unique(hashed, return_index=True, return_inverse=True)
+        new = self.parts.missing(distinct)
         if new.any():
-            entry = self.append(*self.encode_parts([parts[k] for k in np.flatnonzero(new)]))
-            order = np.argsort(hashed[new])
-            self.parts.add(hashed[new][order], entry[order])
-        return self.parts.of(hashed)
-
-    def learn(self, hashed: np.ndarray, found: list[bytes]) -> None:
+            own, at = raw.tobytes(), where[new]
+            parts = [own[a:b].decode() for a, b in zip(start[at].tolist(), end[at].tolist())]
+            self.parts.add(distinct[new], self.append(*self.encode_parts(parts)))
+        return self.parts.of(distinct)[back]
+
+    def entries_of_pairs(self, raw: np.ndarray, start: np.ndarray, cut: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The entry of each word of ``raw`` that is letters up to ``cut`` and marks, if any, from there."""
+        marked = np.flatnonzero(cut < end)
+        found = self.entries_of_parts(raw, np.append(start, cut[marked]), np.append(cut, end[marked]))
+        entry = found[: len(start)].copy()
+        both = np.stack([entry[marked], found[len(start) :]], 1)
+        size = self.size.held[both]
+        entry[marked] = self.append(self.ids.held[ragged(self.start.held[both].ravel(), size.ravel())], size.sum(1))
+        return entry
+
+    def learn(self, hashed: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
         """New entries for words, given in order of their hashes."""
-        entry = np.zeros(len(found), np.int64)
-        split, whole, parts = [], [], {}
-        for k, word in enumerate(found):
-            text = word.decode("utf-8", "replace")
+        size = end - start
+        raw = data[ragged(start, size)]
+        start = np.cumsum(size) - size
+        kind = KIND[raw]
+        letters = np.add.reduceat(kind == 0, start, dtype=np.int64)
+        place = np.arange(len(raw)) - np.repeat(start, size)
+        ahead = np.minimum.reduceat(np.where(kind == 0, len(raw), place), start)
+        simple = (np.maximum.reduceat(kind, start) < 2) & (letters > 0) & (np.minimum(ahead, size) == letters)
+        entry = np.zeros(len(size), np.int64)
+        at = np.flatnonzero(simple)
+        if len(at):
+            entry[at] = self.entries_of_pairs(words.FOLDED_BYTES[raw], start[at], start[at] + letters[at], start[at] + size[at])
+        split, whole, own = [], [], raw.tobytes()
+        for k in np.flatnonzero(~simple).tolist():
+            text = own[start[k] : start[k] + size[k]].decode("utf-8", "replace")
             match = LETTERS_THEN_MARKS.fullmatch(text)
             if match:
-                letters, marks = match.groups()
-                letters = letters.lower() if letters.isascii() else letters
-                split.append((k, parts.setdefault(letters, len(parts)), parts.setdefault(marks, len(parts)) if marks else -1))
+                split.append((k, *match.groups()))
             else:
                 whole.append((k, text))
         if split:
-            place, letters, marks = np.array(split).T
-            own = np.append(self.entries_of_parts(list(parts)), 1)
-            both = np.stack([own[letters], own[marks]], 1)
-            size = self.size[both]
-            ids = self.ids[ragged(self.start[both].ravel(), size.ravel())]
-            entry[place] = np.where(marks < 0, both[:, 0], self.append(ids, size.sum(1)))
+            parts = np.frombuffer("".join(x + y for _, x, y in split).encode(), np.uint8)
+            sizes = np.array([(len(x.encode()), len(y)) for _, x, y in split])
+            ends = np.cumsum(sizes.sum(1))
+            begin = ends - sizes.sum(1)
+            entry[[k for k, *_ in split]] = self.entries_of_pairs(parts, begin, begin + sizes[:, 0], ends)
         if whole:
             ids = self.encode([t for _, t in whole])
             entry[[k for k, _ in whole]] = self.append(np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids)))
         self.words.add(hashed, entry)
 
-    def texts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts, and the number for each, the end included."""
-        found = words.find(data, offsets)
-        distinct, where, back = np.unique(words.hashes(data, found), return_index=True, return_inverse=True)
+    def entries(self, data: np.ndarray, found: words.Words, hashed: np.ndarray) -> np.ndarray:
+        """The entry of each word: most are near, the others are sorted and looked up or learnt."""
+        slot = (hashed >> np.uint64(64 - NEAR_BITS)).view(np.int64)
+        entry = self.near_entry.take(slot).astype(np.int64)
+        far = np.flatnonzero(self.near.take(slot) != hashed)
+        distinct, where, back = np.unique(hashed[far], return_index=True, return_inverse=True)
         if len(self.words.known) + len(distinct) > CACHED_WORDS:
             self.clear()
+            far = np.arange(len(hashed))
+            distinct, where, back = np.unique(hashed, return_index=True, return_inverse=True)
         new = self.words.missing(distinct)
         if new.any():
-            raw = data.tobytes()
-            self.learn(distinct[new], [raw[found.start[k] : found.end[k]] for k in where[new]])
-        entry = np.insert(self.words.of(distinct)[back], found.first[1:], 0)
-        size = self.size[entry]
+            at = far[where[new]]
+            self.learn(distinct[new], data, found.start[at], found.end[at])
+        own = self.words.of(distinct)
+        entry[far] = own[back]
+        slot = (distinct >> np.uint64(64 - NEAR_BITS)).view(np.int64)
+        # Of words with one slot the last is kept, in both arrays.
+        last = np.append(slot[1:] != slot[:-1], True) if len(slot) else np.zeros(0, bool)
+        self.near[slot[last]], self.near_entry[slot[last]] = distinct[last], own[last]
+        return entry
+
+    def texts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, and the number for each, the end included."""
+        found = words.find(data, offsets)
+        hashed = words.hashes(data, found)
+        entry = self.entries(data, found, hashed)
+        entry = np.insert(entry, found.first[1:], 0)
+        size = self.size.held[entry]
         ends = found.first[1:] + np.arange(len(offsets) - 1)
-        return self.ids[ragged(self.start[entry], size)].astype(np.int64), np.diff(np.cumsum(size)[ends], prepend=0)
+        return self.ids.held[ragged(self.start.held[entry], size)].astype(np.int64), np.diff(np.cumsum(size)[ends], prepend=0)
 
 
 KEPT: dict[str, WordIds] = {}

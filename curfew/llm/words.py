@@ -1,9 +1,9 @@
 """Words of many texts at once, as arrays: bounds, hashes, hashes of windows.
 
 A word is found in the UTF-8 bytes, so the class of its characters must be a set
-of bytes; all bytes of characters beyond ASCII are alike in it. Hashes are
-polynomials over 64 bits followed by a mixer; they depend on nothing but the
-words.
+of bytes; all bytes of characters beyond ASCII are alike in it. Hashes take eight
+bytes of a word at a time, those of long words are polynomials over 64 bits; they
+depend on nothing but the words.
 """
 
 from dataclasses import dataclass
@@ -29,9 +29,12 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
-#: The same with A-Z as a-z.
-FOLDED_BYTES = BYTES.copy()
-FOLDED_BYTES[65:91] = BYTES[97:123]
+#: A-Z as a-z.
+FOLDED_BYTES = np.arange(256, dtype=np.uint8)
+FOLDED_BYTES[65:91] += 32
+#: The first bytes of eight, none to all; words beyond LONG bytes are hashed byte by byte.
+FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+LONG = 64
 
 
 def powers(base: np.uint64, count: int) -> np.ndarray:
@@ -78,16 +81,36 @@ def find(data: np.ndarray, offsets: np.ndarray, in_word: np.ndarray = PLAIN) ->
     return Words(start, np.flatnonzero(ends) + 1, np.searchsorted(start, offsets))
 
 
-def hashes(data: np.ndarray, words: Words, table: np.ndarray = BYTES, in_word: np.ndarray = PLAIN) -> np.ndarray:
-    """A 64-bit hash of each word."""
+def eights(data: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place; ``data`` is whole eights and has two to spare."""
+    at, shift = start >> 3, (start & 7).astype(np.uint64) << np.uint64(3)
+    # A shift by 64 gives 0.
+    return (data.take(at) >> shift) | (data.take(at + 1) << (np.uint64(64) - shift))
+
+
+def hashes(data: np.ndarray, words: Words, folded: np.ndarray | None = None) -> np.ndarray:
+    """A 64-bit hash of each word, its bytes replaced by those of ``folded`` if given."""
     size = words.end - words.start
     if not len(size):
         return np.zeros(0, np.uint64)
-    place = np.flatnonzero(in_word[data])
-    value = table[data[place]]
-    place -= np.repeat(words.start, size)
-    value *= powers(BASE, int(size.max()))[place]
-    return mix(np.add.reduceat(value, np.cumsum(size) - size) + size.astype(np.uint64))
+    raw = np.zeros((len(data) + 31) // 8 * 8, np.uint8)
+    raw[: len(data)] = data if folded is None else folded[data]
+    wide = raw.view("<u8")
+    total = mix(eights(wide, words.start) & FIRST_BYTES[np.minimum(size, 8)] ^ (size.astype(np.uint64) * BASE))
+    more, done = np.flatnonzero((size > 8) & (size <= LONG)), 8
+    while len(more):
+        value = eights(wide, words.start[more] + done) & FIRST_BYTES[np.minimum(size[more] - done, 8)]
+        total[more] = mix(total[more] * WINDOW_BASE + value)
+        done += 8
+        more = more[size[more] > done]
+    long = np.flatnonzero(size > LONG)
+    if len(long):
+        size = size[long]
+        first = np.cumsum(size) - size
+        place = np.arange(int(size.sum())) - np.repeat(first, size)
+        value = BYTES[raw[place + np.repeat(words.start[long], size)]] * powers(BASE, int(size.max()))[place]
+        total[long] = mix(np.add.reduceat(value, first) + size.astype(np.uint64))
+    return total
 
 
 def windows(hashed: np.ndarray, length: int, base: np.uint64 = WINDOW_BASE) -> np.ndarray:

@@ -6,9 +6,10 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from conftest import rows
-from curfew.llm import boosting, decontamination, html_text, quality, queries, token_output, toxicity, url_filter
+from curfew.llm import boosting, decontamination, html_text, quality, queries, steps, token_output, toxicity, url_filter
 from llm.conftest import MEDIUM, SMALL, prose
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -163,6 +164,20 @@ def test_damaged_block_is_refused(spark, docs_of, tmp_path):
         token_output.chunk_ids(chunk.frequencies, [block], chunk.n_tokens)
 
 
+def test_words_are_tokenised_once_and_then_found_near():
+    """Letters and marks by arrays, all else by the tokenizer; words seen before are not sorted and looked up."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["ABC abc, don't x1 !!! a!b A.B.C. it's;", "École Straße... İst ŁÓDŹ! 日本語 é\x00", "y" * 64 + " " + "z" * 65 + "!?", "", None]
+    known = Tokenizer.from_file(path)
+    expected = [[*known.encode(t or "", add_special_tokens=False).ids, token_output.END_ID] for t in texts]
+    made, asked = token_output.WordIds(path), []
+    for _ in range(2):
+        ids, counts = made.texts(*steps.text_buffers(pa.array(texts, pa.string())))
+        assert counts.tolist() == [len(e) for e in expected] and ids.tolist() == sum(expected, [])
+        made.words.missing = lambda distinct, f=made.words.missing: asked.append(len(distinct)) or f(distinct)
+    assert asked == [0]
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; T</title><style>p{}</style><script>var t="</p>";</script></head><body>
 <header class="site-header"><h1>Site</h1></header><nav><ul><li><a href=x>Home</a><li><a href=y>News</a></ul></nav>
 <div class="cookie-notice">We use cookies to make this page better for every one of you.</div>
