@@ -7,9 +7,10 @@ before it, removed or not, is ``THRESHOLD`` or more. Lines without words stay.
 Lines with equal sets are one node, known by its first line; all later ones go. Nodes
 are numbered in the order of their lines, so a line is one number from there on. The
 words of a set are ordered by the number of nodes that hold them, rarest first, then by
-hash: the ``COMMON_WORDS`` or fewer most frequent ones with their counts are told to the
-workers, all others that are in several nodes come to the texts by a join, and the rest
-are in one node. Two similar sets share a word among their first ``size - least overlap
+hash: the ``COMMON_WORDS`` or fewer most frequent ones are told to the workers with their
+counts, all others that are in several nodes by 2 ** ``SLOT_BITS`` counters, where words
+of one counter count together. Any order that is the same for all lines is right; a word
+whose counter is 0 is in one node. Two similar sets share a word among their first ``size - least overlap
 + 1``. These prefixes, without the words of one node, are joined on the word under a
 length filter, a positional filter, and a filter by a 64-bit map of the words, all of
 which only drop pairs that cannot be similar. In the map each word flips a bit, so two
@@ -19,9 +20,9 @@ is verified by the words themselves.
 A line has only to find one earlier match. So it is first compared with the ``FEW``
 earliest lines that pass the filters for each of its words, and of the pairs found the
 one that shares most is verified first. Only lines without a match that have more of
-them go on to all: a large group of alike lines makes few pairs. The list of a word in
-over ``BLOCK`` nodes is dealt into blocks, so no task holds it whole; a line of such a
-word that finds no match in its blocks goes on to all as well.
+them go on to all in the lists of those words: a large group of alike lines makes few
+pairs. The list of a word in over ``BLOCK`` nodes is dealt into blocks, so no task holds
+it whole; a line of such a word that finds no match in its blocks goes on to all as well.
 
 A null text has one line without words. Rows with a null doc_id come first; rows with
 equal ids are ordered by a hash of their text. Rows that are equal in both are one
@@ -38,6 +39,7 @@ from pyspark.sql import functions as F
 UP, DOWN = 4, 5
 THRESHOLD = UP / DOWN
 COMMON_WORDS = 1 << 19
+SLOT_BITS, SLOT_BLOCK_BITS = 23, 12
 BLOCK = 1 << 16
 COUNTED = 1 << 22
 #: How many earlier lines are tried for a line and word before all.
@@ -141,45 +143,23 @@ def word_counts(batches):
 
 
 def by_hash(data):
-    """Hashes of words in order, and the number of nodes that hold each."""
+    """Hashes of words in order, the number of nodes that hold each, and the counters of the others."""
     word = data[0].view(np.uint64)
     order = np.argsort(word)
-    return word[order], data[1][order]
+    return word[order], data[1][order], data[2]
 
 
-def looked_up(hashed: np.ndarray, known: np.ndarray, count: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """The count of each word where it is known, else ``other``."""
+def node_counts(hashed: np.ndarray, known: np.ndarray, count: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """The count of each word where it is known, else its counter; 1 for the words of one node."""
+    other = steps.counted(hashed, slots)
     if not len(known):
         return other
     at = np.minimum(np.searchsorted(known, hashed), len(known) - 1)
     return np.where(known[at] == hashed, count[at], other)
 
 
-def uncommon_words(machine: steps.OnWorker):
-    """The words of each row that are not among the common ones: word, and the row by its first number."""
-
-    def find(batches):
-        known, count = machine.get()
-        for batch in batches:
-            numbers = batch.column(0)
-            first_number = numbers.flatten().to_numpy()[np.append(0, np.cumsum(np.asarray(numbers.value_lengths()))[:-1])]
-            for first, row, _, hashed in line_words(batch.column(1)):
-                rare = looked_up(hashed, known, count, np.zeros(len(hashed), np.int64)) == 0
-                row, hashed = row[rare], hashed[rare]
-                order = np.lexsort((hashed, row))
-                row, hashed = row[order], hashed[order]
-                new = np.ones(len(row), bool)
-                new[1:] = (row[1:] != row[:-1]) | (hashed[1:] != hashed[:-1])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashed[new].view(np.int64)), pa.array(first_number[first + row[new]])], names=["word", "at"])
-
-    return find
-
-
-def with_counts(held: DataFrame) -> tuple[DataFrame, steps.OnWorker, DataFrame]:
-    """``held`` with the words that a join has to tell (words, counts), written in its place
-    if there are any; the common words for the workers, and the written counts of all words
-    in several nodes."""
+def with_counts(held: DataFrame) -> steps.OnWorker:
+    """For the workers: the common words with their counts, and counters of the others in several nodes."""
     spark = held.sparkSession
     counts = held.mapInArrow(word_counts, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     counts = steps.written(counts.filter("n > 1"))
@@ -190,18 +170,11 @@ def with_counts(held: DataFrame) -> tuple[DataFrame, steps.OnWorker, DataFrame]:
             break
         least, total = 1 << r["bits"], total - r["count"]
     common = counts.filter(F.col("n") >= least).toArrow()
-    machine = steps.OnWorker(spark, tuple(common.column(c).to_numpy() for c in ("word", "n")), by_hash)
-    if least == 2:
-        none = F.array().cast("array<bigint>")
-        return held.withColumn("words", none).withColumn("counts", none), machine, counts
-    own = held.mapInArrow(uncommon_words(machine), "word bigint, at bigint").join(counts.filter(F.col("n") < least), "word")
-    lists = own.groupBy("at").agg(F.collect_list(F.struct("word", "n")).alias("own"))
-    told = held.join(lists, F.col("numbers")[0] == F.col("at"), "left").select(
-        "numbers", "text", *(F.coalesce(F.col(f"own.{c}"), F.array().cast("array<bigint>")).alias(n)
-                             for c, n in (("word", "words"), ("n", "counts"))))
-    told = steps.written(told)
-    steps.freed(held)
-    return told, machine, counts
+    slots = np.zeros(0, np.uint32)
+    if least > 2:
+        slots = steps.counters(counts.filter(F.col("n") < least), SLOT_BITS, SLOT_BLOCK_BITS)
+    steps.freed(counts)
+    return steps.OnWorker(spark, (*(common.column(c).to_numpy() for c in ("word", "n")), slots), by_hash)
 
 
 def least_overlap(size: np.ndarray) -> np.ndarray:
@@ -209,26 +182,28 @@ def least_overlap(size: np.ndarray) -> np.ndarray:
     return -(-UP * size // DOWN)
 
 
-def prefixes(machine: steps.OnWorker):
-    """From (numbers, text, words, counts): the first words, by rarity, of each node."""
+def prefixes(machine: steps.OnWorker, wanted: steps.OnWorker | None = None):
+    """From (numbers, text): the first words, by rarity, of each node; if told, those that pass a sieve."""
 
     def find(batches):
-        known, count = machine.get()
         for batch in batches:
-            told, counts = batch.column(2), batch.column(3)
-            for hashed, start, number, rows in numbered_words(batch.column(0), batch.column(1)):
-                own = told[rows.start : rows.stop].flatten().to_numpy().astype(np.int64).view(np.uint64)
-                own, at = np.unique(own, return_index=True)
-                held = counts[rows.start : rows.stop].flatten().to_numpy().astype(np.int64)[at]
-                n = looked_up(hashed, own, held, np.ones(len(hashed), np.int64))
-                n = looked_up(hashed, known, count, n)
+            for hashed, start, number, _ in numbered_words(batch.column(0), batch.column(1)):
                 size = np.diff(np.append(start, len(hashed)))
+                if wanted is not None:
+                    passes = np.add.reduceat(wanted.get().has(hashed.view(np.int64)), start, dtype=np.int64) > 0
+                    hashed, size, number = hashed[np.repeat(passes, size)], size[passes], number[passes]
+                    start = np.cumsum(size) - size
+                if not len(start):
+                    continue
+                n = node_counts(hashed, *machine.get())
                 group = np.repeat(np.arange(len(start)), size)
                 bits = np.bitwise_xor.reduceat(np.uint64(1) << (hashed >> np.uint64(58)), start)
                 order = np.lexsort((hashed, n, group))
                 hashed, n = hashed[order], n[order]
                 pos = np.arange(len(hashed)) - np.repeat(start, size)
                 taken = (pos < np.repeat(size - least_overlap(size) + 1, size)) & (n > 1)
+                if wanted is not None:
+                    taken &= wanted.get().has(hashed.view(np.int64))
                 group, hashed, n = group[taken], hashed[taken], n[taken]
                 blocks = (n // BLOCK + 1).astype(np.uint64)
                 block = (words.mix(number.view(np.uint64))[group] % blocks).astype(np.int32)
@@ -279,11 +254,22 @@ def overlap(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array(out, pa.bool_())
 
 
-def single_lines(batches):
-    """From (numbers, text): each node's number and line."""
-    for batch in batches:
-        lines = [line for text in batch.column(1).to_pylist() for line in text.split("\n")]
-        yield pa.RecordBatch.from_arrays([batch.column(0).flatten(), pa.array(lines, pa.string())], names=["number", "words"])
+def single_lines(wanted: steps.OnWorker):
+    """From (numbers, text): the numbers and lines of the nodes that pass a sieve."""
+
+    def give(batches):
+        for batch in batches:
+            numbers = batch.column(0).flatten()
+            passes = wanted.get().has(numbers.to_numpy().astype(np.int64))
+            many = np.asarray(batch.column(0).value_lengths()).astype(np.int64)
+            first, lines = np.cumsum(many) - many, []
+            some = np.add.reduceat(passes, first, dtype=np.int64) > 0 if len(first) else np.zeros(0, bool)
+            for k in np.flatnonzero(some).tolist():
+                own = batch.column(1)[k].as_py().split("\n")
+                lines += [own[j] for j in np.flatnonzero(passes[first[k] : first[k] + many[k]]).tolist()]
+            yield pa.RecordBatch.from_arrays([numbers.filter(pa.array(passes)), pa.array(lines, pa.string())], names=["number", "words"])
+
+    return give
 
 
 def same_document(prefix: str) -> Column:
@@ -302,8 +288,9 @@ def matched(held: DataFrame, pairs: DataFrame) -> DataFrame:
     """Of the pairs (x, y), the x that are similar to a y. The pair that shares most words
     of the prefixes is verified first, the others only where it fails."""
     pairs = steps.written(pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("shared")))
-    wanted = pairs.select(F.explode(F.array("x", "y")).alias("w")).distinct()
-    lines = held.select("numbers", "text").mapInArrow(single_lines, "number bigint, words string")
+    wanted = steps.written(pairs.select(F.explode(F.array("x", "y")).alias("w")).distinct())
+    passing = steps.sieve(wanted)
+    lines = held.select("numbers", "text").mapInArrow(single_lines(passing), "number bigint, words string")
     lines = steps.written(lines.join(wanted, F.col("number") == F.col("w"), "left_semi").dropDuplicates(["number"]))
     best = steps.written(pairs.groupBy("x").agg(F.max(F.struct("shared", (-F.col("y")).alias("y"))).alias("best"))
                          .select("x", (-F.col("best.y")).alias("y")))
@@ -311,7 +298,8 @@ def matched(held: DataFrame, pairs: DataFrame) -> DataFrame:
     left = pairs.join(found, "x", "left_anti").join(best, ["x", "y"], "left_anti")
     rest = steps.written(left.select("x", "y"))
     out = found if rest.isEmpty() else steps.written(found.unionByName(similar_of(rest, lines)))
-    steps.freed(pairs, lines, best, rest, *([found] if out is not found else []))
+    steps.freed(pairs, wanted, lines, best, rest, *([found] if out is not found else []))
+    passing.free()
     return out
 
 
@@ -366,8 +354,8 @@ def earlier_matches(start: np.ndarray, size: np.ndarray, pos: np.ndarray, bits:
 
 def candidates(batches):
     """From entries sorted by word, block and number: pairs (x, y) of nodes that may match.
-    A list is read whole; one that goes on in the next batch is held. ``more`` says that x
-    may match others; those of a list in blocks get a row without y for it."""
+    A list is read whole; one that goes on in the next batch is held. A row without y says
+    that x may match others that hold the word, as all of a list in blocks may."""
     held = None
 
     def starts(table):
@@ -382,11 +370,12 @@ def candidates(batches):
         number, block = table.column("number").to_numpy(), table.column("block").to_numpy()
         size, pos = (table.column(c).to_numpy().astype(np.int64) for c in ("size", "pos"))
         x, y, more = earlier_matches(starts(table), size, pos, table.column("bits").to_numpy().view(np.uint64))
-        dealt = np.flatnonzero(block >= 0)
+        more = np.union1d(more, np.flatnonzero(block >= 0))
+        paired = np.arange(len(x) + len(more)) < len(x)
         return pa.table({
-            "x": pa.array(number[np.append(x, dealt)]),
-            "y": pa.array(np.append(number[y], dealt), mask=np.arange(len(x) + len(dealt)) >= len(x)),
-            "more": pa.array(np.append(np.isin(x, more), np.ones(len(dealt), bool))),
+            "x": pa.array(number[np.append(x, more)]),
+            "y": pa.array(number[np.append(y, more)], mask=~paired),
+            "word": pa.array(table.column("word").to_numpy()[np.append(x, more)], mask=paired),
         }).combine_chunks().to_batches()
 
     for batch in batches:
@@ -401,21 +390,26 @@ def candidates(batches):
         yield from pairs(held.combine_chunks())
 
 
-def resembling(held: DataFrame, entries: DataFrame) -> DataFrame:
+def resembling(held: DataFrame, machine: steps.OnWorker) -> DataFrame:
     """The numbers of the nodes that resemble an earlier node, as x."""
+    entries = held.mapInArrow(prefixes(machine), PREFIX_SQL)
     ordered = entries.repartition("word", "block").sortWithinPartitions("word", "block", "number")
-    pairs = steps.written(ordered.mapInArrow(candidates, "x bigint, y bigint, more boolean"))
+    pairs = steps.written(ordered.mapInArrow(candidates, "x bigint, y bigint, word bigint"))
     found = matched(held, pairs.filter("y IS NOT NULL").select("x", "y"))
-    open_lines = steps.written(pairs.filter("more").select("x").distinct().join(found, "x", "left_anti"))
+    asked = steps.written(pairs.filter("y IS NULL").select("x", "word").join(found, "x", "left_anti").distinct())
     steps.freed(pairs)
-    if open_lines.isEmpty():
+    if asked.isEmpty():
+        steps.freed(asked)
         return found
-    left = steps.written(renamed(entries.join(open_lines, F.col("number") == F.col("x"), "left_semi"), "x_"))
-    right = renamed(entries.join(left.select("x_word").distinct(), F.col("word") == F.col("x_word"), "left_semi"), "y_")
+    passing = steps.sieve(asked.select("word").distinct())
+    again = steps.written(held.mapInArrow(prefixes(machine, passing), PREFIX_SQL).dropDuplicates(["word", "number"]))
+    right = renamed(again, "y_")
+    left = renamed(again.join(asked.select(F.col("x").alias("number"), "word"), ["number", "word"], "left_semi"), "x_")
     rest = left.join(right, (F.col("x_word") == F.col("y_word")) & (F.col("y_number") < F.col("x_number"))
                      & possible("x_", "y_"))
     later = matched(held, rest.select(F.col("x_number").alias("x"), F.col("y_number").alias("y")))
-    steps.freed(left, open_lines)
+    steps.freed(asked, again)
+    passing.free()
     return steps.written(found.unionByName(later))
 
 
@@ -443,13 +437,14 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     held = steps.written(
         rows.join(renamed(lists, "w_"), same_document("w_")).select("text", "w_nodes")
         .mapInArrow(node_texts, HELD_SQL))
-    told, machine, counts = with_counts(held)
-    alike = resembling(told, told.mapInArrow(prefixes(machine), PREFIX_SQL))
+    machine = with_counts(held)
+    alike = resembling(held, machine)
     named = nodes.join(alike, F.col("number") == F.col("x"), "left")
     verdict = named.select("set", "again", place().alias("first"), F.col("x").isNotNull().alias("alike"))
     every = sets.join(verdict, ["set", "again"]).filter(F.col("alike") | (place() != F.col("first")))
     gone = steps.written(every.groupBy("doc_id", "own").agg(F.collect_set("line").alias("gone")))
-    steps.freed(sets, nodes, held, told, counts, alike)
+    steps.freed(sets, nodes, held, alike)
+    machine.free()
     return gone
 
 

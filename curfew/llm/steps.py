@@ -9,10 +9,13 @@ from contextlib import contextmanager
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from curfew.llm import words
 from curfew.session import shared_folder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: A sieve has 16 bits for each value, and this power of two at most.
+SIEVE_BITS = 27
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -58,12 +61,17 @@ def written(df: DataFrame, folder: str | None = None) -> DataFrame:
 
 
 def freed(*rows: DataFrame | None) -> None:
-    """Delete what ``written`` has written for these rows. Whatever is made of them must be written itself by then."""
+    """Delete what ``written`` has written for these rows. Whatever is made of them must be written itself by then.
+    The plans and task records of the steps are garbage too; the driver is asked to collect them before its heap grows."""
     for df in rows:
         folder = getattr(df, "_written_to", None)
         if folder:
             path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    for df in rows:
+        if df is not None:
+            df.sparkSession._jvm.System.gc()
+            break
 
 
 def text_buffers(column) -> tuple[np.ndarray, np.ndarray]:
@@ -114,6 +122,10 @@ class OnWorker:
         OnWorker.kept.clear()
         pa.default_memory_pool().release_unused()
 
+    def free(self) -> None:
+        """Drop the data from the driver and the executors; whatever needs it must be written by then."""
+        self.shared.unpersist()
+
     def get(self):
         name = self.build.__qualname__
         key, built = OnWorker.kept.get(name, (None, None))
@@ -124,6 +136,83 @@ class OnWorker:
         return built
 
 
+class Sieve:
+    """A bit by hash for each of some values. Values without a bit are none of them; a few others pass as well, which
+    the join that follows drops."""
+
+    def __init__(self, data: tuple[np.ndarray, int]):
+        self.cells, self.bits = data
+
+    @staticmethod
+    def slots(values: np.ndarray, bits: int) -> np.ndarray:
+        return (words.mix(values.view(np.uint64)) >> np.uint64(64 - bits)).view(np.int64)
+
+    def has(self, values: np.ndarray) -> np.ndarray:
+        slot = self.slots(values, self.bits)
+        return (self.cells.take(slot >> 6) >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
+def sieve(values: DataFrame) -> OnWorker:
+    """A ``Sieve`` of the one bigint column of ``values``, so that tasks drop most other rows before an exchange."""
+    bits = min(SIEVE_BITS, max(16, (16 * values.count()).bit_length()))
+
+    def cells(batches):
+        for batch in batches:
+            slot = np.sort(Sieve.slots(batch.column(0).to_numpy(zero_copy_only=False), bits))
+            cell, first = np.unique(slot >> 6, return_index=True)
+            if len(cell):
+                held = np.bitwise_or.reduceat(np.uint64(1) << (slot & 63).astype(np.uint64), first)
+                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(held.view(np.int64))], names=["cell", "bits"])
+
+    found = values.mapInArrow(cells, "cell bigint, bits bigint").groupBy("cell").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(1 << bits - 6, np.uint64)
+    out[found["cell"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return OnWorker(values.sparkSession, (out, bits), Sieve)
+
+
+def slot_sums(slot_bits: int, block_bits: int):
+    """From (word, n, block): the counters of each block of them."""
+
+    def give(batches):
+        total, blocks, size = np.zeros(1 << slot_bits, np.uint32), set(), 1 << block_bits
+        for batch in batches:
+            word, n = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
+            np.add.at(total, (word >> np.uint64(64 - slot_bits)).view(np.int64), n.astype(np.uint32))
+            blocks.update(np.unique(batch.column(2).to_numpy()).tolist())
+        for block in sorted(blocks):
+            part = total[block * size : (block + 1) * size].astype("<u4").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([part], pa.binary())], names=["block", "sums"])
+
+    return give
+
+
+def counters(counts: DataFrame, slot_bits: int = 23, block_bits: int = 12) -> np.ndarray:
+    """Of ``counts`` (word, n): sums of n by the first ``slot_bits`` of the word, a hash."""
+    block = F.shiftrightunsigned("word", 64 - slot_bits + block_bits).alias("block")
+    sums = counts.select("word", "n", block).repartition("block").mapInArrow(slot_sums(slot_bits, block_bits), "block bigint, sums binary")
+    out = np.zeros(1 << slot_bits, np.uint32)
+    for r in sums.toArrow().to_pylist():
+        out[r["block"] << block_bits :][: 1 << block_bits] = np.frombuffer(r["sums"], "<u4")
+    return out
+
+
+def counted(hashed: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """The counter of each word, 1 at least."""
+    out = np.ones(len(hashed), np.int64)
+    if len(slots):
+        out = np.maximum(out, slots.take((hashed >> np.uint64(65 - len(slots).bit_length())).view(np.int64)))
+    return out
+
+
+def may_be_in(found: OnWorker, value: Column) -> Column:
+    """Whether a bigint passes a sieve."""
+
+    def passes(values: pa.Array) -> pa.Array:
+        return pa.array(found.get().has(values.to_numpy(zero_copy_only=False)))
+
+    return F.arrow_udf(passes, "boolean").asNondeterministic()(value)
+
+
 def hash_sample(rows: DataFrame, key: str, size: int) -> DataFrame:
     """About ``size`` rows, and never more: those with the least hashes of ``key``. Only
     rows under a threshold that the count of all rows gives are ordered."""
