@@ -116,6 +116,7 @@ def telling_words(sample: DataFrame, counts: dict[str, int]) -> dict[str, list[s
         strength = inside * lift
         rows = words.filter((lift > F.log(F.lit(2.0))) & (strength > 10)).orderBy(F.desc(strength), "word").limit(LIST)
         out[domain] = [r.word for r in rows.select("word").collect()]
+    steps.freed(words)
     return out
 
 
@@ -124,7 +125,9 @@ def learn(docs: DataFrame, labelled: DataFrame) -> Classifier:
     chosen = steps.hash_sample(labelled, "doc_id", SAMPLE)
     sample = steps.written(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("domain", "text"))
     counts = {r.domain: r.n for r in sample.groupBy("domain").agg(F.count("*").alias("n")).orderBy("domain").collect()}
+    steps.freed(chosen)
     if len(counts) < 2:
+        steps.freed(sample)
         return Classifier(list(counts) or ["all"], {}, {}, {}, {})
     lists = telling_words(sample, counts)
     rows = steps.written(with_features(sample, lists))
@@ -138,6 +141,7 @@ def learn(docs: DataFrame, labelled: DataFrame) -> Classifier:
         F.struct(F.lit(n).alias("feature"), bin_of(F.col(n), cuts[n]).alias("bin")) for n in names])).alias("b"))
     seen = {(r.domain, r.feature, r.bin): r.n for r in binned.groupBy("domain", "b.feature", "b.bin").agg(
         F.count("*").alias("n")).collect()}
+    steps.freed(sample, rows)
     total = sum(counts.values())
     prior = {d: n / total for d, n in counts.items()}
     chances = {
@@ -185,7 +189,7 @@ def fitted(rows: DataFrame, targets: list[float], target_words: float | None = N
     wanted = [w / sum(targets) * (target_words or total) for w in targets]
     scale = [max(x, FLOOR * total, 1e-9) for x in now]
     state = rows.withColumn("rate", F.lit(1.0)).withColumn("past", F.lit(1.0))
-    reached, before, pace = now, now, 1.0
+    reached, before, pace, last = now, now, 1.0, None
     miss = lambda e: sum(((wanted[j] - e[j]) ** 2) / scale[j] for j in k)
     for step in range(1, ROUNDS + 1):
         if max(abs(wanted[j] - reached[j]) for j in k) <= TOLERANCE * max(total, 1e-9):
@@ -202,6 +206,8 @@ def fitted(rows: DataFrame, targets: list[float], target_words: float | None = N
         state = state.select(*rows.columns, new.alias("rate"), F.col("rate").alias("past"))
         if step % EVERY == 0:
             state = steps.written(state)
+            steps.freed(last)
+            last = state
         before, reached = reached, [x or 0.0 for x in state.agg(*expected(F.col("rate"))).first()]
         if max(abs(x - y) for x, y in zip(before, reached)) <= TOLERANCE / 100 * total:
             break
