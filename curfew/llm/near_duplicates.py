@@ -5,13 +5,15 @@ A shingle is ``SHINGLE`` words (all words of a shorter text), A-Z as a-z. Its we
 a text is its count there times the mean idf of its words, ``log(1 + N / df)`` over
 all documents. The workers know the ``COMMON_WORDS`` or fewer words at or above the least
 power of two of documents that leaves so few. A word in one document needs no list. What
-lies between comes with the text, from a join of its words with the counted ones.
+lies between comes with the texts that are compared, from a join of their words with the
+counted ones; for samples of all texts counters will do, where such words of one slot
+count together. They only choose the pairs, and every weight that decides is exact.
 
 Improved consistent weighted sampling draws ``BANDS * ROWS`` samples per text; two
 texts agree in a sample with a chance equal to their weighted Jaccard similarity. Texts
 that agree in all rows of a band are candidates. Copies of a whole text are one node
 from the start. Every member of a band's bucket is compared with the least one;
-links give classes. Then the buckets that hold several classes are opened. What
+links give classes. Then the buckets whose other members are of several classes are opened. What
 two of these texts have in common is at most the weight of the shingles that each
 shares with any other of them, which rules out most pairs. In each bucket all others
 are compared with the text that shares most, and then all pairs that are still of two
@@ -62,8 +64,12 @@ class Idf:
     """idf of hashed words: of the common ones, of those listed beside texts, and of the
     rest, which are in one document."""
 
-    def __init__(self, data: tuple[np.ndarray, np.ndarray, int], listed=(np.zeros(0, np.uint64), np.zeros(0))):
-        self.data, self.listed = data, listed
+    def __init__(self, data: tuple[np.ndarray, np.ndarray, int, np.ndarray], listed=(np.zeros(0, np.uint64), np.zeros(0)), rough=False):
+        self.data, self.listed, self.is_rough = data, listed, rough
+
+    def rough(self) -> "Idf":
+        """With the words that are not common by counters, which words share: for samples."""
+        return Idf(self.data, rough=True)
 
     def beside(self, *columns: tuple[pa.Array, pa.Array]) -> "Idf":
         """With the words and counts of some columns of lists."""
@@ -72,7 +78,7 @@ class Idf:
         return Idf(self.data, (word, np.log1p(self.data[2] / n[first].astype(float))))
 
     def of(self, hashed: np.ndarray) -> np.ndarray:
-        out = np.full(len(hashed), np.log1p(self.data[2]))
+        out = np.log1p(self.data[2] / steps.counted(hashed, self.data[3] if self.is_rough else self.data[3][:0]))
         for known, value in (self.data[:2], self.listed):
             if len(known):
                 at = np.minimum(np.searchsorted(known, hashed), len(known) - 1)
@@ -171,8 +177,8 @@ def document_frequencies(batches):
         yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(count)], names=["word", "n"])
 
 
-def counted_words(docs: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray, int], DataFrame | None]:
-    """For ``Idf``: hashes of the common words in order, their idf, and the number of rows.
+def counted_words(docs: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray, int, np.ndarray], DataFrame | None]:
+    """For ``Idf``: hashes of the common words in order, their idf, the number of rows, and counters of the others.
     And word and n of the words that are not common but in several rows, if any."""
     total = docs.count()
     counts = docs.select("text").mapInArrow(document_frequencies, "word bigint, n bigint").groupBy("word").agg(
@@ -189,10 +195,10 @@ def counted_words(docs: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray, int],
     common = word[order], np.log1p(total / n[order]), total
     if min(sizes, default=bits) >= bits:
         steps.freed(counts)
-        return common, None
+        return (*common, np.zeros(0, np.uint32)), None
     rest = counts.filter(F.col("n") < least)
     rest._written_to = counts._written_to
-    return common, rest
+    return (*common, steps.counters(rest)), rest
 
 
 def uncommon_words(machine: steps.OnWorker):
@@ -233,7 +239,7 @@ def first_of_each(nodes: pa.Array) -> pa.Array:
 def signer(machine: steps.OnWorker):
     def sign(batches):
         for batch in batches:
-            idf = machine.get().beside((batch.column(2), batch.column(3)))
+            idf = machine.get().rough()
             take = first_of_each(batch.column(0))
             nodes, texts = batch.column(0).take(take), batch.column(1).take(take)
             for first, found, hashed in rows_of(texts):
@@ -329,19 +335,16 @@ def verified(pairs: DataFrame, texts: DataFrame, machine: steps.OnWorker) -> Dat
 
 def components(edges: DataFrame) -> DataFrame:
     """node and label (the least node of its class) for the nodes of ``edges`` (a, b):
-    least labels of the neighbours, then the label of the label, until none changes."""
+    least labels of the neighbours and the label of the label, until none changes."""
     both = steps.written(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
     labels = steps.written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select(
         "node", F.least("node", "m").alias("label")))
     while True:
         near = both.join(labels, both["a"] == labels["node"]).groupBy("b").agg(F.min("label").alias("near"))
-        step = labels.join(near, labels["node"] == near["b"], "left").select(
-            "node", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label")).alias("label"))
-        step = steps.written(step)
-        ahead = step.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        new = steps.written(step.join(ahead, "label", "left").select(
-            "node", "old", F.coalesce("further", "label").alias("label")))
-        steps.freed(labels, step)
+        ahead = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        new = steps.written(labels.join(ahead, "label", "left").join(near, F.col("node") == F.col("b"), "left").select(
+            "node", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label"), F.coalesce("further", "label")).alias("label")))
+        steps.freed(labels)
         if new.filter("label <> old").isEmpty():
             steps.freed(both)
             return new.select("node", "label")
@@ -366,31 +369,36 @@ def classes(docs: DataFrame) -> DataFrame:
     common, rest = counted_words(docs)
     machine = steps.OnWorker(spark, common, Idf)
     rows = docs.select("doc_id", "text", F.expr(NODE).alias("own"))
-    none = F.array().cast("array<bigint>")
     plain = rows.select(F.col("own").alias("node"), "text")
-    if rest is None:
-        held = firsts.select("node", "first", none.alias("listed"), none.alias("listed_n"))
-        to_sign = plain.select("node", "text", none.alias("listed"), none.alias("listed_n"))
-    else:
-        held = steps.written(firsts.join(listed_words(plain, machine, rest), "node", "left").select(
-            "node", "first", *[F.coalesce(c, none).alias(c) for c in ("listed", "listed_n")]))
-        steps.freed(rest)
-        to_sign = texts_of(rows, held)
-    signed = to_sign.mapInArrow(signer(machine), "node binary, bands array<bigint>, bits bigint")
+    signed = plain.mapInArrow(signer(machine), "node binary, bands array<bigint>, bits bigint")
     signed = signed.groupBy("node").agg(F.first("bands").alias("bands"), F.first("bits").alias("bits"))
     entries = signed.select("node", "bits", F.explode("bands").alias("key"))
     entries = steps.written(entries)
     buckets = entries.groupBy("key").agg(F.min(F.struct("node", "bits")).alias("rep"), F.count("*").alias("n"))
-    shared = steps.written(entries.join(buckets.filter("n > 1").select("key", "rep"), "key"))
+    shared = steps.written(entries.join(buckets.filter("n > 1").select("key", "rep", F.col("n").alias("many")), "key"))
     close = lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= MOST_BITS
     stars = steps.written(
         shared.filter(F.col("node") != F.col("rep.node")).filter(close(F.col("bits"), F.col("rep.bits")))
         .select(F.col("rep.node").alias("a"), F.col("node").alias("b")).distinct())
-    texts = steps.written(texts_of(rows, shared.select("node").distinct().join(held, "node")))
-    steps.freed(entries, held)
+    # All pairs with the least of a bucket are in stars or ruled out, so only the others may have more.
+    others = shared.filter((F.col("many") > 2) & (F.col("node") != F.col("rep.node"))).select("key", "node", "bits")
+    wanted = steps.written(others.select("node").union(stars.select("a")).union(stars.select("b")).distinct())
+    near = steps.sieve(wanted.select(F.xxhash64("node")))
+    near_rows = rows.filter(steps.may_be_in(near, F.xxhash64("own")))
+    none = F.array().cast("array<bigint>")
+    held = wanted.join(firsts, "node")
+    if rest is None:
+        held = held.select("node", "first", none.alias("listed"), none.alias("listed_n"))
+    else:
+        lists = listed_words(near_rows.select(F.col("own").alias("node"), "text"), machine, rest)
+        held = steps.written(held.join(lists, "node", "left").select(
+            "node", "first", *[F.coalesce(c, none).alias(c) for c in ("listed", "listed_n")]))
+    texts = steps.written(texts_of(near_rows, held))
+    steps.freed(entries, held, wanted, rest)
+    near.free()
     edges = verified(stars, texts, machine)
     labels = components(edges)
-    labelled = shared.join(labels, "node", "left").select("key", "node", "bits", F.coalesce("label", "node").alias("label"))
+    labelled = others.join(labels, "node", "left").select("key", "node", "bits", F.coalesce("label", "node").alias("label"))
     mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
     number = F.xxhash64("node").alias("id")
     opened = steps.written(labelled.join(mixed.select("key"), "key").withColumn("id", number))
@@ -429,6 +437,7 @@ def classes(docs: DataFrame) -> DataFrame:
     joined = firsts.join(labels, "node", "left").select("node", "first", "n", F.coalesce("label", "node").alias("label"))
     joined = steps.written(joined)
     steps.freed(opened, texts, tried, edges)
+    machine.free()
     sizes = joined.groupBy("label").agg(F.min("first").alias("class_id"), F.sum("n").alias("class_size"))
     known = joined.select("node", "label").join(sizes, "label")
     return slim.join(known, "node").select("doc_id", "node", "label", "class_id", "class_size")
