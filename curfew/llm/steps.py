@@ -11,12 +11,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from curfew.llm import words
 from curfew.session import shared_folder
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A sieve has 16 bits for each value, and this power of two at most.
 SIEVE_BITS = 27
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
@@ -48,6 +50,20 @@ def freed_shuffles(spark: SparkSession):
         spark.conf.set(CLEANUP, before)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: int = 1 << 22):
+    """Within it, actions hand rows to the workers by ``size`` bytes, however long the texts are, unless the session
+    has a size of its own."""
+    if spark.conf.get(BATCH_BYTES, None) is not None:
+        yield
+        return
+    spark.conf.set(BATCH_BYTES, size)
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH_BYTES)
+
+
 def written(df: DataFrame, folder: str | None = None) -> DataFrame:
     """The rows written to the shared folder and read again: later steps neither
     repeat the work nor depend on the executors that did it."""
@@ -109,7 +125,8 @@ def fresh(name: str, taken: list[str]) -> str:
 
 class OnWorker:
     """Something that a worker builds from broadcast data on first use and keeps for
-    its later tasks, one at a time per builder."""
+    its later tasks, one at a time per builder. Once something else is built, only what
+    the running task has used stays."""
 
     kept: dict = {}
 
@@ -128,11 +145,16 @@ class OnWorker:
 
     def get(self):
         name = self.build.__qualname__
-        key, built = OnWorker.kept.get(name, (None, None))
+        context = TaskContext.get()
+        task = context.taskAttemptId() if context else None
+        key, built, _ = OnWorker.kept.get(name, (None, None, None))
         if key != self.key:
+            built = None
             OnWorker.kept.pop(name, None)
+            for other in [n for n, (*_, used) in OnWorker.kept.items() if used != task]:
+                del OnWorker.kept[other]
             built = self.build(self.shared.value)
-            OnWorker.kept[name] = (self.key, built)
+        OnWorker.kept[name] = (self.key, built, task)
         return built
 
 
@@ -204,6 +226,33 @@ def counted(hashed: np.ndarray, slots: np.ndarray) -> np.ndarray:
     return out
 
 
+class Places:
+    """Where hashes are in an ordered array of distinct ones: by their first bits, then one by one, as few share them."""
+
+    def __init__(self, known: np.ndarray):
+        self.known, self.bits = known, max(1, min(22, len(known).bit_length()))
+        self.first = np.searchsorted(known, np.arange((1 << self.bits) + 1, dtype=np.uint64)[:-1] << np.uint64(64 - self.bits))
+        self.first = np.append(self.first, len(known)).astype(np.int32)
+
+    def of(self, hashed: np.ndarray) -> np.ndarray:
+        """The place of each hash, -1 if it is not there."""
+        out = np.full(len(hashed), -1, np.int64)
+        if not len(self.known):
+            return out
+        cell = (hashed >> np.uint64(64 - self.bits)).view(np.int64)
+        at, end = self.first.take(cell), self.first.take(cell + 1)
+        left = np.flatnonzero(at < end)
+        at, end, wanted = at[left], end[left], hashed[left]
+        while len(left):
+            found = self.known.take(at)
+            same = found == wanted
+            out[left[same]] = at[same]
+            at += 1
+            more = (found < wanted) & (at < end)
+            left, at, end, wanted = left[more], at[more], end[more], wanted[more]
+        return out
+
+
 def may_be_in(found: OnWorker, value: Column) -> Column:
     """Whether a bigint passes a sieve."""
 

@@ -1,9 +1,11 @@
 """What operators share: sieves, counters told to workers, steps that go when they are used up."""
 
 import os
+from types import SimpleNamespace
 from urllib.parse import urlparse
 
 import numpy as np
+import pyarrow as pa
 from conftest import rows
 from curfew.llm import line_dedup, mixing, near_duplicates, queries, steps
 from llm.conftest import SMALL, prose
@@ -50,3 +52,40 @@ def test_steps_of_mixing_go(spark, monkeypatch):
     state, _ = mixing.rates(queries.table(spark, SMALL, "documents"), known, {"clean": 1.0, "poor": 1.0})
     there = [f for f in folders if os.path.exists(urlparse(f).path)]
     assert state.count() > 0 and len(folders) > 3 and len(there) <= 2
+
+
+def test_worker_keeps_only_what_its_task_uses(monkeypatch):
+    """What earlier stages have built is dropped when a task builds something else."""
+    task = SimpleNamespace(taskAttemptId=lambda: 1)
+    monkeypatch.setattr(steps, "TaskContext", SimpleNamespace(get=lambda: task), raising=False)
+    monkeypatch.setattr(steps.OnWorker, "kept", {})
+
+    def one(data):
+        return data
+
+    def two(data):
+        return data
+
+    shared = SimpleNamespace(sparkContext=SimpleNamespace(broadcast=lambda x: SimpleNamespace(value=x)))
+    first, second, third = steps.OnWorker(shared, "a", one), steps.OnWorker(shared, "b", two), steps.OnWorker(shared, "c", one)
+    assert (first.get(), second.get(), first.get()) == ("a", "b", "a") and len(steps.OnWorker.kept) == 2
+    task = SimpleNamespace(taskAttemptId=lambda: 2)
+    assert third.get() == "c" and [k for k, *_ in steps.OnWorker.kept.values()] == [third.key]
+
+
+def test_batches_are_small_within_a_step(spark):
+    """Long texts come to the workers a few at a time, and the setting is as before after it."""
+    long = spark.range(0, 64, 1, 1).select(F.repeat(F.lit("x"), 1 << 20).alias("text"))
+    sizes = lambda batches: (pa.RecordBatch.from_arrays([pa.array([len(b)])], names=["n"]) for b in batches)
+    with steps.small_batches(spark):
+        assert max(r.n for r in long.mapInArrow(sizes, "n bigint").collect()) <= 5
+    assert spark.conf.get(steps.BATCH_BYTES, None) is None
+
+
+def test_places_of_hashes():
+    draw = np.random.default_rng(5)
+    for size in (0, 1, 2, 70, 5000):
+        known = np.unique(draw.integers(0, 1 << 64, size, dtype=np.uint64))
+        wanted = np.concatenate([draw.integers(0, 1 << 64, 500, dtype=np.uint64), known, np.array([0, (1 << 64) - 1], np.uint64)])
+        there = {h: k for k, h in enumerate(known.tolist())}
+        assert steps.Places(known).of(wanted).tolist() == [there.get(h, -1) for h in wanted.tolist()]
