@@ -40,6 +40,8 @@ BANDS, ROWS = 14, 4
 SAMPLES = BANDS * ROWS
 MOST_BITS = 17
 COMMON_WORDS = 1 << 20
+COUNTED = 1 << 21
+SEEN = 1 << 16
 TABLE = 1 << 16
 
 NODE = "unhex(md5(coalesce(text, '')))"
@@ -64,33 +66,35 @@ class Idf:
     """idf of hashed words: of the common ones, of those listed beside texts, and of the
     rest, which are in one document."""
 
-    def __init__(self, data: tuple[np.ndarray, np.ndarray, int, np.ndarray], listed=(np.zeros(0, np.uint64), np.zeros(0)), rough=False):
+    def __init__(self, data: tuple[np.ndarray, np.ndarray, int, np.ndarray], listed=(np.zeros(0, np.uint64), np.zeros(0)), rough=False, places=None):
         self.data, self.listed, self.is_rough = data, listed, rough
+        self.places = places or steps.Places(data[0])
 
     def rough(self) -> "Idf":
         """With the words that are not common by counters, which words share: for samples."""
-        return Idf(self.data, rough=True)
+        return Idf(self.data, rough=True, places=self.places)
 
     def beside(self, *columns: tuple[pa.Array, pa.Array]) -> "Idf":
         """With the words and counts of some columns of lists."""
         word, n = (np.concatenate([c[k].flatten().to_numpy(zero_copy_only=False) for c in columns]) for k in (0, 1))
         word, first = np.unique(word.astype(np.int64).view(np.uint64), return_index=True)
-        return Idf(self.data, (word, np.log1p(self.data[2] / n[first].astype(float))))
+        return Idf(self.data, (word, np.log1p(self.data[2] / n[first].astype(float))), places=self.places)
 
     def of(self, hashed: np.ndarray) -> np.ndarray:
-        out = np.log1p(self.data[2] / steps.counted(hashed, self.data[3] if self.is_rough else self.data[3][:0]))
-        for known, value in (self.data[:2], self.listed):
-            if len(known):
-                at = np.minimum(np.searchsorted(known, hashed), len(known) - 1)
-                same = known[at] == hashed
-                out[same] = value[at[same]]
+        at = self.places.of(hashed)
+        out = self.data[1].take(at) if len(self.data[1]) else np.zeros(len(at))
+        other = np.flatnonzero(at < 0)
+        rest = hashed[other]
+        out[other] = np.log1p(self.data[2] / steps.counted(rest, self.data[3] if self.is_rough else self.data[3][:0]))
+        known, value = self.listed
+        if len(known):
+            at = np.minimum(np.searchsorted(known, rest), len(known) - 1)
+            same = known[at] == rest
+            out[other[same]] = value[at[same]]
         return out
 
     def is_common(self, hashed: np.ndarray) -> np.ndarray:
-        known = self.data[0]
-        if not len(known):
-            return np.zeros(len(hashed), bool)
-        return known[np.minimum(np.searchsorted(known, hashed), len(known) - 1)] == hashed
+        return self.places.of(hashed) >= 0
 
 
 def rows_of(texts: pa.Array):
@@ -166,15 +170,24 @@ def sample_bits(codes: np.ndarray) -> np.ndarray:
 
 
 def document_frequencies(batches):
-    """Hash of each word and how many rows of a batch hold it."""
+    """Hash of each word and how many rows hold it, summed over about ``COUNTED`` words at a time."""
+
+    def counted(found):
+        word, count = np.unique(np.concatenate(found), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(count)], names=["word", "n"])
+
+    out, total = [], 0
     for batch in batches:
-        out = []
         for _, found, hashed in rows_of(batch.column(0)):
             pair = words.mix(hashed ^ words.mix(found.row.astype(np.uint64)))
             _, one = np.unique(pair, return_index=True)
             out.append(hashed[one])
-        word, count = np.unique(np.concatenate(out) if out else np.zeros(0, np.uint64), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(count)], names=["word", "n"])
+            total += len(one)
+            if total >= COUNTED:
+                yield counted(out)
+                out, total = [], 0
+    if total:
+        yield counted(out)
 
 
 def counted_words(docs: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray, int, np.ndarray], DataFrame | None]:
@@ -201,12 +214,15 @@ def counted_words(docs: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray, int, n
     return (*common, steps.counters(rest)), rest
 
 
-def uncommon_words(machine: steps.OnWorker):
-    """From (node, text): the distinct words of a text that the workers do not know."""
+def uncommon_words(machine: steps.OnWorker, wanted: steps.OnWorker):
+    """From (node, text, hash of the node): the distinct words that the workers do not know of the texts that pass a
+    sieve. Sieved here, so that a task needs one worker and not two."""
 
     def give(batches):
+        seen = set()
         for batch in batches:
-            take = first_of_each(batch.column(0))
+            batch = batch.filter(pa.array(wanted.get().has(batch.column(2).to_numpy(zero_copy_only=False))))
+            take = first_of_each(batch.column(0), seen)
             nodes = batch.column(0).take(take)
             for first, found, hashed in rows_of(batch.column(1).take(take)):
                 other = ~machine.get().is_common(hashed)
@@ -219,16 +235,19 @@ def uncommon_words(machine: steps.OnWorker):
     return give
 
 
-def listed_words(texts: DataFrame, machine: steps.OnWorker, rest: DataFrame) -> DataFrame:
-    """For each node of ``texts`` (node, text): its words that are in ``rest``, and their n."""
-    held = texts.mapInArrow(uncommon_words(machine), "node binary, word bigint").join(rest, "word")
+def listed_words(texts: DataFrame, machine: steps.OnWorker, wanted: steps.OnWorker, rest: DataFrame) -> DataFrame:
+    """For each node of ``texts`` (node, text) that passes a sieve: its words that are in ``rest``, and their n."""
+    hashed = texts.select("node", "text", F.xxhash64("node"))
+    held = hashed.mapInArrow(uncommon_words(machine, wanted), "node binary, word bigint").join(rest, "word")
     lists = held.groupBy("node").agg(F.collect_set(F.struct("word", "n")).alias("listed"))
     return lists.select("node", F.col("listed.word").alias("listed"), F.col("listed.n").alias("listed_n"))
 
 
-def first_of_each(nodes: pa.Array) -> pa.Array:
-    """Where each node of a batch comes first."""
-    seen, fresh = set(), []
+def first_of_each(nodes: pa.Array, seen: set) -> pa.Array:
+    """Where each node of a batch comes first, if it is not among those ``seen``, of which ``SEEN`` or so are held."""
+    fresh = []
+    if len(seen) > SEEN:
+        seen.clear()
     for k, node in enumerate(nodes.to_pylist()):
         if node not in seen:
             seen.add(node)
@@ -238,9 +257,10 @@ def first_of_each(nodes: pa.Array) -> pa.Array:
 
 def signer(machine: steps.OnWorker):
     def sign(batches):
+        seen = set()
         for batch in batches:
             idf = machine.get().rough()
-            take = first_of_each(batch.column(0))
+            take = first_of_each(batch.column(0), seen)
             nodes, texts = batch.column(0).take(take), batch.column(1).take(take)
             for first, found, hashed in rows_of(texts):
                 row, codes = samples(*shingles(found, hashed, idf))
@@ -361,9 +381,14 @@ def texts_of(rows: DataFrame, held: DataFrame) -> DataFrame:
 def classes(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, node (hash of the text), label (least node of
     the class), class_id and class_size, the number of rows in the class."""
+    steps.ship(docs.sparkSession)
+    with steps.small_batches(docs.sparkSession):
+        return found_classes(docs.select("doc_id", "text"))
+
+
+def found_classes(docs: DataFrame) -> DataFrame:
+    """``classes`` of (doc_id, text)."""
     spark = docs.sparkSession
-    steps.ship(spark)
-    docs = docs.select("doc_id", "text")
     slim = steps.written(docs.select("doc_id", F.expr(NODE).alias("node")))
     firsts = slim.groupBy("node").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     common, rest = counted_words(docs)
@@ -374,6 +399,9 @@ def classes(docs: DataFrame) -> DataFrame:
     signed = signed.groupBy("node").agg(F.first("bands").alias("bands"), F.first("bits").alias("bits"))
     entries = signed.select("node", "bits", F.explode("bands").alias("key"))
     entries = steps.written(entries)
+    # Only samples need the counters.
+    machine.free()
+    machine = steps.OnWorker(spark, (*common[:3], np.zeros(0, np.uint32)), Idf)
     buckets = entries.groupBy("key").agg(F.min(F.struct("node", "bits")).alias("rep"), F.count("*").alias("n"))
     shared = steps.written(entries.join(buckets.filter("n > 1").select("key", "rep", F.col("n").alias("many")), "key"))
     close = lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= MOST_BITS
@@ -390,7 +418,7 @@ def classes(docs: DataFrame) -> DataFrame:
     if rest is None:
         held = held.select("node", "first", none.alias("listed"), none.alias("listed_n"))
     else:
-        lists = listed_words(near_rows.select(F.col("own").alias("node"), "text"), machine, rest)
+        lists = listed_words(plain, machine, near, rest)
         held = steps.written(held.join(lists, "node", "left").select(
             "node", "first", *[F.coalesce(c, none).alias(c) for c in ("listed", "listed_n")]))
     texts = steps.written(texts_of(near_rows, held))

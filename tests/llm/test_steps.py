@@ -82,6 +82,22 @@ def test_batches_are_small_within_a_step(spark):
     assert spark.conf.get(steps.BATCH_BYTES, None) is None
 
 
+def test_words_of_near_duplicates_take_one_worker(docs_of, monkeypatch):
+    """Texts are sieved by the step that finds their words, not by a Python step before it in the same task."""
+    plans, listed = [], near_duplicates.listed_words
+
+    def seen(texts, *more):
+        out = listed(texts, *more)
+        plans.append(out._jdf.queryExecution().toString())
+        return out
+
+    monkeypatch.setattr(near_duplicates, "COMMON_WORDS", 1)
+    monkeypatch.setattr(near_duplicates, "listed_words", seen)
+    pairs = [(k, prose(1000 * (k // 2), 60)) for k in range(8)] + [(k, prose(1000 * k, 60) + f" own{k}") for k in range(4)]
+    assert len(near_duplicates.report(docs_of(*pairs)).collect()) == 12
+    assert plans and "MapInArrow" in plans[0] and "ArrowEvalPython" not in plans[0]
+
+
 def test_places_of_hashes():
     draw = np.random.default_rng(5)
     for size in (0, 1, 2, 70, 5000):
