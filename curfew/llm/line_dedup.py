@@ -42,9 +42,12 @@ COMMON_WORDS = 1 << 19
 SLOT_BITS, SLOT_BLOCK_BITS = 23, 12
 BLOCK = 1 << 16
 COUNTED = 1 << 22
+#: Entries that a task gathers before it sends them by bucket, and that it reads of whole buckets at least.
+SENT, JOINED = 1 << 19, 1 << 18
 #: How many earlier lines are tried for a line and word before all.
 FEW = 2
-SMALL, CELLS = 16, 1 << 21
+#: Lists of ``SMALL`` members give all their pairs, those of ``STEPS`` are compared in step, longer ones one by one.
+SMALL, STEPS, CELLS = 16, 128, 1 << 18
 
 SETS = pa.schema([
     ("doc_id", pa.int64()), ("own", pa.int64()), ("line", pa.int32()), ("set", pa.int64()), ("again", pa.int64()),
@@ -89,7 +92,7 @@ def line_sets(batches):
             if not len(start):
                 continue
             take = pa.array(first + row[start])
-            one = np.add.reduceat(words.mix(hashed), start)
+            one = np.add.reduceat(hashed, start)
             two = np.add.reduceat(words.mix(hashed ^ words.BASE), start)
             size = np.diff(np.append(start, len(row))).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
@@ -101,15 +104,13 @@ HELD_SQL = "numbers array<bigint>, text string"
 
 
 def node_texts(batches):
-    """From (text, nodes): the numbers of a document's nodes, and their lines as one text."""
+    """From (text, lines, numbers): the numbers of a document's nodes, and their lines as one text."""
     for batch in batches:
-        numbers, out = [], []
-        for text, nodes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        out = []
+        for text, lines in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             own = text.split("\n")
-            numbers.append([n["number"] for n in nodes])
-            out.append("\n".join([own[n["line"]] for n in nodes]))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(numbers, pa.list_(pa.int64())), pa.array(out, pa.string())], names=["numbers", "text"])
+            out.append("\n".join([own[k] for k in lines]) if len(lines) < len(own) else text)
+        yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(out, pa.string())], names=["numbers", "text"])
 
 
 def numbered_words(numbers: pa.Array, texts: pa.Array):
@@ -123,46 +124,113 @@ def numbered_words(numbers: pa.Array, texts: pa.Array):
             yield hashed, start, flat[cut[first + row[start]] + line[start]], slice(first, first + row[-1] + 1)
 
 
-def word_counts(batches):
-    """In how many nodes each word is, summed over about ``COUNTED`` words at a time."""
+def dealt(bits: int, key: np.ndarray, /, **columns: np.ndarray) -> pa.RecordBatch:
+    """One row for each bucket, the first ``bits`` of a key, with arrays of its entries: Spark moves a few long rows."""
+    bucket = key >> np.uint64(64 - bits)
+    order = np.argsort(bucket)
+    bucket = bucket[order].view(np.int64)
+    start = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
+    ends = pa.array(np.append(start, len(bucket)).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(ends, pa.array(c[order])) for c in columns.values()]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[start]), *lists], names=["bucket", *columns])
+
+
+def whole_buckets(batches):
+    """From rows of ``dealt`` sorted by bucket: the arrays of some whole buckets, about ``JOINED`` entries at a time."""
+    held, many, last = [], 0, None
+
+    def joined():
+        return [np.concatenate([part[k] for part in held]) for k in range(len(held[0]))]
+
+    for batch in batches:
+        bucket = batch.column(0).to_numpy()
+        start = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
+        for first, end in zip(start, np.append(start[1:], len(bucket)) if len(start) else []):
+            if many >= JOINED and bucket[first] != last:
+                yield joined()
+                held, many = [], 0
+            part = batch.slice(int(first), int(end - first))
+            # Copies, so that a batch is not held for a few of its entries.
+            held.append([c.flatten().to_numpy(zero_copy_only=False).copy() for c in part.columns[1:]])
+            many, last = many + len(held[-1][0]), bucket[first]
+    if many:
+        yield joined()
+
+
+def word_counts(bits: int):
+    """In how many nodes each word is, by bucket, summed over about ``COUNTED`` words at a time."""
 
     def counted(found):
         word, count = np.unique(np.concatenate(found), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(count)], names=["word", "n"])
+        return dealt(bits, word, word=word.view(np.int64), n=count)
+
+    def give(batches):
+        found, total = [], 0
+        for batch in batches:
+            for hashed, *_ in numbered_words(batch.column(0), batch.column(1)):
+                found.append(hashed)
+                total += len(hashed)
+                if total >= COUNTED:
+                    yield counted(found)
+                    found, total = [], 0
+        if found:
+            yield counted(found)
+
+    return give
 
-    found, total = [], 0
-    for batch in batches:
-        for hashed, *_ in numbered_words(batch.column(0), batch.column(1)):
-            found.append(hashed)
-            total += len(hashed)
-            if total >= COUNTED:
-                yield counted(found)
-                found, total = [], 0
-    if found:
-        yield counted(found)
+
+def summed_counts(batches):
+    """From rows of ``word_counts`` sorted by bucket: the words that are in several nodes, with their counts."""
+    for word, n in whole_buckets(batches):
+        order = np.argsort(word)
+        word, n = word[order], n[order]
+        start = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+        total = np.add.reduceat(n, start)
+        yield pa.RecordBatch.from_arrays([pa.array(word[start][total > 1]), pa.array(total[total > 1])], names=["word", "n"])
 
 
 def by_hash(data):
-    """Hashes of words in order, the number of nodes that hold each, and the counters of the others."""
+    """The places of common words, the number of nodes that hold each, and the counters of the others."""
     word = data[0].view(np.uint64)
     order = np.argsort(word)
-    return word[order], data[1][order], data[2]
+    return steps.Places(word[order]), data[1][order], data[2]
 
 
-def node_counts(hashed: np.ndarray, known: np.ndarray, count: np.ndarray, slots: np.ndarray) -> np.ndarray:
+def node_counts(hashed: np.ndarray, known: steps.Places, count: np.ndarray, slots: np.ndarray) -> np.ndarray:
     """The count of each word where it is known, else its counter; 1 for the words of one node."""
-    other = steps.counted(hashed, slots)
-    if not len(known):
-        return other
-    at = np.minimum(np.searchsorted(known, hashed), len(known) - 1)
-    return np.where(known[at] == hashed, count[at], other)
+    at = known.of(hashed)
+    out = count.take(at) if len(count) else np.ones(len(at), np.int64)
+    other = np.flatnonzero(at < 0)
+    out[other] = steps.counted(hashed[other], slots)
+    return out
+
 
+def by_rarity(group: np.ndarray, n: np.ndarray, hashed: np.ndarray) -> np.ndarray:
+    """The order of the words of each line, which lie together: by count, then by hash. The 20 leading bits of a count
+    decide, those of a float, which are exact up to 65,536; the rest of a hash only where its first bits are equal."""
+    leading = (n.astype(np.float32).view(np.uint32) - np.float32(1).view(np.uint32)) >> np.uint32(8)
+    if len(group) and group[-1] >= 1 << 24:
+        return np.lexsort((hashed, leading, group))
+    key = (group.astype(np.uint64) << np.uint64(40)) | (leading.astype(np.uint64) << np.uint64(20)) | (hashed >> np.uint64(44))
+    order = np.argsort(key)
+    key = key[order]
+    tied = key[1:][key[1:] == key[:-1]] >> np.uint64(40)
+    if len(tied):
+        at = np.flatnonzero(np.isin(group, tied.view(np.int64)))
+        order[at] = at[np.lexsort((hashed[at], leading[at], group[at]))]
+    return order
 
-def with_counts(held: DataFrame) -> steps.OnWorker:
+
+def in_buckets(rows: DataFrame) -> DataFrame:
+    return rows.repartition("bucket").sortWithinPartitions("bucket")
+
+
+def with_counts(held: DataFrame, bits: int) -> steps.OnWorker:
     """For the workers: the common words with their counts, and counters of the others in several nodes."""
     spark = held.sparkSession
-    counts = held.mapInArrow(word_counts, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    counts = steps.written(counts.filter("n > 1"))
+    counts = held.mapInArrow(word_counts(bits), "bucket bigint, word array<bigint>, n array<bigint>")
+    with steps.small_batches(spark):
+        counts = steps.written(in_buckets(counts).mapInArrow(summed_counts, "word bigint, n bigint"))
     by_size = counts.groupBy(F.length(F.bin("n")).alias("bits")).count().collect()
     least, total = 2, sum(r["count"] for r in by_size)
     for r in sorted(by_size, key=lambda r: r["bits"]):
@@ -182,42 +250,51 @@ def least_overlap(size: np.ndarray) -> np.ndarray:
     return -(-UP * size // DOWN)
 
 
-def prefixes(machine: steps.OnWorker, wanted: steps.OnWorker | None = None):
-    """From (numbers, text): the first words, by rarity, of each node; if told, those that pass a sieve."""
+def prefixes(machine: steps.OnWorker, bits: int):
+    """From (numbers, text): the first words, by rarity, of each node, by bucket of word and block."""
+
+    def rows(found):
+        word, block, number, size, pos, bit = (np.concatenate(c) for c in zip(*found))
+        key = words.mix(word ^ words.mix(block.astype(np.uint64)))
+        return dealt(bits, key, word=word.view(np.int64), block=block, number=number, size=size, pos=pos, bits=bit.view(np.int64))
 
     def find(batches):
+        found, total = [], 0
         for batch in batches:
             for hashed, start, number, _ in numbered_words(batch.column(0), batch.column(1)):
                 size = np.diff(np.append(start, len(hashed)))
-                if wanted is not None:
-                    passes = np.add.reduceat(wanted.get().has(hashed.view(np.int64)), start, dtype=np.int64) > 0
-                    hashed, size, number = hashed[np.repeat(passes, size)], size[passes], number[passes]
-                    start = np.cumsum(size) - size
-                if not len(start):
-                    continue
                 n = node_counts(hashed, *machine.get())
                 group = np.repeat(np.arange(len(start)), size)
-                bits = np.bitwise_xor.reduceat(np.uint64(1) << (hashed >> np.uint64(58)), start)
-                order = np.lexsort((hashed, n, group))
-                hashed, n = hashed[order], n[order]
+                bit = np.bitwise_xor.reduceat(np.uint64(1) << (hashed >> np.uint64(58)), start)
+                order = by_rarity(group, n, hashed)
                 pos = np.arange(len(hashed)) - np.repeat(start, size)
-                taken = (pos < np.repeat(size - least_overlap(size) + 1, size)) & (n > 1)
-                if wanted is not None:
-                    taken &= wanted.get().has(hashed.view(np.int64))
-                group, hashed, n = group[taken], hashed[taken], n[taken]
+                first = np.flatnonzero(pos < np.repeat(size - least_overlap(size) + 1, size))
+                order = order[first]
+                several = n[order] > 1
+                order, pos = order[several], pos[first][several]
+                group, hashed, n = group[order], hashed[order], n[order]
                 blocks = (n // BLOCK + 1).astype(np.uint64)
                 block = (words.mix(number.view(np.uint64))[group] % blocks).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(hashed.view(np.int64)), pa.array(np.where(blocks > 1, block, -1).astype(np.int32)),
-                    pa.array(number[group]), pa.array(size[group].astype(np.int32)), pa.array(pos[taken].astype(np.int32)),
-                    pa.array(bits[group].view(np.int64)),
-                ], names=["word", "block", "number", "size", "pos", "bits"])
+                found.append((hashed, np.where(blocks > 1, block, -1).astype(np.int32), number[group],
+                              size[group].astype(np.int32), pos.astype(np.int32), bit[group]))
+                total += len(hashed)
+                if total >= SENT:
+                    yield rows(found)
+                    found, total = [], 0
+        if total:
+            yield rows(found)
 
     return find
 
 
 #: Blocks are numbered from 0; a word that needs none has -1.
-PREFIX_SQL = "word bigint, block int, number bigint, size int, pos int, bits bigint"
+PREFIX_SQL = ("bucket bigint, word array<bigint>, block array<int>, number array<bigint>, size array<int>, pos array<int>, "
+              "bits array<bigint>")
+
+
+def bucket_bits(entries: int) -> int:
+    """So many buckets that one holds a quarter of a million entries at most, but for chance."""
+    return max(12, (entries >> 18).bit_length())
 
 
 def place(prefix: str = "") -> Column:
@@ -303,113 +380,126 @@ def matched(held: DataFrame, pairs: DataFrame) -> DataFrame:
     return out
 
 
-def may_match(size, pos, bits, x, y) -> np.ndarray:
-    """``possible`` for places ``x`` and ``y`` of arrays."""
-    a, b = size[x], size[y]
-    both = a + b
-    out = (np.minimum(a, b) * DOWN >= np.maximum(a, b) * UP)
-    out &= np.minimum(a - pos[x], b - pos[y]) * (UP + DOWN) >= both * UP
+def bits_allow(size: np.ndarray, bits: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The filter of ``possible`` by bits for places ``x`` and ``y`` of arrays."""
     differ = np.bitwise_count(bits[x] ^ bits[y]).astype(np.int64)
-    return out & ((both - differ) * (UP + DOWN) >= both * (2 * UP))
+    both = size[x] + size[y]
+    return (both - differ) * (UP + DOWN) >= both * (2 * UP)
 
 
 def earlier_matches(start: np.ndarray, size: np.ndarray, pos: np.ndarray, bits: np.ndarray):
     """For the members of posting lists, which begin at ``start``: pairs (x, y) of a member
     and an earlier one that it may match, the ``FEW`` earliest for each at most, and the
-    members that have more of them."""
+    members that have more of them.
+
+    The filters by length and position are one bound: ``need`` of the other is ``most`` of
+    one at most, both ways. Where they fail the bits are not read."""
     many = np.diff(np.append(start, len(size)))
+    kind = np.int32 if not len(size) or size.max() < 1 << 27 else np.int64
+    need = (size * UP).astype(kind)
+    most = np.minimum(size * DOWN, (size - pos) * (UP + DOWN) - size * UP).astype(kind)
     xs, ys, more = [], [], []
-    small = np.repeat(many <= SMALL, many)
+    own = np.repeat(many, many)
     rank = np.arange(len(size)) - np.repeat(start, many)
-    for back in range(1, SMALL):
-        x = np.flatnonzero(small & (rank >= back))
-        if not len(x):
-            break
-        hit = x[may_match(size, pos, bits, x, x - back)]
-        xs.append(hit)
-        ys.append(hit - back)
-    for first, count in zip(start[many > SMALL], many[many > SMALL]):
+    at = np.flatnonzero(own <= STEPS)
+    for back in range(1, STEPS):
+        if not back & (back - 1):
+            at = at[own[at] > back]
+            if not len(at):
+                break
+            r, m, n = rank[at], most[at], need[at]
+        k = np.flatnonzero((r[back:] >= back) & (m[back:] >= n[:-back]) & (m[:-back] >= n[back:])) + back
+        x, y = at[k], at[k - back]
+        allowed = bits_allow(size, bits, x, y)
+        xs.append(x[allowed])
+        ys.append(y[allowed])
+    if xs:
+        x, y = np.concatenate(xs), np.concatenate(ys)
+        order = np.lexsort((y, x))
+        x, y = x[order], y[order]
+        nth = np.arange(len(x)) - np.searchsorted(x, x)
+        few = (nth < FEW) | (own[x] <= SMALL)
+        more.append(x[~few])
+        xs, ys = [x[few]], [y[few]]
+    for first, count in zip(start[many > STEPS], many[many > STEPS]):
         left, found = np.arange(first + 1, first + count), np.zeros(count, np.int64)
         low, width = first, SMALL
         while low < first + count and len(left):
             high = min(first + count, low + width)
             step = max(1, CELLS // (high - low))
-            done = []
+            behind = np.arange(low, high)
             for k in range(0, len(left), step):
                 x = left[k : k + step]
-                grid = may_match(size, pos, bits, x[:, None], np.arange(low, high)[None, :])
-                grid &= np.arange(low, high)[None, :] < x[:, None]
-                order = np.cumsum(grid, axis=1) + found[x - first][:, None]
-                more.append(x[order[:, -1] > FEW])
-                at, place = np.nonzero(grid & (order <= FEW))
-                xs.append(x[at])
-                ys.append(low + place)
-                found[x - first] = order[:, -1]
-                done.append(order[:, -1] >= FEW + 1)
-            left = left[~np.concatenate(done) & (left > high)]
+                grid = (most[x][:, None] >= need[None, low:high]) & (most[None, low:high] >= need[x][:, None])
+                if x[0] < high:
+                    grid &= behind[None, :] < x[:, None]
+                at, place = np.nonzero(grid)
+                allowed = bits_allow(size, bits, x[at], low + place)
+                at, place = at[allowed], place[allowed]
+                here = np.bincount(at, minlength=len(x))
+                before = found[x - first]
+                order = np.arange(1, len(at) + 1) - (np.cumsum(here) - here)[at] + before[at]
+                found[x - first] = before + here
+                more.append(x[before + here > FEW])
+                taken = order <= FEW
+                xs.append(x[at[taken]])
+                ys.append(low + place[taken])
+            left = left[(found[left - first] <= FEW) & (left > high)]
             low, width = high, width * 4
     join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
     return join(xs), join(ys), np.unique(join(more))
 
 
-def candidates(batches):
-    """From entries sorted by word, block and number: pairs (x, y) of nodes that may match.
-    A list is read whole; one that goes on in the next batch is held. A row without y says
-    that x may match others that hold the word, as all of a list in blocks may."""
-    held = None
+FOUND = pa.schema([
+    ("x", pa.int64()), ("y", pa.int64()), ("word", pa.int64()), ("size", pa.int32()), ("pos", pa.int32()),
+    ("bits", pa.int64()), ("asks", pa.bool_()),
+])
+FOUND_SQL = "x bigint, y bigint, word bigint, size int, pos int, bits bigint, asks boolean"
 
-    def starts(table):
-        word, block = table.column("word").to_numpy(), table.column("block").to_numpy()
-        return np.flatnonzero(np.append(True, (word[1:] != word[:-1]) | (block[1:] != block[:-1])))
 
-    def pairs(table):
+def candidates(batches):
+    """From rows of ``prefixes`` sorted by bucket: pairs (x, y) of nodes that may match. Rows without y are members of
+    lists; those that ask may match others of the list than those they are paired with, as all of a list in blocks may.
+    Of a list without such members there are no rows, nor of members behind the last of them."""
+    for word, block, number, size, pos, bits in whole_buckets(batches):
+        order = np.lexsort((number, block, word))
+        word, block, number = word[order], block[order], number[order]
         # A repeated document brings its entries again, next to each other.
-        word, number, block = (table.column(c).to_numpy() for c in ("word", "number", "block"))
         new = np.append(True, (word[1:] != word[:-1]) | (number[1:] != number[:-1]))
-        table = table if new.all() else table.filter(pa.array(new)).combine_chunks()
-        number, block = table.column("number").to_numpy(), table.column("block").to_numpy()
-        size, pos = (table.column(c).to_numpy().astype(np.int64) for c in ("size", "pos"))
-        x, y, more = earlier_matches(starts(table), size, pos, table.column("bits").to_numpy().view(np.uint64))
-        more = np.union1d(more, np.flatnonzero(block >= 0))
-        paired = np.arange(len(x) + len(more)) < len(x)
-        return pa.table({
-            "x": pa.array(number[np.append(x, more)]),
-            "y": pa.array(number[np.append(y, more)], mask=~paired),
-            "word": pa.array(table.column("word").to_numpy()[np.append(x, more)], mask=paired),
-        }).combine_chunks().to_batches()
-
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        table = (pa.concat_tables([held, table]) if held is not None else table).combine_chunks()
-        if not len(table):
-            continue
-        cut = int(starts(table)[-1])
-        yield from pairs(table.slice(0, cut).combine_chunks()) if cut else ()
-        held = table.slice(cut)
-    if held is not None and len(held):
-        yield from pairs(held.combine_chunks())
-
-
-def resembling(held: DataFrame, machine: steps.OnWorker) -> DataFrame:
+        word, block, number = word[new], block[new], number[new]
+        size, pos, bits = (c[order][new] for c in (size, pos, bits))
+        start = np.flatnonzero(np.append(True, (word[1:] != word[:-1]) | (block[1:] != block[:-1])))
+        x, y, more = earlier_matches(start, size.astype(np.int64), pos.astype(np.int64), bits.view(np.uint64))
+        asks = block >= 0
+        asks[more] = True
+        at = np.where(asks, np.arange(len(word)), -1)
+        last = np.repeat(np.maximum.reduceat(at, start), np.diff(np.append(start, len(word))))
+        listed = np.flatnonzero(np.arange(len(word)) <= last)
+        none = lambda n, kind: pa.nulls(n, kind)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(number[x]), pa.array(number[y]), *[none(len(x), f.type) for f in list(FOUND)[2:]]], schema=FOUND)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(number[listed]), none(len(listed), pa.int64()),
+            *[pa.array(c[listed]) for c in (word, size, pos, bits, asks)]], schema=FOUND)
+
+
+def resembling(held: DataFrame, machine: steps.OnWorker, bits: int) -> DataFrame:
     """The numbers of the nodes that resemble an earlier node, as x."""
-    entries = held.mapInArrow(prefixes(machine), PREFIX_SQL)
-    ordered = entries.repartition("word", "block").sortWithinPartitions("word", "block", "number")
-    pairs = steps.written(ordered.mapInArrow(candidates, "x bigint, y bigint, word bigint"))
+    with steps.small_batches(held.sparkSession):
+        pairs = steps.written(in_buckets(held.mapInArrow(prefixes(machine, bits), PREFIX_SQL)).mapInArrow(candidates, FOUND_SQL))
     found = matched(held, pairs.filter("y IS NOT NULL").select("x", "y"))
-    asked = steps.written(pairs.filter("y IS NULL").select("x", "word").join(found, "x", "left_anti").distinct())
-    steps.freed(pairs)
+    members = pairs.filter("y IS NULL").select(F.col("x").alias("number"), "word", "size", "pos", "bits", "asks")
+    asked = members.filter("asks").join(found, F.col("number") == F.col("x"), "left_anti").drop("asks")
+    asked = steps.written(asked)
     if asked.isEmpty():
-        steps.freed(asked)
+        steps.freed(pairs, asked)
         return found
-    passing = steps.sieve(asked.select("word").distinct())
-    again = steps.written(held.mapInArrow(prefixes(machine, passing), PREFIX_SQL).dropDuplicates(["word", "number"]))
-    right = renamed(again, "y_")
-    left = renamed(again.join(asked.select(F.col("x").alias("number"), "word"), ["number", "word"], "left_semi"), "x_")
+    right = renamed(members.drop("asks"), "y_")
+    left = renamed(asked, "x_")
     rest = left.join(right, (F.col("x_word") == F.col("y_word")) & (F.col("y_number") < F.col("x_number"))
                      & possible("x_", "y_"))
     later = matched(held, rest.select(F.col("x_number").alias("x"), F.col("y_number").alias("y")))
-    steps.freed(asked, again)
-    passing.free()
+    steps.freed(asked, pairs)
     return steps.written(found.unionByName(later))
 
 
@@ -431,14 +521,17 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     in_order = first.select("set", "again", "e.*").repartitionByRange("doc_id", "own", "line").sortWithinPartitions(
         "doc_id", "own", "line")
     nodes = steps.written(in_order.withColumn("number", F.monotonically_increasing_id()))
-    # A smaller set has no similar one but itself: 4 of 5 words is the least.
+    # A smaller set has no similar one but itself: 4 of 5 words is the least. Numbers rise with the lines of a document.
     lists = nodes.filter(F.col("size") >= UP).groupBy("doc_id", "own").agg(
-        F.sort_array(F.collect_list(F.struct("line", "number"))).alias("nodes"))
+        *[F.sort_array(F.collect_list(c)).alias(f"{c}s") for c in ("line", "number")])
     held = steps.written(
-        rows.join(renamed(lists, "w_"), same_document("w_")).select("text", "w_nodes")
+        rows.join(renamed(lists, "w_"), same_document("w_")).select("text", "w_lines", "w_numbers")
         .mapInArrow(node_texts, HELD_SQL))
-    machine = with_counts(held)
-    alike = resembling(held, machine)
+    first_words = F.floor(F.col("size") / DOWN) + 1
+    entries = nodes.agg(F.sum(first_words)).first()[0]
+    bits = bucket_bits(int(entries or 0))
+    machine = with_counts(held, bits)
+    alike = resembling(held, machine, bits)
     named = nodes.join(alike, F.col("number") == F.col("x"), "left")
     verdict = named.select("set", "again", place().alias("first"), F.col("x").isNotNull().alias("alike"))
     every = sets.join(verdict, ["set", "again"]).filter(F.col("alike") | (place() != F.col("first")))

@@ -105,3 +105,12 @@ def test_places_of_hashes():
         wanted = np.concatenate([draw.integers(0, 1 << 64, 500, dtype=np.uint64), known, np.array([0, (1 << 64) - 1], np.uint64)])
         there = {h: k for k, h in enumerate(known.tolist())}
         assert steps.Places(known).of(wanted).tolist() == [there.get(h, -1) for h in wanted.tolist()]
+
+
+def test_words_of_a_line_by_rarity():
+    """Counts decide, then whole hashes, also where the first bits of many are equal."""
+    draw = np.random.default_rng(6)
+    group, n = np.repeat(np.arange(300), 40), draw.integers(1, 4, 12_000)
+    for hashed in (draw.integers(0, 1 << 64, 12_000, dtype=np.uint64), draw.integers(0, 1 << 42, 12_000, dtype=np.uint64)):
+        order, right = line_dedup.by_rarity(group, n, hashed), np.lexsort((hashed, n, group))
+        assert (hashed[order] == hashed[right]).all() and (n[order] == n[right]).all()
