@@ -6,8 +6,8 @@ before it, removed or not, is ``THRESHOLD`` or more. Lines without words stay.
 
 Lines with equal sets are one node, known by its first line; all later ones go. Nodes
 are numbered in the order of their lines, so a line is one number from there on. The
-words of a set are ordered by the number of nodes that hold them, rarest first, then by
-hash: the ``COMMON_WORDS`` or fewer most frequent ones are told to the workers with their
+words of a set are ordered by the number of nodes that hold them (its 20 leading bits),
+rarest first, then by hash: the ``COMMON_WORDS`` or fewer most frequent ones are told to the workers with their
 counts, all others that are in several nodes by 2 ** ``SLOT_BITS`` counters, where words
 of one counter count together. Any order that is the same for all lines is right; a word
 whose counter is 0 is in one node. Two similar sets share a word among their first ``size - least overlap
@@ -20,8 +20,9 @@ is verified by the words themselves.
 A line has only to find one earlier match. So it is first compared with the ``FEW``
 earliest lines that pass the filters for each of its words, and of the pairs found the
 one that shares most is verified first. Only lines without a match that have more of
-them go on to all in the lists of those words: a large group of alike lines makes few
-pairs. The list of a word in over ``BLOCK`` nodes is dealt into blocks, so no task holds
+them go on to all in the lists of those words, whose members come with the pairs: a large
+group of alike lines makes few pairs. Entries are moved as arrays, one row for a bucket of
+words and blocks, and sorted where the bucket is read. The list of a word in over ``BLOCK`` nodes is dealt into blocks, so no task holds
 it whole; a line of such a word that finds no match in its blocks goes on to all as well.
 
 A null text has one line without words. Rows with a null doc_id come first; rows with
