@@ -6,6 +6,7 @@ from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from conftest import rows
 from curfew.llm import line_dedup, mixing, near_duplicates, queries, steps
 from llm.conftest import SMALL, prose
@@ -114,3 +115,49 @@ def test_words_of_a_line_by_rarity():
     for hashed in (draw.integers(0, 1 << 64, 12_000, dtype=np.uint64), draw.integers(0, 1 << 42, 12_000, dtype=np.uint64)):
         order, right = line_dedup.by_rarity(group, n, hashed), np.lexsort((hashed, n, group))
         assert (hashed[order] == hashed[right]).all() and (n[order] == n[right]).all()
+
+
+def test_lines_are_counted_where_they_are_found():
+    """The step that finds the words of lines also says in how many lines each is; lines of under four words are not counted."""
+    texts = pa.array(["a b c d a\na b c e", "x y z", "\n", "a b c d"])
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3, None]), pa.array([5, 6, 7, 8]), texts], names=["doc_id", "own", "text"])
+    found = pa.Table.from_batches(line_dedup.line_sets(4)([batch]))
+    sets, counts = found.filter(pc.is_null(found["bucket"])), found.filter(pc.is_valid(found["bucket"]))
+    assert sets["doc_id"].to_pylist() == [1, 2, None]
+    unpacked = lambda name, kind, rows: np.concatenate([line_dedup.unpacked(c, kind)[0] for c in rows[name].chunks])
+    assert unpacked("line", np.int32, sets).tolist() == [0, 1, 0, 0] and unpacked("size", np.int32, sets).tolist() == [4, 4, 3, 4]
+    same = unpacked("set", np.int64, sets)
+    assert same[0] == same[3] and len(set(same.tolist())) == 3
+    assert sorted(unpacked("n", np.int32, counts).tolist()) == [1, 2, 3, 3, 3]
+
+
+def test_documents_are_numbered_once(monkeypatch):
+    """Numbers rise with the lines over all batches, and a repeated document has none of its own."""
+    monkeypatch.setattr(line_dedup.TaskContext, "get", classmethod(lambda cls: SimpleNamespace(partitionId=lambda: 3)))
+    lines = [[0, 2], [1], [1], [0], [4]]
+    rows = [(None, 9), (0, 9), (0, 9), (0, 10), (7, 1)]
+
+    def batch(first, last):
+        packed = lambda kind: line_dedup.packed(
+            np.cumsum([0, *map(len, lines[first:last])]), np.array(sum(lines[first:last], []), kind))
+        return pa.RecordBatch.from_arrays([
+            pa.array([i for i, _ in rows[first:last]], pa.int64()), pa.array([o for _, o in rows[first:last]], pa.int64()),
+            packed(np.int32), packed(np.int64), packed(np.int64), packed(np.int32)], names=["doc_id", "own", "line", "set", "again", "size"])
+
+    for cut in range(1, 5):
+        found = list(line_dedup.numbered([batch(0, cut), batch(0, 0), batch(cut, 5)]))
+        base = [b - (3 << line_dedup.NUMBER_BITS) for f in found for b in f.column(2).to_pylist()]
+        assert base == [0, 3, 5, 6]
+        single = pa.Table.from_batches(line_dedup.single_sets([f.select(["base", "line", "set", "again", "size"]) for f in found]))
+        assert [n - (3 << line_dedup.NUMBER_BITS) for n in single["number"].to_pylist()] == [0, 2, 4, 5, 10]
+
+
+def test_numbers_by_document_over_batches():
+    base, number = np.array([4, 4, 4, 4, 9, 12, 12]), np.arange(7)
+    for a in range(8):
+        for b in range(a, 8):
+            cuts = [(0, a), (a, b), (b, 7)]
+            batches = [pa.RecordBatch.from_arrays([pa.array(base[i:j]), pa.array(number[i:j])], names=["base", "number"]) for i, j in cuts]
+            found = pa.Table.from_batches(line_dedup.by_document(batches))
+            own = [np.frombuffer(n, np.int64).tolist() for n in found["numbers"].to_pylist()]
+            assert found["base"].to_pylist() == [4, 9, 12] and own == [[0, 1, 2, 3], [4], [5, 6]]
