@@ -53,6 +53,17 @@ KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 0
 KIND[[*range(0x21, 0x27), *range(0x28, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = 1
 
 
+def kinds(raw: np.ndarray) -> np.ndarray:
+    """``KIND`` of the bytes of whole words, with the two bytes of letters from À to ſ as letters: those of
+    ``LETTERS_THEN_MARKS``, which are C3, C4 or C5 and one more, but for ×, ÷ and İ."""
+    kind = KIND[raw]
+    lead = np.flatnonzero((raw[:-1] >= 0xC3) & (raw[:-1] <= 0xC5) & (raw[1:] >> 6 == 2))
+    pair = (raw[lead].astype(np.uint16) << 8) | raw[lead + 1]
+    lead = lead[(pair != 0xC397) & (pair != 0xC3B7) & (pair != 0xC4B0)]
+    kind[lead] = kind[lead + 1] = 0
+    return kind
+
+
 class Table:
     """Entries of hashed words, in order of the hash."""
 
@@ -169,7 +180,7 @@ class WordIds:
         size = end - start
         raw = data[ragged(start, size)]
         start = np.cumsum(size) - size
-        kind = KIND[raw]
+        kind = kinds(raw)
         letters = np.add.reduceat(kind == 0, start, dtype=np.int64)
         place = np.arange(len(raw)) - np.repeat(start, size)
         ahead = np.minimum.reduceat(np.where(kind == 0, len(raw), place), start)
@@ -178,20 +189,10 @@ class WordIds:
         at = np.flatnonzero(simple)
         if len(at):
             entry[at] = self.entries_of_pairs(words.FOLDED_BYTES[raw], start[at], start[at] + letters[at], start[at] + size[at])
-        split, whole, own = [], [], raw.tobytes()
-        for k in np.flatnonzero(~simple).tolist():
-            text = own[start[k] : start[k] + size[k]].decode("utf-8", "replace")
-            match = LETTERS_THEN_MARKS.fullmatch(text)
-            if match:
-                split.append((k, *match.groups()))
-            else:
-                whole.append((k, text))
-        if split:
-            parts = np.frombuffer("".join(x + y for _, x, y in split).encode(), np.uint8)
-            sizes = np.array([(len(x.encode()), len(y)) for _, x, y in split])
-            ends = np.cumsum(sizes.sum(1))
-            begin = ends - sizes.sum(1)
-            entry[[k for k, *_ in split]] = self.entries_of_pairs(parts, begin, begin + sizes[:, 0], ends)
+        left = np.flatnonzero(~simple)
+        own = raw.tobytes()
+        whole = [(k, own[a:b].decode("utf-8", "replace")) for k, a, b in zip(
+            left.tolist(), start[left].tolist(), (start[left] + size[left]).tolist())]
         if whole:
             ids = self.encode([t for _, t in whole])
             entry[[k for k, _ in whole]] = self.append(np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids)))

@@ -364,3 +364,12 @@ def test_html_of_equal_ids_and_clashing_columns(spark):
         "page_id long, url string, html string, text string, n_chars long")
     assert sorted(rows(html_text.extract(pages)), key=repr) == sorted(
         [(1, "http://a", "x", 1), (1, "http://b", "y", 1), (None, None, "", 0)], key=repr)
+
+
+def test_letters_of_two_bytes_are_split_by_arrays():
+    """The bytes of a letter are told as the pattern tells it, for all characters of up to two bytes."""
+    for code in range(33, 0x800):
+        raw = np.frombuffer(chr(code).encode(), np.uint8)
+        found = token_output.kinds(raw).tolist()
+        assert found == [0] * len(raw) if token_output.LETTERS_THEN_MARKS.fullmatch(chr(code)) else 0 not in found
+    assert token_output.kinds(np.array([0x61, 0xC3], np.uint8)).tolist() == [0, 2]
