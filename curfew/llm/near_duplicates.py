@@ -194,7 +194,7 @@ def counted_words(docs: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray, int, n
     """For ``Idf``: hashes of the common words in order, their idf, the number of rows, and counters of the others.
     And word and n of the words that are not common but in several rows, if any."""
     total = docs.count()
-    counts = docs.select("text").mapInArrow(document_frequencies, "word bigint, n bigint").groupBy("word").agg(
+    counts = docs.select("text").mapInArrow(steps.thrifty(document_frequencies), "word bigint, n bigint").groupBy("word").agg(
         F.sum("n").alias("n"))
     counts = steps.written(counts.filter("n > 1"))
     sizes = dict(counts.groupBy(F.length(F.bin("n")).alias("bits")).agg(F.count("*")).collect())
@@ -238,7 +238,7 @@ def uncommon_words(machine: steps.OnWorker, wanted: steps.OnWorker):
 def listed_words(texts: DataFrame, machine: steps.OnWorker, wanted: steps.OnWorker, rest: DataFrame) -> DataFrame:
     """For each node of ``texts`` (node, text) that passes a sieve: its words that are in ``rest``, and their n."""
     hashed = texts.select("node", "text", F.xxhash64("node"))
-    held = hashed.mapInArrow(uncommon_words(machine, wanted), "node binary, word bigint").join(rest, "word")
+    held = hashed.mapInArrow(steps.thrifty(uncommon_words(machine, wanted)), "node binary, word bigint").join(rest, "word")
     lists = held.groupBy("node").agg(F.collect_set(F.struct("word", "n")).alias("listed"))
     return lists.select("node", F.col("listed.word").alias("listed"), F.col("listed.n").alias("listed_n"))
 
@@ -319,10 +319,10 @@ def shared_weights(texts: DataFrame, machine: steps.OnWorker) -> DataFrame:
     """Of ``texts`` (id, text, listed, listed_n): their weight, and that of the shingles that another of them
     has too. No more than this can two texts have in common."""
     kind = "id bigint, key bigint, weight double"
-    held = texts.mapInArrow(shingle_rows(machine, False), kind)
+    held = texts.mapInArrow(steps.thrifty(shingle_rows(machine, False)), kind)
     own = held.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("id"), F.min("weight").alias("weight"))
     lost = own.filter("n = 1").groupBy("id").agg(F.sum("weight").alias("lost"))
-    total = texts.mapInArrow(shingle_rows(machine, True), kind).select("id", F.col("weight").alias("total"))
+    total = texts.mapInArrow(steps.thrifty(shingle_rows(machine, True)), kind).select("id", F.col("weight").alias("total"))
     common = F.col("total") - F.coalesce("lost", F.lit(0.0))
     return total.join(lost, "id", "left").select("id", "total", common.alias("common"))
 
@@ -395,7 +395,7 @@ def found_classes(docs: DataFrame) -> DataFrame:
     machine = steps.OnWorker(spark, common, Idf)
     rows = docs.select("doc_id", "text", F.expr(NODE).alias("own"))
     plain = rows.select(F.col("own").alias("node"), "text")
-    signed = plain.mapInArrow(signer(machine), "node binary, bands array<bigint>, bits bigint")
+    signed = plain.mapInArrow(steps.thrifty(signer(machine)), "node binary, bands array<bigint>, bits bigint")
     signed = signed.groupBy("node").agg(F.first("bands").alias("bands"), F.first("bits").alias("bits"))
     entries = signed.select("node", "bits", F.explode("bands").alias("key"))
     entries = steps.written(entries)

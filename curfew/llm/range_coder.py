@@ -41,7 +41,7 @@ def frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         counts = np.bincount(ids)
         symbols = np.flatnonzero(counts)
         counts = counts[symbols]
-        place = np.zeros(symbols[-1] + 1, np.int64)
+        place = np.zeros(symbols[-1] + 1, np.int32)
         place[symbols] = np.arange(len(symbols))
         rank = place[ids]
     else:
@@ -128,8 +128,8 @@ def encode(ids: np.ndarray) -> tuple[bytes, list[bytes]]:
     blocks = len(count)
     rank = np.zeros(blocks * BLOCK, np.int32)
     rank[: len(ids)] = ranks
+    del ranks
     rank = np.ascontiguousarray(rank.reshape(blocks, BLOCK).T)
-    below, small_share = below.take(rank), small_share.take(rank)
     low, width = np.zeros(blocks, np.uint64), np.full(blocks, FULL)
     out = np.zeros((blocks, 2 * BLOCK + 8), np.uint32)
     used = np.zeros(blocks, np.int64)
@@ -165,8 +165,8 @@ def encode(ids: np.ndarray) -> tuple[bytes, list[bytes]]:
         hit1 &= ~hit2
         both = model.share2 + model.share1
         rest = CHOICES - both
-        start = np.where(hit2, 0, np.where(hit1, model.share2 << ID_BITS, (both << ID_BITS) + rest * below[t, :n]))
-        size = np.where(hit2, model.share2 << ID_BITS, np.where(hit1, model.share1 << ID_BITS, rest * small_share[t, :n]))
+        start = np.where(hit2, 0, np.where(hit1, model.share2 << ID_BITS, (both << ID_BITS) + rest * below.take(symbol)))
+        size = np.where(hit2, model.share2 << ID_BITS, np.where(hit1, model.share1 << ID_BITS, rest * small_share.take(symbol)))
         put(n, start, size)
         model.learn(symbol)
     every = np.arange(blocks)

@@ -1,10 +1,11 @@
 """Written steps, shipped code and Arrow columns, shared by the operators."""
 
+import ctypes
 import os
 import tempfile
 import uuid
 import zipfile
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pyarrow as pa
@@ -123,6 +124,26 @@ def fresh(name: str, taken: list[str]) -> str:
     return name
 
 
+def give_back() -> None:
+    """Return freed memory of a worker to the system, which its allocators otherwise hold while it waits for a task."""
+    pa.default_memory_pool().release_unused()
+    # Only glibc has it.
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def thrifty(function):
+    """The same function of batches, which gives back what its task has freed when it ends."""
+
+    def give(batches):
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return give
+
+
 class OnWorker:
     """Something that a worker builds from broadcast data on first use and keeps for
     its later tasks, one at a time per builder. Once something else is built, only what
@@ -137,7 +158,7 @@ class OnWorker:
     def forget() -> None:
         """Free what earlier operators have built on this worker."""
         OnWorker.kept.clear()
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     def free(self) -> None:
         """Drop the data from the driver and the executors; whatever needs it must be written by then."""

@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 
 END_ID = 1
 CHUNK_BYTES = 6 << 20
+#: Text that is tokenised at once; the ids of a chunk are gathered from several such pieces and batches.
+PIECE_BYTES = 2 << 20
 CACHED_WORDS = 2_000_000
 #: Words that are found by the first bits of their hash alone.
 NEAR_BITS = 20
@@ -68,7 +70,7 @@ class Table:
     """Entries of hashed words, in order of the hash."""
 
     def __init__(self):
-        self.known, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.known, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int32)
 
     def missing(self, distinct: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.known, distinct), max(0, len(self.known) - 1))
@@ -228,7 +230,7 @@ class WordIds:
         entry = np.insert(entry, found.first[1:], 0)
         size = self.size.held[entry]
         ends = found.first[1:] + np.arange(len(offsets) - 1)
-        return self.ids.held[ragged(self.start.held[entry], size)].astype(np.int64), np.diff(np.cumsum(size)[ends], prepend=0)
+        return self.ids.held[ragged(self.start.held[entry], size)], np.diff(np.cumsum(size)[ends], prepend=0)
 
 
 KEPT: dict[str, WordIds] = {}
@@ -240,27 +242,47 @@ def word_ids(path: str) -> WordIds:
     return KEPT[path]
 
 
+def chunks_of(batches, path: str):
+    """The documents of each chunk in turn: their ids, how many tokens each has, and all of these. A chunk goes on over
+    batches, so batches may be small."""
+    held, total = [], 0
+
+    def joined():
+        doc_ids, counts, ids = zip(*held)
+        held.clear()
+        return sum(doc_ids, []), np.concatenate(counts), np.concatenate(ids)
+
+    for batch in batches:
+        data, offsets = steps.text_buffers(batch.column(1))
+        for first, last in steps.pieces(offsets, PIECE_BYTES):
+            size = int(offsets[last] - offsets[first])
+            if held and total + size > CHUNK_BYTES:
+                yield joined()
+                total = 0
+            ids, counts = word_ids(path).texts(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
+            held.append((batch.column(0).slice(first, last - first).to_pylist(), counts, ids))
+            total += size
+    if held:
+        yield joined()
+
+
 def encoder(path: str):
     def encode(batches):
-        part, chunk = TaskContext.get().partitionId(), 0
+        part = TaskContext.get().partitionId()
         steps.OnWorker.forget()
-        for batch in batches:
-            doc_ids = batch.column(0)
-            data, offsets = steps.text_buffers(batch.column(1))
-            for first, last in steps.pieces(offsets, CHUNK_BYTES):
-                own = data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
-                ids, counts = word_ids(path).texts(*own)
-                table, coded = range_coder.encode(ids)
-                blocks = [
-                    {"n_tokens": int(n), "crc32": zlib.crc32(block), "data": block}
-                    for n, block in zip(range_coder.sizes(len(ids)), coded, strict=True)
-                ]
-                row = {
-                    "part": part, "chunk": chunk, "doc_ids": doc_ids.slice(first, last - first).to_pylist(),
-                    "counts": counts.tolist(), "n_tokens": len(ids), "frequencies": table, "blocks": blocks,
-                }
-                chunk += 1
-                yield pa.RecordBatch.from_pylist([row], schema=ARROW_FORMAT)
+        for chunk, (doc_ids, counts, ids) in enumerate(chunks_of(batches, path)):
+            steps.give_back()
+            table, coded = range_coder.encode(ids)
+            blocks = [
+                {"n_tokens": int(n), "crc32": zlib.crc32(block), "data": block}
+                for n, block in zip(range_coder.sizes(len(ids)), coded, strict=True)
+            ]
+            row = {
+                "part": part, "chunk": chunk, "doc_ids": doc_ids, "counts": counts.tolist(), "n_tokens": len(ids),
+                "frequencies": table, "blocks": blocks,
+            }
+            yield pa.RecordBatch.from_pylist([row], schema=ARROW_FORMAT)
+        steps.give_back()
 
     return encode
 
@@ -271,7 +293,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str) -> None:
     steps.ship(spark)
     rows = docs.select("doc_id", "text")
     ordered = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
-    with steps.freed_shuffles(spark):
+    with steps.freed_shuffles(spark), steps.small_batches(spark):
         ordered.mapInArrow(encoder(tokenizer), FORMAT).write.parquet(folder)
 
 
@@ -296,8 +318,12 @@ def decoded(spark: SparkSession, folder: str, name: str, kind: str, column) -> D
     steps.ship(spark)
 
     def documents(batches):
+        # What writing has kept is no longer used.
+        KEPT.clear()
+        steps.OnWorker.forget()
         for batch in batches:
-            for row in batch.to_pylist():
+            for k in range(len(batch)):
+                row = batch.slice(k, 1).to_pylist()[0]
                 ids = chunk_ids(row["frequencies"], row["blocks"], row["n_tokens"])
                 ends = np.cumsum([0, *row["counts"]])
                 many = len(row["doc_ids"])

@@ -1,15 +1,17 @@
 """Operators that judge a row by itself, next to plain Python."""
 
 import re
+import tracemalloc
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
 from conftest import rows
-from curfew.llm import boosting, decontamination, html_text, quality, queries, steps, token_output, toxicity, url_filter
+from curfew.llm import boosting, decontamination, html_text, quality, queries, range_coder, steps, token_output, toxicity, url_filter
 from llm.conftest import MEDIUM, SMALL, prose
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -373,3 +375,31 @@ def test_letters_of_two_bytes_are_split_by_arrays():
         found = token_output.kinds(raw).tolist()
         assert found == [0] * len(raw) if token_output.LETTERS_THEN_MARKS.fullmatch(chr(code)) else 0 not in found
     assert token_output.kinds(np.array([0x61, 0xC3], np.uint8)).tolist() == [0, 2]
+
+
+def test_chunks_of_ids_go_on_over_batches(monkeypatch):
+    """Documents come by small batches and are tokenised a few at a time; chunks are cut by the size of the text alone."""
+    monkeypatch.setattr(token_output.TaskContext, "get", classmethod(lambda cls: SimpleNamespace(partitionId=lambda: 2, taskAttemptId=lambda: 1)))
+    monkeypatch.setattr(token_output, "CHUNK_BYTES", 600)
+    monkeypatch.setattr(token_output, "PIECE_BYTES", 200)
+    texts = [prose(k, 10) for k in range(30)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(30)), pa.array(texts)], names=["doc_id", "text"])
+    encode = token_output.encoder(public_tokenizers.path("word_bpe_49k.json"))
+    whole, small = (list(encode(batches)) for batches in ([batch], [batch.slice(k, 2) for k in range(0, 30, 2)]))
+    for found in (whole, small):
+        assert sum((r.column("doc_ids")[0].as_py() for r in found), []) == [*range(30)]
+        assert [r.column("chunk")[0].as_py() for r in found] == [*range(len(found))]
+        assert len(found) < 15 and all(len(r.column("doc_ids")[0]) > 2 for r in found[:-1])
+    ids = lambda found: np.concatenate([token_output.chunk_ids(r["frequencies"], r["blocks"], r["n_tokens"])
+                                        for f in found for r in f.to_pylist()])
+    assert (ids(whole) == ids(small)).all()
+
+
+def test_coding_takes_little_memory():
+    ids = np.random.default_rng(3).integers(0, 40_000, 400_000).astype(np.uint32)
+    range_coder.encode(ids[:2000])
+    tracemalloc.start()
+    table, coded = range_coder.encode(ids)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 27 * len(ids) and (range_coder.decode(table, coded, len(ids)) == ids).all()
