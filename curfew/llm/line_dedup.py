@@ -76,9 +76,9 @@ def unpacked(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
     return values, np.diff(ends) // values.itemsize
 
 
-def line_words(texts: pa.Array):
-    """The distinct words of each line, a few rows at a time: row, line and word hash,
-    sorted by row, line and hash; with the number of lines of each row."""
+def words_of_lines(texts: pa.Array):
+    """The words of each line, a few rows at a time: first row, row, line and word hash, in order of the text; and the
+    number of the line among those with words."""
     data, offsets = steps.text_buffers(texts)
     for first, last in steps.pieces(offsets):
         part, cuts = data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
@@ -89,7 +89,12 @@ def line_words(texts: pa.Array):
         row = found.row
         line = np.searchsorted(feeds, found.start) - in_row[row]
         place = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (line[1:] != line[:-1]))) if len(row) else row
-        number = np.repeat(np.arange(len(place)), np.diff(np.append(place, len(row))))
+        yield first, row, line, hashed, np.repeat(np.arange(len(place)), np.diff(np.append(place, len(row))))
+
+
+def line_words(texts: pa.Array):
+    """The distinct words of each line, a few rows at a time: row, line and word hash, sorted by row, line and hash."""
+    for first, row, line, hashed, number in words_of_lines(texts):
         order = np.argsort((number.astype(np.uint64) << np.uint64(40)) | (hashed >> np.uint64(24)))
         row, line, hashed = row[order], line[order], hashed[order]
         new = np.ones(len(row), bool)
@@ -232,14 +237,14 @@ def node_texts(batches):
 
 
 def numbered_words(numbers: pa.Array, texts: pa.Array):
-    """Of the rows of ``node_texts``, a few at a time: the distinct words of each node by
-    hash, where each node begins, its number, and the rows read."""
+    """Of the rows of ``node_texts``, a few at a time: the words of each node by hash, repeated ones too, the node of
+    each, counted from 0, and the numbers of the nodes."""
     flat, many = unpacked(numbers, np.int64)
     cut = np.append(0, np.cumsum(many))
-    for first, row, line, hashed in line_words(texts):
-        start = groups(row, line)
-        if len(start):
-            yield hashed, start, flat[cut[first + row[start]] + line[start]], slice(first, first + row[-1] + 1)
+    for first, row, line, hashed, group in words_of_lines(texts):
+        if len(row):
+            start = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+            yield hashed, group, flat[cut[first + row[start]] + line[start]]
 
 
 def dealt(bits: int, key: np.ndarray, /, **columns: np.ndarray) -> pa.RecordBatch:
@@ -310,7 +315,9 @@ def by_rarity(group: np.ndarray, n: np.ndarray, hashed: np.ndarray) -> np.ndarra
     key = (group.astype(np.uint64) << np.uint64(40)) | (leading.astype(np.uint64) << np.uint64(20)) | (hashed >> np.uint64(44))
     order = np.argsort(key)
     key = key[order]
-    tied = key[1:][key[1:] == key[:-1]] >> np.uint64(40)
+    tied = np.flatnonzero(key[1:] == key[:-1])
+    # Repeated words are no tie.
+    tied = key[tied[hashed[order[tied]] != hashed[order[tied + 1]]]] >> np.uint64(40)
     if len(tied):
         at = np.flatnonzero(np.isin(group, tied.view(np.int64)))
         order[at] = at[np.lexsort((hashed[at], leading[at], group[at]))]
@@ -357,18 +364,22 @@ def prefixes(machine: steps.OnWorker, bits: int):
     def find(batches):
         found, total = [], 0
         for batch in batches:
-            for hashed, start, number, _ in numbered_words(batch.column(0), batch.column(1)):
-                size = np.diff(np.append(start, len(hashed)))
+            for hashed, group, number in numbered_words(batch.column(0), batch.column(1)):
                 n = node_counts(hashed, *machine.get())
-                group = np.repeat(np.arange(len(start)), size)
-                bit = np.bitwise_xor.reduceat(np.uint64(1) << (hashed >> np.uint64(58)), start)
                 order = by_rarity(group, n, hashed)
+                hashed = hashed[order]
+                # The nodes keep their places, and equal words of a node are next to each other.
+                new = np.append(True, (hashed[1:] != hashed[:-1]) | (group[1:] != group[:-1]))
+                order, hashed, group = order[new], hashed[new], group[new]
+                start = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+                size = np.diff(np.append(start, len(hashed)))
+                bit = np.bitwise_xor.reduceat(np.uint64(1) << (hashed >> np.uint64(58)), start)
                 pos = np.arange(len(hashed)) - np.repeat(start, size)
                 first = np.flatnonzero(pos < np.repeat(size - least_overlap(size) + 1, size))
-                order = order[first]
-                several = n[order] > 1
-                order, pos = order[several], pos[first][several]
-                group, hashed, n = group[order], hashed[order], n[order]
+                n = n[order[first]]
+                several = n > 1
+                first, n = first[several], n[several]
+                group, hashed, pos = group[first], hashed[first], pos[first]
                 blocks = (n // BLOCK + 1).astype(np.uint64)
                 block = (words.mix(number.view(np.uint64))[group] % blocks).astype(np.int32)
                 found.append((hashed, np.where(blocks > 1, block, -1).astype(np.int32), number[group],
@@ -625,7 +636,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     # A smaller set has no similar one but itself: 4 of 5 words is the least.
     lists = own.select("doc_id", "own", "base").join(numbers_by_document(nodes.filter(F.col("size") >= UP)), "base")
     held = steps.written(
-        rows.join(renamed(lists, "w_"), same_document("w_")).select("text", "w_base", "w_numbers").mapInArrow(node_texts, HELD_SQL))
+        rows.join(renamed(lists, "w_").hint("shuffle_hash"), same_document("w_")).select("text", "w_base", "w_numbers").mapInArrow(node_texts, HELD_SQL))
     first_words = F.floor(F.col("size") / DOWN) + 1
     entries = nodes.agg(F.sum(first_words)).first()[0]
     alike = resembling(held, machine, bucket_bits(int(entries or 0)))
@@ -643,7 +654,8 @@ def cleaned(docs: DataFrame) -> DataFrame:
     gone = renamed(removed_lines(docs), "g_")
     rows = docs.select("doc_id", F.xxhash64("text").alias("own"), "text")
     out = F.arrow_udf(keep, "struct<n_lines:bigint,n_removed:bigint,kept:string>").asNondeterministic()
-    return rows.join(gone, same_document("g_"), "left").select("doc_id", out("text", "g_gone").alias("k")).select("doc_id", "k.*")
+    # One row for a document is hashed, so that no text is sorted.
+    return rows.join(gone.hint("shuffle_hash"), same_document("g_"), "left").select("doc_id", out("text", "g_gone").alias("k")).select("doc_id", "k.*")
 
 
 def report(docs: DataFrame) -> DataFrame:
